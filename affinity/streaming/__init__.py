@@ -1,0 +1,7 @@
+"""Streaming.
+
+The recommender is a batch job: nothing in it keeps state across micro-batches,
+uses watermarks or event-time windows, so no streaming operator is built here. A
+streaming source of signals can feed the batch operators through ``foreachBatch``
+after it lands in a table; that wiring belongs to the caller.
+"""
