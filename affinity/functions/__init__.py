@@ -1,21 +1,27 @@
 """Column expressions shared by the operators (all JVM-side, no Python UDF)."""
 
 from affinity.functions.columns import (
+    UNITS_PER_WEIGHT,
     WEIGHT_TYPE,
     clamp_at_zero,
-    dec_lit,
     logistic_scale,
     pop_boost,
     reciprocal,
     ratio,
     to_double,
+    to_units,
+    units_lit,
+    units_to_double,
 )
 from affinity.functions.ranking import top_n_per_group, rank_within
 
 __all__ = [
+    "UNITS_PER_WEIGHT",
     "WEIGHT_TYPE",
     "clamp_at_zero",
-    "dec_lit",
+    "to_units",
+    "units_lit",
+    "units_to_double",
     "logistic_scale",
     "pop_boost",
     "reciprocal",

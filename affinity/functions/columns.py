@@ -1,42 +1,62 @@
 """Scalar column expressions.
 
-Numeric policy: the scaled user-item weight is rounded to 9 places and carried as
-DECIMAL(18, 9); every sum over it stays decimal (exact and order-free, so results
-do not depend on partitioning), and a single cast to DOUBLE happens before the first
-division. ``exp`` and ``ln`` are the only inexact functions and are rounded to 9
-places right away.
+Numeric policy: a scaled user-item weight is rounded to 9 decimal places and carried
+as an exact integer count of 1e-9 units (LONG). Every sum over such weights is an
+integer sum -- exact, independent of partitioning and summation order, and cheap in
+generated code (no BigDecimal). A weight becomes DOUBLE once, as ``units / 1e9``
+(correctly rounded, since the integer is exact in a double below 2**53), before the
+first division. ``exp`` and ``ln`` are the only inexact functions; their results are
+rounded to 9 places immediately.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType
+from pyspark.sql.types import DoubleType, LongType
 
-WEIGHT_TYPE = DecimalType(18, 9)
+# Fixed value: weights are kept in units of 1e-9.
+UNITS_PER_WEIGHT = 1_000_000_000
 ROUND_PLACES = 9
+WEIGHT_TYPE = LongType()
 
 
-def dec_lit(x: float | int | str) -> Column:
-    """Exact decimal literal, so threshold comparisons against decimal sums are exact."""
-    return F.lit(Decimal(repr(x) if isinstance(x, float) else str(x)))
+def _c(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
 def to_double(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast(DoubleType())
+    return _c(c).cast(DoubleType())
+
+
+def units_lit(x: float | int | str) -> Column:
+    """Exact unit count of a threshold such as ``min_link_weight`` (0.25 -> 250000000)."""
+    d = Decimal(repr(x) if isinstance(x, float) else str(x)) * UNITS_PER_WEIGHT
+    return F.lit(int(d.quantize(Decimal(1), rounding=ROUND_HALF_UP))).cast(LongType())
+
+
+def to_units(c: Column | str) -> Column:
+    """DOUBLE weight -> LONG units, rounding half up at the 9th decimal place.
+
+    Exact inverse of ``units_to_double`` for any unit count below 2**52.
+    """
+    return F.floor(to_double(c) * F.lit(float(UNITS_PER_WEIGHT)) + F.lit(0.5)).cast(LongType())
+
+
+def units_to_double(c: Column | str) -> Column:
+    return _c(c).cast(DoubleType()) / F.lit(float(UNITS_PER_WEIGHT))
 
 
 def logistic_scale(weight: Column | str, k: float) -> Column:
-    """Diminishing-returns scaling ``2 / (1 + exp(-k * w)) - 1``.
+    """Diminishing-returns scaling ``2 / (1 + exp(-k * w)) - 1`` in LONG units.
 
     Maps 0 to 0, is odd (negative evidence stays negative) and stays below 1.
-    Rounded to 9 places and returned as DECIMAL(18, 9).
     """
     w = to_double(weight)
     scaled = F.lit(2.0) / (F.lit(1.0) + F.exp(F.lit(-float(k)) * w)) - F.lit(1.0)
-    return F.round(scaled, ROUND_PLACES).cast(WEIGHT_TYPE)
+    return to_units(scaled)
 
 
 def reciprocal(c: Column | str) -> Column:
@@ -50,8 +70,7 @@ def ratio(num: Column, den: Column) -> Column:
 
 def clamp_at_zero(c: Column | str) -> Column:
     """``max(x, 0)``; NULL counts as no evidence, i.e. 0."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.greatest(F.coalesce(c, F.lit(0.0)), F.lit(0.0))
+    return F.greatest(F.coalesce(_c(c), F.lit(0.0)), F.lit(0.0))
 
 
 def pop_boost(overall_weight: Column, func: str) -> Column:

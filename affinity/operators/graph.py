@@ -1,8 +1,8 @@
 """Item-item graph construction and link re-weighting.
 
 Inputs are signal DataFrames ``(user string, item string, weight double[, signal_type string])``.
-Link weights are exact decimals until ``adjust_item_item_graph_weight`` turns them
-into DOUBLE similarities.
+Inside the graph build, weights are exact LONG counts of 1e-9 units (``weight_units``);
+the public results carry DOUBLE ``weight`` = units / 1e9.
 
 Scale notes
 -----------
@@ -22,18 +22,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, LongType, MapType, StringType
+from pyspark.sql.types import LongType, MapType, StringType
 
 from affinity.functions import (
-    WEIGHT_TYPE,
     clamp_at_zero,
-    dec_lit,
     logistic_scale,
     pop_boost,
     rank_within,
     ratio,
     to_double,
+    to_units,
     top_n_per_group,
+    units_lit,
+    units_to_double,
 )
 
 # Fixed value: the link-data key that counts the users behind a link.
@@ -51,7 +52,7 @@ def _require(df: DataFrame, cols: list[str], what: str) -> None:
 # --------------------------------------------------------------------------- signals
 
 def scale_user_item_signals(signals: DataFrame, logistic_param: float, detail: bool = False) -> DataFrame:
-    """Sum signals per (user, item) and apply the logistic scaling.
+    """Sum signals per (user, item) and apply the logistic scaling -> ``weight_units`` (LONG).
 
     Rows with a NULL user or item are dropped; NULL weights count as no evidence
     (SUM skips them; a pair with only NULL weights has no weight and is dropped).
@@ -62,7 +63,7 @@ def scale_user_item_signals(signals: DataFrame, logistic_param: float, detail: b
     s = signals.where(F.col("user").isNotNull() & F.col("item").isNotNull())
     if not detail:
         agg = s.groupBy("user", "item").agg(F.sum(to_double("weight")).alias("__w"))
-        out = agg.select("user", "item", logistic_scale("__w", logistic_param).alias("weight"))
+        out = agg.select("user", "item", logistic_scale("__w", logistic_param).alias("weight_units"))
     else:
         per_type = s.groupBy("user", "item", "signal_type").agg(
             F.sum(to_double("weight")).alias("__wt"), F.count(F.lit(1)).alias("__n")
@@ -75,24 +76,24 @@ def scale_user_item_signals(signals: DataFrame, logistic_param: float, detail: b
             ).alias("signal_types"),
         )
         out = agg.select(
-            "user", "item", logistic_scale("__w", logistic_param).alias("weight"), "signal_types"
+            "user", "item", logistic_scale("__w", logistic_param).alias("weight_units"), "signal_types"
         )
-    return out.where(F.col("weight").isNotNull())
+    return out.where(F.col("weight_units").isNotNull())
 
 
 def item_popularity(ui_scaled: DataFrame) -> DataFrame:
-    """``overall_weight`` per item: the sum of its scaled user weights (all items)."""
-    return ui_scaled.groupBy("item").agg(F.sum("weight").alias("overall_weight"))
+    """``overall_units`` per item: the exact sum of its scaled user weights (all items)."""
+    return ui_scaled.groupBy("item").agg(F.sum("weight_units").alias("overall_units"))
 
 
 def cap_links_per_user(
     ui_scaled: DataFrame, item_weights: DataFrame, min_link_weight: float, max_links_per_user: int
 ) -> DataFrame:
     """Drop weak items (``overall_weight >= min`` is kept), then keep each user's top-k items."""
-    strong = item_weights.where(F.col("overall_weight") >= dec_lit(min_link_weight)).select("item")
+    strong = item_weights.where(F.col("overall_units") >= units_lit(min_link_weight)).select("item")
     ui_filt = ui_scaled.join(strong, "item", "left_semi")
     return top_n_per_group(
-        ui_filt, ["user"], [F.col("weight").desc(), F.col("item").asc()], max_links_per_user
+        ui_filt, ["user"], [F.col("weight_units").desc(), F.col("item").asc()], max_links_per_user
     )
 
 
@@ -107,10 +108,10 @@ def user_item_pairs(capped: DataFrame, detail: bool = False) -> DataFrame:
     """Each unordered pair of a user's items once: ``item_A < item_B``, weight ``least(w_A, w_B)``."""
     extra_u = [F.col("signal_types").alias("__mA")] if detail else []
     extra_v = [F.col("signal_types").alias("__mB")] if detail else []
-    u = capped.select("user", F.col("item").alias("item_A"), F.col("weight").alias("__wA"), *extra_u)
-    v = capped.select("user", F.col("item").alias("item_B"), F.col("weight").alias("__wB"), *extra_v)
+    u = capped.select("user", F.col("item").alias("item_A"), F.col("weight_units").alias("__wA"), *extra_u)
+    v = capped.select("user", F.col("item").alias("item_B"), F.col("weight_units").alias("__wB"), *extra_v)
     p = u.join(v, "user").where(F.col("item_A") < F.col("item_B"))
-    cols = [F.col("item_A"), F.col("item_B"), F.least("__wA", "__wB").alias("weight")]
+    cols = [F.col("item_A"), F.col("item_B"), F.least("__wA", "__wB").alias("weight_units")]
     if detail:
         cols.append(_merge_counts("__mA", "__mB").alias("link_data"))
     return p.select(*cols)
@@ -131,24 +132,26 @@ def _mirror(links: DataFrame) -> DataFrame:
 
 
 def sum_pairs_to_links(pairs: DataFrame, min_link_weight: float, detail: bool = False) -> DataFrame:
-    """Sum pair weights per (item_A, item_B), keep ``>= min`` (inclusive), emit both directions."""
+    """Sum pair weights per (item_A, item_B), keep ``>= min`` (inclusive), emit both
+    directions with DOUBLE ``weight``."""
     if not detail:
         half = (
             pairs.groupBy("item_A", "item_B")
-            .agg(F.sum("weight").alias("weight"))
-            .where(F.col("weight") >= dec_lit(min_link_weight))
+            .agg(F.sum("weight_units").alias("__u"))
+            .where(F.col("__u") >= units_lit(min_link_weight))
+            .select("item_A", "item_B", units_to_double("__u").alias("weight"))
         )
         return _mirror(half)
     # Long form: one row per (pair, map key). The weight rides on the NUM_USERS entry,
     # which every pair row has exactly once, so one aggregation serves both sums.
     long = pairs.select(
-        "item_A", "item_B", "weight", F.explode("link_data").alias("__k", "__n")
+        "item_A", "item_B", "weight_units", F.explode("link_data").alias("__k", "__n")
     ).select(
         "item_A",
         "item_B",
         "__k",
         "__n",
-        F.when(F.col("__k") == F.lit(NUM_USERS_KEY), F.col("weight")).alias("__w"),
+        F.when(F.col("__k") == F.lit(NUM_USERS_KEY), F.col("weight_units")).alias("__w"),
     )
     per_key = long.groupBy("item_A", "item_B", "__k").agg(
         F.sum("__n").alias("__n"), F.sum("__w").alias("__w")
@@ -156,10 +159,11 @@ def sum_pairs_to_links(pairs: DataFrame, min_link_weight: float, detail: bool =
     half = (
         per_key.groupBy("item_A", "item_B")
         .agg(
-            F.sum("__w").alias("weight"),
+            F.sum("__w").alias("__u"),
             F.map_from_entries(F.collect_list(F.struct("__k", "__n"))).alias("link_data"),
         )
-        .where(F.col("weight") >= dec_lit(min_link_weight))
+        .where(F.col("__u") >= units_lit(min_link_weight))
+        .select("item_A", "item_B", units_to_double("__u").alias("weight"), "link_data")
     )
     return _mirror(half)
 
@@ -176,8 +180,9 @@ def build_item_item_graph(
     """Contract the bipartite user-item graph into item-item links.
 
     Returns ``(ii_links, item_weights)``:
-      ii_links      (item_A, item_B, weight decimal[, link_data map<string,bigint>])
-      item_weights  (item, overall_weight decimal), for every item before pruning.
+      ii_links      (item_A, item_B, weight double[, link_data map<string,bigint>])
+      item_weights  (item, overall_weight double), for every item before pruning.
+    Both weights are exact sums of 9-decimal scaled weights, rounded once to DOUBLE.
     ``link_data`` (detail mode) holds, per signal type, the rows of both items summed over
     the users behind the link, plus ``NUM_USERS``.
     """
@@ -185,7 +190,8 @@ def build_item_item_graph(
     item_weights = item_popularity(ui)
     capped = cap_links_per_user(ui, item_weights, min_link_weight, max_links_per_user)
     pairs = user_item_pairs(capped, detail)
-    return sum_pairs_to_links(pairs, min_link_weight, detail), item_weights
+    weights = item_weights.select("item", units_to_double("overall_units").alias("overall_weight"))
+    return sum_pairs_to_links(pairs, min_link_weight, detail), weights
 
 
 # --------------------------------------------------------------------------- M02 / M06 / M13
@@ -231,28 +237,26 @@ def sum_item_item_signals(
     * popularity: outside weights summed per item_A, FULL join with item_weights,
       missing side 0, negative totals clamped to 0;
     * links: FULL join on (item_A, item_B), missing side 0, keep strictly positive.
-    Outside rows are not de-duplicated (as in the reference); sums are exact decimals.
+    Outside rows are not de-duplicated (as in the reference). All three inputs are
+    converted to exact 1e-9 units (weights from ``build_item_item_graph`` convert
+    back without loss), summed as integers, and returned as DOUBLE.
     Returns ``(ii_links_combined, item_weights_combined)``.
     """
-    # Operands are widened to DECIMAL(37, 9) so that their sum fits DECIMAL(38, 9):
-    # beyond 38 digits Spark would drop scale and the sums would no longer be exact.
-    dec = DecimalType(37, 9)
-    outside = ii_links_not_weighted.select(
-        "item_A", "item_B", F.col("weight").cast("decimal(28,9)").alias("__o")
-    )
-    extra = outside.groupBy(F.col("item_A").alias("item")).agg(F.sum("__o").cast(dec).alias("__ox"))
-    iw = item_weights.select("item", F.col("overall_weight").cast(dec).alias("__ow"))
-    zero = F.lit(0).cast(dec)
+    outside = ii_links_not_weighted.select("item_A", "item_B", to_units("weight").alias("__o"))
+    extra = outside.groupBy(F.col("item_A").alias("item")).agg(F.sum("__o").alias("__ox"))
+    iw = item_weights.select("item", to_units("overall_weight").alias("__ow"))
+    zero = F.lit(0).cast(LongType())
     total = F.coalesce(F.col("__ow"), zero) + F.coalesce(F.col("__ox"), zero)
     item_weights_combined = iw.join(extra, "item", "full_outer").select(
-        "item", F.when(total < zero, zero).otherwise(total).alias("overall_weight")
+        "item", units_to_double(F.greatest(total, zero)).alias("overall_weight")
     )
-    lw = ii_links_weighted.select("item_A", "item_B", F.col("weight").cast(dec).alias("__lw"))
-    lsum = F.coalesce(F.col("__lw"), zero) + F.coalesce(F.col("__o").cast(dec), zero)
+    lw = ii_links_weighted.select("item_A", "item_B", to_units("weight").alias("__lw"))
+    lsum = F.coalesce(F.col("__lw"), zero) + F.coalesce(F.col("__o"), zero)
     links_combined = (
         lw.join(outside, ["item_A", "item_B"], "full_outer")
-        .select("item_A", "item_B", lsum.alias("weight"))
-        .where(F.col("weight") > zero)
+        .select("item_A", "item_B", lsum.alias("__u"))
+        .where(F.col("__u") > zero)
+        .select("item_A", "item_B", units_to_double("__u").alias("weight"))
     )
     return links_combined, item_weights_combined
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.functions import to_double
+from affinity.functions import to_double, units_to_double
 from affinity.operators import (
     add_metadata_to_item_item_links,
     adjust_item_item_graph_weight,
@@ -137,18 +137,18 @@ def q_remove_bots(spark, sf):
 
 
 def q_ui_scaled(spark, sf):
-    return _dbl(scale_user_item_signals(signals_tpch(spark, sf), T.logistic_param), "weight")
+    ui = scale_user_item_signals(signals_tpch(spark, sf), T.logistic_param)
+    return ui.select("user", "item", units_to_double("weight_units").alias("weight"))
 
 
 def q_item_weights(spark, sf):
-    ui = scale_user_item_signals(signals_tpch(spark, sf), T.logistic_param)
-    return _dbl(item_popularity(ui), "overall_weight")
+    return _graph(spark, sf)[1]
 
 
 def q_top_links_per_user(spark, sf):
     ui = scale_user_item_signals(signals_tpch(spark, sf), T.logistic_param)
     cap = cap_links_per_user(ui, item_popularity(ui), T.min_link_weight, T.max_links_per_user)
-    return _dbl(cap, "weight")
+    return cap.select("user", "item", units_to_double("weight_units").alias("weight"))
 
 
 def q_item_item_links(spark, sf):

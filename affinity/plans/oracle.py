@@ -4,8 +4,8 @@ Each key's SQL is a chain of CTEs over the raw tables. The SQL is written from t
 reference's definitions, not from the Spark plans: the two-hop search joins the graph
 with "paths" (graph edges plus zero-length self loops), the detailed link data is a
 join of pairs with per-type counts instead of map arithmetic, and the Bayes step is a
-plain join. Numeric policy matches the Spark side: scaled weights are DECIMAL(18, 9),
-sums are exact, one cast to DOUBLE before dividing.
+plain join. Numeric policy matches the Spark side: scaled weights are exact BIGINT counts of
+1e-9 units, sums are integer sums, one conversion to DOUBLE before dividing.
 """
 
 from __future__ import annotations
@@ -17,6 +17,24 @@ def _num(x: float) -> str:
     return repr(float(x))
 
 
+def _units(x: float) -> str:
+    """Exact 1e-9 unit count of a threshold (0.25 -> 250000000)."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    d = Decimal(repr(float(x))) * 1_000_000_000
+    return str(int(d.quantize(Decimal(1), rounding=ROUND_HALF_UP)))
+
+
+def dbl(expr: str) -> str:
+    """LONG units -> DOUBLE weight."""
+    return f"(CAST({expr} AS DOUBLE) / 1000000000.0::DOUBLE)"
+
+
+def units(expr: str) -> str:
+    """DOUBLE weight -> LONG units, half up at the 9th place."""
+    return f"CAST(FLOOR(CAST({expr} AS DOUBLE) * 1000000000.0::DOUBLE + 0.5::DOUBLE) AS BIGINT)"
+
+
 class SqlBuilder:
     """Accumulates named CTEs and renders ``WITH ... SELECT``."""
 
@@ -132,13 +150,13 @@ WHERE "user" IS NOT NULL AND item IS NOT NULL GROUP BY "user", item, signal_type
     return b.add(
         name,
         f"""SELECT "user", item,
-       CAST(ROUND(2.0::DOUBLE / (1.0::DOUBLE + EXP(-{k}::DOUBLE * w)) - 1.0::DOUBLE, 9) AS DECIMAL(18, 9)) AS weight
+       {units(f"2.0::DOUBLE / (1.0::DOUBLE + EXP(-{k}::DOUBLE * w)) - 1.0::DOUBLE")} AS weight
 FROM {name}_sum WHERE w IS NOT NULL""",
     )
 
 
 def item_weights(b: SqlBuilder, ui: str) -> str:
-    return b.add(f"iw_{ui}", f"SELECT item, SUM(weight) AS overall_weight FROM {ui} GROUP BY item")
+    return b.add(f"iw_{ui}", f"SELECT item, CAST(SUM(weight) AS BIGINT) AS overall_weight FROM {ui} GROUP BY item")
 
 
 def capped(b: SqlBuilder, ui: str, iw: str, p: RecParams) -> str:
@@ -146,7 +164,7 @@ def capped(b: SqlBuilder, ui: str, iw: str, p: RecParams) -> str:
         f"cap_{ui}",
         f"""SELECT "user", item, weight FROM (
   SELECT u.*, ROW_NUMBER() OVER (PARTITION BY "user" ORDER BY weight DESC, item ASC) AS rn
-  FROM {ui} u WHERE item IN (SELECT item FROM {iw} WHERE overall_weight >= {_num(p.min_link_weight)})
+  FROM {ui} u WHERE item IN (SELECT item FROM {iw} WHERE overall_weight >= {_units(p.min_link_weight)})
 ) WHERE rn <= {int(p.max_links_per_user)}""",
     )
 
@@ -162,8 +180,8 @@ FROM {cap} a JOIN {cap} c ON a."user" = c."user" AND a.item <> c.item""",
 def links_raw(b: SqlBuilder, pr: str, p: RecParams) -> str:
     return b.add(
         f"links_{pr}",
-        f"""SELECT item_A, item_B, SUM(w) AS weight FROM {pr} GROUP BY item_A, item_B
-HAVING SUM(w) >= {_num(p.min_link_weight)}""",
+        f"""SELECT item_A, item_B, CAST(SUM(w) AS BIGINT) AS weight FROM {pr} GROUP BY item_A, item_B
+HAVING SUM(w) >= {_units(p.min_link_weight)}""",
     )
 
 
@@ -202,8 +220,8 @@ GROUP BY d.item_A, d.item_B, d.k""",
 
 
 def adjust(b: SqlBuilder, links: str, iw: str, p: RecParams, boost: str | None = None) -> str:
-    ow = "CAST(iw.overall_weight AS DOUBLE)"
-    w = "CAST(l.weight AS DOUBLE)"
+    ow = dbl("iw.overall_weight")
+    w = dbl("l.weight")
     if boost is None:
         num, tag = w, "bayes"
     else:
@@ -287,7 +305,7 @@ FROM {adj} a JOIN {md} m ON m.item = a.item_B""",
 def sum_signals(b: SqlBuilder, links: str, iw: str, iis: str) -> tuple[str, str]:
     ox = b.add(
         f"ox_{iis}",
-        f"SELECT item_A AS item, SUM(CAST(weight AS DECIMAL(28, 9))) AS ox FROM {iis} GROUP BY item_A",
+        f"SELECT item_A AS item, CAST(SUM({units('weight')}) AS BIGINT) AS ox FROM {iis} GROUP BY item_A",
     )
     iw2 = b.add(
         f"iw2_{iw}",
@@ -300,7 +318,7 @@ def sum_signals(b: SqlBuilder, links: str, iw: str, iis: str) -> tuple[str, str]
         f"l2_{links}",
         f"""SELECT * FROM (
   SELECT COALESCE(l.item_A, s.item_A) AS item_A, COALESCE(l.item_B, s.item_B) AS item_B,
-         COALESCE(l.weight, 0) + COALESCE(CAST(s.weight AS DECIMAL(28, 9)), 0) AS weight
+         COALESCE(l.weight, 0) + COALESCE({units('s.weight')}, 0) AS weight
   FROM {links} l FULL OUTER JOIN {iis} s ON l.item_A = s.item_A AND l.item_B = s.item_B
 ) WHERE weight > 0""",
     )
@@ -375,16 +393,16 @@ FROM part"""
 WHERE "user" IN (SELECT "user" FROM {signals_tpch(b)} GROUP BY "user" HAVING COUNT(*) < 40)"""
     )
     out["ui_scaled"] = _q(
-        lambda b: f'SELECT "user", item, CAST(weight AS DOUBLE) AS weight FROM {_tpch_graph(b).ui}'
+        lambda b: f'SELECT "user", item, {dbl("weight")} AS weight FROM {_tpch_graph(b).ui}'
     )
     out["item_weights"] = _q(
-        lambda b: f"SELECT item, CAST(overall_weight AS DOUBLE) AS overall_weight FROM {_tpch_graph(b).iw}"
+        lambda b: f"SELECT item, {dbl('overall_weight')} AS overall_weight FROM {_tpch_graph(b).iw}"
     )
     out["top_links_per_user"] = _q(
-        lambda b: f'SELECT "user", item, CAST(weight AS DOUBLE) AS weight FROM {_tpch_graph(b).cap}'
+        lambda b: f'SELECT "user", item, {dbl("weight")} AS weight FROM {_tpch_graph(b).cap}'
     )
     out["item_item_links"] = _q(
-        lambda b: f"SELECT item_A, item_B, CAST(weight AS DOUBLE) AS weight FROM {_tpch_graph(b).links}"
+        lambda b: f"SELECT item_A, item_B, {dbl('weight')} AS weight FROM {_tpch_graph(b).links}"
     )
 
     def bayes(b):
@@ -400,7 +418,7 @@ WHERE "user" IN (SELECT "user" FROM {signals_tpch(b)} GROUP BY "user" HAVING COU
         )
     out["links_metadata"] = _q(
         lambda b: (
-            lambda g, md: f"""SELECT l.item_A, l.item_B, CAST(l.weight AS DOUBLE) AS weight,
+            lambda g, md: f"""SELECT l.item_A, l.item_B, {dbl('l.weight')} AS weight,
        ma.metadata_field AS metadata_A, mb.metadata_field AS metadata_B
 FROM {g.links} l JOIN {md} ma ON ma.item = l.item_A JOIN {md} mb ON mb.item = l.item_B"""
         )(_tpch_graph(b), metadata(b))
@@ -414,10 +432,10 @@ FROM {g.links} l JOIN {md} ma ON ma.item = l.item_A JOIN {md} mb ON mb.item = l.
         return sum_signals(b, g.links, g.iw, item_item_signals(b))
 
     out["sum_item_item_links"] = _q(
-        lambda b: f"SELECT item_A, item_B, CAST(weight AS DOUBLE) AS weight FROM {summed(b)[0]}"
+        lambda b: f"SELECT item_A, item_B, {dbl('weight')} AS weight FROM {summed(b)[0]}"
     )
     out["sum_item_item_weights"] = _q(
-        lambda b: f"SELECT item, CAST(overall_weight AS DOUBLE) AS overall_weight FROM {summed(b)[1]}"
+        lambda b: f"SELECT item, {dbl('overall_weight')} AS overall_weight FROM {summed(b)[1]}"
     )
     out["direct_recs"] = _q(
         lambda b: f"""SELECT item_A, item_B, weight, raw_weight, CAST(rn AS INTEGER) AS "rank" FROM (
@@ -448,7 +466,7 @@ WHERE item_A IN (SELECT item FROM {source_items(b)})"""
 
     out["detailed_links"] = _q(
         lambda b: (
-            lambda g: f"""SELECT l.item_A, l.item_B, CAST(l.weight AS DOUBLE) AS weight, d.signal_type, d.n
+            lambda g: f"""SELECT l.item_A, l.item_B, {dbl('l.weight')} AS weight, d.signal_type, d.n
 FROM {g.links} l JOIN {g.link_data} d ON d.item_A = l.item_A AND d.item_B = l.item_B"""
         )(dgraph(b))
     )
