@@ -56,8 +56,8 @@ def scale_user_item_signals(signals: DataFrame, logistic_param: float, detail: b
 
     Rows with a NULL user or item are dropped; NULL weights count as no evidence
     (SUM skips them; a pair with only NULL weights has no weight and is dropped).
-    With ``detail`` a ``signal_types`` map counts the rows per signal type
-    (a type named ``NUM_USERS`` is not counted: that key is reserved for links).
+    With ``detail`` a ``signal_types`` array of (k, n) entries counts the rows per signal
+    type (a type named ``NUM_USERS`` is not counted: that key is reserved for links).
     """
     _require(signals, ["user", "item", "weight"] + (["signal_type"] if detail else []), "signals")
     s = signals.where(F.col("user").isNotNull() & F.col("item").isNotNull())
@@ -71,8 +71,8 @@ def scale_user_item_signals(signals: DataFrame, logistic_param: float, detail: b
         keep = F.col("signal_type").isNotNull() & (F.col("signal_type") != F.lit(NUM_USERS_KEY))
         agg = per_type.groupBy("user", "item").agg(
             F.sum("__wt").alias("__w"),
-            F.map_from_entries(
-                F.collect_list(F.when(keep, F.struct(F.col("signal_type"), F.col("__n"))))
+            F.collect_list(
+                F.when(keep, F.struct(F.col("signal_type").alias("k"), F.col("__n").alias("n")))
             ).alias("signal_types"),
         )
         out = agg.select(
@@ -97,11 +97,10 @@ def cap_links_per_user(
     )
 
 
-def _merge_counts(a: str, b: str):
-    summed = F.map_zip_with(
-        F.col(a), F.col(b), lambda k, x, y: F.coalesce(x, F.lit(0).cast("long")) + F.coalesce(y, F.lit(0).cast("long"))
-    )
-    return F.map_concat(summed, F.create_map(F.lit(NUM_USERS_KEY), F.lit(1).cast("long")))
+def _pair_counts(a: str, b: str):
+    """Both items' type counts plus one ``NUM_USERS`` entry, as one array (summed later)."""
+    one_user = F.array(F.struct(F.lit(NUM_USERS_KEY).alias("k"), F.lit(1).cast("long").alias("n")))
+    return F.concat(F.col(a), F.col(b), one_user)
 
 
 def user_item_pairs(capped: DataFrame, detail: bool = False) -> DataFrame:
@@ -113,7 +112,7 @@ def user_item_pairs(capped: DataFrame, detail: bool = False) -> DataFrame:
     p = u.join(v, "user").where(F.col("item_A") < F.col("item_B"))
     cols = [F.col("item_A"), F.col("item_B"), F.least("__wA", "__wB").alias("weight_units")]
     if detail:
-        cols.append(_merge_counts("__mA", "__mB").alias("link_data"))
+        cols.append(_pair_counts("__mA", "__mB").alias("link_terms"))
     return p.select(*cols)
 
 
@@ -142,16 +141,16 @@ def sum_pairs_to_links(pairs: DataFrame, min_link_weight: float, detail: bool =
             .select("item_A", "item_B", units_to_double("__u").alias("weight"))
         )
         return _mirror(half)
-    # Long form: one row per (pair, map key). The weight rides on the NUM_USERS entry,
-    # which every pair row has exactly once, so one aggregation serves both sums.
+    # Long form: one row per (pair, count entry). The weight rides on the NUM_USERS
+    # entry, which every pair row has exactly once, so one aggregation serves both sums.
     long = pairs.select(
-        "item_A", "item_B", "weight_units", F.explode("link_data").alias("__k", "__n")
+        "item_A", "item_B", "weight_units", F.inline("link_terms")
     ).select(
         "item_A",
         "item_B",
-        "__k",
-        "__n",
-        F.when(F.col("__k") == F.lit(NUM_USERS_KEY), F.col("weight_units")).alias("__w"),
+        F.col("k").alias("__k"),
+        F.col("n").alias("__n"),
+        F.when(F.col("k") == F.lit(NUM_USERS_KEY), F.col("weight_units")).alias("__w"),
     )
     per_key = long.groupBy("item_A", "item_B", "__k").agg(
         F.sum("__n").alias("__n"), F.sum("__w").alias("__w")
@@ -263,16 +262,27 @@ def sum_item_item_signals(
 
 # --------------------------------------------------------------------------- M11
 
-def diversify_item_item_links(ii_links: DataFrame, metadata: DataFrame) -> DataFrame:
+def diversify_item_item_links(
+    ii_links: DataFrame, metadata: DataFrame, max_rank: int | None = None
+) -> DataFrame:
     """Divide each link's weight by its rank among item_A's links whose target shares a
     metadata value. Links to items without metadata are dropped; an item with two
-    metadata rows yields two links. ``raw_weight`` is unchanged."""
+    metadata rows yields two links. ``raw_weight`` is unchanged.
+
+    ``max_rank`` keeps only ranks ``<= max_rank``. Inside one (item_A, metadata) group the
+    adjusted weights ``w_r / r`` strictly decrease with r, so a row ranked beyond n has n
+    larger rows of the same item_A: it can never enter item_A's n nearest neighbours.
+    Passing the neighbourhood size is therefore exact for the path search, and lets
+    Spark apply a partial group limit instead of ranking a whole hot group in one task.
+    """
     _require(metadata, ["item", "metadata_field"], "metadata")
     md = metadata.select(F.col("item").alias("item_B"), "metadata_field")
     j = ii_links.join(md, "item_B")
-    r = rank_within(
-        j, ["item_A", "metadata_field"], [F.col("weight").desc(), F.col("item_B").asc()], "__fr"
-    )
+    order = [F.col("weight").desc(), F.col("item_B").asc()]
+    if max_rank is None:
+        r = rank_within(j, ["item_A", "metadata_field"], order, "__fr")
+    else:
+        r = top_n_per_group(j, ["item_A", "metadata_field"], order, max_rank, "__fr")
     return r.select(
         "item_A",
         "item_B",

@@ -59,7 +59,7 @@ def item_item_recs_diversified(signals: DataFrame, metadata: DataFrame, p: RecPa
     """Diversify links by target metadata before the path search."""
     links, weights = _graph(signals, p)
     adjusted = adjust_item_item_graph_weight(links, weights, p.bayesian_prior)
-    diverse = diversify_item_item_links(adjusted, metadata)
+    diverse = diversify_item_item_links(adjusted, metadata, max_rank=p.num_recs_per_item)
     return item_recs_from_graph(diverse, p.num_recs_per_item, p.num_recs_per_item)
 
 

@@ -236,3 +236,14 @@ def test_popularity_boost_rejects_unknown_function(spark):
     iw = spark.createDataFrame([("b", 1.0)], "item string, overall_weight double")
     with pytest.raises(ValueError):
         adjust_item_item_graph_weight(links, iw, 4.0, "CUBE")
+
+
+def test_bounded_diversify_gives_same_path_recs(spark):
+    rows_in = [("A", f"B{i}", 1.0 / (i + 1), 1.0) for i in range(8)] + [("A", "C", 0.05, 1.0)]
+    g = links_df(spark, rows_in)
+    md = spark.createDataFrame(
+        [(f"B{i}", "x") for i in range(8)] + [("C", "y"), ("B0", "y")], "item string, metadata_field string"
+    )
+    full = item_recs_from_graph(diversify_item_item_links(g, md), 3, 3)
+    bounded = item_recs_from_graph(diversify_item_item_links(g, md, max_rank=3), 3, 3)
+    assert sorted(tuple(r) for r in full.collect()) == sorted(tuple(r) for r in bounded.collect())
