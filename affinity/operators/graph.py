@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType
 
+from affinity.session import write_stage
 from affinity.functions import (
     clamp_at_zero,
     logistic_scale,
@@ -130,7 +131,9 @@ def _mirror(links: DataFrame) -> DataFrame:
     )
 
 
-def sum_pairs_to_links(pairs: DataFrame, min_link_weight: float, detail: bool = False) -> DataFrame:
+def sum_pairs_to_links(
+    pairs: DataFrame, min_link_weight: float, detail: bool = False, stage: bool = True
+) -> DataFrame:
     """Sum pair weights per (item_A, item_B), keep ``>= min`` (inclusive), emit both
     directions with DOUBLE ``weight``."""
     if not detail:
@@ -141,28 +144,27 @@ def sum_pairs_to_links(pairs: DataFrame, min_link_weight: float, detail: bool =
             .select("item_A", "item_B", units_to_double("__u").alias("weight"))
         )
         return _mirror(half)
-    # Long form: one row per (pair, count entry). The weight rides on the NUM_USERS
-    # entry, which every pair row has exactly once, so one aggregation serves both sums.
-    long = pairs.select(
-        "item_A", "item_B", "weight_units", F.inline("link_terms")
-    ).select(
-        "item_A",
-        "item_B",
-        F.col("k").alias("__k"),
-        F.col("n").alias("__n"),
-        F.when(F.col("k") == F.lit(NUM_USERS_KEY), F.col("weight_units")).alias("__w"),
+    # Weights first (as in plain mode); the surviving links are staged, so the planner
+    # knows their size: small -> broadcast semi join, large -> one shuffle by (A, B)
+    # that the count aggregation below reuses. Only pairs of surviving links are
+    # exploded into count rows.
+    half_u = (
+        pairs.groupBy("item_A", "item_B")
+        .agg(F.sum("weight_units").alias("__u"))
+        .where(F.col("__u") >= units_lit(min_link_weight))
     )
-    per_key = long.groupBy("item_A", "item_B", "__k").agg(
-        F.sum("__n").alias("__n"), F.sum("__w").alias("__w")
+    if stage:
+        half_u = write_stage(half_u, "links_half")
+    kept = pairs.join(half_u.select("item_A", "item_B"), ["item_A", "item_B"], "left_semi")
+    counts = (
+        kept.select("item_A", "item_B", F.inline("link_terms"))
+        .groupBy("item_A", "item_B", "k")
+        .agg(F.sum("n").alias("n"))
+        .groupBy("item_A", "item_B")
+        .agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("link_data"))
     )
-    half = (
-        per_key.groupBy("item_A", "item_B")
-        .agg(
-            F.sum("__w").alias("__u"),
-            F.map_from_entries(F.collect_list(F.struct("__k", "__n"))).alias("link_data"),
-        )
-        .where(F.col("__u") >= units_lit(min_link_weight))
-        .select("item_A", "item_B", units_to_double("__u").alias("weight"), "link_data")
+    half = half_u.join(counts, ["item_A", "item_B"]).select(
+        "item_A", "item_B", units_to_double("__u").alias("weight"), "link_data"
     )
     return _mirror(half)
 
@@ -175,6 +177,7 @@ def build_item_item_graph(
     min_link_weight: float,
     max_links_per_user: int,
     detail: bool = False,
+    stage: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Contract the bipartite user-item graph into item-item links.
 
@@ -184,13 +187,25 @@ def build_item_item_graph(
     Both weights are exact sums of 9-decimal scaled weights, rounded once to DOUBLE.
     ``link_data`` (detail mode) holds, per signal type, the rows of both items summed over
     the users behind the link, plus ``NUM_USERS``.
+
+    With ``stage`` (default) the aggregated user-item table -- the root of the
+    popularity, pair and link-data branches -- and the item popularity table are
+    written once to the shared checkpoint folder. Each branch then starts from a
+    table instead of replaying the signal scan and aggregation, the job can restart
+    after its largest shuffle, and the planner sees the popularity table's real size:
+    it is broadcast to the weak-item filter and the Bayes join only when it is small
+    (``spark.sql.autoBroadcastJoinThreshold``), and shuffled otherwise.
     """
     ui = scale_user_item_signals(signals, logistic_param, detail)
+    if stage:
+        ui = write_stage(ui, "user_item_scaled")
     item_weights = item_popularity(ui)
+    if stage:
+        item_weights = write_stage(item_weights, "item_popularity")
     capped = cap_links_per_user(ui, item_weights, min_link_weight, max_links_per_user)
     pairs = user_item_pairs(capped, detail)
     weights = item_weights.select("item", units_to_double("overall_units").alias("overall_weight"))
-    return sum_pairs_to_links(pairs, min_link_weight, detail), weights
+    return sum_pairs_to_links(pairs, min_link_weight, detail, stage), weights
 
 
 # --------------------------------------------------------------------------- M02 / M06 / M13
