@@ -1,8 +1,8 @@
 """The example job (M25): JSON signals -> item recs -> user recs -> stored output.
 
-Item recs are written to the output folder first and read back for the user step, so
-the user step starts from a materialised table: no recomputation of the pair expansion
-and a short lineage if an executor is lost.
+Item recs are stored first and the user step reads them back from storage, so it
+starts from a materialised table: no replay of the pair expansion, and a short
+lineage if an executor is lost. Old output is replaced.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from affinity.params import RecParams
 from affinity.plans.pipelines import item_item_recs, user_item_recs
 from affinity.sources import (
     load_purchases,
+    load_text,
     load_wishlists,
     purchase_signals,
     store_parquet,
@@ -29,20 +30,24 @@ def run_job(
     params: RecParams = RecParams(),
     fmt: str = "text",
 ) -> dict[str, str]:
+    """Returns the two output paths. ``fmt`` is ``text`` (tab-delimited) or ``parquet``."""
+    if fmt not in ("text", "parquet"):
+        raise ValueError("fmt must be 'text' or 'parquet'")
     signals = purchase_signals(load_purchases(spark, purchases_path)).unionByName(
         wishlist_signals(load_wishlists(spark, wishlists_path))
     )
-    store = store_text if fmt == "text" else store_parquet
-    ii_path = f"{output_path.rstrip('/')}/item_item_recommendation"
-    ui_path = f"{output_path.rstrip('/')}/user_item_recommendation"
+    base = output_path.rstrip("/")
+    paths = {
+        "item_item_recommendation": f"{base}/item_item_recommendation",
+        "user_item_recommendation": f"{base}/user_item_recommendation",
+    }
     ii = item_item_recs(signals, params)
-    store_parquet(ii, ii_path + "_parquet") if fmt == "text" else None
-    ii_src = spark.read.parquet(ii_path + "_parquet") if fmt == "text" else None
     if fmt == "text":
-        store(ii_src, ii_path)
-        ui = user_item_recs(signals, ii_src, params)
+        store_text(ii, paths["item_item_recommendation"])
+        stored = load_text(spark, paths["item_item_recommendation"], ii.schema)
     else:
-        store(ii, ii_path)
-        ui = user_item_recs(signals, spark.read.parquet(ii_path), params)
-    store(ui, ui_path)
-    return {"item_item_recommendation": ii_path, "user_item_recommendation": ui_path}
+        store_parquet(ii, paths["item_item_recommendation"])
+        stored = spark.read.parquet(paths["item_item_recommendation"])
+    ui = user_item_recs(signals, stored, params)
+    (store_text if fmt == "text" else store_parquet)(ui, paths["user_item_recommendation"])
+    return paths

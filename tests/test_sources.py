@@ -78,3 +78,27 @@ def test_text_and_parquet_sinks_overwrite(spark):
     store_parquet(df, q)
     store_parquet(df, q)
     assert sorted(tuple(r) for r in spark.read.parquet(q).collect()) == sorted(tuple(r) for r in df.collect())
+
+
+def test_example_job_end_to_end(spark):
+    from affinity.params import RecParams
+    from affinity.plans.job import run_job
+
+    p = scratch_path(spark, "jp")
+    w = scratch_path(spark, "jw")
+    buys = [("u1", "A"), ("u1", "B"), ("u2", "A"), ("u2", "B"), ("u2", "C"), ("u3", "B"), ("u3", "C")]
+    _write_lines(p, [{"row_id": i, "movie_id": m, "movie_name": m, "user_id": u, "purchase_price": 3}
+                     for i, (u, m) in enumerate(buys)])
+    _write_lines(w, [{"row_id": 99, "movie_id": "C", "movie_name": "C", "user_id": "u1"}])
+    params = RecParams(0.5, 0.1, 10, 1.0, 5, 5, 5)
+    for fmt in ("text", "parquet"):
+        out = scratch_path(spark, "jout")
+        paths = run_job(spark, p, w, out, params, fmt=fmt)
+        run_job(spark, p, w, out, params, fmt=fmt)  # overwrites
+        if fmt == "text":
+            lines = spark.read.text(paths["user_item_recommendation"]).collect()
+            assert lines and all(len(r[0].split("\t")) == 7 for r in lines)
+        else:
+            ui = spark.read.parquet(paths["user_item_recommendation"])
+            got = {(r["user"], r["item"]) for r in ui.collect()}
+            assert ("u3", "A") in got and ("u1", "C") not in got
