@@ -2,6 +2,9 @@
 
 from affinity.operators.graph import (
     NUM_USERS_KEY,
+    aggregate_user_items,
+    graph_from_user_items,
+    scaled_pairs,
     add_metadata_to_item_item_links,
     adjust_item_item_graph_weight,
     build_item_item_graph,
@@ -24,6 +27,9 @@ from affinity.operators.user_recs import USER_REC_COLUMNS, build_user_item_recs
 
 __all__ = [
     "NUM_USERS_KEY",
+    "aggregate_user_items",
+    "graph_from_user_items",
+    "scaled_pairs",
     "add_metadata_to_item_item_links",
     "adjust_item_item_graph_weight",
     "build_item_item_graph",

@@ -52,34 +52,53 @@ def _require(df: DataFrame, cols: list[str], what: str) -> None:
 
 # --------------------------------------------------------------------------- signals
 
-def scale_user_item_signals(signals: DataFrame, logistic_param: float, detail: bool = False) -> DataFrame:
-    """Sum signals per (user, item) and apply the logistic scaling -> ``weight_units`` (LONG).
-
-    Rows with a NULL user or item are dropped; NULL weights count as no evidence
-    (SUM skips them; a pair with only NULL weights has no weight and is dropped).
-    With ``detail`` a ``signal_types`` array of (k, n) entries counts the rows per signal
-    type (a type named ``NUM_USERS`` is not counted: that key is reserved for links).
+def aggregate_user_items(signals: DataFrame, logistic_param: float, detail: bool = False) -> DataFrame:
+    """The user-item table: one row per (user, item) with non-NULL keys.
+
+    Columns: ``weight_units`` (LONG, logistic scaling of the summed weight; NULL when every
+    weight of the pair is NULL), ``max_weight`` (greatest raw weight, used by the
+    user-item step) and, with ``detail``, ``signal_types``: an array of (k, n) entries
+    counting rows per signal type (a type named ``NUM_USERS`` is not counted: that key is
+    reserved for links). Both the graph build and the user step read this one table,
+    so raw signals are scanned and aggregated once per job.
     """
     _require(signals, ["user", "item", "weight"] + (["signal_type"] if detail else []), "signals")
     s = signals.where(F.col("user").isNotNull() & F.col("item").isNotNull())
+    w = to_double("weight")
     if not detail:
-        agg = s.groupBy("user", "item").agg(F.sum(to_double("weight")).alias("__w"))
-        out = agg.select("user", "item", logistic_scale("__w", logistic_param).alias("weight_units"))
+        agg = s.groupBy("user", "item").agg(F.sum(w).alias("__w"), F.max(w).alias("max_weight"))
+        extra = []
     else:
         per_type = s.groupBy("user", "item", "signal_type").agg(
-            F.sum(to_double("weight")).alias("__wt"), F.count(F.lit(1)).alias("__n")
+            F.sum(w).alias("__wt"), F.max(w).alias("__mx"), F.count(F.lit(1)).alias("__n")
         )
         keep = F.col("signal_type").isNotNull() & (F.col("signal_type") != F.lit(NUM_USERS_KEY))
         agg = per_type.groupBy("user", "item").agg(
             F.sum("__wt").alias("__w"),
+            F.max("__mx").alias("max_weight"),
             F.collect_list(
                 F.when(keep, F.struct(F.col("signal_type").alias("k"), F.col("__n").alias("n")))
             ).alias("signal_types"),
         )
-        out = agg.select(
-            "user", "item", logistic_scale("__w", logistic_param).alias("weight_units"), "signal_types"
-        )
-    return out.where(F.col("weight_units").isNotNull())
+        extra = ["signal_types"]
+    return agg.select(
+        "user", "item", logistic_scale("__w", logistic_param).alias("weight_units"), "max_weight", *extra
+    )
+
+
+def scale_user_item_signals(signals: DataFrame, logistic_param: float, detail: bool = False) -> DataFrame:
+    """Sum signals per (user, item) and apply the logistic scaling -> ``weight_units`` (LONG).
+
+    Rows with a NULL user or item are dropped; NULL weights count as no evidence
+    (SUM skips them; a pair with only NULL weights has no weight and is dropped).
+    """
+    return scaled_pairs(aggregate_user_items(signals, logistic_param, detail))
+
+
+def scaled_pairs(user_items: DataFrame) -> DataFrame:
+    """The rows of the user-item table that carry a weight (input of the graph build)."""
+    cols = ["user", "item", "weight_units"] + (["signal_types"] if "signal_types" in user_items.columns else [])
+    return user_items.where(F.col("weight_units").isNotNull()).select(*cols)
 
 
 def item_popularity(ui_scaled: DataFrame) -> DataFrame:
@@ -187,18 +206,30 @@ def build_item_item_graph(
     Both weights are exact sums of 9-decimal scaled weights, rounded once to DOUBLE.
     ``link_data`` (detail mode) holds, per signal type, the rows of both items summed over
     the users behind the link, plus ``NUM_USERS``.
-
-    With ``stage`` (default) the aggregated user-item table -- the root of the
-    popularity, pair and link-data branches -- and the item popularity table are
-    written once to the shared checkpoint folder. Each branch then starts from a
-    table instead of replaying the signal scan and aggregation, the job can restart
-    after its largest shuffle, and the planner sees the popularity table's real size:
-    it is broadcast to the weak-item filter and the Bayes join only when it is small
-    (``spark.sql.autoBroadcastJoinThreshold``), and shuffled otherwise.
     """
-    ui = scale_user_item_signals(signals, logistic_param, detail)
+    user_items = aggregate_user_items(signals, logistic_param, detail)
     if stage:
-        ui = write_stage(ui, "user_item_scaled")
+        user_items = write_stage(user_items, "user_items")
+    return graph_from_user_items(user_items, min_link_weight, max_links_per_user, detail, stage)
+
+
+def graph_from_user_items(
+    user_items: DataFrame,
+    min_link_weight: float,
+    max_links_per_user: int,
+    detail: bool = False,
+    stage: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """``build_item_item_graph`` from an (already staged) user-item table.
+
+    With ``stage`` (default) the item popularity table is written once to the shared
+    checkpoint folder, like the user-item table before it. Each branch then starts
+    from a table instead of replaying the signal scan and aggregation, the job can
+    restart after its largest shuffle, and the planner sees the popularity table's real
+    size: it is broadcast to the weak-item filter and the Bayes join only when it is
+    small (``spark.sql.autoBroadcastJoinThreshold``), and shuffled otherwise.
+    """
+    ui = scaled_pairs(user_items)
     item_weights = item_popularity(ui)
     if stage:
         item_weights = write_stage(item_weights, "item_popularity")
@@ -341,6 +372,9 @@ def null_link_data():
 
 __all__ = [
     "NUM_USERS_KEY",
+    "aggregate_user_items",
+    "scaled_pairs",
+    "graph_from_user_items",
     "LINK_DATA_TYPE",
     "scale_user_item_signals",
     "item_popularity",

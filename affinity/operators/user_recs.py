@@ -47,13 +47,19 @@ def build_user_item_recs(
     num_recs: int,
     diversity_adjust: bool = False,
 ) -> DataFrame:
-    _require(signals, ["user", "item", "weight"], "signals")
+    """User recs from raw signals ``(user, item, weight)`` or from the user-item table
+    of ``aggregate_user_items`` (``max_weight`` column), which a job that already built
+    its graph passes to avoid a second pass over the raw signals."""
     _require(item_recs, ["item_A", "item_B", "weight", "raw_weight"], "item_recs")
-    seen = (
-        signals.where(F.col("user").isNotNull() & F.col("item").isNotNull())
-        .groupBy("user", "item")
-        .agg(F.max(to_double("weight")).alias("__sw"))
-    )
+    if "max_weight" in signals.columns:
+        seen = signals.select("user", "item", F.col("max_weight").alias("__sw"))
+    else:
+        _require(signals, ["user", "item", "weight"], "signals")
+        seen = (
+            signals.where(F.col("user").isNotNull() & F.col("item").isNotNull())
+            .groupBy("user", "item")
+            .agg(F.max(to_double("weight")).alias("__sw"))
+        )
     recs = item_recs.select(
         F.col("item_A").alias("item"),
         F.col("item_B").alias("__rec"),

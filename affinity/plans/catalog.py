@@ -293,14 +293,11 @@ def _refine(diverse: bool) -> Query:
 
 
 def q_user_item_recs(spark, sf):
-    sig = signals_tpch(spark, sf)
-    return pipelines.user_item_recs(sig, pipelines.item_item_recs(sig, T), T)
+    return pipelines.recommend(signals_tpch(spark, sf), T)[1]
 
 
 def q_user_item_recs_signed(spark, sf):
-    sig = signals_events(spark, sf, signed=True)
-    recs = pipelines.item_item_recs(sig, E, nhood=E.initial_nhood_size)
-    return pipelines.user_item_recs(sig, recs, E)
+    return pipelines.recommend(signals_events(spark, sf, signed=True), E, nhood=E.initial_nhood_size)[1]
 
 
 QUERIES: dict[str, Query] = {

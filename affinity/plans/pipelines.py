@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from affinity.operators import (
     adjust_item_item_graph_weight,
+    aggregate_user_items,
+    graph_from_user_items,
     build_item_item_graph,
     build_user_item_recs,
     diversify_item_item_links,
@@ -18,6 +20,7 @@ from affinity.operators import (
     sum_item_item_signals,
 )
 from affinity.params import RecParams
+from affinity.session import write_stage
 
 
 def _graph(signals: DataFrame, p: RecParams, detail: bool = False):
@@ -79,3 +82,19 @@ def item_item_recs_pop_boost(signals: DataFrame, p: RecParams, func: str = "SQRT
     links, weights = _graph(signals, p)
     adjusted = adjust_item_item_graph_weight(links, weights, p.bayesian_prior, pop_boost_func=func)
     return item_recs_from_graph(adjusted, p.num_recs_per_item, p.num_recs_per_item)
+
+
+def recommend(signals: DataFrame, p: RecParams, nhood: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """M23 + M24 as one job: ``(item_recs, user_recs)``.
+
+    The raw signals are scanned and aggregated once: the staged user-item table feeds
+    both the graph build and the user step (its ``max_weight`` column), and the item
+    recs are staged before the user step reads them.
+    """
+    user_items = write_stage(aggregate_user_items(signals, p.logistic_param), "user_items")
+    links, weights = graph_from_user_items(user_items, p.min_link_weight, p.max_links_per_user)
+    adjusted = adjust_item_item_graph_weight(links, weights, p.bayesian_prior)
+    n = p.num_recs_per_item if nhood is None else nhood
+    item_recs = write_stage(item_recs_from_graph(adjusted, n, p.num_recs_per_item), "item_recs")
+    user_recs = build_user_item_recs(user_items, item_recs, p.num_recs_per_user, p.diversity_adjust)
+    return item_recs, user_recs

@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from affinity.params import PARAMS_B, PARAMS_E  # noqa: E402
 from affinity.plans import pipelines  # noqa: E402
-from affinity.session import local_session, write_stage  # noqa: E402
+from affinity.session import local_session  # noqa: E402
 from affinity.sources import (  # noqa: E402
     dest_items,
     item_item_signals,
@@ -50,15 +50,11 @@ def main() -> None:
         _run(pipelines.item_item_recs(signals_tpch(spark, sf_dir), P))
 
     def user_item_recs():
-        # The example job: item recs stored once, user recs built from the stored table.
-        sig = signals_tpch(spark, sf_dir)
-        recs = write_stage(pipelines.item_item_recs(sig, P), "bench_ii_recs")
-        _run(pipelines.user_item_recs(sig, recs, P))
+        # The whole job: one pass over the signals, item recs staged, user recs from them.
+        _run(pipelines.recommend(signals_tpch(spark, sf_dir), P)[1])
 
     def user_item_recs_diverse():
-        sig = signals_tpch(spark, sf_dir)
-        recs = write_stage(pipelines.item_item_recs(sig, P), "bench_ii_recs")
-        _run(pipelines.user_item_recs(sig, recs, P.with_(diversity_adjust=True)))
+        _run(pipelines.recommend(signals_tpch(spark, sf_dir), P.with_(diversity_adjust=True))[1])
 
     def item_item_recs_events():
         _run(pipelines.item_item_recs(signals_events(spark, sf_dir), PARAMS_E, nhood=PARAMS_E.initial_nhood_size))
