@@ -16,6 +16,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # The size bound of every broadcast: static (file sizes) and runtime (measured
+    # shuffle output). Larger sides stay shuffle joins.
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.sql.session.timeZone": "UTC",
 }
 

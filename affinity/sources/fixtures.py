@@ -126,5 +126,14 @@ def item_item_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(ret, F.lit(-ITEM_PAIR_WEIGHT)).otherwise(F.lit(ITEM_PAIR_WEIGHT)).alias("weight"),
         )
     )
-    both = pair.unionByName(pair.select(F.col("item_B").alias("item_A"), F.col("item_A").alias("item_B"), "weight"))
+    # Both directions in one pass over the join (no second evaluation of the subtree).
+    both = pair.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("item_A").alias("a"), F.col("item_B").alias("b")),
+                F.struct(F.col("item_B").alias("a"), F.col("item_A").alias("b")),
+            )
+        ).alias("__d"),
+        "weight",
+    ).select(F.col("__d.a").alias("item_A"), F.col("__d.b").alias("item_B"), "weight")
     return both.groupBy("item_A", "item_B").agg(F.sum("weight").alias("weight"))
