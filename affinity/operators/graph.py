@@ -109,9 +109,13 @@ def item_popularity(ui_scaled: DataFrame) -> DataFrame:
 def cap_links_per_user(
     ui_scaled: DataFrame, item_weights: DataFrame, min_link_weight: float, max_links_per_user: int
 ) -> DataFrame:
-    """Drop weak items (``overall_weight >= min`` is kept), then keep each user's top-k items."""
-    strong = item_weights.where(F.col("overall_units") >= units_lit(min_link_weight)).select("item")
-    ui_filt = ui_scaled.join(strong, "item", "left_semi")
+    """Drop weak items (``overall_weight >= min`` is kept), then keep each user's top-k items.
+
+    When the popularity table carries an ``item_id`` (see ``graph_from_user_items``) the
+    id rides along, so the pair expansion can key on it."""
+    keep = ["item"] + (["item_id"] if "item_id" in item_weights.columns else [])
+    strong = item_weights.where(F.col("overall_units") >= units_lit(min_link_weight)).select(*keep)
+    ui_filt = ui_scaled.join(strong, "item", "inner" if len(keep) > 1 else "left_semi")
     return top_n_per_group(
         ui_filt, ["user"], [F.col("weight_units").desc(), F.col("item").asc()], max_links_per_user
     )
@@ -124,11 +128,15 @@ def _pair_counts(a: str, b: str):
 
 
 def user_item_pairs(capped: DataFrame, detail: bool = False) -> DataFrame:
-    """Each unordered pair of a user's items once: ``item_A < item_B``, weight ``least(w_A, w_B)``."""
+    """Each unordered pair of a user's items once: ``item_A < item_B``, weight ``least(w_A, w_B)``.
+
+    Keys are the 64-bit ``item_id`` when present (8 bytes per key in the largest
+    shuffle of the job, cheap to hash and sort), otherwise the item strings."""
+    key = "item_id" if "item_id" in capped.columns else "item"
     extra_u = [F.col("signal_types").alias("__mA")] if detail else []
     extra_v = [F.col("signal_types").alias("__mB")] if detail else []
-    u = capped.select("user", F.col("item").alias("item_A"), F.col("weight_units").alias("__wA"), *extra_u)
-    v = capped.select("user", F.col("item").alias("item_B"), F.col("weight_units").alias("__wB"), *extra_v)
+    u = capped.select("user", F.col(key).alias("item_A"), F.col("weight_units").alias("__wA"), *extra_u)
+    v = capped.select("user", F.col(key).alias("item_B"), F.col("weight_units").alias("__wB"), *extra_v)
     p = u.join(v, "user").where(F.col("item_A") < F.col("item_B"))
     cols = [F.col("item_A"), F.col("item_B"), F.least("__wA", "__wB").alias("weight_units")]
     if detail:
@@ -150,11 +158,27 @@ def _mirror(links: DataFrame) -> DataFrame:
     )
 
 
+def _decode(half: DataFrame, items: DataFrame | None) -> DataFrame:
+    """Replace id keys by item strings (only the surviving links pay for this)."""
+    if items is None:
+        return half
+    rest = [c for c in half.columns if c not in ("item_A", "item_B")]
+    a = items.select(F.col("item_id").alias("item_A"), F.col("item").alias("__a"))
+    b = items.select(F.col("item_id").alias("item_B"), F.col("item").alias("__b"))
+    return half.join(a, "item_A").join(b, "item_B").select(
+        F.col("__a").alias("item_A"), F.col("__b").alias("item_B"), *rest
+    )
+
+
 def sum_pairs_to_links(
-    pairs: DataFrame, min_link_weight: float, detail: bool = False, stage: bool = True
+    pairs: DataFrame,
+    min_link_weight: float,
+    detail: bool = False,
+    stage: bool = True,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """Sum pair weights per (item_A, item_B), keep ``>= min`` (inclusive), emit both
-    directions with DOUBLE ``weight``."""
+    directions with DOUBLE ``weight``. ``items`` (item, item_id) decodes id-keyed pairs."""
     if not detail:
         half = (
             pairs.groupBy("item_A", "item_B")
@@ -162,7 +186,7 @@ def sum_pairs_to_links(
             .where(F.col("__u") >= units_lit(min_link_weight))
             .select("item_A", "item_B", units_to_double("__u").alias("weight"))
         )
-        return _mirror(half)
+        return _mirror(_decode(half, items))
     # Weights first (as in plain mode); the surviving links are staged, so the planner
     # knows their size: small -> broadcast semi join, large -> one shuffle by (A, B)
     # that the count aggregation below reuses. Only pairs of surviving links are
@@ -185,7 +209,7 @@ def sum_pairs_to_links(
     half = half_u.join(counts, ["item_A", "item_B"]).select(
         "item_A", "item_B", units_to_double("__u").alias("weight"), "link_data"
     )
-    return _mirror(half)
+    return _mirror(_decode(half, items))
 
 
 # --------------------------------------------------------------------------- M01 / M12
@@ -228,15 +252,23 @@ def graph_from_user_items(
     restart after its largest shuffle, and the planner sees the popularity table's real
     size: it is broadcast to the weak-item filter and the Bayes join only when it is
     small (``spark.sql.autoBroadcastJoinThreshold``), and shuffled otherwise.
+
+    The staged table also gives every item a 64-bit ``item_id`` (fixed once written),
+    so the pair expansion and the pair sums -- the largest shuffle -- key on two longs
+    instead of two strings; only the surviving links are mapped back to item strings.
     """
     ui = scaled_pairs(user_items)
     item_weights = item_popularity(ui)
+    items = None
     if stage:
-        item_weights = write_stage(item_weights, "item_popularity")
+        item_weights = write_stage(
+            item_weights.withColumn("item_id", F.monotonically_increasing_id()), "item_popularity"
+        )
+        items = item_weights.select("item", "item_id")
     capped = cap_links_per_user(ui, item_weights, min_link_weight, max_links_per_user)
     pairs = user_item_pairs(capped, detail)
     weights = item_weights.select("item", units_to_double("overall_units").alias("overall_weight"))
-    return sum_pairs_to_links(pairs, min_link_weight, detail, stage), weights
+    return sum_pairs_to_links(pairs, min_link_weight, detail, stage, items), weights
 
 
 # --------------------------------------------------------------------------- M02 / M06 / M13
