@@ -328,9 +328,16 @@ def sum_item_item_signals(
         "item", units_to_double(F.greatest(total, zero)).alias("overall_weight")
     )
     lw = ii_links_weighted.select("item_A", "item_B", to_units("weight").alias("__lw"))
+    # FULL OUTER JOIN on (item_A, item_B), written as two joins AQE can split when one
+    # outside pair is hot (it cannot split a full outer join): every outside row with
+    # its link weight (left outer, outside on the streamed side), plus the links that
+    # no outside row names (anti join against the de-duplicated outside keys).
+    keys = outside.select("item_A", "item_B").distinct()
+    with_outside = outside.join(lw, ["item_A", "item_B"], "left")
+    links_alone = lw.join(keys, ["item_A", "item_B"], "left_anti").withColumn("__o", F.lit(None).cast(LongType()))
     lsum = F.coalesce(F.col("__lw"), zero) + F.coalesce(F.col("__o"), zero)
     links_combined = (
-        lw.join(outside, ["item_A", "item_B"], "full_outer")
+        with_outside.unionByName(links_alone)
         .select("item_A", "item_B", lsum.alias("__u"))
         .where(F.col("__u") > zero)
         .select("item_A", "item_B", units_to_double("__u").alias("weight"))

@@ -247,3 +247,16 @@ def test_bounded_diversify_gives_same_path_recs(spark):
     full = item_recs_from_graph(diversify_item_item_links(g, md), 3, 3)
     bounded = item_recs_from_graph(diversify_item_item_links(g, md, max_rank=3), 3, 3)
     assert sorted(tuple(r) for r in full.collect()) == sorted(tuple(r) for r in bounded.collect())
+
+
+def test_duplicate_outside_rows_stay_separate_links(spark):
+    links = spark.createDataFrame([("A", "B", 0.5), ("C", "D", 0.75)], "item_A string, item_B string, weight double")
+    outside = spark.createDataFrame(
+        [("A", "B", 0.25), ("A", "B", 0.5), ("E", "F", 1.0), ("E", "F", 0.25)],
+        "item_A string, item_B string, weight double",
+    )
+    iw = spark.createDataFrame([("A", 1.0)], "item string, overall_weight double")
+    l2, _ = sum_item_item_signals(links, outside, iw)
+    assert rows(l2, "item_A", "item_B", "weight") == [
+        ("A", "B", 0.75), ("A", "B", 1.0), ("C", "D", 0.75), ("E", "F", 0.25), ("E", "F", 1.0)
+    ]
