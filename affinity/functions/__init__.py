@@ -13,7 +13,7 @@ from affinity.functions.columns import (
     units_lit,
     units_to_double,
 )
-from affinity.functions.ranking import top_n_per_group, rank_within
+from affinity.functions.ranking import rank_by_global_sort, rank_within, top_n_per_group
 
 __all__ = [
     "UNITS_PER_WEIGHT",
@@ -28,5 +28,6 @@ __all__ = [
     "ratio",
     "to_double",
     "top_n_per_group",
+    "rank_by_global_sort",
     "rank_within",
 ]

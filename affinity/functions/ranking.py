@@ -38,3 +38,40 @@ def rank_within(
     """Append a 1-based ``row_number`` inside each group (no limit)."""
     w = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))
     return df.withColumn(rank_col, F.row_number().over(w))
+
+
+def rank_by_global_sort(
+    df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str], rank_col: str
+) -> DataFrame:
+    """Exact 1-based ``row_number`` per group without putting a group in one task.
+
+    A window sends every row of a group to one task; when one group may hold a third of
+    the data this ranks it without that:
+
+    1. a global sort on (group, order) range-partitions the rows, so a hot group is split
+       over many partitions;
+    2. each row takes ``monotonically_increasing_id`` (partition index in the upper bits,
+       position in the lower 33) and the table is written to the shared checkpoint
+       folder, which fixes the ids;
+    3. per-partition row counts (one row per partition: a table bounded by the partition
+       count, not by the data) give each partition its offset, hence a global row number;
+    4. the group's smallest global row number (a partially aggregated min) is subtracted.
+    """
+    from affinity.session import write_stage
+
+    keys = [F.col(c) for c in group_cols] + _cols(order_cols)
+    staged = write_stage(df.orderBy(*keys).withColumn("__gid", F.monotonically_increasing_id()), "global_rank")
+    part = F.shiftright(F.col("__gid"), 33)
+    pos = F.col("__gid").bitwiseAND(F.lit((1 << 33) - 1))
+    with_part = staged.withColumn("__p", part).withColumn("__pos", pos)
+    counts = with_part.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select(
+        "__p",
+        (F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"),
+    ).fillna(0, subset=["__off"])
+    numbered = with_part.join(F.broadcast(offsets), "__p").withColumn("__g", F.col("__off") + F.col("__pos"))
+    first = numbered.groupBy(*group_cols).agg(F.min("__g").alias("__g0"))
+    out = numbered.join(first, list(group_cols)).withColumn(
+        rank_col, (F.col("__g") - F.col("__g0") + F.lit(1)).cast("int")
+    )
+    return out.drop("__gid", "__p", "__pos", "__off", "__g", "__g0")

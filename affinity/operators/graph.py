@@ -29,6 +29,7 @@ from affinity.functions import (
     clamp_at_zero,
     logistic_scale,
     pop_boost,
+    rank_by_global_sort,
     rank_within,
     ratio,
     to_double,
@@ -365,7 +366,8 @@ def diversify_item_item_links(
     j = ii_links.join(md, "item_B")
     order = [F.col("weight").desc(), F.col("item_B").asc()]
     if max_rank is None:
-        r = rank_within(j, ["item_A", "metadata_field"], order, "__fr")
+        # Every rank is wanted: rank without sending a whole (item, metadata) group to one task.
+        r = rank_by_global_sort(j, ["item_A", "metadata_field"], order, "__fr")
     else:
         r = top_n_per_group(j, ["item_A", "metadata_field"], order, max_rank, "__fr")
     return r.select(

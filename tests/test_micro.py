@@ -260,3 +260,20 @@ def test_duplicate_outside_rows_stay_separate_links(spark):
     assert rows(l2, "item_A", "item_B", "weight") == [
         ("A", "B", 0.75), ("A", "B", 1.0), ("C", "D", 0.75), ("E", "F", 0.25), ("E", "F", 1.0)
     ]
+
+
+def test_global_sort_rank_equals_row_number_on_skewed_groups(spark):
+    from pyspark.sql import Window
+
+    from affinity.functions import rank_by_global_sort
+
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise((F.col("id") % 97).cast("string")).alias("g"),
+        (F.col("id") % 13).cast("double").alias("w"),
+        F.col("id").cast("string").alias("b"),
+    ).repartition(7)
+    order = [F.col("w").desc(), F.col("b").asc()]
+    got = rank_by_global_sort(df, ["g"], order, "r")
+    want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    assert got.select("g", "w", "b", "r").exceptAll(want.select("g", "w", "b", "r")).count() == 0
+    assert got.count() == want.count() == 30000
