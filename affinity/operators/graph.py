@@ -26,11 +26,9 @@ from pyspark.sql.types import LongType, MapType, StringType
 
 from affinity.session import write_stage
 from affinity.functions import (
-    clamp_at_zero,
     logistic_scale,
     pop_boost,
     rank_by_global_sort,
-    rank_within,
     ratio,
     to_double,
     to_units,
@@ -428,6 +426,5 @@ __all__ = [
     "diversify_item_item_links",
     "add_metadata_to_item_item_links",
     "remove_bots",
-    "clamp_at_zero",
     "null_link_data",
 ]

@@ -7,7 +7,6 @@ the number of recs, as the reference does; ``item_item_recs`` keeps them separat
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from affinity.operators import (
     adjust_item_item_graph_weight,
