@@ -84,4 +84,5 @@ def write_stage(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: reading it back needs no footer inference.
+    return spark.read.schema(df.schema).parquet(path)
