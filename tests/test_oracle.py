@@ -10,6 +10,9 @@ import __spark_entry__ as E
 
 KEYS = sorted(E.queries())
 
+# No all-pairs joins and no Python evaluation anywhere in a registered query.
+FORBIDDEN_PLAN_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+
 
 def _norm(rows, cols):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
@@ -32,3 +35,6 @@ def test_query_matches_oracle(spark, duck, key):
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(got) > 0
     assert _norm(got, df.columns) == _norm(want, rel.columns)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in FORBIDDEN_PLAN_NODES:
+        assert bad not in plan, f"{key}: {bad} in plan"
