@@ -24,8 +24,13 @@ RECOMMENDED_CONF = {
 }
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "affinity") -> SparkSession:
-    """A local session for tests and the benchmark (UI off, loopback only)."""
+def local_session(
+    cores: int | str = 8, shuffle_partitions: int = 8, app: str = "affinity", event_log_dir: str | None = None
+) -> SparkSession:
+    """A local session for tests and the benchmark (UI off, loopback only).
+
+    ``event_log_dir`` writes Spark's event log there (read it with tools/stage_times.py).
+    """
     b = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -39,6 +44,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     )
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
+    if event_log_dir:
+        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -37,7 +37,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     t0 = time.time()
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="affinity-bench")
+    spark = local_session(
+        cores=cpus,
+        shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
+        app="affinity-bench",
+        event_log_dir=os.environ.get("BENCH_EVENT_LOG_DIR") or None,
+    )
     startup = time.time() - t0
 
     P = PARAMS_B
