@@ -7,5 +7,6 @@ from affinity.plans.pipelines import (
     item_item_recs_detailed,
     item_item_recs_diversified,
     item_item_recs_pop_boost,
+    recommend,
     user_item_recs,
 )
