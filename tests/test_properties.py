@@ -79,3 +79,17 @@ def test_result_independent_of_input_order(spark):
     a = sorted(tuple(r) for r in pipelines.item_item_recs(sig, P, nhood=3).collect())
     b = sorted(tuple(r) for r in pipelines.item_item_recs(shuffled, P, nhood=3).collect())
     assert a == b
+
+
+def test_unstaged_graph_equals_staged_graph(spark):
+    sig = signals_tpch(spark, SF_SMALL)
+    for detail in (False, True):
+        a_links, a_w = build_item_item_graph(sig, 0.5, 0.25, 50, detail=detail, stage=True)
+        b_links, b_w = build_item_item_graph(sig, 0.5, 0.25, 50, detail=detail, stage=False)
+        cols = ["item_A", "item_B", "weight"]
+        if detail:
+            a_links = a_links.select(*cols, F.explode("link_data"))
+            b_links = b_links.select(*cols, F.explode("link_data"))
+        assert a_links.count() == b_links.count() > 0
+        assert a_links.exceptAll(b_links).count() == 0
+        assert a_w.exceptAll(b_w).count() == 0
