@@ -93,3 +93,12 @@ def test_unstaged_graph_equals_staged_graph(spark):
         assert a_links.count() == b_links.count() > 0
         assert a_links.exceptAll(b_links).count() == 0
         assert a_w.exceptAll(b_w).count() == 0
+
+
+def test_unstaged_path_search_equals_staged(spark):
+    links, iw = build_item_item_graph(signals_tpch(spark, SF_SMALL), 0.5, 0.25, 50)
+    adj = adjust_item_item_graph_weight(links, iw, 4.0)
+    a = item_recs_from_graph(adj, 3, 10, stage_graph=True)
+    b = item_recs_from_graph(adj, 3, 10, stage_graph=False)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0
