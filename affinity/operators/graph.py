@@ -7,15 +7,19 @@ the public results carry DOUBLE ``weight`` = units / 1e9.
 Scale notes
 -----------
 * The (user, item) sum is a hash aggregate with a map-side partial step.
-* Popularity is a plain ``groupBy(item)`` (partial aggregation, so a hot item is
-  pre-summed on every mapper); weak items are removed with a semi join that AQE
-  either turns into a broadcast (measured small side) or splits when one item is hot.
+* The aggregated user-item table and the popularity table are staged in the shared
+  checkpoint folder (restart points; exact sizes for the planner). Popularity is a
+  plain ``groupBy(item)`` (partial aggregation, so a hot item is pre-summed on every
+  mapper); weak items are removed with a join against it that is broadcast only when
+  the staged table is small, and otherwise shuffled with AQE splitting a hot item.
 * The per-user cap is ``row_number() <= k``: Spark adds a partial group limit before
   the shuffle, so a bot user with a third of all rows ships at most k rows per map
   partition. The pair expansion then emits at most k*(k-1)/2 unordered pairs per
   user -- this cap is the reference's own ``max_links_per_user`` knob.
-* Each unordered pair is emitted once (``item_A < item_B``), summed, and mirrored
-  after the threshold, which halves the largest shuffle of the job.
+* Each unordered pair is emitted once (``item_A < item_B``) on 64-bit item ids from the
+  staged popularity table, summed, decoded back to item strings and mirrored after the
+  threshold: the largest shuffle of the job carries two longs per pair, once.
+* The outside-signal merge avoids a full outer join (which AQE cannot split).
 """
 
 from __future__ import annotations
