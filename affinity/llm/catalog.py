@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from affinity.llm import oracle
 from affinity.llm.common import read_table
 from affinity.llm.decontam import decontaminate
+from affinity.llm.lang_id import held_out, identify_languages
 from affinity.llm.packing import pack_documents
+from affinity.llm.secret_scan import BASE_RULES, RULES, find_secrets, spans_text
+from affinity.llm.simhash import simhash_components
 from affinity.llm.url_filter import filter_urls
 
 
@@ -24,6 +27,23 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read_table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
+
+
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = len(BASE_RULES)
+    count = lambda i: F.size(F.filter("secret_spans", lambda s: s["kind"] == i)).cast("long")
+    base = F.filter("secret_spans", lambda s: s["kind"] < n)
+    return found.select(
+        "doc_id",
+        *(count(i).alias(f"n_{r.kind}") for i, r in enumerate(BASE_RULES)),
+        F.sha2(spans_text(base, RULES), 256).alias("base_sha256"),
+        spans_text(F.col("secret_spans"), RULES).alias("spans"),
+    )
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     near = F.size("near_items").cast("long").alias("n_near_items")
@@ -34,12 +54,20 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify_languages(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filters,
+        op3_simhash_dedup,
+        op5_secret_scans,
         op7_benchmark_decontamination,
         op8_packing,
+        op9_language_id,
     )
 }
 

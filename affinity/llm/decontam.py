@@ -269,7 +269,7 @@ def merged_spans(spans):
     """Spans that may overlap, in any order -> disjoint ones in order."""
     pairs = F.array_sort(
         F.transform(
-            F.sequence(F.lit(0), F.size(spans).cast("long") / 2 - 1).cast("array<int>"),
+            F.sequence(F.lit(0), (F.size(spans) / 2).cast("int") - 1),
             lambda i: F.struct(F.get(spans, 2 * i).alias("a"), F.get(spans, 2 * i + 1).alias("b")),
         )
     )

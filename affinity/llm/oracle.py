@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from affinity.llm.secret_scan import BASE_RULES, RULES
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP1 = f"""
@@ -39,6 +41,41 @@ SELECT page_id, host, path, rule,
 FROM site
 """
 
+
+
+def _op5() -> str:
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    each = " UNION ALL ".join(
+        f"SELECT doc_id, {i} AS k, {quoted(r.kind)} AS kind, {r.least} AS least, {i < len(BASE_RULES)} AS base, "
+        f"regexp_extract_all(t, {quoted(r.regex)}, 0) AS ms, regexp_extract_all(t, {quoted(r.regex)}, {r.group}) AS gs, "
+        f"string_split_regex(t, {quoted(r.regex)}) AS ps FROM texts"
+        for i, r in enumerate(RULES)
+    )
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+each AS ({each}),
+numbered AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM each WHERE len(ms) > 0),
+spans AS (
+  SELECT doc_id, k, kind, base,
+    list_sum(list_transform(ps[1:i], lambda p: length(p)))
+      + coalesce(list_sum(list_transform(ms[1:i - 1], lambda m: length(m))), 0) AS a,
+    length(ms[i]) AS n
+  FROM numbered WHERE length(gs[i]) >= least),
+found AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(concat_ws(':', kind, a::BIGINT, (a + n)::BIGINT), ',' ORDER BY a, k) FILTER (base) AS base,
+    string_agg(concat_ws(':', kind, a::BIGINT, (a + n)::BIGINT), ',' ORDER BY a, k) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN found f ON d.doc_id = f.doc_id
+"""
+
+
 SQL = {
+    "op5_secret_scans": _op5(),
     "op1_url_filters": OP1,
 }
