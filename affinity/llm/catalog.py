@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from affinity.llm import oracle
 from affinity.llm.common import read_table
 from affinity.llm.decontam import decontaminate
+from affinity.llm.html_template import extract_main_text
 from affinity.llm.lang_id import held_out, identify_languages
 from affinity.llm.packing import pack_documents
 from affinity.llm.secret_scan import BASE_RULES, RULES, find_secrets, spans_text
@@ -31,6 +32,10 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = len(BASE_RULES)
@@ -64,6 +69,7 @@ LLM_QUERIES = {
     for f in (
         op1_url_filters,
         op3_simhash_dedup,
+        op4_html_extraction,
         op5_secret_scans,
         op7_benchmark_decontamination,
         op8_packing,
