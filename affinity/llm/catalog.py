@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from affinity.llm import oracle
 from affinity.llm.common import read_table
 from affinity.llm.decontam import decontaminate
+from affinity.llm.embed_dedup import embedding_components
 from affinity.llm.html_template import extract_main_text
 from affinity.llm.lang_id import held_out, identify_languages
+from affinity.llm.license_scan import scan_licenses
 from affinity.llm.packing import pack_documents
 from affinity.llm.secret_scan import BASE_RULES, RULES, find_secrets, spans_text
 from affinity.llm.simhash import simhash_components
+from affinity.llm.token_count import count_tokens
 from affinity.llm.url_filter import filter_urls
 
 
@@ -28,6 +31,11 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("text")
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
 
@@ -49,6 +57,10 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read_table(spark, sf_dir, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     near = F.size("near_items").cast("long").alias("n_near_items")
@@ -64,16 +76,23 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(read_table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filters,
+        op2_license_scans,
         op3_simhash_dedup,
         op4_html_extraction,
         op5_secret_scans,
+        op6_token_counts,
         op7_benchmark_decontamination,
         op8_packing,
         op9_language_id,
+        op10_embedding_dedup,
     )
 }
 

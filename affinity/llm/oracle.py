@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from affinity.llm.license_scan import THRESHOLD, default_templates
 from affinity.llm.secret_scan import BASE_RULES, RULES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -75,7 +76,49 @@ FROM documents d LEFT JOIN found f ON d.doc_id = f.doc_id
 """
 
 
+def _op2() -> str:
+    rows = ", ".join(
+        f"({i}, '{t.name}', [{', '.join(f"'{a} {b}'" for a, b in t.bigrams)}])"
+        for i, t in enumerate(sorted(default_templates(), key=lambda t: t.name))
+    )
+    return f"""
+WITH templates(k, name, grams) AS (VALUES {rows}),
+plain AS (
+  SELECT doc_id, regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g') AS t
+  FROM documents),
+cut AS (SELECT *, string_split_regex(t, '\\n\\s*\\n') AS paragraphs FROM plain),
+passages AS (
+  SELECT doc_id, unnest(list_concat(string_split(t, chr(10)), list_concat(
+    list_transform(list_filter(paragraphs, lambda p: contains(p, chr(10))), lambda p: regexp_replace(p, '\\s+', ' ', 'g')),
+    CASE WHEN len(paragraphs) > 1 THEN [regexp_replace(t, '\\s+', ' ', 'g')] ELSE [] END))) AS p FROM cut),
+words AS (SELECT doc_id, row_number() OVER () AS id, string_split(trim(p), ' ') AS w FROM passages),
+grams AS (
+  SELECT doc_id, id, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g
+  FROM words WHERE len(w) > 1),
+template_grams AS (
+  SELECT k, name, b, gram, count(*) AS held
+  FROM (SELECT k, name, len(grams) AS b, unnest(grams) AS gram FROM templates) GROUP BY ALL),
+passage_grams AS (
+  SELECT doc_id, id, n, gram, count(*) AS here
+  FROM (SELECT doc_id, id, len(g) AS n, unnest(g) AS gram FROM grams) GROUP BY ALL),
+met AS (
+  SELECT doc_id, id, k, any_value(name) AS name, any_value(n) AS a, any_value(b) AS b, sum(least(here, held)) AS c
+  FROM passage_grams JOIN template_grams USING (gram) GROUP BY doc_id, id, k),
+dice AS (SELECT *, 2.0::DOUBLE * c / (a + b) AS d FROM met),
+best AS (
+  SELECT doc_id, id, name, k, d FROM dice WHERE d >= {THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY doc_id, id ORDER BY d DESC, k) = 1),
+found AS (
+  SELECT doc_id, first(name ORDER BY d DESC, k) AS license, max(d) AS license_dice, count(*) AS n,
+    string_agg(DISTINCT name, ',' ORDER BY name) AS licenses
+  FROM best GROUP BY doc_id)
+SELECT d.doc_id, license, license_dice, coalesce(n, 0) AS n_license_passages, coalesce(licenses, '') AS licenses
+FROM documents d LEFT JOIN found f ON d.doc_id = f.doc_id
+"""
+
+
 SQL = {
+    "op2_license_scans": _op2(),
     "op5_secret_scans": _op5(),
     "op1_url_filters": OP1,
 }
