@@ -3,7 +3,9 @@
 ``row_number() <= n`` over a window is planned by Spark with a partial
 ``WindowGroupLimit`` before the shuffle, so a hot group sends at most ``n`` rows per
 map partition to the final window: the top-n of a group holding a third of the data
-is still computed in parallel.
+is still computed in parallel. Spark leaves that limit out where ``n`` exceeds
+``spark.sql.optimizer.windowGroupLimitThreshold`` (1000), so ``top_n_per_group`` raises the
+session's threshold to the largest ``n`` asked for.
 """
 
 from __future__ import annotations
@@ -27,6 +29,9 @@ def top_n_per_group(
 ) -> DataFrame:
     """Keep the first ``n`` rows of each group in ``order_cols`` order (1-based rank)."""
     name = rank_col or "__rn"
+    conf, limit = df.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if 0 <= int(conf.get(limit, "1000")) < int(n):
+        conf.set(limit, str(int(n)))
     w = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))
     out = df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= int(n))
     return out if rank_col else out.drop(name)
@@ -56,6 +61,10 @@ def rank_by_global_sort(
     3. per-partition row counts (one row per partition: a table bounded by the partition
        count, not by the data) give each partition its offset, hence a global row number;
     4. the group's smallest global row number (a partially aggregated min) is subtracted.
+
+    Offsets and smallest numbers are written tables: Spark broadcasts them only where their
+    files are small, and can split a hot group's rows where they are not. Groups with a NULL
+    key have no rank and vanish.
     """
     from affinity.session import write_stage
 
@@ -65,12 +74,12 @@ def rank_by_global_sort(
     pos = F.col("__gid").bitwiseAND(F.lit((1 << 33) - 1))
     with_part = staged.withColumn("__p", part).withColumn("__pos", pos)
     counts = with_part.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
+    offsets = write_stage(counts.select(
         "__p",
         (F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"),
-    ).fillna(0, subset=["__off"])
-    numbered = with_part.join(F.broadcast(offsets), "__p").withColumn("__g", F.col("__off") + F.col("__pos"))
-    first = numbered.groupBy(*group_cols).agg(F.min("__g").alias("__g0"))
+    ).fillna(0, subset=["__off"]), "global_rank_offsets")
+    numbered = with_part.join(offsets, "__p").withColumn("__g", F.col("__off") + F.col("__pos"))
+    first = write_stage(numbered.groupBy(*group_cols).agg(F.min("__g").alias("__g0")), "global_rank_first")
     out = numbered.join(first, list(group_cols)).withColumn(
         rank_col, (F.col("__g") - F.col("__g0") + F.lit(1)).cast("int")
     )

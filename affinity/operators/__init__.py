@@ -3,7 +3,11 @@
 from affinity.operators.graph import (
     NUM_USERS_KEY,
     aggregate_user_items,
+    IdGraph,
+    decode_recs,
+    encode_pairs,
     graph_from_user_items,
+    id_graph,
     scaled_pairs,
     add_metadata_to_item_item_links,
     adjust_item_item_graph_weight,
@@ -28,7 +32,11 @@ from affinity.operators.user_recs import USER_REC_COLUMNS, build_user_item_recs
 __all__ = [
     "NUM_USERS_KEY",
     "aggregate_user_items",
+    "IdGraph",
+    "decode_recs",
+    "encode_pairs",
     "graph_from_user_items",
+    "id_graph",
     "scaled_pairs",
     "add_metadata_to_item_item_links",
     "adjust_item_item_graph_weight",

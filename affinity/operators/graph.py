@@ -7,6 +7,8 @@ the public results carry DOUBLE ``weight`` = units / 1e9.
 Scale notes
 -----------
 * The (user, item) sum is a hash aggregate with a map-side partial step.
+* Raw weights become units before the first sum, so every sum of the graph is an integer
+  sum: exact, and the same for any partitioning.
 * The aggregated user-item table and the popularity table are staged in the shared
   checkpoint folder (restart points; exact sizes for the planner). Popularity is a
   plain ``groupBy(item)`` (partial aggregation, so a hot item is pre-summed on every
@@ -17,13 +19,17 @@ Scale notes
   partition. The pair expansion then emits at most k*(k-1)/2 unordered pairs per
   user -- this cap is the reference's own ``max_links_per_user`` knob.
 * Each unordered pair is emitted once (``item_A < item_B``) on 64-bit item ids from the
-  staged popularity table, summed, decoded back to item strings and mirrored after the
-  threshold: the largest shuffle of the job carries two longs per pair, once.
+  staged popularity table, summed and mirrored after the threshold: the largest shuffle
+  of the job carries two longs per pair, once. Ids follow the order of the items, so ties
+  by id are ties by item, and the recommenders adjust, prune and search on ids; only what
+  they return is mapped back to item strings.
 * The outside-signal merge avoids a full outer join (which AQE cannot split).
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType
@@ -61,32 +67,37 @@ def aggregate_user_items(signals: DataFrame, logistic_param: float, detail: bool
     Columns: ``weight_units`` (LONG, logistic scaling of the summed weight; NULL when every
     weight of the pair is NULL), ``max_weight`` (greatest raw weight, used by the
     user-item step) and, with ``detail``, ``signal_types``: an array of (k, n) entries
-    counting rows per signal type (a type named ``NUM_USERS`` is not counted: that key is
-    reserved for links). Both the graph build and the user step read this one table,
+    counting rows per signal type (a type named ``NUM_USERS`` is an error: that key is
+    reserved for links). Weights are summed in units, rounded at the 9th place before the
+    sum; a weight or sum beyond 2^63 units is an error. Both the graph build and the user step read this one table,
     so raw signals are scanned and aggregated once per job.
     """
     _require(signals, ["user", "item", "weight"] + (["signal_type"] if detail else []), "signals")
     s = signals.where(F.col("user").isNotNull() & F.col("item").isNotNull())
-    w = to_double("weight")
+    w, u = to_double("weight"), to_units("weight")
     if not detail:
-        agg = s.groupBy("user", "item").agg(F.sum(w).alias("__w"), F.max(w).alias("max_weight"))
+        agg = s.groupBy("user", "item").agg(F.sum(u).alias("__u"), F.max(w).alias("max_weight"))
         extra = []
     else:
-        per_type = s.groupBy("user", "item", "signal_type").agg(
-            F.sum(w).alias("__wt"), F.max(w).alias("__mx"), F.count(F.lit(1)).alias("__n")
+        reserved = F.concat(F.lit("signal type "), F.lit(NUM_USERS_KEY), F.lit(" is reserved for links"))
+        kind = F.when(F.col("signal_type") == NUM_USERS_KEY, F.raise_error(reserved).cast("string")).otherwise(
+            F.col("signal_type")
+        )
+        per_type = s.select("user", "item", kind.alias("signal_type"), "weight").groupBy("user", "item", "signal_type").agg(
+            F.sum(u).alias("__ut"), F.max(w).alias("__mx"), F.count(F.lit(1)).alias("__n")
         )
-        keep = F.col("signal_type").isNotNull() & (F.col("signal_type") != F.lit(NUM_USERS_KEY))
         agg = per_type.groupBy("user", "item").agg(
-            F.sum("__wt").alias("__w"),
+            F.sum("__ut").alias("__u"),
             F.max("__mx").alias("max_weight"),
             F.collect_list(
-                F.when(keep, F.struct(F.col("signal_type").alias("k"), F.col("__n").alias("n")))
+                F.when(
+                    F.col("signal_type").isNotNull(), F.struct(F.col("signal_type").alias("k"), F.col("__n").alias("n"))
+                )
             ).alias("signal_types"),
         )
         extra = ["signal_types"]
-    return agg.select(
-        "user", "item", logistic_scale("__w", logistic_param).alias("weight_units"), "max_weight", *extra
-    )
+    scaled = logistic_scale(units_to_double("__u"), logistic_param)
+    return agg.select("user", "item", scaled.alias("weight_units"), "max_weight", *extra)
 
 
 def scale_user_item_signals(signals: DataFrame, logistic_param: float, detail: bool = False) -> DataFrame:
@@ -161,58 +172,39 @@ def _mirror(links: DataFrame) -> DataFrame:
     )
 
 
-def _decode(half: DataFrame, items: DataFrame | None) -> DataFrame:
-    """Replace id keys by item strings (only the surviving links pay for this)."""
-    if items is None:
-        return half
-    rest = [c for c in half.columns if c not in ("item_A", "item_B")]
+def _decode(links: DataFrame, items: DataFrame) -> DataFrame:
+    """Replace id keys by item strings."""
+    rest = [c for c in links.columns if c not in ("item_A", "item_B")]
     a = items.select(F.col("item_id").alias("item_A"), F.col("item").alias("__a"))
     b = items.select(F.col("item_id").alias("item_B"), F.col("item").alias("__b"))
-    return half.join(a, "item_A").join(b, "item_B").select(
+    return links.join(a, "item_A").join(b, "item_B").select(
         F.col("__a").alias("item_A"), F.col("__b").alias("item_B"), *rest
     )
 
 
-def sum_pairs_to_links(
-    pairs: DataFrame,
-    min_link_weight: float,
-    detail: bool = False,
-    stage: bool = True,
-    items: DataFrame | None = None,
-) -> DataFrame:
+def sum_pairs_to_links(pairs: DataFrame, min_link_weight: float, detail: bool = False) -> DataFrame:
     """Sum pair weights per (item_A, item_B), keep ``>= min`` (inclusive), emit both
-    directions with DOUBLE ``weight``. ``items`` (item, item_id) decodes id-keyed pairs."""
+    directions with exact ``weight_units`` and DOUBLE ``weight``.
+
+    With ``detail`` the pairs are expanded once: each pair's type counts, its user and its
+    weight are rows of one sum by (item_A, item_B, k), pre-aggregated before the shuffle,
+    so a pair that many users share is summed on every mapper. The few rows left of each
+    pair are then folded into its weight (k NULL) and its map.
+    """
     if not detail:
-        half = (
-            pairs.groupBy("item_A", "item_B")
-            .agg(F.sum("weight_units").alias("__u"))
-            .where(F.col("__u") >= units_lit(min_link_weight))
-            .select("item_A", "item_B", units_to_double("__u").alias("weight"))
+        half = pairs.groupBy("item_A", "item_B").agg(F.sum("weight_units").alias("weight_units"))
+        extra = []
+    else:
+        weight = F.array(F.struct(F.lit(None).cast("string").alias("k"), F.col("weight_units").alias("n")))
+        terms = pairs.select("item_A", "item_B", F.inline(F.concat("link_terms", weight)))
+        per_key = terms.groupBy("item_A", "item_B", "k").agg(F.sum("n").alias("n"))
+        half = per_key.groupBy("item_A", "item_B").agg(
+            F.sum(F.when(F.col("k").isNull(), F.col("n"))).alias("weight_units"),
+            F.map_from_entries(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "n")))).alias("link_data"),
         )
-        return _mirror(_decode(half, items))
-    # Weights first (as in plain mode); the surviving links are staged, so the planner
-    # knows their size: small -> broadcast semi join, large -> one shuffle by (A, B)
-    # that the count aggregation below reuses. Only pairs of surviving links are
-    # exploded into count rows.
-    half_u = (
-        pairs.groupBy("item_A", "item_B")
-        .agg(F.sum("weight_units").alias("__u"))
-        .where(F.col("__u") >= units_lit(min_link_weight))
-    )
-    if stage:
-        half_u = write_stage(half_u, "links_half")
-    kept = pairs.join(half_u.select("item_A", "item_B"), ["item_A", "item_B"], "left_semi")
-    counts = (
-        kept.select("item_A", "item_B", F.inline("link_terms"))
-        .groupBy("item_A", "item_B", "k")
-        .agg(F.sum("n").alias("n"))
-        .groupBy("item_A", "item_B")
-        .agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("link_data"))
-    )
-    half = half_u.join(counts, ["item_A", "item_B"]).select(
-        "item_A", "item_B", units_to_double("__u").alias("weight"), "link_data"
-    )
-    return _mirror(_decode(half, items))
+        extra = ["link_data"]
+    kept = half.where(F.col("weight_units") >= units_lit(min_link_weight))
+    return _mirror(kept.select("item_A", "item_B", units_to_double("weight_units").alias("weight"), "weight_units", *extra))
 
 
 # --------------------------------------------------------------------------- M01 / M12
@@ -228,9 +220,10 @@ def build_item_item_graph(
     """Contract the bipartite user-item graph into item-item links.
 
     Returns ``(ii_links, item_weights)``:
-      ii_links      (item_A, item_B, weight double[, link_data map<string,bigint>])
-      item_weights  (item, overall_weight double), for every item before pruning.
-    Both weights are exact sums of 9-decimal scaled weights, rounded once to DOUBLE.
+      ii_links      (item_A, item_B, weight double, weight_units[, link_data map<string,bigint>])
+      item_weights  (item, overall_weight double, overall_units), for every item before pruning.
+    Both weights are exact sums of 9-decimal scaled weights, rounded once to DOUBLE; the
+    units are the exact integers, for operators that go on summing.
     ``link_data`` (detail mode) holds, per signal type, the rows of both items summed over
     the users behind the link, plus ``NUM_USERS``.
     """
@@ -240,6 +233,52 @@ def build_item_item_graph(
     return graph_from_user_items(user_items, min_link_weight, max_links_per_user, detail, stage)
 
 
+class IdGraph(NamedTuple):
+    """A graph keyed by 64-bit item ids that follow the order of the items.
+
+    links    (item_A, item_B, weight, weight_units[, link_data]) on ids, both directions
+    weights  (item = id, overall_weight, overall_units)
+    items    (item string, item_id)
+    """
+
+    links: DataFrame
+    weights: DataFrame
+    items: DataFrame
+
+
+def id_graph(
+    user_items: DataFrame,
+    min_link_weight: float,
+    max_links_per_user: int,
+    detail: bool = False,
+    more_items: DataFrame | None = None,
+) -> IdGraph:
+    """The graph of an (already staged) user-item table, keyed by item ids.
+
+    The item popularity table is written once to the shared checkpoint folder, sorted by
+    item, which fixes the ids in item order. Each branch then starts from a table instead
+    of replaying the signal scan and aggregation, the job can restart after its largest
+    shuffle, and the planner sees the popularity table's real size: it is broadcast to the
+    weak-item filter and the Bayes join only when it is small
+    (``spark.sql.autoBroadcastJoinThreshold``), and shuffled otherwise. ``more_items``
+    (item) get ids too; without signals they have no weight.
+    """
+    ui = scaled_pairs(user_items)
+    popularity = item_popularity(ui)
+    if more_items is not None:
+        named = more_items.select("item").where(F.col("item").isNotNull()).distinct()
+        popularity = popularity.join(named, "item", "full_outer")
+    table = write_stage(
+        popularity.orderBy("item").withColumn("item_id", F.monotonically_increasing_id()), "item_popularity"
+    )
+    capped = cap_links_per_user(ui, table, min_link_weight, max_links_per_user)
+    links = sum_pairs_to_links(user_item_pairs(capped, detail), min_link_weight, detail)
+    weights = table.where(F.col("overall_units").isNotNull()).select(
+        F.col("item_id").alias("item"), units_to_double("overall_units").alias("overall_weight"), "overall_units"
+    )
+    return IdGraph(links, weights, table.select("item", "item_id"))
+
+
 def graph_from_user_items(
     user_items: DataFrame,
     min_link_weight: float,
@@ -247,31 +286,36 @@ def graph_from_user_items(
     detail: bool = False,
     stage: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """``build_item_item_graph`` from an (already staged) user-item table.
-
-    With ``stage`` (default) the item popularity table is written once to the shared
-    checkpoint folder, like the user-item table before it. Each branch then starts
-    from a table instead of replaying the signal scan and aggregation, the job can
-    restart after its largest shuffle, and the planner sees the popularity table's real
-    size: it is broadcast to the weak-item filter and the Bayes join only when it is
-    small (``spark.sql.autoBroadcastJoinThreshold``), and shuffled otherwise.
-
-    The staged table also gives every item a 64-bit ``item_id`` (fixed once written),
-    so the pair expansion and the pair sums -- the largest shuffle -- key on two longs
-    instead of two strings; only the surviving links are mapped back to item strings.
-    """
-    ui = scaled_pairs(user_items)
-    item_weights = item_popularity(ui)
-    items = None
+    """``build_item_item_graph`` from an (already staged) user-item table. Without ``stage``
+    nothing is written and the pairs are keyed by the item strings."""
     if stage:
-        item_weights = write_stage(
-            item_weights.withColumn("item_id", F.monotonically_increasing_id()), "item_popularity"
-        )
-        items = item_weights.select("item", "item_id")
-    capped = cap_links_per_user(ui, item_weights, min_link_weight, max_links_per_user)
-    pairs = user_item_pairs(capped, detail)
-    weights = item_weights.select("item", units_to_double("overall_units").alias("overall_weight"))
-    return sum_pairs_to_links(pairs, min_link_weight, detail, stage, items), weights
+        g = id_graph(user_items, min_link_weight, max_links_per_user, detail)
+        weights = g.weights.withColumnRenamed("item", "item_id").join(g.items, "item_id")
+        return _decode(g.links, g.items), weights.select("item", "overall_weight", "overall_units")
+    ui = scaled_pairs(user_items)
+    popularity = item_popularity(ui)
+    capped = cap_links_per_user(ui, popularity, min_link_weight, max_links_per_user)
+    links = sum_pairs_to_links(user_item_pairs(capped, detail), min_link_weight, detail)
+    return links, popularity.select("item", units_to_double("overall_units").alias("overall_weight"), "overall_units")
+
+
+def encode_pairs(pairs: DataFrame, items: DataFrame) -> DataFrame:
+    """(item_A, item_B, ...) strings -> ids; rows that name an unknown item vanish."""
+    rest = [c for c in pairs.columns if c not in ("item_A", "item_B")]
+    a = items.select(F.col("item").alias("item_A"), F.col("item_id").alias("__a"))
+    b = items.select(F.col("item").alias("item_B"), F.col("item_id").alias("__b"))
+    return pairs.join(a, "item_A").join(b, "item_B").select(
+        F.col("__a").alias("item_A"), F.col("__b").alias("item_B"), *rest
+    )
+
+
+def decode_recs(recs: DataFrame, items: DataFrame) -> DataFrame:
+    """Recommendations on ids -> on item strings (``linking_item`` too, where there is one)."""
+    out = _decode(recs, items)
+    if "linking_item" in recs.columns:
+        mid = items.select(F.col("item_id").alias("linking_item"), F.col("item").alias("__mid"))
+        out = out.join(mid, "linking_item", "left").withColumn("linking_item", F.col("__mid"))
+    return out.select(*recs.columns)
 
 
 # --------------------------------------------------------------------------- M02 / M06 / M13
@@ -297,7 +341,7 @@ def adjust_item_item_graph_weight(
     w = to_double("weight")
     ow = F.col("__ow")
     num = w if pop_boost_func is None else w * pop_boost(ow, pop_boost_func)
-    extra = [c for c in ii_links.columns if c not in ("item_A", "item_B", "weight", "raw_weight")]
+    extra = [c for c in ii_links.columns if c not in ("item_A", "item_B", "weight", "weight_units", "raw_weight")]
     return j.select(
         "item_A",
         "item_B",
@@ -317,61 +361,63 @@ def sum_item_item_signals(
     * popularity: outside weights summed per item_A, FULL join with item_weights,
       missing side 0, negative totals clamped to 0;
     * links: FULL join on (item_A, item_B), missing side 0, keep strictly positive.
-    Outside rows are not de-duplicated (as in the reference). All three inputs are
-    converted to exact 1e-9 units (weights from ``build_item_item_graph`` convert
-    back without loss), summed as integers, and returned as DOUBLE.
+    Outside rows are not de-duplicated (as in the reference). Sums are exact: the
+    ``weight_units`` / ``overall_units`` of ``build_item_item_graph`` are used where there
+    are any, other weights become units. Results carry units and DOUBLE weights.
     Returns ``(ii_links_combined, item_weights_combined)``.
     """
-    outside = ii_links_not_weighted.select("item_A", "item_B", to_units("weight").alias("__o"))
+    exact = lambda df, unit, weight: F.col(unit) if unit in df.columns else to_units(weight)
+    outside = ii_links_not_weighted.select(
+        "item_A", "item_B", exact(ii_links_not_weighted, "weight_units", "weight").alias("__o")
+    )
     extra = outside.groupBy(F.col("item_A").alias("item")).agg(F.sum("__o").alias("__ox"))
-    iw = item_weights.select("item", to_units("overall_weight").alias("__ow"))
+    iw = item_weights.select("item", exact(item_weights, "overall_units", "overall_weight").alias("__ow"))
     zero = F.lit(0).cast(LongType())
     total = F.coalesce(F.col("__ow"), zero) + F.coalesce(F.col("__ox"), zero)
-    item_weights_combined = iw.join(extra, "item", "full_outer").select(
-        "item", units_to_double(F.greatest(total, zero)).alias("overall_weight")
+    item_weights_combined = (
+        iw.join(extra, "item", "full_outer")
+        .select("item", F.greatest(total, zero).alias("overall_units"))
+        .select("item", units_to_double("overall_units").alias("overall_weight"), "overall_units")
+    )
+    lw = ii_links_weighted.select(
+        "item_A", "item_B", exact(ii_links_weighted, "weight_units", "weight").alias("__lw")
     )
-    lw = ii_links_weighted.select("item_A", "item_B", to_units("weight").alias("__lw"))
     # FULL OUTER JOIN on (item_A, item_B), written as two joins AQE can split when one
     # outside pair is hot (it cannot split a full outer join): every outside row with
     # its link weight (left outer, outside on the streamed side), plus the links that
-    # no outside row names (anti join against the de-duplicated outside keys).
-    keys = outside.select("item_A", "item_B").distinct()
+    # no outside row names (anti join; repeated outside keys do no harm there).
     with_outside = outside.join(lw, ["item_A", "item_B"], "left")
-    links_alone = lw.join(keys, ["item_A", "item_B"], "left_anti").withColumn("__o", F.lit(None).cast(LongType()))
+    links_alone = lw.join(outside.select("item_A", "item_B"), ["item_A", "item_B"], "left_anti").withColumn(
+        "__o", F.lit(None).cast(LongType())
+    )
     lsum = F.coalesce(F.col("__lw"), zero) + F.coalesce(F.col("__o"), zero)
     links_combined = (
         with_outside.unionByName(links_alone)
-        .select("item_A", "item_B", lsum.alias("__u"))
-        .where(F.col("__u") > zero)
-        .select("item_A", "item_B", units_to_double("__u").alias("weight"))
+        .select("item_A", "item_B", lsum.alias("weight_units"))
+        .where(F.col("weight_units") > zero)
+        .select("item_A", "item_B", units_to_double("weight_units").alias("weight"), "weight_units")
     )
     return links_combined, item_weights_combined
 
 
 # --------------------------------------------------------------------------- M11
 
-def diversify_item_item_links(
-    ii_links: DataFrame, metadata: DataFrame, max_rank: int | None = None
-) -> DataFrame:
+def diversify_item_item_links(ii_links: DataFrame, metadata: DataFrame, stage: bool = True) -> DataFrame:
     """Divide each link's weight by its rank among item_A's links whose target shares a
     metadata value. Links to items without metadata are dropped; an item with two
-    metadata rows yields two links. ``raw_weight`` is unchanged.
+    metadata rows yields two links. ``raw_weight`` is unchanged. Every rank counts, of
+    weights of either sign, and no group is ranked in one task (``rank_by_global_sort``).
 
-    ``max_rank`` keeps only ranks ``<= max_rank``. Inside one (item_A, metadata) group the
-    adjusted weights ``w_r / r`` strictly decrease with r, so a row ranked beyond n has n
-    larger rows of the same item_A: it can never enter item_A's n nearest neighbours.
-    Passing the neighbourhood size is therefore exact for the path search, and lets
-    Spark apply a partial group limit instead of ranking a whole hot group in one task.
+    ``stage`` writes the links first: what comes out of a join on the target item, as the
+    Bayes adjustment does, would be joined again on the same partitioning, which Spark
+    cannot split when one target is hot. A written table is dealt out anew.
     """
     _require(metadata, ["item", "metadata_field"], "metadata")
     md = metadata.select(F.col("item").alias("item_B"), "metadata_field")
-    j = ii_links.join(md, "item_B")
+    links = write_stage(ii_links, "links_to_diversify") if stage else ii_links
+    j = links.join(md, "item_B")
     order = [F.col("weight").desc(), F.col("item_B").asc()]
-    if max_rank is None:
-        # Every rank is wanted: rank without sending a whole (item, metadata) group to one task.
-        r = rank_by_global_sort(j, ["item_A", "metadata_field"], order, "__fr")
-    else:
-        r = top_n_per_group(j, ["item_A", "metadata_field"], order, max_rank, "__fr")
+    r = rank_by_global_sort(j, ["item_A", "metadata_field"], order, "__fr")
     return r.select(
         "item_A",
         "item_B",
@@ -402,15 +448,12 @@ def remove_bots(signals: DataFrame, threshold: int) -> DataFrame:
 
     Rows are counted as they are (duplicates and NULL items included). The count is a
     partially aggregated ``groupBy(user)``; the semi join keeps every input column and
-    drops NULL users. A hot user's rows are split by AQE's skew handling of the semi join.
+    drops NULL users. The users to keep are written to the shared checkpoint folder, so
+    both sides of the join are plain tables and Spark can split a hot user's rows.
     """
     counts = signals.groupBy("user").agg(F.count(F.lit(1)).alias("__n"))
     normal = counts.where(F.col("user").isNotNull() & (F.col("__n") < F.lit(int(threshold)))).select("user")
-    return signals.join(normal, "user", "left_semi")
-
-
-def null_link_data():
-    return F.lit(None).cast(LINK_DATA_TYPE)
+    return signals.join(write_stage(normal, "normal_users"), "user", "left_semi")
 
 
 __all__ = [
@@ -418,6 +461,10 @@ __all__ = [
     "aggregate_user_items",
     "scaled_pairs",
     "graph_from_user_items",
+    "IdGraph",
+    "id_graph",
+    "encode_pairs",
+    "decode_recs",
     "LINK_DATA_TYPE",
     "scale_user_item_signals",
     "item_popularity",
@@ -430,5 +477,4 @@ __all__ = [
     "diversify_item_item_links",
     "add_metadata_to_item_item_links",
     "remove_bots",
-    "null_link_data",
 ]

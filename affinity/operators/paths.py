@@ -10,6 +10,8 @@ Ties are broken totally so that every engine returns the same rows:
 prune by (dist, item_B); best path by (dist, direct first, linking item);
 final rank by (dist, item_B).
 
+Items may be strings or ids in item order; the same rows come out.
+
 Scale notes
 -----------
 * Pruning is ``row_number() <= nhood`` (partial group limit before the shuffle).
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType
 
 from affinity.functions import reciprocal, top_n_per_group
 from affinity.operators.graph import LINK_DATA_TYPE, _require
@@ -32,9 +34,10 @@ from affinity.session import write_stage
 
 
 def _items(df: DataFrame, name: str) -> DataFrame:
-    """A de-duplicated single-column item list renamed to ``name``."""
+    """A single-column item list renamed to ``name``, for semi joins (repeats do no harm, and
+    without an aggregate Spark can split a hot item)."""
     col = "item" if "item" in df.columns else df.columns[0]
-    return df.select(F.col(col).alias(name)).where(F.col(name).isNotNull()).distinct()
+    return df.select(F.col(col).alias(name)).where(F.col(name).isNotNull())
 
 
 def distance_graph(ii_links: DataFrame, initial_nhood_size: int, detail: bool = False) -> DataFrame:
@@ -112,7 +115,7 @@ def item_recs_from_graph(
         "dist",
         "raw_weight",
         F.lit(0).alias("__hop"),
-        F.lit(None).cast(StringType()).alias("linking_item"),
+        F.lit(None).cast(g.schema["item_B"].dataType).alias("linking_item"),
     ]
     if detail:
         direct_cols.append("link_data")

@@ -11,6 +11,8 @@ Signals are first reduced to the greatest weight per (user, item): the score is
 monotone in the signal weight, so this keeps the same winner (ties of clamped scores
 go to the greatest signal weight) while the join input shrinks to distinct pairs.
 
+Signals without a user or item are dropped: a recommendation for no one cannot be shown.
+
 Scale notes
 -----------
 * Candidate generation joins signals to at most ``num_recs`` recs per item; a hot item

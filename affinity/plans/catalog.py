@@ -10,13 +10,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from affinity.functions import to_double, units_to_double
 from affinity.operators import (
     add_metadata_to_item_item_links,
     adjust_item_item_graph_weight,
     build_item_item_graph,
-    build_user_item_recs,
     cap_links_per_user,
     direct_item_recs,
     diversify_item_item_links,
@@ -27,8 +27,9 @@ from affinity.operators import (
     scale_user_item_signals,
     sum_item_item_signals,
 )
-from affinity.params import PARAMS_E, PARAMS_T, RecParams
+from affinity.params import PARAMS_E, PARAMS_T, PATH_NHOOD, RecParams
 from affinity.plans import pipelines
+from affinity.plans.job import run_job
 from affinity.session import scratch_path
 from affinity.sources import (
     BOT_THRESHOLD,
@@ -49,15 +50,28 @@ from affinity.sources import (
     store_text,
     wishlist_signals,
 )
-from affinity.sources.json_io import inventory_metadata
+from affinity.sources.json_io import inventory_in_stock, inventory_metadata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 REC_COLS = ["item_A", "item_B", "weight", "raw_weight", "rank"]
 
+def _schema(*fields: str) -> StructType:
+    out = StructType()
+    for f in fields:
+        out = out.add(*f.split(" "))
+    return out
+
+
+ITEM_REC_SCHEMA = _schema("item_A string", "item_B string", "weight double", "raw_weight double", "rank integer")
+USER_REC_SCHEMA = _schema(
+    "user string", "item string", "weight double", "reason_item string", "user_reason_item_weight double",
+    "item_reason_item_weight double", "rank integer",
+)
+
 T, E = PARAMS_T, PARAMS_E
 N = T.num_recs_per_item
-NH = T.initial_nhood_size
+NH = PATH_NHOOD
 
 
 def _dbl(df: DataFrame, *cols: str) -> DataFrame:
@@ -75,6 +89,10 @@ def _bayes(spark: SparkSession, sf: str, p: RecParams = T) -> DataFrame:
     return adjust_item_item_graph_weight(links, iw, p.bayesian_prior)
 
 
+def _path_recs(spark: SparkSession, sf: str) -> DataFrame:
+    return pipelines.item_item_recs(signals_tpch(spark, sf), T.with_(initial_nhood_size=NH))
+
+
 def _explode_link_data(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(*keep, F.explode("link_data").alias("signal_type", "n"))
 
@@ -87,19 +105,7 @@ def q_signals_union(spark, sf):
 
 def q_json_signals(spark, sf):
     """Write purchase/wishlist records as JSON lines, read back with declared schemas."""
-    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag")
-    od = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    j = li.join(od, li["l_orderkey"] == od["o_orderkey"])
-    rec = [
-        F.col("l_linenumber").cast("int").alias("row_id"),
-        F.col("l_partkey").cast("string").alias("movie_id"),
-        F.col("l_partkey").cast("string").alias("movie_name"),
-        F.col("o_custkey").cast("string").alias("user_id"),
-    ]
-    p_path, w_path = scratch_path(spark, "purchases"), scratch_path(spark, "wishlists")
-    j.where(F.col("l_returnflag") != "R").select(*rec, F.col("l_quantity").cast("int").alias("purchase_price")) \
-        .write.mode("overwrite").json(p_path)
-    j.where(F.col("l_returnflag") == "R").select(*rec).write.mode("overwrite").json(w_path)
+    p_path, w_path = _json_signals(spark, sf)
     return purchase_signals(load_purchases(spark, p_path)).unionByName(
         wishlist_signals(load_wishlists(spark, w_path))
     )
@@ -117,9 +123,28 @@ def q_explode_metadata(spark, sf):
     return inventory_metadata(load_inventory(spark, path))
 
 
+def awkward_titles(item):
+    """Item strings with leading and trailing blanks, quotes, tabs, line ends, backslashes, empty and NULL."""
+    n = item.cast("long") % 8
+    titles = [
+        F.concat(F.lit("  "), item, F.lit(" ")),
+        F.concat(F.lit('"'), item, F.lit('" \'x\'')),
+        F.concat(item, F.lit("\t"), item),
+        F.concat(item, F.lit("\n"), item, F.lit("\r")),
+        F.concat(F.lit("\\t\\N\\"), item),
+        F.lit(""),
+        F.lit(None).cast("string"),
+    ]
+    out = item
+    for k, t in enumerate(titles):
+        out = F.when(n == k, t).otherwise(out)
+    return out
+
+
 def q_text_sink_roundtrip(spark, sf):
-    """Store item recs as tab text and Parquet (twice, overwriting), read the text back."""
+    """Store item recs with awkward titles as Parquet and tab text (twice, overwriting), read the text back."""
     recs = pipelines.item_item_recs(signals_tpch(spark, sf), T)
+    recs = recs.withColumns({"title_A": awkward_titles(F.col("item_A")), "title_B": awkward_titles(F.col("item_B"))})
     staged = scratch_path(spark, "ii_recs_parquet")
     store_parquet(recs, staged)
     store_parquet(recs, staged)
@@ -130,6 +155,42 @@ def q_text_sink_roundtrip(spark, sf):
     return load_text(spark, text, table.schema)
 
 
+def _json_signals(spark, sf) -> tuple[str, str]:
+    """Purchase and wishlist records as JSON lines in the scratch folder; returns the two paths."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag")
+    od = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    j = li.join(od, li["l_orderkey"] == od["o_orderkey"])
+    rec = [
+        F.col("l_linenumber").cast("int").alias("row_id"),
+        F.col("l_partkey").cast("string").alias("movie_id"),
+        F.col("l_partkey").cast("string").alias("movie_name"),
+        F.col("o_custkey").cast("string").alias("user_id"),
+    ]
+    p_path, w_path = scratch_path(spark, "purchases"), scratch_path(spark, "wishlists")
+    bought = j.where(F.col("l_returnflag") != "R").select(*rec, F.col("l_quantity").cast("int").alias("purchase_price"))
+    bought.write.mode("overwrite").json(p_path)
+    j.where(F.col("l_returnflag") == "R").select(*rec).write.mode("overwrite").json(w_path)
+    return p_path, w_path
+
+
+def q_example_job(spark, sf):
+    """The whole job: JSON in, both recommendations stored as text, read back."""
+    paths = run_job(spark, *_json_signals(spark, sf), scratch_path(spark, "example_job"), T)
+    ii = load_text(spark, paths["item_item_recommendation"], ITEM_REC_SCHEMA)
+    ui = load_text(spark, paths["user_item_recommendation"], USER_REC_SCHEMA)
+    null = F.lit(None).cast("double").alias("reason_weight")
+    return ii.select(
+        F.lit("item").alias("kind"), F.col("item_A").alias("key"), F.col("item_B").alias("item"), "weight",
+        F.lit(None).cast("string").alias("reason"), null, "raw_weight", "rank",
+    ).unionByName(
+        ui.select(
+            F.lit("user").alias("kind"), F.col("user").alias("key"), "item", "weight", F.col("reason_item").alias("reason"),
+            F.col("user_reason_item_weight").alias("reason_weight"),
+            F.col("item_reason_item_weight").alias("raw_weight"), "rank",
+        )
+    )
+
+
 # ----------------------------------------------------------------------------- graph
 
 def q_remove_bots(spark, sf):
@@ -142,7 +203,7 @@ def q_ui_scaled(spark, sf):
 
 
 def q_item_weights(spark, sf):
-    return _graph(spark, sf)[1]
+    return _graph(spark, sf)[1].select("item", "overall_weight")
 
 
 def q_top_links_per_user(spark, sf):
@@ -152,7 +213,7 @@ def q_top_links_per_user(spark, sf):
 
 
 def q_item_item_links(spark, sf):
-    return _dbl(_graph(spark, sf)[0], "weight")
+    return _graph(spark, sf)[0].select("item_A", "item_B", "weight")
 
 
 def q_bayes_links(spark, sf):
@@ -182,11 +243,11 @@ def _summed(spark, sf):
 
 
 def q_sum_item_item_links(spark, sf):
-    return _dbl(_summed(spark, sf)[0], "weight")
+    return _summed(spark, sf)[0].select("item_A", "item_B", "weight")
 
 
 def q_sum_item_item_weights(spark, sf):
-    return _dbl(_summed(spark, sf)[1], "overall_weight")
+    return _summed(spark, sf)[1].select("item", "overall_weight")
 
 
 def q_direct_recs(spark, sf):
@@ -202,7 +263,7 @@ def q_paths_seed(spark, sf):
 
 
 def q_path_recs(spark, sf):
-    return item_recs_from_graph(_bayes(spark, sf), NH, N)
+    return _path_recs(spark, sf)
 
 
 def q_available_graph(spark, sf):
@@ -273,12 +334,25 @@ def q_item_item_recs_available(spark, sf):
     )
 
 
+def q_item_item_recs_in_stock(spark, sf):
+    """Only items in stock are recommended; the stock comes from an inventory in JSON lines."""
+    part = read_table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
+    path = scratch_path(spark, "inventory")
+    part.select(
+        F.split("p_name", " ").alias("genres"),
+        F.col("p_partkey").cast("string").alias("movie_title"),
+        (F.col("p_size") % 4).cast("long").alias("stock"),
+    ).write.mode("overwrite").json(path)
+    in_stock = inventory_in_stock(load_inventory(spark, path))
+    return pipelines.item_item_recs_available(signals_tpch(spark, sf), None, in_stock, T)
+
+
 def q_item_item_recs_pop_boost(spark, sf):
     return pipelines.item_item_recs_pop_boost(signals_tpch(spark, sf), T, "SQRT")
 
 
 def q_item_item_recs_events(spark, sf):
-    return pipelines.item_item_recs(signals_events(spark, sf), E, nhood=E.initial_nhood_size)
+    return pipelines.item_item_recs(signals_events(spark, sf), E)
 
 
 # ----------------------------------------------------------------------------- user recs
@@ -286,8 +360,7 @@ def q_item_item_recs_events(spark, sf):
 def _refine(diverse: bool) -> Query:
     def q(spark, sf):
         sig = signals_tpch(spark, sf)
-        recs = item_recs_from_graph(_bayes(spark, sf), NH, N)
-        return build_user_item_recs(sig, recs, T.num_recs_per_user, diverse)
+        return pipelines.user_item_recs(sig, _path_recs(spark, sf), T.with_(diversity_adjust=diverse))
 
     return q
 
@@ -297,7 +370,7 @@ def q_user_item_recs(spark, sf):
 
 
 def q_user_item_recs_signed(spark, sf):
-    return pipelines.recommend(signals_events(spark, sf, signed=True), E, nhood=E.initial_nhood_size)[1]
+    return pipelines.recommend(signals_events(spark, sf, signed=True), E)[1]
 
 
 QUERIES: dict[str, Query] = {
@@ -335,10 +408,12 @@ QUERIES: dict[str, Query] = {
     "item_item_recs_add_signals": q_item_item_recs_add_signals,
     "item_item_recs_diversified": q_item_item_recs_diversified,
     "item_item_recs_available": q_item_item_recs_available,
+    "item_item_recs_in_stock": q_item_item_recs_in_stock,
     "item_item_recs_pop_boost": q_item_item_recs_pop_boost,
     "item_item_recs_events": q_item_item_recs_events,
     "refine_user_recs": _refine(False),
     "refine_user_recs_diverse": _refine(True),
     "user_item_recs_signed": q_user_item_recs_signed,
     "user_item_recs": q_user_item_recs,
+    "example_job": q_example_job,
 }

@@ -1,8 +1,8 @@
 """The example job (M25): JSON signals -> item recs -> user recs -> stored output.
 
-Item recs are stored first and the user step reads them back from storage, so it
-starts from a materialised table: no replay of the pair expansion, and a short
-lineage if an executor is lost. Old output is replaced.
+The signals are read and aggregated once (``pipelines.recommend``). The user step reads the
+item recs from a staged Parquet table; the outputs are written last, replace old ones, and
+feed nothing. The staged tables are deleted when the job ends.
 """
 
 from __future__ import annotations
@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from affinity.params import RecParams
-from affinity.plans.pipelines import item_item_recs, user_item_recs
+from affinity.plans.pipelines import recommend
+from affinity.session import temporary_stages
 from affinity.sources import (
     load_purchases,
-    load_text,
     load_wishlists,
     purchase_signals,
     store_parquet,
@@ -41,13 +41,9 @@ def run_job(
         "item_item_recommendation": f"{base}/item_item_recommendation",
         "user_item_recommendation": f"{base}/user_item_recommendation",
     }
-    ii = item_item_recs(signals, params)
-    if fmt == "text":
-        store_text(ii, paths["item_item_recommendation"])
-        stored = load_text(spark, paths["item_item_recommendation"], ii.schema)
-    else:
-        store_parquet(ii, paths["item_item_recommendation"])
-        stored = spark.read.parquet(paths["item_item_recommendation"])
-    ui = user_item_recs(signals, stored, params)
-    (store_text if fmt == "text" else store_parquet)(ui, paths["user_item_recommendation"])
+    store = store_text if fmt == "text" else store_parquet
+    with temporary_stages(spark):
+        item_recs, user_recs = recommend(signals, params)
+        store(item_recs, paths["item_item_recommendation"])
+        store(user_recs, paths["user_item_recommendation"])
     return paths

@@ -10,7 +10,7 @@ plain join. Numeric policy matches the Spark side: scaled weights are exact BIGI
 
 from __future__ import annotations
 
-from affinity.params import PARAMS_E, PARAMS_T, RecParams
+from affinity.params import PARAMS_E, PARAMS_T, PATH_NHOOD, RecParams
 
 
 def _num(x: float) -> str:
@@ -134,18 +134,18 @@ def ui_scaled(b: SqlBuilder, sig: str, p: RecParams, detail: bool = False) -> st
     if not detail:
         b.add(
             f"{name}_sum",
-            f"""SELECT "user", item, SUM(weight) AS w FROM {sig}
+            f"""SELECT "user", item, {dbl(f"CAST(SUM({units('weight')}) AS BIGINT)")} AS w FROM {sig}
 WHERE "user" IS NOT NULL AND item IS NOT NULL GROUP BY "user", item""",
         )
     else:
         b.add(
             f"{name}_types",
-            f"""SELECT "user", item, signal_type, SUM(weight) AS wt, COUNT(*) AS n FROM {sig}
+            f"""SELECT "user", item, signal_type, SUM({units('weight')}) AS wt, COUNT(*) AS n FROM {sig}
 WHERE "user" IS NOT NULL AND item IS NOT NULL GROUP BY "user", item, signal_type""",
         )
         b.add(
             f"{name}_sum",
-            f"""SELECT "user", item, SUM(wt) AS w FROM {name}_types GROUP BY "user", item""",
+            f"""SELECT "user", item, {dbl("CAST(SUM(wt) AS BIGINT)")} AS w FROM {name}_types GROUP BY "user", item""",
         )
     return b.add(
         name,
@@ -199,7 +199,7 @@ class Graph:
             types = b.add(
                 f"types_{self.ui}",
                 f"""SELECT "user", item, signal_type, n FROM {self.ui}_types
-WHERE signal_type IS NOT NULL AND signal_type <> 'NUM_USERS'""",
+WHERE signal_type IS NOT NULL""",
             )
             b.add(
                 f"ld_{self.ui}",
@@ -443,7 +443,7 @@ FROM {g.links} l JOIN {md} ma ON ma.item = l.item_A JOIN {md} mb ON mb.item = l.
   FROM {bayes(b)} a WHERE weight IS NOT NULL
 ) WHERE rn <= {N}"""
     )
-    nh = T.initial_nhood_size
+    nh = PATH_NHOOD
     out["graph_pruned"] = _q(lambda b: f"SELECT item_A, item_B, dist, raw_weight FROM {prune(b, bayes(b), nh)}")
     out["paths_seed"] = _q(
         lambda b: f"SELECT item_A, item_B, dist, raw_weight FROM {paths_seed(b, prune(b, bayes(b), nh))}"
@@ -507,7 +507,17 @@ LEFT JOIN {g.link_data} d ON d.item_A = r.item_A AND d.item_B = r.item_B AND d.s
 
     # composed recommenders (neighbourhood = number of recs, as the reference passes them)
     out["item_item_recs"] = _q(lambda b: f"SELECT {REC_COLS} FROM {path_recs(b, bayes(b), N, N)}")
-    out["text_sink_roundtrip"] = out["item_item_recs"]
+
+    def title(c):
+        n = f"CAST({c} AS BIGINT) % 8"
+        return f"""CASE {n} WHEN 0 THEN '  ' || {c} || ' ' WHEN 1 THEN '"' || {c} || '" ''x'''
+       WHEN 2 THEN {c} || chr(9) || {c} WHEN 3 THEN {c} || chr(10) || {c} || chr(13)
+       WHEN 4 THEN chr(92) || 't' || chr(92) || 'N' || chr(92) || {c} WHEN 5 THEN '' WHEN 6 THEN NULL ELSE {c} END"""
+
+    out["text_sink_roundtrip"] = _q(
+        lambda b: f"SELECT {REC_COLS}, {title('item_A')} AS title_A, {title('item_B')} AS title_B "
+        f"FROM {path_recs(b, bayes(b), N, N)}"
+    )
     out["item_item_recs_add_signals"] = _q(
         lambda b: (
             lambda g, s: f"""SELECT {REC_COLS} FROM {path_recs(b, adjust(b, s[0], s[1], T), N, N)}
@@ -520,6 +530,19 @@ WHERE item_A IS NOT NULL AND item_B IS NOT NULL AND weight IS NOT NULL AND "rank
     out["item_item_recs_available"] = _q(
         lambda b: f"SELECT {REC_COLS} FROM {path_recs(b, bayes(b), N, N, source_items(b), dest_items(b))}"
     )
+    out["item_item_recs_in_stock"] = _q(
+        lambda b: "SELECT {} FROM {}".format(
+            REC_COLS,
+            path_recs(
+                b,
+                bayes(b),
+                N,
+                N,
+                None,
+                b.add("in_stock", "SELECT CAST(p_partkey AS VARCHAR) AS item FROM part WHERE p_size % 4 > 0"),
+            ),
+        )
+    )
     out["item_item_recs_pop_boost"] = _q(
         lambda b: (
             lambda g: f"SELECT {REC_COLS} FROM {path_recs(b, adjust(b, g.links, g.iw, T, 'SQRT'), N, N)}"
@@ -537,6 +560,16 @@ WHERE item_A IS NOT NULL AND item_B IS NOT NULL AND weight IS NOT NULL AND "rank
         lambda b: f"SELECT {UREC_COLS} FROM {user_recs(b, signals_tpch(b), path_recs(b, bayes(b), N, N), T, False)}"
     )
 
+    def example_job(b):
+        recs = path_recs(b, bayes(b), N, N)
+        users = user_recs(b, signals_tpch(b), recs, T, False)
+        return f"""SELECT 'item' AS kind, item_A AS key, item_B AS item, weight, CAST(NULL AS VARCHAR) AS reason,
+       CAST(NULL AS DOUBLE) AS reason_weight, raw_weight, "rank" FROM {recs}
+UNION ALL
+SELECT 'user', "user", item, weight, reason_item, user_reason_item_weight, item_reason_item_weight, "rank" FROM {users}"""
+
+    out["example_job"] = _q(example_job)
+
     def events_recs(b, signed):
         sig = signals_events(b, signed)
         g = Graph(b, sig, E)

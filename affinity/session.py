@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -56,13 +59,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant folder; it is
-    only read here. Only when it is unset (local tests) a folder is created and set.
+    only read here. Only when it is unset in a local session (tests) a folder is created and
+    set; with executors on other machines an unset folder is an error, because each would
+    write to its own disk.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             d = tempfile.mkdtemp(prefix="affinity-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
@@ -90,6 +97,29 @@ def write_stage(df, name: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    for paths in _recording:
+        paths.append(path)
     df.write.mode("overwrite").parquet(path)
     # The schema is known: reading it back needs no footer inference.
     return spark.read.schema(df.schema).parquet(path)
+
+
+_recording: list[list[str]] = []
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``write_stage`` writes inside the block when it ends.
+
+    For jobs that store their results before the end; a DataFrame that is still to be read
+    from staged tables must not outlive the block.
+    """
+    paths: list[str] = []
+    _recording.append(paths)
+    try:
+        yield
+    finally:
+        _recording.remove(paths)
+        for p in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -39,7 +39,9 @@ WISHLIST_WEIGHT = 0.5
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    """A line that is no JSON object of the schema fails the read, rather than vanish later as
+    a row of NULLs. Missing fields are NULL and unknown ones are ignored."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def load_purchases(spark: SparkSession, path: str) -> DataFrame:

@@ -24,11 +24,11 @@ def units(x):
 def brute_force(signals, p: RecParams, diversity: bool):
     k = p.logistic_param
     min_u = units(p.min_link_weight)
-    tot, mx = defaultdict(float), {}
+    tot, mx = defaultdict(int), {}
     for u, i, w in signals:
-        tot[(u, i)] += w
+        tot[(u, i)] += units(w)
         mx[(u, i)] = max(mx.get((u, i), w), w)
-    ui = {key: units(2.0 / (1.0 + math.exp(-k * w)) - 1.0) for key, w in tot.items()}
+    ui = {key: units(2.0 / (1.0 + math.exp(-k * (w / 1e9))) - 1.0) for key, w in tot.items()}
     pop = defaultdict(int)
     for (u, i), s in ui.items():
         pop[i] += s
@@ -125,7 +125,7 @@ def test_pipeline_matches_brute_force(spark, seed, diversity):
     p = RecParams(0.5, 0.4, 6, 2.0, 4, 3, 5, diversity)
     rows = make_signals(seed)
     sig = spark.createDataFrame(rows, "user string, item string, weight double")
-    item_recs, user_recs = pipelines.recommend(sig, p, nhood=p.initial_nhood_size)
+    item_recs, user_recs = pipelines.recommend(sig, p)
     want_items, want_users = brute_force(rows, p, diversity)
     got_items = {tuple(r) for r in item_recs.collect()}
     got_users = {tuple(r) for r in user_recs.collect()}

@@ -222,7 +222,7 @@ def test_link_data_sums_types_and_counts_users(spark):
     s = signals_df(
         spark,
         [("u1", "i1", 1.0, "a"), ("u1", "i2", 1.0, "b"), ("u2", "i1", 1.0, "a"), ("u2", "i2", 1.0, "a"),
-         ("u2", "i2", 0.0, "NUM_USERS")],
+         ("u2", "i2", 0.0, None)],
         with_type=True,
     )
     links, _ = build_item_item_graph(s, 0.5, 0.1, 10, detail=True)
@@ -238,15 +238,68 @@ def test_popularity_boost_rejects_unknown_function(spark):
         adjust_item_item_graph_weight(links, iw, 4.0, "CUBE")
 
 
-def test_bounded_diversify_gives_same_path_recs(spark):
-    rows_in = [("A", f"B{i}", 1.0 / (i + 1), 1.0) for i in range(8)] + [("A", "C", 0.05, 1.0)]
-    g = links_df(spark, rows_in)
-    md = spark.createDataFrame(
-        [(f"B{i}", "x") for i in range(8)] + [("C", "y"), ("B0", "y")], "item string, metadata_field string"
-    )
-    full = item_recs_from_graph(diversify_item_item_links(g, md), 3, 3)
-    bounded = item_recs_from_graph(diversify_item_item_links(g, md, max_rank=3), 3, 3)
-    assert sorted(tuple(r) for r in full.collect()) == sorted(tuple(r) for r in bounded.collect())
+def test_reserved_signal_type_is_an_error(spark):
+    s = signals_df(spark, [("u1", "i1", 1.0, "NUM_USERS")], with_type=True)
+    with pytest.raises(Exception, match="reserved"):
+        build_item_item_graph(s, 0.5, 0.1, 10, detail=True)
+
+
+def test_diversify_ranks_weights_of_either_sign(spark):
+    g = links_df(spark, [("A", "B", 1.0, 1.0), ("A", "C", -0.5, 1.0), ("A", "D", -4.0, 1.0)])
+    md = spark.createDataFrame([(i, "x") for i in "BCD"], "item string, metadata_field string")
+    got = diversify_item_item_links(g, md)
+    assert rows(got, "item_B", "weight") == [("B", 1.0), ("C", -0.25), ("D", -4.0 / 3.0)]
+    # The nearest neighbour has the smallest distance, which a negative weight gives.
+    assert rows(item_recs_from_graph(got, 1, 1), "item_B") == [("C",)]
+
+
+def test_sums_of_weights_that_binary_fractions_cannot_hold_are_exact(spark):
+    s = signals_df(spark, [(f"u{i % 3}", f"i{i % 4}", 0.1 + (i % 7) / 10) for i in range(2000)])
+    want = None
+    for parts in (1, 3, 16):
+        links, weights = build_item_item_graph(s.repartition(parts), 0.01, 0.0, 10)
+        got = rows(links, "item_A", "item_B", "weight_units"), rows(weights, "item", "overall_units")
+        want = want or got
+        assert got == want
+    total = sum(round((0.1 + (i % 7) / 10) * 1e9) for i in range(2000) if i % 3 == 0 and i % 4 == 0)
+    ui = {(r["user"], r["item"]): r["weight_units"] for r in scale_user_item_signals(s, 0.01).collect()}
+    assert ui["u0", "i0"] == logistic_units(total / 1e9, 0.01)
+
+
+def test_outside_signals_are_exact_beyond_double_precision(spark):
+    big = (1 << 55) + 1
+    links = spark.createDataFrame([("A", "B", 1.0, big)], "item_A string, item_B string, weight double, weight_units long")
+    iw = spark.createDataFrame([("A", 1.0, big)], "item string, overall_weight double, overall_units long")
+    outside = spark.createDataFrame([("A", "B", 0.000000002)], "item_A string, item_B string, weight double")
+    l2, iw2 = sum_item_item_signals(links, outside, iw)
+    assert rows(l2, "weight_units") == [(big + 2,)] and rows(iw2, "overall_units") == [(big + 2,)]
+
+
+def test_users_without_a_name_get_no_recommendations(spark):
+    recs = links_df(spark, [("A", "B", 0.5, 1.0)])
+    s = signals_df(spark, [(None, "A", 1.0), ("u", "A", 1.0), ("v", None, 1.0)])
+    assert rows(build_user_item_recs(s, recs, 5), "user", "item") == [("u", "B")]
+
+
+def test_neighbourhood_defaults_to_the_number_of_recs(spark):
+    from affinity.params import RecParams
+    from affinity.plans import pipelines
+
+    assert RecParams(num_recs_per_item=7).nhood == 7 and RecParams(initial_nhood_size=2).nhood == 2
+    s = signals_df(spark, [(f"u{i}", x, 1.0) for i in range(4) for x in "abcd"[: 2 + i % 3]])
+    p = RecParams(0.5, 0.0, 10, 1.0, 5, 1, 5)
+    narrow = {(r["item_A"], r["item_B"]) for r in pipelines.item_item_recs(s, p).collect() if r["raw_weight"] is not None}
+    assert len(narrow) == 4  # one direct neighbour each
+    wide = pipelines.item_item_recs(s, p.with_(initial_nhood_size=None)).where("raw_weight IS NOT NULL").count()
+    assert wide == 12
+
+
+def test_top_n_beyond_the_group_limit_threshold_keeps_its_partial_limit(spark):
+    from affinity.functions import top_n_per_group
+
+    df = spark.range(100_000).select((F.col("id") % 2).alias("g"), "id")
+    plan = top_n_per_group(df, ["g"], ["id"], 5000)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
 
 
 def test_duplicate_outside_rows_stay_separate_links(spark):

@@ -32,7 +32,7 @@ def test_per_user_cap_uses_partial_group_limit(spark):
 
 
 def test_path_search_reads_staged_graph(spark):
-    recs = pipelines.item_item_recs(signals_tpch(spark, SF_SMALL), PARAMS_T, nhood=3)
+    recs = pipelines.item_item_recs(signals_tpch(spark, SF_SMALL), PARAMS_T.with_(initial_nhood_size=3))
     p = plan(recs)
     assert "nhood_graph" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p

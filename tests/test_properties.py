@@ -26,7 +26,7 @@ def test_links_symmetric_and_no_self_links(spark):
 
 
 def test_item_recs_ranks_dense_bounded_and_monotone(spark):
-    recs = pipelines.item_item_recs(signals_tpch(spark, SF_SMALL), P, nhood=3).collect()
+    recs = pipelines.item_item_recs(signals_tpch(spark, SF_SMALL), P.with_(initial_nhood_size=3)).collect()
     by = {}
     for r in recs:
         by.setdefault(r["item_A"], []).append(r)
@@ -52,7 +52,7 @@ def test_raw_weight_null_iff_indirect(spark):
 
 def test_user_recs_never_recommend_seen_items(spark):
     sig = signals_tpch(spark, SF_SMALL)
-    recs = pipelines.item_item_recs(sig, P, nhood=3)
+    recs = pipelines.item_item_recs(sig, P.with_(initial_nhood_size=3))
     for div in (False, True):
         ui = build_user_item_recs(sig, recs, 10, div)
         seen = ui.join(sig.select("user", "item"), ["user", "item"], "left_semi")
@@ -65,9 +65,9 @@ def test_result_independent_of_shuffle_partitions(spark):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "3")
-        a = sorted(tuple(r) for r in pipelines.item_item_recs(sig, P, nhood=3).collect())
+        a = sorted(tuple(r) for r in pipelines.item_item_recs(sig, P.with_(initial_nhood_size=3)).collect())
         spark.conf.set("spark.sql.shuffle.partitions", "13")
-        b = sorted(tuple(r) for r in pipelines.item_item_recs(sig, P, nhood=3).collect())
+        b = sorted(tuple(r) for r in pipelines.item_item_recs(sig, P.with_(initial_nhood_size=3)).collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
@@ -76,8 +76,8 @@ def test_result_independent_of_shuffle_partitions(spark):
 def test_result_independent_of_input_order(spark):
     sig = signals_tpch(spark, SF_SMALL)
     shuffled = sig.orderBy(F.rand(7)).repartition(5)
-    a = sorted(tuple(r) for r in pipelines.item_item_recs(sig, P, nhood=3).collect())
-    b = sorted(tuple(r) for r in pipelines.item_item_recs(shuffled, P, nhood=3).collect())
+    a = sorted(tuple(r) for r in pipelines.item_item_recs(sig, P.with_(initial_nhood_size=3)).collect())
+    b = sorted(tuple(r) for r in pipelines.item_item_recs(shuffled, P.with_(initial_nhood_size=3)).collect())
     assert a == b
 
 

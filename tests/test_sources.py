@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from affinity.session import scratch_path
@@ -80,6 +81,65 @@ def test_text_and_parquet_sinks_overwrite(spark):
     assert sorted(tuple(r) for r in spark.read.parquet(q).collect()) == sorted(tuple(r) for r in df.collect())
 
 
+TITLES = [" a ", "", None, "tab\there", "line\nend\r", 'say "x"', "back\\slash \\N \\t", "\\N", "ü", "\t", "1,2"]
+
+
+def test_text_store_keeps_every_string(spark):
+    rows = [(t, u, 0.1 * i, None if i % 2 else i) for i, t in enumerate(TITLES) for u in (t, "x")]
+    df = spark.createDataFrame(rows, "a string, b string, w double, n int")
+    path = scratch_path(spark, "txt")
+    store_text(df, path)
+    back = load_text(spark, path, df.schema)
+    assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, rows))
+    assert len(spark.read.text(path).collect()) == len(rows)
+
+
+def test_bad_lines_are_errors(spark):
+    path = scratch_path(spark, "txt")
+    df = spark.createDataFrame([("a", "b")], "a string, b string")
+    store_text(df, path)
+    for schema in ("a string", "a string, n int"):
+        with pytest.raises(Exception, match="expected 1 fields|is no int"):
+            load_text(spark, path, spark.createDataFrame([], schema).schema).collect()
+    p = scratch_path(spark, "bad")
+    _write_lines(p, [{"row_id": 1, "movie_name": "A", "user_id": "u"}])
+    with open(os.path.join(_local(p), "part-1.json"), "w") as f:
+        f.write("{not json\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        load_purchases(spark, p).collect()
+
+
+def test_job_keeps_awkward_titles_and_leaves_no_staged_tables(spark):
+    from affinity.params import RecParams
+    from affinity.plans.job import run_job
+    from affinity.session import ensure_checkpoint_dir
+
+    base = _local(ensure_checkpoint_dir(spark))
+    p, w, out = (scratch_path(spark, n) for n in ("jp", "jw", "jout"))
+    titles = [" a ", "tab\there", "line\nend", 'say "x"']
+    buys = [(f"u{i}", t) for i in range(4) for t in titles[: 2 + i % 3]]
+    _write_lines(p, [{"row_id": i, "movie_name": m, "user_id": u} for i, (u, m) in enumerate(buys)])
+    _write_lines(w, [{"row_id": 99, "movie_name": titles[3], "user_id": "u3"}])
+    before = set(os.listdir(base))
+    paths = run_job(spark, p, w, out, RecParams(0.5, 0.0, 10, 1.0, 5, 5, 5))
+    assert set(os.listdir(base)) - before == {os.path.basename(out)}
+    schema = spark.createDataFrame([], "item_A string, item_B string, weight double, raw_weight double, rank int").schema
+    got = load_text(spark, paths["item_item_recommendation"], schema).collect()
+    assert {r["item_A"] for r in got} == set(titles) and len(got) == 12
+
+
+def test_unset_shared_folder_is_an_error_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from affinity.session import ensure_checkpoint_dir
+
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
+        sc = SimpleNamespace(getCheckpointDir=lambda: None, master=master)
+        fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d: d))
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(fake)
+
+
 def test_example_job_end_to_end(spark):
     from affinity.params import RecParams
     from affinity.plans.job import run_job
