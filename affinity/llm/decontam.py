@@ -101,6 +101,7 @@ def _index(batches: Iterator[pa.RecordBatch], vocab: dict[bytes, int], schema: p
             n_positions.append(len(at))
         yield pa.RecordBatch.from_arrays(
             [
+                batch.column("row"),
                 batch.column("doc_id"),
                 pa.array(n_words, pa.int64()),
                 lists(np.concatenate(terms).astype(np.int32), n_terms, pa.int32()),
@@ -222,20 +223,23 @@ def find_benchmark_matches(
     n_parts = int(size // part_chars) + 1
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), "text")
     doc_sql, doc_pa = _arrow_id(docs)
-    texts = docs.select("doc_id", "text")
+    # Several passes must agree on the rows, so the table is numbered and written first.
+    texts = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    if n_parts > 1:
+        texts = write_stage(texts, "numbered_documents")
     found = []
     for part in range(n_parts):
         chosen = items.where(F.pmod(F.xxhash64("i", "text"), F.lit(n_parts)) == part)
         w = Windows([(r["i"], (r["text"] or "").encode()) for r in chosen.collect()], window)
         index_schema = pa.schema(
-            [("doc_id", doc_pa), ("n_words", pa.int64())]
+            [("row", pa.int64()), ("doc_id", doc_pa), ("n_words", pa.int64())]
             + [(c, pa.list_(pa.int32())) for c in ("terms", "counts", "positions")]
         )
         index = write_stage(
             texts.mapInArrow(
                 lambda it, vocab=w.vocab, schema=index_schema: _index(it, vocab, schema),
-                f"doc_id {doc_sql}, n_words long, terms array<int>, counts array<int>, positions array<int>",
-            ).select("*", F.monotonically_increasing_id().alias("row")),
+                f"row long, doc_id {doc_sql}, n_words long, terms array<int>, counts array<int>, positions array<int>",
+            ),
             "postings",
         )
         counts = np.zeros(len(w.vocab), dtype=np.int64)
@@ -255,7 +259,6 @@ def find_benchmark_matches(
         )
     if len(found) == 1:
         return found[0].drop("row")
-    # Rows keep their number in every part: each pass deals the same splits out in the same order.
     merged = reduce(DataFrame.unionByName, found).groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
         F.max("n_words").alias("n_words"),
