@@ -16,9 +16,18 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import Observation  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from affinity.operators import (  # noqa: E402
+    adjust_item_item_graph_weight,
+    aggregate_user_items,
+    distance_graph,
+    id_graph,
+)
 from affinity.params import PARAMS_B, PARAMS_E  # noqa: E402
 from affinity.plans import pipelines  # noqa: E402
-from affinity.session import local_session  # noqa: E402
+from affinity.session import local_session, temporary_stages, write_stage  # noqa: E402
 from affinity.sources import (  # noqa: E402
     dest_items,
     item_item_signals,
@@ -29,8 +38,24 @@ from affinity.sources import (  # noqa: E402
 )
 
 
-def _run(df) -> None:
-    df.write.format("noop").mode("overwrite").save()
+def _run(df) -> int:
+    """Compute all rows and return their number, counted on the way."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+    return seen.get["rows"]
+
+
+def _shape(spark, sf_dir: str, p) -> dict[str, int]:
+    """Rows of each step of the item-item job (not timed)."""
+    user_items = write_stage(aggregate_user_items(signals_tpch(spark, sf_dir), p.logistic_param), "user_items")
+    g = id_graph(user_items, p.min_link_weight, p.max_links_per_user)
+    links = write_stage(adjust_item_item_graph_weight(g.links, g.weights, p.bayesian_prior), "links")
+    return {
+        "user_items": user_items.count(),
+        "items": g.items.count(),
+        "links": links.count(),
+        "pruned_graph": distance_graph(links, p.nhood).count(),
+    }
 
 
 def main() -> None:
@@ -57,36 +82,36 @@ def main() -> None:
     warmup = time.time() - t0
 
     def item_item_recs():
-        _run(pipelines.item_item_recs(signals_tpch(spark, sf_dir), P))
+        return _run(pipelines.item_item_recs(signals_tpch(spark, sf_dir), P))
 
     def user_item_recs():
         # The whole job: one pass over the signals, item recs staged, user recs from them.
-        _run(pipelines.recommend(signals_tpch(spark, sf_dir), P)[1])
+        return _run(pipelines.recommend(signals_tpch(spark, sf_dir), P)[1])
 
     def user_item_recs_diverse():
-        _run(pipelines.recommend(signals_tpch(spark, sf_dir), P.with_(diversity_adjust=True))[1])
+        return _run(pipelines.recommend(signals_tpch(spark, sf_dir), P.with_(diversity_adjust=True))[1])
 
     def item_item_recs_events():
-        _run(pipelines.item_item_recs(signals_events(spark, sf_dir), PARAMS_E, nhood=PARAMS_E.initial_nhood_size))
+        return _run(pipelines.item_item_recs(signals_events(spark, sf_dir), PARAMS_E))
 
     def item_item_recs_diversified():
-        _run(pipelines.item_item_recs_diversified(signals_tpch(spark, sf_dir), metadata_tpch(spark, sf_dir), P))
+        return _run(pipelines.item_item_recs_diversified(signals_tpch(spark, sf_dir), metadata_tpch(spark, sf_dir), P))
 
     def item_item_recs_available():
-        _run(
+        return _run(
             pipelines.item_item_recs_available(
                 signals_tpch(spark, sf_dir), source_items(spark, sf_dir), dest_items(spark, sf_dir), P
             )
         )
 
     def item_item_recs_add_signals():
-        _run(pipelines.item_item_recs_add_signals(signals_tpch(spark, sf_dir), item_item_signals(spark, sf_dir), P))
+        return _run(pipelines.item_item_recs_add_signals(signals_tpch(spark, sf_dir), item_item_signals(spark, sf_dir), P))
 
     def item_item_recs_pop_boost():
-        _run(pipelines.item_item_recs_pop_boost(signals_tpch(spark, sf_dir), P, "SQRT"))
+        return _run(pipelines.item_item_recs_pop_boost(signals_tpch(spark, sf_dir), P, "SQRT"))
 
     def item_item_recs_detailed():
-        _run(pipelines.item_item_recs_detailed(signals_tpch(spark, sf_dir), P))
+        return _run(pipelines.item_item_recs_detailed(signals_tpch(spark, sf_dir), P))
 
     jobs = [
         item_item_recs,
@@ -100,10 +125,15 @@ def main() -> None:
         item_item_recs_detailed,
     ]
     times: dict[str, float] = {}
+    rows: dict[str, int] = {}
     for job in jobs:
-        t0 = time.time()
-        job()
-        times[job.__name__] = round(time.time() - t0, 3)
+        with temporary_stages(spark):
+            t0 = time.time()
+            rows[job.__name__] = job()
+            times[job.__name__] = round(time.time() - t0, 3)
+    with temporary_stages(spark):
+        shape = _shape(spark, sf_dir, P)
+        indirect = pipelines.item_item_recs(signals_tpch(spark, sf_dir), P).where("raw_weight IS NULL").count()
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
@@ -113,7 +143,9 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
-        "params": "B: logistic 0.5, min link 0.5, cap 20, prior 4.0, nhood 10, 10 recs per item and user",
+        "params": "B: logistic 0.5, min link 0.25, cap 50, prior 4.0, nhood 10, 10 recs per item and user",
+        "rows": rows,
+        "steps": {**shape, "indirect_recs": indirect},
         "startup_sec": round(startup, 3),
         "warmup_sec": round(warmup, 3),
         "warmup": f"one item_item_recs run on {warm_dir}, excluded from value",
