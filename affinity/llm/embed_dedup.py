@@ -63,7 +63,12 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
         np.add.at(sums, own, x)
         norm = np.linalg.norm(sums, axis=1, keepdims=True)
         c = np.where(norm > 1e-12, sums / np.maximum(norm, 1e-12), c)
-    return np.unique(c, axis=0)
+    # Centres this close would part their vectors by a plane that rounding can move.
+    kept: list[np.ndarray] = []
+    for row in c:
+        if all(np.linalg.norm(row - k) > 1e-3 for k in kept):
+            kept.append(row)
+    return np.array(kept)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -100,7 +105,7 @@ def _cells(batches: Iterator[pa.RecordBatch], centres: dict, angle: float, schem
             near = x @ c.T
             home = near.argmax(axis=1)
             # The sine of the angle between a vector and the plane between two centres.
-            apart = np.linalg.norm(c[:, None, :] - c[None, :, :], axis=2)
+            apart = np.sqrt(np.maximum(2 - 2 * (c @ c.T), 0))
             sine = (near[np.arange(len(x)), home][:, None] - near) / np.maximum(apart[home], 1e-300)
             cells = np.arange(len(c))
             visit = (sine <= np.sin(angle) + 1e-9) & (cells[None, :] > home[:, None])
@@ -158,8 +163,12 @@ def _compare(table: pa.Table, threshold: float, schema: pa.Schema) -> pa.Table:
 
 
 def _fit(distinct: DataFrame, sample_rows: int, cell_rows: int, max_cells: int) -> dict:
-    """Centres of each (label, dims) that has more than one cell."""
-    sizes = {(r["label"], r["dims"]): r["count"] for r in distinct.groupBy("label", "dims").count().where(F.col("count") > cell_rows).collect()}
+    """Centres of each (label, dims) that has more than one cell; all together, at most ``sample_rows``.
+
+    Of more labels than there are sampled rows the largest are cut into cells; any other is one cell.
+    """
+    large = distinct.groupBy("label", "dims").count().where(F.col("count") > cell_rows)
+    sizes = {(r["label"], r["dims"]): r["count"] for r in large.orderBy(F.desc("count")).limit(sample_rows).collect()}
     if not sizes:
         return {}
     sample = distinct.orderBy(F.xxhash64("vector", "label")).limit(sample_rows).select("label", "dims", "vector").toArrow()
