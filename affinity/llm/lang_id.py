@@ -69,56 +69,63 @@ def trigram_counts(text: bytes) -> np.ndarray:
 def unit(counts: np.ndarray) -> np.ndarray:
     """Rows of square roots of counts, each of length one."""
     x = np.sqrt(counts)
-    return x / np.maximum(np.sqrt((x * x).sum(axis=-1, keepdims=True)), 1e-12)
+    x /= np.maximum(np.sqrt(np.einsum("...i,...i->...", x, x))[..., None], 1e-12)
+    return x
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, epochs: int = 30, tolerance: float = 0.01) -> np.ndarray:
+#: A document's features: the trigrams that it has, and how often.
+Sparse = tuple[np.ndarray, np.ndarray]
+
+
+def train_svm(rows: list[Sparse], y: np.ndarray, c: float = 1.0, epochs: int = 30, tolerance: float = 0.01) -> np.ndarray:
     """Linear SVM with squared hinge loss by dual coordinate descent; the last weight is the bias.
 
-    An epoch in which no gradient exceeds ``tolerance`` is the last.
+    Rows are (features, values) of unit length. An epoch in which no gradient exceeds
+    ``tolerance`` is the last.
     """
-    used = np.flatnonzero(x.any(axis=0))
-    full = np.zeros(x.shape[1] + 1)
-    x = np.ascontiguousarray(np.hstack([x[:, used], np.ones((len(x), 1))]))
-    w, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
+    rows = [(np.append(i, DIMS), np.append(x, 1.0)) for i, x in rows]
+    w, alpha = np.zeros(DIMS + 1), np.zeros(len(rows))
     # Both classes weigh the same.
     cost = c * len(y) / (2 * np.where(y > 0, (y > 0).sum(), (y < 0).sum()))
-    norm = (x * x).sum(axis=1) + 0.5 / cost
+    norm = np.array([x @ x for _, x in rows]) + 0.5 / cost
     order = np.random.default_rng(42)
     for _ in range(epochs):
         worst = 0.0
-        for i in order.permutation(len(x)):
-            gradient = y[i] * w.dot(x[i]) - 1 + alpha[i] * 0.5 / cost[i]
-            new = max(0.0, alpha[i] - gradient / norm[i])
-            if new != alpha[i]:
+        for k in order.permutation(len(rows)):
+            i, x = rows[k]
+            gradient = y[k] * w[i].dot(x) - 1 + alpha[k] * 0.5 / cost[k]
+            new = max(0.0, alpha[k] - gradient / norm[k])
+            if new != alpha[k]:
                 worst = max(worst, abs(gradient))
-                w += ((new - alpha[i]) * y[i]) * x[i]
-                alpha[i] = new
+                w[i] += ((new - alpha[k]) * y[k]) * x
+                alpha[k] = new
         if worst < tolerance:
             break
-    full[used], full[-1] = w[:-1], w[-1]
-    return full
+    return w
 
 
 class Discriminator:
     """Families by naive Bayes, the languages of a family by one-versus-one machines."""
 
-    def __init__(self, langs: list[str], counts: np.ndarray):
+    def __init__(self, langs: list[str], rows: list[Sparse]):
         self.langs = sorted(set(langs))
         self.families = sorted({family_of(x) for x in self.langs})
         self.members = [[i for i, x in enumerate(self.langs) if family_of(x) == f] for f in self.families]
         lang = np.array([self.langs.index(x) for x in langs], dtype=np.int64)
-        per_lang = np.stack([counts[lang == i].sum(axis=0) for i in range(len(self.langs))]).astype(float)
+        per_lang = np.zeros((len(self.langs), DIMS))
+        for k, (i, n) in zip(lang, rows):
+            per_lang[k, i] += n
         # Languages of a family weigh the same, so do families.
         per_lang /= np.maximum(per_lang.sum(axis=1, keepdims=True), 1)
-        self.log_p = np.stack([np.log(per_lang[m].mean(axis=0) + 1e-7) for m in self.members])
-        self.log_p -= np.log(np.exp(self.log_p).sum(axis=1, keepdims=True))
-        x = unit(counts)
+        log_p = np.stack([np.log(per_lang[m].mean(axis=0) + 1e-7) for m in self.members])
+        self.log_p = (log_p - np.log(np.exp(log_p).sum(axis=1, keepdims=True))).astype(np.float32)
+        units = [(i, np.sqrt(n) / max(np.sqrt(n.sum()), 1e-12)) for i, n in rows]
         self.machines = {}
         for m in self.members:
             for a, b in combinations(m, 2):
-                rows = (lang == a) | (lang == b)
-                self.machines[a, b] = train_svm(x[rows], np.where(lang[rows] == a, 1.0, -1.0)).astype(np.float32)
+                chosen = np.flatnonzero((lang == a) | (lang == b))
+                y = np.where(lang[chosen] == a, 1.0, -1.0)
+                self.machines[a, b] = train_svm([units[k] for k in chosen], y).astype(np.float32)
 
     def predict(self, counts: np.ndarray) -> tuple[list[str], np.ndarray]:
         """The language and a score from 0 to 1 of each row."""
@@ -127,7 +134,7 @@ class Discriminator:
         p /= p.sum(axis=1, keepdims=True)
         family = p.argmax(axis=1)
         score = p.max(axis=1)
-        x = unit(counts).astype(np.float32)
+        x = unit(counts)
         best = np.zeros(len(counts), dtype=np.int64)
         for f, m in enumerate(self.members):
             rows = np.flatnonzero(family == f)
@@ -194,28 +201,33 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Discriminator |
         chosen = chosen | ((F.col("lang") == lang) & (F.col("h") <= h))
     sample = keyed.where(chosen & F.col("text").isNotNull()).dropDuplicates(["lang", "h"])
     schema = pa.schema([("lang", pa.string()), ("i", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))])
-    rows = sample.select("lang", "text").mapInArrow(
+    found = sample.select("lang", "text").mapInArrow(
         lambda it: _features(it, schema), "lang string, i array<int>, n array<int>"
     )
-    table = rows.toArrow()
+    table = found.toArrow()
     if not table.num_rows:
         return None
-    counts = np.zeros((table.num_rows, DIMS), dtype=np.float32)
     langs = table.column("lang").to_pylist()
-    for k, (i, n) in enumerate(zip(table.column("i").to_pylist(), table.column("n").to_pylist())):
-        counts[k, i] = n
+    rows = [
+        (np.array(i, dtype=np.int64), np.array(n, dtype=np.float64))
+        for i, n in zip(table.column("i").to_pylist(), table.column("n").to_pylist())
+    ]
     # The order of rows in the sample must not matter.
-    order = sorted(range(len(langs)), key=lambda k: (langs[k], counts[k].tobytes()))
-    return Discriminator([langs[k] for k in order], counts[order])
+    order = sorted(range(len(langs)), key=lambda k: (langs[k], rows[k][0].tobytes(), rows[k][1].tobytes()))
+    return Discriminator([langs[k] for k in order], [rows[k] for k in order])
+
+
+#: Rows whose dense features a task holds at once.
+PREDICT_ROWS = 64
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Discriminator | None, schema: pa.Schema):
-    for batch in slices(batches):
+    for batch in slices(batches, PREDICT_ROWS):
         texts = utf8(batch, "text")
         known = [k for k, t in enumerate(texts) if model and t and _LETTER.search(t.decode())]
         lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         if known:
-            counts = np.stack([trigram_counts(texts[k]) for k in known]).astype(np.float32)
+            counts = np.stack([trigram_counts(texts[k]).astype(np.float32) for k in known])
             found, sure = model.predict(counts)
             score[known] = sure
             for k, x in zip(known, found):

@@ -301,7 +301,8 @@ def test_languages_of_one_family_by_votes():
     langs = [x for x in stems for _ in range(40)]
     texts = [" ".join(rng.choice(stems[x].split(), 12)).encode() for x in langs]
     counts = np.stack([trigram_counts(t) for t in texts]).astype(np.float32)
-    model = Discriminator(langs[::2], counts[::2])
+    sparse = [(np.flatnonzero(c), c[c > 0].astype(float)) for c in counts]
+    model = Discriminator(langs[::2], sparse[::2])
     assert model.predict(counts[1::2])[0] == langs[1::2]
 
 
