@@ -135,12 +135,6 @@ def cap_links_per_user(
     )
 
 
-def _pair_counts(a: str, b: str):
-    """Both items' type counts plus one ``NUM_USERS`` entry, as one array (summed later)."""
-    one_user = F.array(F.struct(F.lit(NUM_USERS_KEY).alias("k"), F.lit(1).cast("long").alias("n")))
-    return F.concat(F.col(a), F.col(b), one_user)
-
-
 def user_item_pairs(capped: DataFrame, detail: bool = False) -> DataFrame:
     """Each unordered pair of a user's items once: ``item_A < item_B``, weight ``least(w_A, w_B)``.
 
@@ -154,7 +148,7 @@ def user_item_pairs(capped: DataFrame, detail: bool = False) -> DataFrame:
     p = u.join(v, "user").where(F.col("item_A") < F.col("item_B"))
     cols = [F.col("item_A"), F.col("item_B"), F.least("__wA", "__wB").alias("weight_units")]
     if detail:
-        cols.append(_pair_counts("__mA", "__mB").alias("link_terms"))
+        cols.append(F.concat("__mA", "__mB").alias("link_terms"))
     return p.select(*cols)
 
 
@@ -186,10 +180,11 @@ def sum_pairs_to_links(pairs: DataFrame, min_link_weight: float, detail: bool =
     """Sum pair weights per (item_A, item_B), keep ``>= min`` (inclusive), emit both
     directions with exact ``weight_units`` and DOUBLE ``weight``.
 
-    With ``detail`` the pairs are expanded once: each pair's type counts, its user and its
-    weight are rows of one sum by (item_A, item_B, k), pre-aggregated before the shuffle,
-    so a pair that many users share is summed on every mapper. The few rows left of each
-    pair are then folded into its weight (k NULL) and its map.
+    With ``detail`` the pairs are expanded once: each pair's type counts and, with k NULL,
+    its weight are rows of one sum by (item_A, item_B, k), pre-aggregated before the
+    shuffle, so a pair that many users share is summed on every mapper. The rows with k
+    NULL also count the users. The few rows left of each pair are folded into its weight
+    and its map.
     """
     if not detail:
         half = pairs.groupBy("item_A", "item_B").agg(F.sum("weight_units").alias("weight_units"))
@@ -197,11 +192,15 @@ def sum_pairs_to_links(pairs: DataFrame, min_link_weight: float, detail: bool =
     else:
         weight = F.array(F.struct(F.lit(None).cast("string").alias("k"), F.col("weight_units").alias("n")))
         terms = pairs.select("item_A", "item_B", F.inline(F.concat("link_terms", weight)))
-        per_key = terms.groupBy("item_A", "item_B", "k").agg(F.sum("n").alias("n"))
+        per_key = terms.groupBy("item_A", "item_B", "k").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+        total = F.col("k").isNull()
         half = per_key.groupBy("item_A", "item_B").agg(
-            F.sum(F.when(F.col("k").isNull(), F.col("n"))).alias("weight_units"),
-            F.map_from_entries(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "n")))).alias("link_data"),
+            F.sum(F.when(total, F.col("n"))).alias("weight_units"),
+            F.sum(F.when(total, F.col("rows"))).alias("users"),
+            F.collect_list(F.when(~total, F.struct("k", "n"))).alias("types"),
         )
+        users = F.array(F.struct(F.lit(NUM_USERS_KEY).alias("k"), F.col("users").alias("n")))
+        half = half.withColumn("link_data", F.map_from_entries(F.concat("types", users)))
         extra = ["link_data"]
     kept = half.where(F.col("weight_units") >= units_lit(min_link_weight))
     return _mirror(kept.select("item_A", "item_B", units_to_double("weight_units").alias("weight"), "weight_units", *extra))

@@ -112,7 +112,7 @@ def test_hot_pair_of_the_detailed_graph_is_summed_on_every_mapper(tight):
     assert plan.count("Generate inline") == 1 and "partial_sum(n" in plan
     got = {r["item_A"]: r for r in out.where("item_A = 0 AND item_B = 1").collect()}[0]
     n = ROWS // 3 + sum(1 for k in range(0, ROWS, 5000) if k % 3)
-    assert got["weight_units"] == 10 * n and got["link_data"] == {"x": 2 * n}
+    assert got["weight_units"] == 10 * n and got["link_data"] == {"x": 2 * n, "NUM_USERS": n}
 
 
 def test_build_user_item_recs_accepts_staged_recs(tight):
