@@ -44,8 +44,8 @@ from affinity.session import write_stage
 MAX_QUEUES = 1024
 #: Target weights are whole parts of this.
 WEIGHT_PARTS = 1 << 20
-#: Words whose ids a task remembers, by how often such a memory has been found to pay.
-CACHE_WORDS = 600_000
+#: Words whose ids a task remembers in each of two generations; the older one is dropped when the younger is full.
+CACHE_WORDS = 200_000
 
 _WORD = re.compile(r" (?=\S)")
 
@@ -92,10 +92,9 @@ class WordIds:
         for token, i in ranks.items():
             self._length[i] = len(token)
         self._seen: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        if len(self._seen) + len(words) > CACHE_WORDS:
-            self._seen.clear()
         ids = np.array(self._encode(" " + " ".join(words)), dtype="<u2")
         ends = np.cumsum(self._length[ids])
         word_ends = np.cumsum([len(w.encode()) + 1 for w in words])
@@ -110,16 +109,17 @@ class WordIds:
         split = [_WORD.split(t) for t in texts]
         # A text's first piece has no space before it.
         first = [array("H", self._encode(p[0])).tobytes() if p[0] else b"" for p in split]
-        get = self._seen.get
-        found = [list(map(get, p[1:])) for p in split]
-        fresh = {w for p, f in zip(split, found) for w, i in zip(p[1:], f) if i is None}
-        if fresh:
-            old = self._seen if len(self._seen) + len(fresh) > CACHE_WORDS else None
-            if old is not None:
-                self._seen = {}
-            self._learn(list(fresh))
-            new = self._seen
-            found = [[new[w] if i is None else i for w, i in zip(p[1:], f)] for p, f in zip(split, found)]
+        if len(self._seen) > CACHE_WORDS:
+            self._seen, self._older = {}, self._seen
+        seen, older = self._seen, self._older
+        found = [list(map(seen.get, p[1:])) for p in split]
+        missing = {w for p, f in zip(split, found) for w, i in zip(p[1:], f) if i is None}
+        if missing:
+            known = missing & older.keys()
+            seen.update((w, older[w]) for w in known)
+            if missing := missing - known:
+                self._learn(list(missing))
+            found = [[seen[w] if i is None else i for w, i in zip(p[1:], f)] for p, f in zip(split, found)]
         return [b"".join(chain((a,), f)) for a, f in zip(first, found)]
 
 
