@@ -42,9 +42,9 @@ from affinity.session import write_stage
 
 FANOUT = 16
 #: Query-to-fingerprint comparisons that are held at a time, at most, unless one query has more.
-BLOCK_PAIRS = 2_000_000
+BLOCK_PAIRS = 500_000
 #: Rows that a task gathers before it links the buckets that are complete.
-CHUNK_ROWS = 200_000
+CHUNK_ROWS = 100_000
 
 
 def shingle_hashes(text: bytes | None, words: int, seed: int = 42) -> np.ndarray:
