@@ -50,6 +50,9 @@ from affinity.functions import (
 # Fixed value: the link-data key that counts the users behind a link.
 NUM_USERS_KEY = "NUM_USERS"
 
+# More signal types than this are summed as rows, not as columns.
+MAX_TYPE_COLUMNS = 16
+
 LINK_DATA_TYPE = MapType(StringType(), LongType())
 
 
@@ -135,20 +138,40 @@ def cap_links_per_user(
     )
 
 
-def user_item_pairs(capped: DataFrame, detail: bool = False) -> DataFrame:
+def few_signal_types(ui_scaled: DataFrame, most: int = MAX_TYPE_COLUMNS) -> list[str] | None:
+    """The signal types of a user-item table in order, or None if there are more than ``most``."""
+    kinds = ui_scaled.select(F.explode("signal_types").alias("t")).select("t.k").distinct().limit(most + 1).collect()
+    return sorted(r["k"] for r in kinds) if len(kinds) <= most else None
+
+
+def user_item_pairs(capped: DataFrame, detail: bool = False, types: list[str] | None = None) -> DataFrame:
     """Each unordered pair of a user's items once: ``item_A < item_B``, weight ``least(w_A, w_B)``.
 
     Keys are the 64-bit ``item_id`` when present (8 bytes per key in the largest
-    shuffle of the job, cheap to hash and sort), otherwise the item strings."""
+    shuffle of the job, cheap to hash and sort), otherwise the item strings. With ``detail``
+    a pair also has both items' counts of each signal type: a column for each of ``types``
+    (``type_0``, ...), or one array ``link_terms`` where they are not given."""
     key = "item_id" if "item_id" in capped.columns else "item"
-    extra_u = [F.col("signal_types").alias("__mA")] if detail else []
-    extra_v = [F.col("signal_types").alias("__mB")] if detail else []
-    u = capped.select("user", F.col(key).alias("item_A"), F.col("weight_units").alias("__wA"), *extra_u)
-    v = capped.select("user", F.col(key).alias("item_B"), F.col("weight_units").alias("__wB"), *extra_v)
-    p = u.join(v, "user").where(F.col("item_A") < F.col("item_B"))
+
+    def count_of(kind: str):
+        own = F.filter("signal_types", lambda e: e["k"] == kind)
+        return F.coalesce(F.get(own, F.lit(0))["n"], F.lit(0).cast("long"))
+
+    def side(item: str, tag: str) -> DataFrame:
+        extra = []
+        if detail and types is None:
+            extra = [F.col("signal_types").alias(f"__m{tag}")]
+        elif detail:
+            for i, t in enumerate(types):
+                extra.append(count_of(t).alias(f"__{tag}{i}"))
+        return capped.select("user", F.col(key).alias(item), F.col("weight_units").alias(f"__w{tag}"), *extra)
+
+    p = side("item_A", "A").join(side("item_B", "B"), "user").where(F.col("item_A") < F.col("item_B"))
     cols = [F.col("item_A"), F.col("item_B"), F.least("__wA", "__wB").alias("weight_units")]
-    if detail:
+    if detail and types is None:
         cols.append(F.concat("__mA", "__mB").alias("link_terms"))
+    elif detail:
+        cols += [(F.col(f"__A{i}") + F.col(f"__B{i}")).alias(f"type_{i}") for i in range(len(types))]
     return p.select(*cols)
 
 
@@ -176,11 +199,14 @@ def _decode(links: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def sum_pairs_to_links(pairs: DataFrame, min_link_weight: float, detail: bool = False) -> DataFrame:
+def sum_pairs_to_links(
+    pairs: DataFrame, min_link_weight: float, detail: bool = False, types: list[str] | None = None
+) -> DataFrame:
     """Sum pair weights per (item_A, item_B), keep ``>= min`` (inclusive), emit both
     directions with exact ``weight_units`` and DOUBLE ``weight``.
 
-    With ``detail`` the pairs are expanded once: each pair's type counts and, with k NULL,
+    With ``detail`` and few ``types`` the counts are columns of the one sum by pair.
+    Otherwise the pairs are expanded once: each pair's type counts and, with k NULL,
     its weight are rows of one sum by (item_A, item_B, k), pre-aggregated before the
     shuffle, so a pair that many users share is summed on every mapper. The rows with k
     NULL also count the users. The few rows left of each pair are folded into its weight
@@ -189,6 +215,16 @@ def sum_pairs_to_links(pairs: DataFrame, min_link_weight: float, detail: bool =
     if not detail:
         half = pairs.groupBy("item_A", "item_B").agg(F.sum("weight_units").alias("weight_units"))
         extra = []
+    elif types is not None:
+        half = pairs.groupBy("item_A", "item_B").agg(
+            F.sum("weight_units").alias("weight_units"),
+            F.count(F.lit(1)).alias("users"),
+            *(F.sum(f"type_{i}").alias(f"type_{i}") for i in range(len(types))),
+        )
+        entry = lambda k, n: F.struct(F.lit(k).alias("k"), F.col(n).alias("n"))
+        entries = F.array(entry(NUM_USERS_KEY, "users"), *(entry(t, f"type_{i}") for i, t in enumerate(types)))
+        half = half.withColumn("link_data", F.map_from_entries(F.filter(entries, lambda e: e["n"] > 0)))
+        extra = ["link_data"]
     else:
         weight = F.array(F.struct(F.lit(None).cast("string").alias("k"), F.col("weight_units").alias("n")))
         terms = pairs.select("item_A", "item_B", F.inline(F.concat("link_terms", weight)))
@@ -271,7 +307,8 @@ def id_graph(
         popularity.orderBy("item").withColumn("item_id", F.monotonically_increasing_id()), "item_popularity"
     )
     capped = cap_links_per_user(ui, table, min_link_weight, max_links_per_user)
-    links = sum_pairs_to_links(user_item_pairs(capped, detail), min_link_weight, detail)
+    types = few_signal_types(ui) if detail else None
+    links = sum_pairs_to_links(user_item_pairs(capped, detail, types), min_link_weight, detail, types)
     weights = table.where(F.col("overall_units").isNotNull()).select(
         F.col("item_id").alias("item"), units_to_double("overall_units").alias("overall_weight"), "overall_units"
     )
