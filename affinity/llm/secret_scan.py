@@ -55,6 +55,18 @@ BASE_RULES = (
     # A run of 24 or more is a match of [0-9a-f]+ that is long enough, and the reverse.
     SecretRule("hex", r"[0-9a-f]{24,}", 0, 24),
 )
+#: A private key: from its BEGIN line over the body to the END line. Where no END line comes before the next
+#: line of five hyphens, the key's header fields and what looks like base64 belong to it: stretches of 17 characters
+#: or more, parted by line ends, quotes and indents, and a shorter last line.
+_KEY_NAME = r"(?:[A-Z]+ )*PRIVATE KEY(?: BLOCK)?-----"
+_KEY_FIELD = r"[\x20\t\r\n\\]*n?(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset):\x20[^\r\n\\]*[\r\n\\]"
+_KEY_LINES = r"""[\x20\t\r\n\\"'>#*|,]*[A-Za-z0-9+/=][A-Za-z0-9+/=\t\r\n\\"']*[A-Za-z0-9+/=]{16}"""
+_KEY_TAIL = r"""(?:\r?\n[\x20\t]*|\\n)[A-Za-z0-9+/=]{1,16}(?:[\r\n\\"']|$)"""
+PRIVATE_KEY = (
+    rf"-----BEGIN {_KEY_NAME}(?:[^-]*(?:-{{1,4}}[^-]+){{0,200}}-----END {_KEY_NAME}"
+    # Nested repeats have a product of at most 1,000 in RE2, hence twice up to 60 indented lines.
+    rf"|(?:(?:{_KEY_FIELD}){{0,8}}{_KEY_LINES}(?:{_KEY_LINES}){{0,60}}(?:{_KEY_LINES}){{0,60}}(?:{_KEY_TAIL})?)?)"
+)
 #: Public token formats beyond the base.
 MORE_RULES = (
     SecretRule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
@@ -62,7 +74,7 @@ MORE_RULES = (
     SecretRule("stripe", r"[rs]k_live_[0-9A-Za-z]{16,}"),
     SecretRule("google", r"AIza[0-9A-Za-z_-]{35}"),
     SecretRule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+"),
-    SecretRule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    SecretRule("private_key", PRIVATE_KEY),
     SecretRule("url_login", r"[A-Za-z][A-Za-z0-9+.-]*://[A-Za-z0-9._~%-]+:[A-Za-z0-9._~%!$&*+,;=-]+@"),
 )
 RULES = BASE_RULES + MORE_RULES

@@ -397,6 +397,34 @@ def test_redaction(spark):
     assert got == {i: redacted(t) for i, t, *_ in rows}
 
 
+def test_private_keys_go_with_their_body(spark):
+    rng = np.random.default_rng(4)
+    lines = ["".join(rng.choice(list("ABCDEFxyz0189+/"), 64)) for _ in range(70)] + ["Qk3/9w=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    fields = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233\n\n"
+    body = "\n".join(lines)
+    pgp = [f"-----{x} PGP PRIVATE KEY BLOCK-----" for x in ("BEGIN", "END")]
+    cases = [
+        (f"a\n{begin}\n{body}\n{end}\nb", "a\n[SECRET]\nb"),
+        (f"a\n{begin}{fields}{body}\n{end}\nb", "a\n[SECRET]\nb"),
+        ('{"k": "' + begin + "\\n" + "\\n".join(lines) + "\\n" + end + '"}', '{"k": "[SECRET]"}'),
+        (f"a {pgp[0]}\nVersion: 2\n\n{body}\n=ab12\n{pgp[1]} b", "a [SECRET] b"),
+        ("\n".join([begin, *(f"- {x}" for x in lines), end]) + " b", "[SECRET] b"),
+        # No END line: the base64 lines go, the prose after them stays.
+        (f"a\n{begin}\n{body}\nSome prose follows here.", "a\n[SECRET]Some prose follows here."),
+        (f"a\n{begin}{fields}{body}", "a\n[SECRET]"),
+        ("a\n" + begin + "\n" + "\n".join(f"    {x}" for x in lines[:-1]) + "\n\nSome prose.", "a\n[SECRET]\n\nSome prose."),
+        (f"Keys begin with {begin} as a rule. -----BEGIN X-----", "Keys begin with [SECRET] as a rule. -----BEGIN X-----"),
+        (f"{begin}\n{body}\n{begin}\n{body}\n{end}", "[SECRET][SECRET]"),
+        (begin + "\n" + "\n".join(lines[:50] * 100) + "\n- " + "x - " * 20000, None),
+    ]
+    rows = [(i, t, None, "s") for i, (t, _) in enumerate(cases)]
+    got = {r["doc_id"]: r["text"] for r in secret_scan.redact(table(spark, rows)).collect()}
+    assert got == {i: redacted(t) for i, t, *_ in rows}
+    assert {i: got[i] for i in range(len(cases) - 1)} == {i: w for i, (_, w) in enumerate(cases[:-1])}
+    assert lines[0] not in got[len(cases) - 1]
+
+
 @pytest.mark.parametrize("rule", secret_scan.RULES, ids=lambda r: r.kind)
 def test_every_match_satisfies_its_trigram_query(rule):
     query = trigram_query(rule.regex)
