@@ -7,8 +7,10 @@ at the link, never going back in the text. A word's greedy longest-match length
 one step a character plus one a popped link, and no piece is built.
 
 Pieces that start a word carry the mark ``▁``; all others continue one. A word (a run of
-characters that are not ASCII white space) that cannot be cut into pieces counts as one
-unknown token, as word-piece tokenizers have it.
+characters that are not ASCII white space) is cut greedily; where no piece begins, one character
+counts as its UTF-8 bytes, for which the vocabulary has a piece each, and cutting goes on behind
+it. ``n_unknown`` is the number of words with such a character. With a given vocabulary that has
+no byte pieces such a word counts as one unknown token, as word-piece tokenizers have it.
 
 Cases: a null or empty text has no words; very long words and texts cost in proportion to
 their length; repeated rows are counted alike; an empty table gives no rows; other columns
@@ -29,6 +31,8 @@ from pyspark.sql.types import LongType
 from affinity.llm.common import slices
 
 START = "▁"
+#: Added to a count for each character counted by its bytes, or each unknown word; a text has fewer tokens.
+UNKNOWN = 1 << 40
 #: Words whose lengths a task remembers.
 CACHE_WORDS = 300_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -49,11 +53,26 @@ def read_pieces(path: str) -> list[str]:
     return [model.id_to_piece(i) for i in ids if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
 
 
+def has_byte_pieces(path: str) -> bool:
+    """Whether a sentence-piece model file has a piece for each byte."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    return sum(map(model.is_byte, range(model.get_piece_size()))) == 256
+
+
+def _by_bytes(c: str) -> int:
+    return len(c.encode("utf-8", "surrogatepass")) + UNKNOWN
+
+
 class LongestMatch:
-    """Nodes are numbers; 0 is the root, from which both words and their later pieces are read."""
+    """Nodes are numbers; 0 is the root, from which both words and their later pieces are read.
+
+    With ``by_bytes`` a character at which no piece begins counts as its UTF-8 bytes.
+    """
 
-    def __init__(self, pieces: Iterable[str], start: str = START):
-        self.start = start
+    def __init__(self, pieces: Iterable[str], start: str = START, by_bytes: bool = False):
+        self.start, self.by_bytes = start, by_bytes
         self.next: list[dict[str, int]] = [{}]
         ends = [False]
         for piece in pieces:
@@ -81,15 +100,27 @@ class LongestMatch:
                     at = self.link[at]
                 if at >= 0:
                     self.link[node], self.popped[node] = self.next[at][c], count
+                elif by_bytes:
+                    self.link[node], self.popped[node] = 0, count + _by_bytes(c)
 
     def length(self, word: str) -> int:
         """The number of greedy pieces of a word; -1 if it has none."""
+        n = self.cut(word)
+        return n if n < 0 else n % UNKNOWN
+
+    def cut(self, word: str) -> int:
+        """The same, and ``UNKNOWN`` for each character that counts by its bytes."""
         step, link, popped = self.next, self.link, self.popped
         node = count = 0
         for c in self.start + word:
             while (to := step[node].get(c)) is None:
                 if link[node] < 0:
-                    return -1
+                    if not self.by_bytes:
+                        return -1
+                    # Only the root has no link; the character is passed there.
+                    count += _by_bytes(c)
+                    to = 0
+                    break
                 count += popped[node]
                 node = link[node]
             node = to
@@ -101,18 +132,19 @@ class LongestMatch:
         return count
 
 
-def _count(batches: Iterator[pa.RecordBatch], pieces: list[str], schema: pa.Schema):
-    automaton = LongestMatch(pieces)
+def _count(batches: Iterator[pa.RecordBatch], pieces: list[str], by_bytes: bool, schema: pa.Schema):
+    automaton = LongestMatch(pieces, by_bytes=by_bytes)
     seen: dict[str, int] = {}
     for batch in slices(batches):
         rows = []
         for text in batch.column("text").to_pylist():
             words = _WORD.findall(text or "")
             for w in set(words).difference(seen):
-                seen[w] = automaton.length(w)
-            lengths = [seen[w] for w in words]
-            unknown = lengths.count(-1)
-            rows.append((len(words), sum(lengths) + 2 * unknown, unknown))
+                n = automaton.cut(w)
+                # A word is unknown once, however many such characters it has.
+                seen[w] = 1 + UNKNOWN if n < 0 else n if n < UNKNOWN else n % UNKNOWN + UNKNOWN
+            unknown, tokens = divmod(sum(seen[w] for w in words), UNKNOWN)
+            rows.append((len(words), tokens, unknown))
             if len(seen) > CACHE_WORDS:
                 seen.clear()
         keep = [c for i, c in enumerate(batch.columns) if batch.schema.names[i] != "text"]
@@ -121,10 +153,16 @@ def _count(batches: Iterator[pa.RecordBatch], pieces: list[str], schema: pa.Sche
 
 
 def count_tokens(docs: DataFrame, pieces: list[str] | None = None) -> DataFrame:
-    """doc_id, n_words, n_tokens, n_unknown of every text."""
+    """doc_id, n_words, n_tokens, n_unknown of every text.
+
+    A vocabulary given as ``pieces`` has no byte pieces; the default one's are used.
+    """
+    import public_tokenizers
+
+    by_bytes = pieces is None and has_byte_pieces(public_tokenizers.path("piece_bpe_32k.model"))
     pieces = pieces if pieces is not None else default_vocabulary()
     out = docs.select("doc_id").schema
     for name in ("n_words", "n_tokens", "n_unknown"):
         out = out.add(name, LongType())
     schema = to_arrow_schema(out)
-    return docs.select("doc_id", "text").mapInArrow(lambda it: _count(it, pieces, schema), out)
+    return docs.select("doc_id", "text").mapInArrow(lambda it: _count(it, pieces, by_bytes, schema), out)

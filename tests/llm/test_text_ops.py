@@ -345,6 +345,36 @@ def test_longest_match_automaton(pieces, word):
     assert LongestMatch(vocabulary).length(word) == n
 
 
+def test_uncovered_characters_count_as_bytes(spark):
+    known = set(default_vocabulary())
+
+    def greedy(word):
+        s, at, n = START + word, 0, 0
+        while at < len(s):
+            end = next((j for j in range(len(s), at, -1) if s[at:j] in known), None)
+            n, at = (n + 1, end) if end else (n + len(s[at].encode()), at + 1)
+        return n
+
+    texts = ["図", "a図b 中文字図中文字鬱 word", "図鬱" * 3000 + "中文字" * 1000, "中文字 word"]
+    assert not {"図", "鬱"} & {c for p in known for c in p}
+    got = {r["doc_id"]: tuple(r)[1:] for r in count_tokens(table(spark, [(i, t, None, None) for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        words = t.split(" ")
+        assert got[i] == (len(words), sum(map(greedy, words)), sum("図" in w for w in words))
+    assert got[2][1] > 18000
+
+
+@given(st.sets(st.text(alphabet="abcé", min_size=1, max_size=4), max_size=12), st.text(alphabet="abcdé図", max_size=14))
+@settings(max_examples=300, deadline=None)
+def test_longest_match_automaton_by_bytes(pieces, word):
+    vocabulary = pieces | {"▁" + p for p in sorted(pieces)[::2]} | {"▁"}
+    s, at, n = "▁" + word, 0, 0
+    while at < len(s):
+        end = next((j for j in range(len(s), at, -1) if s[at:j] in vocabulary), None)
+        n, at = (n + 1, end) if end else (n + len(s[at].encode()), at + 1)
+    assert LongestMatch(vocabulary, by_bytes=True).length(word) == n
+
+
 # ---------------------------------------------------------------------------------- secrets
 
 SECRET_TEXTS = [
