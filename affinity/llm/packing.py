@@ -27,7 +27,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 from pathlib import Path
 
@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 from affinity.llm.common import slices
 from affinity.session import write_stage
 
-#: Sources beyond this number share queues by their hash, which bounds the table of queues.
+#: With more sources than this the largest half of so many and those named in targets keep queues of their own; the
+#: rest share the other half by their hash, which bounds the table of queues.
 MAX_QUEUES = 1024
 #: Target weights are whole parts of this.
 WEIGHT_PARTS = 1 << 20
@@ -123,10 +124,18 @@ class WordIds:
         return [b"".join(chain((a,), f)) for a, f in zip(first, found)]
 
 
-def queue_of(source, max_queues: int = MAX_QUEUES, own: bool = True):
-    """The queue's name: the source itself, or a shared one where there are too many sources."""
+def queue_of(source, shared: int = 0, own: Iterable[str] = ()):
+    """The queue's name: the source itself, or one of ``shared`` where the source is not in ``own``."""
     name = F.coalesce(F.concat(F.lit("="), source), F.lit("null"))
-    return name if own else F.concat(F.lit("#"), F.pmod(F.xxhash64(name), F.lit(max_queues)))
+    pooled = F.concat(F.lit("#"), F.pmod(F.xxhash64(name), F.lit(shared)))
+    return F.when(name.isin(*own), name).otherwise(pooled) if shared else name
+
+
+def largest_queues(docs: DataFrame, source, n: int) -> list[str]:
+    """The queues of the ``n`` sources with most characters, an end a document included, by an exact count."""
+    size = F.length(F.coalesce(docs["text"], F.lit(""))) + F.lit(1)
+    sizes = docs.select(queue_of(source).alias("queue"), size.alias("n")).groupBy("queue").agg(F.sum("n").alias("n"))
+    return [r["queue"] for r in sizes.orderBy(F.desc("n"), "queue").limit(n).collect()]
 
 
 def _tokenise(batches: Iterator[pa.RecordBatch], tokenizer_json: str, end_id: int, schema: pa.Schema):
@@ -248,7 +257,8 @@ def pack_documents(
     """Pack every document into sequences of ``window_tokens`` ids; one row a piece.
 
     ``targets`` gives the wanted token share of each source (default: the shares that the
-    table has); sources that it does not name get what their own share is.
+    table has); sources that it does not name get what their own share is. Beyond ``max_queues``
+    sources, small ones that ``targets`` does not name share queues and have one share together.
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
     """
     if window_tokens % slot_tokens:
@@ -258,8 +268,11 @@ def pack_documents(
     source = docs["source"].cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     named = docs.select(docs["doc_id"], queue_of(source).alias("queue"), docs["text"])
     few = named.select("queue").distinct().limit(max_queues + 1).count() <= max_queues
+    wanted = {"null" if s is None else f"={s}": p for s, p in (targets or {}).items()}
     if not few:
-        named = docs.select(docs["doc_id"], queue_of(source, max_queues, own=False).alias("queue"), docs["text"])
+        shared = max(1, max_queues // 2)
+        own = {*wanted, *largest_queues(docs, source, max(1, max_queues - shared))}
+        named = docs.select(docs["doc_id"], queue_of(source, shared, sorted(own)).alias("queue"), docs["text"])
     doc_type = named.schema["doc_id"].dataType.simpleString()
     id_type = pa.string() if doc_type == "string" else pa.int32() if doc_type == "int" else pa.int64()
     stage_schema = pa.schema(
@@ -277,9 +290,8 @@ def pack_documents(
     queues = sorted(sums)
     totals = np.array([sums[q] for q in queues], dtype=np.int64)
     share = totals / max(1, totals.sum())
-    for s, p in (targets or {}).items():
-        name = "null" if s is None else f"={s}"
-        if few and name in sums:
+    for name, p in wanted.items():
+        if name in sums:
             share[queues.index(name)] = p
     weights = np.maximum(1, np.round(share * WEIGHT_PARTS)).astype(np.int64)
     names = {q: i for i, q in enumerate(queues)}

@@ -254,6 +254,33 @@ def test_packing_windows_follow_targets(spark):
     assert all(filled[k] == {"a": 512, "b": 256, "c": 256} for k in range(10))
 
 
+def test_targets_and_large_sources_hold_beyond_the_queues(spark):
+    words = "some words to fill it "
+    docs = [(i, words * 300, "en", "ab"[i % 2]) for i in range(20)]
+    docs += [(100 + i, words * 60, "en", f"small{i}") for i in range(20)]
+    docs += [(200 + i, words * 30, "en", None) for i in range(10)]
+    source = {d[0]: d[3] for d in docs}
+
+    def filled(targets):
+        pieces = packing.pack_documents(table(spark, docs), targets=targets, max_queues=4).collect()
+        check_packing(pieces, docs)
+        out = defaultdict(Counter)
+        for p in pieces:
+            out[p["sequence_id"]][source[p["doc_id"]]] += p["length"]
+        return out
+
+    # The largest two have queues of their own: a slot of each is due every few slots.
+    got, total = filled(None), Counter()
+    for k in sorted(got)[:-2]:
+        total += got[k]
+        assert all(abs(total[s] / sum(total.values()) - 0.4) <= 0.13 / (k + 1) + 0.02 for s in "ab")
+    # Named sources beyond the largest get their targets.
+    got = filled({"a": 0.5, "b": 0.125, "small7": 0.25, None: 0.125})
+    assert got[0]["a"] >= 256 and got[0]["small7"] >= 128 and got[0][None] >= 100
+    first = sum((got[k] for k in range(3)), Counter())
+    assert first["a"] >= 2 * first["b"] > 0
+
+
 def test_slot_places_are_a_permutation():
     weights, slots = np.array([5, 1, 300, 7]), np.array([13, 0, 40, 9])
     queue = np.repeat(np.arange(4), slots)
