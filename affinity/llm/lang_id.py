@@ -10,6 +10,13 @@ language, those with the smallest hashes of their ids, so the sample has a bound
 same in every run. A document's features come from its whole text. The language, source and
 id of a document are never features.
 
+``judge`` also says whether a text fits the language that it was given. A text's fit is the mean
+log-probability of its trigrams in its family's model, plus ``SHORT`` over the root of their number,
+as short texts scatter. A family's bound is the fit that 1 % of its held-out labelled documents fall
+short of (at most ``per_language`` of each language, the families rightly predicted), less
+``MARGIN``. Noise and languages never learned lie below it. A family with fewer than ``LEAST_HELD``
+such documents has no bound, and without any labelled rows every text with a letter fits.
+
 Cases: a null text or one without a letter is ``und`` with score 0; without any labelled rows
 all are ``und``; a row with a null id is not learned from and not held out; repeated rows are
 judged alike; an empty table gives no rows; other columns are ignored.
@@ -32,6 +39,10 @@ DIMS = 1 << 14
 PER_LANGUAGE = 400
 MAX_LANGUAGES = 400
 UNKNOWN = "und"
+#: Of ``judge``: nats a trigram, by which texts may be worse than the 1 % of held-out rows; slack of short texts.
+MARGIN = 1.5
+SHORT = 16.0
+LEAST_HELD = 20
 
 # Families of languages by ISO 639-1 code; any other language is a family by itself.
 FAMILIES = {
@@ -120,6 +131,7 @@ class Discriminator:
         log_p = np.stack([np.log(per_lang[m].mean(axis=0) + 1e-7) for m in self.members])
         self.log_p = (log_p - np.log(np.exp(log_p).sum(axis=1, keepdims=True))).astype(np.float32)
         units = [(i, np.sqrt(n) / max(np.sqrt(n.sum()), 1e-12)) for i, n in rows]
+        self.least = np.full(len(self.families), -np.inf)
         self.machines = {}
         for m in self.members:
             for a, b in combinations(m, 2):
@@ -127,6 +139,28 @@ class Discriminator:
                 y = np.where(lang[chosen] == a, 1.0, -1.0)
                 self.machines[a, b] = train_svm([units[k] for k in chosen], y).astype(np.float32)
 
+    def fit(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The family of each row, and how well its trigrams fit it."""
+        log_family, n = counts @ self.log_p.T, np.maximum(counts.sum(axis=1), 1)
+        return log_family.argmax(axis=1), log_family.max(axis=1) / n + SHORT / np.sqrt(n)
+
+    def bound(self, langs: list[str], rows: list[Sparse]) -> None:
+        """Set each family's least fit from labelled rows that were not learned from."""
+        found = [[] for _ in self.families]
+        for lang, (i, n) in zip(langs, rows):
+            counts = np.zeros((1, DIMS), dtype=np.float32)
+            counts[0, i] = n
+            family, x = self.fit(counts)
+            if self.families[family[0]] == family_of(lang):
+                found[family[0]].append(x[0])
+        for f, x in enumerate(found):
+            if len(x) >= LEAST_HELD:
+                self.least[f] = np.quantile(x, 0.01) - MARGIN
+
+    def fits(self, counts: np.ndarray) -> np.ndarray:
+        family, x = self.fit(counts)
+        return x >= self.least[family]
+
     def predict(self, counts: np.ndarray) -> tuple[list[str], np.ndarray]:
         """The language and a score from 0 to 1 of each row."""
         log_family = counts @ self.log_p.T
@@ -185,9 +219,10 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Discriminator | None:
-    """Learn from the labelled documents that are not held out; None if there are none."""
-    usable = docs.where(docs["lang"].isNotNull() & docs["doc_id"].isNotNull() & ~held_out(docs["doc_id"]))
+def _sample(docs: DataFrame, held: bool, per_language: int) -> tuple[list[str], list[Sparse]]:
+    """The languages and features of labelled documents that are held out, or that are not."""
+    here = held_out(docs["doc_id"]) if held else ~held_out(docs["doc_id"])
+    usable = docs.where(docs["lang"].isNotNull() & docs["doc_id"].isNotNull() & here)
     keyed = usable.select("lang", F.xxhash64(usable["doc_id"]).alias("h"), "text")
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     narrow = keyed.select("lang", "h").withColumn("n", first).where(F.col("n") <= per_language)
@@ -195,7 +230,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Discriminator |
     if len(limits) > MAX_LANGUAGES:
         raise ValueError(f"over {MAX_LANGUAGES} different languages to learn")
     if not limits:
-        return None
+        return [], []
     chosen = F.lit(False)
     for lang, h in sorted(limits.items()):
         chosen = chosen | ((F.col("lang") == lang) & (F.col("h") <= h))
@@ -205,8 +240,6 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Discriminator |
         lambda it: _features(it, schema), "lang string, i array<int>, n array<int>"
     )
     table = found.toArrow()
-    if not table.num_rows:
-        return None
     langs = table.column("lang").to_pylist()
     rows = [
         (np.array(i, dtype=np.int64), np.array(n, dtype=np.float64))
@@ -214,35 +247,54 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Discriminator |
     ]
     # The order of rows in the sample must not matter.
     order = sorted(range(len(langs)), key=lambda k: (langs[k], rows[k][0].tobytes(), rows[k][1].tobytes()))
-    return Discriminator([langs[k] for k in order], [rows[k] for k in order])
+    return [langs[k] for k in order], [rows[k] for k in order]
+
+
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, judge: bool = False) -> Discriminator | None:
+    """Learn from the labelled documents that are not held out; None if there are none."""
+    langs, rows = _sample(docs, False, per_language)
+    if not langs:
+        return None
+    model = Discriminator(langs, rows)
+    del langs, rows
+    if judge:
+        model.bound(*_sample(docs, True, per_language))
+    return model
 
 
 #: Rows whose dense features a task holds at once.
 PREDICT_ROWS = 64
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model: Discriminator | None, schema: pa.Schema):
+def _predict(batches: Iterator[pa.RecordBatch], model: Discriminator | None, judge: bool, schema: pa.Schema):
     for batch in slices(batches, PREDICT_ROWS):
         texts = utf8(batch, "text")
-        known = [k for k, t in enumerate(texts) if model and t and _LETTER.search(t.decode())]
-        lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        if known:
+        known = [k for k, t in enumerate(texts) if t and _LETTER.search(t.decode())]
+        lang, score, fits = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
+        fits[known] = True
+        if known and model:
             counts = np.stack([trigram_counts(texts[k]).astype(np.float32) for k in known])
             found, sure = model.predict(counts)
             score[known] = sure
+            if judge:
+                fits[known] = model.fits(counts)
             for k, x in zip(known, found):
                 lang[k] = x
         keep = [c for i, c in enumerate(batch.columns) if batch.schema.names[i] in schema.names]
-        yield pa.RecordBatch.from_arrays([*keep, pa.array(lang), pa.array(score)], schema=schema)
+        judged = [pa.array(fits)] if judge else []
+        yield pa.RecordBatch.from_arrays([*keep, pa.array(lang), pa.array(score), *judged], schema=schema)
 
 
-def identify_languages(docs: DataFrame, keep: list[str] | None = None, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The columns ``keep`` (default: doc_id) with lang_pred and score."""
+def identify_languages(
+    docs: DataFrame, keep: list[str] | None = None, per_language: int = PER_LANGUAGE, judge: bool = False
+) -> DataFrame:
+    """The columns ``keep`` (default: doc_id) with lang_pred and score, and lang_fits with ``judge``."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     keep = list(keep or ["doc_id"])
-    model = train(docs, per_language)
+    model = train(docs, per_language, judge)
     inputs = docs.select(*dict.fromkeys([*keep, "text"]))
     out = inputs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    out = out.add("lang_fits", "boolean") if judge else out
     schema = to_arrow_schema(out)
-    return inputs.mapInArrow(lambda it: _predict(it, model, schema), out)
+    return inputs.mapInArrow(lambda it: _predict(it, model, judge, schema), out)

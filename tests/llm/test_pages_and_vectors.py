@@ -275,3 +275,20 @@ def test_pipeline_stages_keep_columns_and_edge_cases(spark):
             assert "abcdefgh" not in got[7]["text"] and got[7]["n_chars"] == len(got[7]["text"]) and got[7]["lang"] == "de"
         else:
             assert got == {}
+
+
+def test_pipeline_languages_reject_by_the_model(spark):
+    rng = np.random.default_rng(8)
+    stems = {"en": "the and of with this that from have been which their", "de": "der die und mit nicht ein wurde auch sich nach"}
+    langs = list(stems) * 200
+    rows = [(i, " ".join(rng.choice(stems[x].split(), 40)), x, "s", 0) for i, x in enumerate(langs)]
+    noise = " ".join("".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 6)) for _ in range(60))
+    finnish = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto."
+    rows += [(1000, noise, None, "s", 0), (1001, noise, "en", "s", 0), (1002, finnish, None, "s", 0), (1003, "und", None, "s", 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    got = corpus_pipeline.language_id(spark, spark.createDataFrame(rows, schema), SF).collect()
+    assert {r["doc_id"] for r in got} == {*range(400), 1003}
+    # Nothing to learn from: all with a letter pass on.
+    unlabelled = [(i, t, None, s, n) for i, t, _, s, n in rows[:9]] + [(9, "12", None, "s", 0), (10, None, None, "s", 0)]
+    got = corpus_pipeline.language_id(spark, spark.createDataFrame(unlabelled, schema), SF).collect()
+    assert {(r["doc_id"], r["lang"]) for r in got} == {(i, None) for i in range(9)}
