@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html import unescape
 
 import xxhash
@@ -46,7 +47,7 @@ OUTSIDE = frozenset(
 OUTSIDE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar tooltip status".split()
 )
-#: Words in a class or id that mark what is not the article.
+#: Class names and ids that mark what is not the article, by themselves or joined with each other and with ``QUALIFIERS``.
 OUTSIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertisements advertising adsbygoogle adslot adbox banner banners sponsor sponsored "
     "sponsors promo promos promoted promotion nav navbar navigation menu menus submenu breadcrumb breadcrumbs masthead topbar "
@@ -55,10 +56,42 @@ OUTSIDE_WORDS = frozenset(
     "trending comment comments commentlist respond disqus discussion replies pagination pager toolbar skip hidden "
     "paywall search searchbox".split()
 )
+QUALIFIERS = frozenset(
+    "site page global main primary secondary left right top bottom inner outer floating sticky fixed reader user visitor "
+    "social post posts article articles story stories news blog category link links list item items area box block bar "
+    "section container wrapper wrap panel slot unit zone group form thread count button buttons text title icon icons "
+    "visually mobile desktop header head".split()
+)
 ARTICLE_WORDS = frozenset("article articlebody post postbody entry story content maincontent".split())
+HEADER_WORDS = frozenset({"header", "head"})
 _WORDS = re.compile(r"[a-z0-9]+")
 
 
+def _lift(page: "Page", of_blocks: list, of_regions: list) -> None:
+    """Settle what elements that only a name or a form marks leave outside.
+
+    They leave it out where the page shows text of an article, a main or a named element without them. Else
+    those round an article or main element do not count, and without such those with most of the page's text.
+    """
+    shown, held, total = False, {}, 0
+    for (text, region, _, outside), marked in zip(page.blocks, of_blocks):
+        if not outside:
+            shown |= not marked and region is not None
+            total += len(text)
+            for k in marked:
+                held[k] = held.get(k, 0) + len(text)
+    lifted = set()
+    if held and not shown:
+        for (kind, _, _, outside), marked in zip(page.regions, of_regions):
+            if kind in ("article", "main") and not outside:
+                lifted.update(marked)
+        # A region may be empty, or what it holds be marked too.
+        if not any(m and r is not None and not o and lifted.issuperset(m) for (_, r, _, o), m in zip(page.blocks, of_blocks)):
+            lifted.update(k for k, n in held.items() if 2 * n > total)
+    page.blocks = [(*b[:3], b[3] or not lifted.issuperset(m)) for b, m in zip(page.blocks, of_blocks)]
+    page.regions = [(*r[:3], r[3] or not lifted.issuperset(m)) for r, m in zip(page.regions, of_regions)]
+
+
 @dataclass
 class Element:
     tag: str
@@ -66,6 +99,7 @@ class Element:
     outside: bool
     region: int | None
     kind: str | None
+    marked: tuple[int, ...] = ()  # the elements around it that only a name or a form marks outside
 
 
 @dataclass
@@ -91,16 +125,29 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
-def _judge(tag: str, attrs: dict[str, str], in_article: bool) -> tuple[bool, str | None, str]:
-    """Whether an element lies outside the article, which kind of region it starts, and its name for tokens."""
+@lru_cache(maxsize=4096)
+def _marks(marks: str, words: frozenset[str]) -> bool:
+    """Whether one of the class names is one of the words, or made of such words and qualifiers only."""
+    for name in marks.split():
+        parts = _WORDS.findall(name)
+        if not words.isdisjoint(parts) and all(p in words or p in QUALIFIERS or p.isdigit() for p in parts):
+            return True
+    return False
+
+
+def _judge(tag: str, attrs: dict[str, str], in_article: bool) -> tuple[bool, bool, str | None, str]:
+    """Whether an element lies outside the article, whether only its name or a form says so, which kind of region
+    it starts, and its name for tokens."""
+    form = tag == "form"
     if not attrs:
-        return tag in OUTSIDE or (tag == "header" and not in_article), tag if tag in ("article", "main") else None, tag
+        outside = tag in OUTSIDE or (tag == "header" and not in_article)
+        return outside and not form, form, tag if tag in ("article", "main") else None, tag
     marks = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
     words = _WORDS.findall(marks)
     role = attrs.get("role", "").lower()
     style = attrs.get("style", "").replace(" ", "").lower()
     outside = (
-        tag in OUTSIDE
+        (tag in OUTSIDE and not form)
         or (tag == "header" and not in_article)
         or role in OUTSIDE_ROLES
         or "hidden" in attrs
@@ -108,21 +155,24 @@ def _judge(tag: str, attrs: dict[str, str], in_article: bool) -> tuple[bool, str
         or attrs.get("aria-hidden", "").lower() == "true"
     )
     words_mark = tag not in ("html", "body", "article", "main")
-    outside = outside or (words_mark and not OUTSIDE_WORDS.isdisjoint(words))
-    outside = outside or (words_mark and not in_article and not {"header", "head"}.isdisjoint(words))
+    marked = form or (words_mark and _marks(marks, OUTSIDE_WORDS))
+    marked = marked or (words_mark and not in_article and _marks(marks, HEADER_WORDS))
     kind = tag if tag in ("article", "main") else None
-    if not kind and not outside:
+    if not kind and not outside and not marked:
         if role in ("main", "article") or "articlebody" in attrs.get("itemprop", "").lower():
             kind = "main" if role == "main" else "article"
         elif tag in ("div", "section") and not ARTICLE_WORDS.isdisjoint(words):
             kind = "named"
-    return outside, kind, f"{tag}.{' '.join(sorted(re.sub(r'[0-9]+', '#', marks).split()))}"
+    return outside, marked and not outside, kind, f"{tag}.{' '.join(sorted(re.sub(r'[0-9]+', '#', marks).split()))}"
 
 
 def read_page(html: str) -> Page:
     page = Page()
     stack = [Element("", 0, False, None, None)]
     pieces: list[str] = []
+    of_blocks: list[tuple[int, ...]] = []
+    of_regions: list[tuple[int, ...]] = []
+    n_marked = 0
 
     def flush():
         text = " ".join(unescape("".join(pieces)).split()) if pieces else ""
@@ -132,6 +182,7 @@ def read_page(html: str) -> Page:
             token = _child(top.path, f"={text}")
             page.tokens.append(token)
             page.blocks.append((text, top.region, token, top.outside))
+            of_blocks.append(top.marked)
 
     def close(n: int):
         flush()
@@ -191,23 +242,27 @@ def read_page(html: str) -> Page:
         attrs = _attributes(m[3]) if m[3].strip(" /\n\t\r") else {}
         top = stack[-1]
         in_article = any(e.kind in ("article", "named") for e in stack)
-        outside, kind, name = _judge(tag, attrs, in_article)
+        outside, mark, kind, name = _judge(tag, attrs, in_article)
         if tag in VOID:
             page.tokens.append(_child(top.path, name))
             continue
-        if not block and not kind and not outside and tag not in RAW:
+        if not block and not kind and not outside and not mark and tag not in RAW:
             # Inline elements lay out no block; only the path of what they hold would differ.
-            stack.append(Element(tag, top.path, top.outside, top.region, None))
+            stack.append(Element(tag, top.path, top.outside, top.region, None, top.marked))
             continue
         if not block:
             flush()
         path = _child(top.path, name)
-        region = top.region
+        region, marked = top.region, top.marked
+        if mark:
+            marked = (*marked, n_marked)
+            n_marked += 1
         if kind:
             page.regions.append((kind, path, region, outside or top.outside))
+            of_regions.append(marked)
             region = len(page.regions) - 1
         page.tokens.append(path)
-        stack.append(Element(tag, path, outside or top.outside, region, kind))
+        stack.append(Element(tag, path, outside or top.outside, region, kind, marked))
         if tag in RAW:
             stop = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(html, at)
             raw_end = stop.start() if stop else end
@@ -217,4 +272,6 @@ def read_page(html: str) -> Page:
             if not stop:
                 break
     close(1)
+    if n_marked:
+        _lift(page, of_blocks, of_regions)
     return page

@@ -155,6 +155,24 @@ def test_main_text(page, text):
     assert main_text(read_page(page), frozenset()) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        *(
+            (f'<div class="{c}"><nav>n</nav><article><p>a</p><p>b</p></article></div><footer>f</footer>', "a\n\nb")
+            for c in ("site no-sidebar", "has-sidebar", "overflow-hidden", "elementor-widget-container", "content-overlay", "sidebar")
+        ),
+        ('<form id="aspnetForm"><div class="menu">m</div><main><p>a</p><form>f</form></main></form>', "a"),
+        ('<form><div class="menu">m</div><p>a long text</p><p>in a form</p></form><p>tail</p>', "a long text\n\nin a form\n\ntail"),
+        ('<article><div class="overflow-hidden"><p>a</p></div><p>b</p><div class="elementor-widget x"><p>c</p></div></article>', "a\n\nb\n\nc"),
+        ('<article><p>a</p></article><div class="related-posts"><article><p>a card with more text</p></article></div>', "a"),
+        ('<article><p>a</p></article><div class="comments"><p>a very long comment</p></div>', "a"),
+    ],
+)
+def test_names_of_wrappers_leave_the_article(page, text):
+    assert main_text(read_page(page), frozenset()) == text
+
+
 def test_template_of_a_host_drops_what_its_pages_repeat(spark):
     def page(i):
         return f"<div><p>Welcome to our site</p></div><div><p>Story {i}</p><p>More of {i * 7}</p></div><div><p>All rights kept</p></div>"
