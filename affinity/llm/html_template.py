@@ -17,7 +17,7 @@ told apart by their path and text. Over the pages of a host:
    (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments: by
    element, role, class or id) are left out. The rest is the article: the text in article
    elements; without one, in the main element; else in an element that is named as the
-   content; else all other slots, where the template's own text blocks are dropped too.
+   content (all the outermost ones with a slot); else all other slots, where the template's own text blocks are dropped too.
 
 Inside a page's article or main element nothing is dropped for being repeated: pages of a
 host may share paragraphs, or be copies.
@@ -209,18 +209,13 @@ def main_text(page: Page, template: frozenset[int]) -> str:
     slots = [b for b in inside if _token(b[2]) not in template]
     named = {i for i, r in enumerate(page.regions) if r[0] == "named" and not r[3]}
     if named:
-        # Of the named elements that stand in no other named one, the one with most text.
+        # The named elements that stand in no other named one and hold more than the template.
         outer = {}
         for i in sorted(named):
             above = page.regions[i][2]
             outer[i] = outer.get(above, above) if above in named else i
-        weight = defaultdict(int)
-        for text, region, _, _ in slots:
-            if region in outer:
-                weight[outer[region]] += len(text)
-        if weight:
-            best = max(sorted(weight), key=lambda i: weight[i])
-            return "\n\n".join(text for text, region, _, _ in inside if outer.get(region) == best)
+        if chosen := {outer[region] for _, region, _, _ in slots if region in outer}:
+            return "\n\n".join(text for text, region, _, _ in inside if outer.get(region) in chosen)
     return "\n\n".join(text for text, _, _, _ in slots)
 
 

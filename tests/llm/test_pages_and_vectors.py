@@ -173,6 +173,17 @@ def test_names_of_wrappers_leave_the_article(page, text):
     assert main_text(read_page(page), frozenset()) == text
 
 
+def test_all_named_elements_with_a_slot_stay(spark):
+    head = '<div class="post-title"><h1>T</h1></div><div class="post-body"><p>body text</p></div>'
+    halves = '<div class="entry-content"><p>one</p></div><div class="ad">x</div><div class="entry-content"><p>two, longer</p></div>'
+    assert main_text(read_page(head), frozenset()) == "T\n\nbody text"
+    assert main_text(read_page(halves), frozenset()) == "one\n\ntwo, longer"
+    box = '<div class="content"><p>Read us</p><p>every day</p></div>'
+    rows = [(i, "http://h.io/", f'{box}<div class="story"><p>Story {i}</p></div>') for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in extract_main_text(pages).collect()} == {i: f"Story {i}" for i in range(8)}
+
+
 def test_template_of_a_host_drops_what_its_pages_repeat(spark):
     def page(i):
         return f"<div><p>Welcome to our site</p></div><div><p>Story {i}</p><p>More of {i * 7}</p></div><div><p>All rights kept</p></div>"
