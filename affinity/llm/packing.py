@@ -45,8 +45,12 @@ from affinity.session import write_stage
 MAX_QUEUES = 1024
 #: Target weights are whole parts of this.
 WEIGHT_PARTS = 1 << 20
-#: Words whose ids a task remembers in each of two generations; the older one is dropped when the younger is full.
-CACHE_WORDS = 200_000
+#: Bytes of words and their ids that a task remembers in each of two generations; the older one is dropped when the
+#: younger is full. ``ENTRY_BYTES`` is what a remembered word costs beside its characters; longer words than
+#: ``CACHE_CHARS`` are encoded anew each time.
+CACHE_BYTES = 40 << 20
+ENTRY_BYTES = 180
+CACHE_CHARS = 64
 
 _WORD = re.compile(r" (?=\S)")
 
@@ -64,7 +68,8 @@ class WordIds:
     is no space), so the ids of a text are those of its words in turn. Unseen words are
     encoded together and their ids dealt out by the ids' byte lengths. The vocabulary is the
     tokenizer file's; the merges of such a vocabulary are its ids in ascending order, which
-    the constructor checks. Strings of special tokens in a text are ordinary text.
+    the constructor checks. Strings of special tokens in a text are their tokens, as the file's
+    library has it, and part the text before words are cut.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -74,7 +79,7 @@ class WordIds:
 
         spec = json.loads(tokenizer_json)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
-        special = {t["content"] for t in spec.get("added_tokens", ())}
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
         # Byte-level BPE shows the printable bytes as themselves, others from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte_of = {chr(b): b for b in shown}
@@ -82,7 +87,7 @@ class WordIds:
         ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in special}
         pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
         made = [vocab[a + b] for a, b in pairs]
-        if made != sorted(made) or len(ranks) != 256 + len(made) or max(ranks.values()) >= 1 << 16:
+        if made != sorted(made) or len(ranks) != 256 + len(made) or max([*ranks.values(), *special.values()]) >= 1 << 16:
             raise ValueError("not a byte-level BPE vocabulary with ids in merge order below 65536")
         # Fixed value: the pre-tokenizing pattern of byte-level BPE.
         pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -92,35 +97,53 @@ class WordIds:
         self._length = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for token, i in ranks.items():
             self._length[i] = len(token)
+        self._special = {t: array("H", [i]).tobytes() for t, i in special.items()}
+        longest_first = sorted(map(re.escape, special), key=len, reverse=True)
+        self._cut = re.compile(f"({'|'.join(longest_first)})") if special else None
         self._seen: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
+        self._held = 0
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
         ids = np.array(self._encode(" " + " ".join(words)), dtype="<u2")
         ends = np.cumsum(self._length[ids])
         word_ends = np.cumsum([len(w.encode()) + 1 for w in words])
         cuts = np.searchsorted(ends, word_ends, side="right").tolist()
-        raw, lo = ids.tobytes(), 0
+        raw, lo, fresh = ids.tobytes(), 0, {}
         for w, hi in zip(words, cuts):
-            self._seen[w] = raw[2 * lo : 2 * hi]
+            fresh[w] = raw[2 * lo : 2 * hi]
             lo = hi
+        self._remember({w: i for w, i in fresh.items() if len(w) <= CACHE_CHARS})
+        return fresh
+
+    def _remember(self, words: dict[str, bytes]) -> None:
+        self._seen.update(words)
+        self._held += sum(ENTRY_BYTES + len(w) + len(i) for w, i in words.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 16-bit ids of each text."""
+        if not self._special or not any(s in t for t in texts for s in self._special):
+            return self._encode_plain(texts)
+        # Between special strings lie texts of their own.
+        parts = [self._cut.split(t) for t in texts]
+        plain = iter(self._encode_plain([p for row in parts for p in row[::2]]))
+        ids = [[self._special[p] if k % 2 else next(plain) for k, p in enumerate(row)] for row in parts]
+        return [b"".join(row) for row in ids]
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
         split = [_WORD.split(t) for t in texts]
         # A text's first piece has no space before it.
         first = [array("H", self._encode(p[0])).tobytes() if p[0] else b"" for p in split]
-        if len(self._seen) > CACHE_WORDS:
-            self._seen, self._older = {}, self._seen
+        if self._held > CACHE_BYTES:
+            self._seen, self._older, self._held = {}, self._seen, 0
         seen, older = self._seen, self._older
         found = [list(map(seen.get, p[1:])) for p in split]
         missing = {w for p, f in zip(split, found) for w, i in zip(p[1:], f) if i is None}
         if missing:
-            known = missing & older.keys()
-            seen.update((w, older[w]) for w in known)
-            if missing := missing - known:
-                self._learn(list(missing))
-            found = [[seen[w] if i is None else i for w, i in zip(p[1:], f)] for p, f in zip(split, found)]
+            known = {w: older[w] for w in missing & older.keys()}
+            self._remember(known)
+            fresh = self._learn(list(missing - known.keys())) | known if len(known) < len(missing) else known
+            found = [[fresh[w] if i is None else i for w, i in zip(p[1:], f)] for p, f in zip(split, found)]
         return [b"".join(chain((a,), f)) for a, f in zip(first, found)]
 
 

@@ -189,9 +189,7 @@ def test_proximity_matches(spark):
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(packing.default_tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(packing.default_tokenizer_path())
 
 
 @given(st.lists(st.text(alphabet=st.sampled_from(list("ab é\n\t  .'s1_中\x1c\xa0 🙂\r")), max_size=40), max_size=6))
@@ -550,3 +548,20 @@ def test_size_bounds_lose_no_template():
 
 def test_sha_of_no_items():
     assert expected_rows([(1, None)], [])[0][4] == hashlib.sha256(b"").hexdigest()
+
+
+def test_word_memory_is_bounded_in_bytes(monkeypatch):
+    """Texts without blanks are one word each; none of them is remembered, and what is has a bound."""
+    encoder = packing.WordIds(open(packing.default_tokenizer_path()).read())
+    monkeypatch.setattr(packing, "CACHE_BYTES", 50_000)
+    rng = np.random.default_rng(3)
+    t = tokenizer()
+    for k in range(40):
+        long = " " + "".join(map(chr, rng.integers(0x4E00, 0x9FFF, 3000)))
+        words = "".join(f" w{k}x{i}" for i in range(60))
+        for text in (long, words):
+            ids = np.frombuffer(encoder.encode([text])[0], dtype="<u2").tolist()
+            assert ids == t.encode(text, add_special_tokens=False).ids
+        held = [*encoder._seen.items(), *encoder._older.items()]
+        assert all(len(w) <= packing.CACHE_CHARS for w, _ in held)
+        assert sum(packing.ENTRY_BYTES + len(w) + len(i) for w, i in held) <= 2 * (50_000 + 60 * 300)
