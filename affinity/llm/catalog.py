@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.llm import oracle
+from affinity.llm.best_fit import pack_best_fit
 from affinity.llm.common import read_table
 from affinity.llm.decontam import decontaminate
 from affinity.llm.embed_dedup import embedding_components
@@ -80,6 +81,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_best_fit(read_table(spark, sf_dir, "documents"), keep_ids=False)
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
@@ -93,6 +98,7 @@ LLM_QUERIES = {
         op8_packing,
         op9_language_id,
         op10_embedding_dedup,
+        op13_best_fit_packing,
     )
 }
 
