@@ -10,6 +10,7 @@ from affinity.llm.best_fit import pack_best_fit
 from affinity.llm.common import read_table
 from affinity.llm.decontam import decontaminate
 from affinity.llm.embed_dedup import embedding_components
+from affinity.llm.hard_negatives import mine_hard_negatives
 from affinity.llm.html_template import extract_main_text
 from affinity.llm.lang_id import held_out, identify_languages
 from affinity.llm.license_scan import scan_licenses
@@ -81,6 +82,12 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_best_fit(read_table(spark, sf_dir, "documents"), keep_ids=False)
 
@@ -98,6 +105,7 @@ LLM_QUERIES = {
         op8_packing,
         op9_language_id,
         op10_embedding_dedup,
+        op12_hard_negatives,
         op13_best_fit_packing,
     )
 }

@@ -117,8 +117,37 @@ FROM documents d LEFT JOIN found f ON d.doc_id = f.doc_id
 """
 
 
+OP12 = """
+WITH rows AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.r <> b.r
+  WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST) AS place
+  FROM scored WHERE same QUALIFY place <= 5
+), windows AS (
+  SELECT p.anchor, s.anchor_id, p.place, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.vec_id NULLS LAST) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON p.anchor = s.anchor
+  WHERE NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+  QUALIFY rank <= 3
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM windows
+"""
+
+
 SQL = {
     "op2_license_scans": _op2(),
     "op5_secret_scans": _op5(),
     "op1_url_filters": OP1,
+    "op12_hard_negatives": OP12,
 }
