@@ -18,6 +18,7 @@ from affinity.llm.packing import pack_documents
 from affinity.llm.secret_scan import BASE_RULES, RULES, find_secrets, spans_text
 from affinity.llm.simhash import simhash_components
 from affinity.llm.token_count import count_tokens
+from affinity.llm.turn_repair import damage, repair_conversations
 from affinity.llm.url_filter import filter_urls
 
 
@@ -82,6 +83,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damage(read_table(spark, sf_dir, "conversations")))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -105,6 +110,7 @@ LLM_QUERIES = {
         op8_packing,
         op9_language_id,
         op10_embedding_dedup,
+        op11_turn_repair,
         op12_hard_negatives,
         op13_best_fit_packing,
     )
