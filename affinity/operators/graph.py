@@ -200,7 +200,11 @@ def _decode(links: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def sum_pairs_to_links(
-    pairs: DataFrame, min_link_weight: float, detail: bool = False, types: list[str] | None = None
+    pairs: DataFrame,
+    min_link_weight: float,
+    detail: bool = False,
+    types: list[str] | None = None,
+    stage: bool = False,
 ) -> DataFrame:
     """Sum pair weights per (item_A, item_B), keep ``>= min`` (inclusive), emit both
     directions with exact ``weight_units`` and DOUBLE ``weight``.
@@ -210,7 +214,8 @@ def sum_pairs_to_links(
     its weight are rows of one sum by (item_A, item_B, k), pre-aggregated before the
     shuffle, so a pair that many users share is summed on every mapper. The rows with k
     NULL also count the users. The few rows left of each pair are folded into its weight
-    and its map.
+    and its map. ``stage`` writes the sums first, one direction of each link: a restart point
+    behind the pair expansion.
     """
     if not detail:
         half = pairs.groupBy("item_A", "item_B").agg(F.sum("weight_units").alias("weight_units"))
@@ -238,7 +243,9 @@ def sum_pairs_to_links(
         users = F.array(F.struct(F.lit(NUM_USERS_KEY).alias("k"), F.col("users").alias("n")))
         half = half.withColumn("link_data", F.map_from_entries(F.concat("types", users)))
         extra = ["link_data"]
-    kept = half.where(F.col("weight_units") >= units_lit(min_link_weight))
+    kept = half.where(F.col("weight_units") >= units_lit(min_link_weight)).select("item_A", "item_B", "weight_units", *extra)
+    if stage:
+        kept = write_stage(kept, "link_sums")
     return _mirror(kept.select("item_A", "item_B", units_to_double("weight_units").alias("weight"), "weight_units", *extra))
 
 
@@ -287,6 +294,7 @@ def id_graph(
     max_links_per_user: int,
     detail: bool = False,
     more_items: DataFrame | None = None,
+    stage_links: bool = False,
 ) -> IdGraph:
     """The graph of an (already staged) user-item table, keyed by item ids.
 
@@ -296,7 +304,8 @@ def id_graph(
     shuffle, and the planner sees the popularity table's real size: it is broadcast to the
     weak-item filter and the Bayes join only when it is small
     (``spark.sql.autoBroadcastJoinThreshold``), and shuffled otherwise. ``more_items``
-    (item) get ids too; without signals they have no weight.
+    (item) get ids too; without signals they have no weight. ``stage_links`` also writes the
+    summed links, for jobs that are to restart behind the pair expansion.
     """
     ui = scaled_pairs(user_items)
     popularity = item_popularity(ui)
@@ -308,7 +317,7 @@ def id_graph(
     )
     capped = cap_links_per_user(ui, table, min_link_weight, max_links_per_user)
     types = few_signal_types(ui) if detail else None
-    links = sum_pairs_to_links(user_item_pairs(capped, detail, types), min_link_weight, detail, types)
+    links = sum_pairs_to_links(user_item_pairs(capped, detail, types), min_link_weight, detail, types, stage_links)
     weights = table.where(F.col("overall_units").isNotNull()).select(
         F.col("item_id").alias("item"), units_to_double("overall_units").alias("overall_weight"), "overall_units"
     )

@@ -175,7 +175,34 @@ def _json_signals(spark, sf) -> tuple[str, str]:
 
 def q_example_job(spark, sf):
     """The whole job: JSON in, both recommendations stored as text, read back."""
-    paths = run_job(spark, *_json_signals(spark, sf), scratch_path(spark, "example_job"), T)
+    return _job_rows(spark, run_job(spark, *_json_signals(spark, sf), scratch_path(spark, "example_job"), T))
+
+
+class _Killed(Exception):
+    pass
+
+
+def q_example_job_resumed(spark, sf):
+    """The same after a run that ended behind the pair sums: its tables are taken up, the pairs not expanded again."""
+    inputs, out = _json_signals(spark, sf), scratch_path(spark, "resumed_job")
+
+    def killed(name: str, reused: bool) -> None:
+        if name == "link_sums":
+            raise _Killed
+
+    def resumed(name: str, reused: bool) -> None:
+        if reused != (name in ("user_items", "item_popularity", "link_sums")):
+            raise RuntimeError(f"step {name} of the resumed job: reused is {reused}")
+
+    try:
+        run_job(spark, *inputs, out, T, on_step=killed)
+    except _Killed:
+        pass
+    return _job_rows(spark, run_job(spark, *inputs, out, T, on_step=resumed))
+
+
+def _job_rows(spark, paths: dict[str, str]) -> DataFrame:
+    """Both stored outputs of the job as one table."""
     ii = load_text(spark, paths["item_item_recommendation"], ITEM_REC_SCHEMA)
     ui = load_text(spark, paths["user_item_recommendation"], USER_REC_SCHEMA)
     null = F.lit(None).cast("double").alias("reason_weight")
@@ -285,9 +312,15 @@ def _dbayes(spark, sf):
     return links, adjust_item_item_graph_weight(links, iw, T.bayesian_prior)
 
 
+def _link_data_text(c: str = "link_data"):
+    """A map's entries as ``key=count``, by key."""
+    entries = F.array_sort(F.map_entries(c))
+    return F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
+
+
 def q_detailed_links(spark, sf):
     links, _ = _graph(spark, sf, T, detail=True)
-    return _explode_link_data(_dbl(links, "weight"), ["item_A", "item_B", "weight"])
+    return links.select("item_A", "item_B", to_double("weight").alias("weight"), _link_data_text().alias("link_data"))
 
 
 def q_detailed_bayes_links(spark, sf):
@@ -416,4 +449,5 @@ QUERIES: dict[str, Query] = {
     "user_item_recs_signed": q_user_item_recs_signed,
     "user_item_recs": q_user_item_recs,
     "example_job": q_example_job,
+    "example_job_resumed": q_example_job_resumed,
 }

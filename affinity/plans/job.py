@@ -1,24 +1,27 @@
 """The example job (M25): JSON signals -> item recs -> user recs -> stored output.
 
-The signals are read and aggregated once (``pipelines.recommend``). The user step reads the
-item recs from a staged Parquet table; the outputs are written last, replace old ones, and
-feed nothing. The staged tables are deleted when the job ends.
+The signals are read and aggregated once (``pipelines.recommend``). Every staged table is a restart
+point: a run that was killed is taken up by the next one with the same inputs and parameters at the step
+that was not complete (``affinity.resume``). Both outputs are written before either replaces its old one.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import SparkSession
 
 from affinity.params import RecParams
 from affinity.plans.pipelines import recommend
-from affinity.session import temporary_stages
+from affinity.resume import input_fingerprint, replace_outputs, resumable_stages
 from affinity.sources import (
     load_purchases,
     load_wishlists,
     purchase_signals,
-    store_parquet,
-    store_text,
     wishlist_signals,
+    write_parquet,
+    write_text,
 )
 
 
@@ -29,21 +32,29 @@ def run_job(
     output_path: str,
     params: RecParams = RecParams(),
     fmt: str = "text",
+    job_id: str | None = None,
+    on_step: Callable[[str, bool], None] | None = None,
 ) -> dict[str, str]:
-    """Returns the two output paths. ``fmt`` is ``text`` (tab-delimited) or ``parquet``."""
+    """Returns the two output paths. ``fmt`` is ``text`` (tab-delimited) or ``parquet``.
+
+    ``job_id`` names the job whose earlier run may be taken up (default: by the output path);
+    ``on_step(name, reused)`` is told of each staged table.
+    """
     if fmt not in ("text", "parquet"):
         raise ValueError("fmt must be 'text' or 'parquet'")
-    signals = purchase_signals(load_purchases(spark, purchases_path)).unionByName(
-        wishlist_signals(load_wishlists(spark, wishlists_path))
-    )
-    base = output_path.rstrip("/")
-    paths = {
-        "item_item_recommendation": f"{base}/item_item_recommendation",
-        "user_item_recommendation": f"{base}/user_item_recommendation",
-    }
-    store = store_text if fmt == "text" else store_parquet
-    with temporary_stages(spark):
-        item_recs, user_recs = recommend(signals, params)
-        store(item_recs, paths["item_item_recommendation"])
-        store(user_recs, paths["user_item_recommendation"])
-    return paths
+    job = job_id or f"example-{hashlib.sha256(output_path.encode()).hexdigest()[:16]}"
+    inputs = [input_fingerprint(spark, p) for p in (purchases_path, wishlists_path)]
+    write = write_text if fmt == "text" else write_parquet
+    with resumable_stages(spark, job, repr((inputs, params)), on_step):
+        signals = purchase_signals(load_purchases(spark, purchases_path)).unionByName(
+            wishlist_signals(load_wishlists(spark, wishlists_path))
+        )
+        item_recs, user_recs = recommend(signals, params, stage_links=True)
+        return replace_outputs(
+            spark,
+            output_path,
+            {
+                "item_item_recommendation": lambda p: write(item_recs, p),
+                "user_item_recommendation": lambda p: write(user_recs, p),
+            },
+        )

@@ -41,6 +41,8 @@ class SqlBuilder:
     def __init__(self) -> None:
         self.ctes: list[tuple[str, str]] = []
         self.names: set[str] = set()
+        #: Compute every step once, whoever reads it.
+        self.materialize = False
 
     def add(self, name: str, body: str) -> str:
         if name not in self.names:
@@ -51,7 +53,8 @@ class SqlBuilder:
     def render(self, select: str) -> str:
         if not self.ctes:
             return select
-        parts = ",\n".join(f"{n} AS (\n{b}\n)" for n, b in self.ctes)
+        once = "MATERIALIZED " if self.materialize else ""
+        parts = ",\n".join(f"{n} AS {once}(\n{b}\n)" for n, b in self.ctes)
         return f"WITH {parts}\n{select}"
 
 
@@ -464,12 +467,19 @@ WHERE item_A IN (SELECT item FROM {source_items(b)})"""
     def dgraph(b):
         return _tpch_graph(b, T, detail=True)
 
-    out["detailed_links"] = _q(
-        lambda b: (
-            lambda g: f"""SELECT l.item_A, l.item_B, {dbl('l.weight')} AS weight, d.signal_type, d.n
-FROM {g.links} l JOIN {g.link_data} d ON d.item_A = l.item_A AND d.item_B = l.item_B"""
-        )(dgraph(b))
-    )
+    def detailed_links(b):
+        # One row a link; its map as text, by key.
+        b.materialize = True
+        g = dgraph(b)
+        data = b.add(
+            "link_texts",
+            f"""SELECT item_A, item_B, string_agg(signal_type || '=' || n, ',' ORDER BY signal_type) AS link_data
+FROM {g.link_data} GROUP BY item_A, item_B""",
+        )
+        return f"""SELECT l.item_A, l.item_B, {dbl('l.weight')} AS weight, d.link_data
+FROM {g.links} l JOIN {data} d ON d.item_A = l.item_A AND d.item_B = l.item_B"""
+
+    out["detailed_links"] = _q(detailed_links)
     out["detailed_bayes_links"] = _q(
         lambda b: (
             lambda g: f"""SELECT a.item_A, a.item_B, a.weight, a.raw_weight, d.signal_type, d.n
@@ -569,6 +579,8 @@ UNION ALL
 SELECT 'user', "user", item, weight, reason_item, user_reason_item_weight, item_reason_item_weight, "rank" FROM {users}"""
 
     out["example_job"] = _q(example_job)
+    # What a killed and resumed job publishes is what an uninterrupted one does.
+    out["example_job_resumed"] = out["example_job"]
 
     def events_recs(b, signed):
         sig = signals_events(b, signed)

@@ -98,15 +98,16 @@ def item_item_recs_pop_boost(signals: DataFrame, p: RecParams, func: str = "SQRT
     return _recs(adjusted, g.items, p)
 
 
-def recommend(signals: DataFrame, p: RecParams) -> tuple[DataFrame, DataFrame]:
+def recommend(signals: DataFrame, p: RecParams, stage_links: bool = False) -> tuple[DataFrame, DataFrame]:
     """M23 + M24 as one job: ``(item_recs, user_recs)``.
 
     The raw signals are scanned and aggregated once: the staged user-item table feeds
     both the graph build and the user step (its ``max_weight`` column), and the item
-    recs are staged before the user step reads them.
+    recs are staged before the user step reads them. ``stage_links`` also stages the summed
+    links.
     """
     user_items = write_stage(aggregate_user_items(signals, p.logistic_param), "user_items")
-    g = id_graph(user_items, p.min_link_weight, p.max_links_per_user)
+    g = id_graph(user_items, p.min_link_weight, p.max_links_per_user, stage_links=stage_links)
     adjusted = adjust_item_item_graph_weight(g.links, g.weights, p.bayesian_prior)
     item_recs = write_stage(_recs(adjusted, g.items, p), "item_recs")
     user_recs = build_user_item_recs(user_items, item_recs, p.num_recs_per_user, p.diversity_adjust)

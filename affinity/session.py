@@ -6,7 +6,7 @@ import os
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -95,6 +95,8 @@ def write_stage(df, name: str):
     storage on a cluster), so it survives the loss of any executor, cuts the lineage,
     and gives the planner exact sizes for its join choices.
     """
+    if _redirected:
+        return _redirected[-1](df, name)
     spark = df.sparkSession
     path = scratch_path(spark, name)
     for paths in _recording:
@@ -105,6 +107,17 @@ def write_stage(df, name: str):
 
 
 _recording: list[list[str]] = []
+_redirected: list[Callable] = []
+
+
+@contextmanager
+def redirect_stages(stage: Callable) -> Iterator[None]:
+    """Let ``stage(df, name)`` write the tables of ``write_stage`` inside the block (``affinity.resume``)."""
+    _redirected.append(stage)
+    try:
+        yield
+    finally:
+        _redirected.remove(stage)
 
 
 @contextmanager

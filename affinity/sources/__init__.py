@@ -23,4 +23,4 @@ from affinity.sources.json_io import (
     purchase_signals,
     wishlist_signals,
 )
-from affinity.sources.sinks import load_text, store_parquet, store_text
+from affinity.sources.sinks import load_text, store_parquet, store_text, write_parquet, write_text

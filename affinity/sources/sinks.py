@@ -1,6 +1,7 @@
 """Sinks: tab-delimited text (the reference's default store) and Parquet.
 
-Writes always replace the target (the reference removes old output first).
+Writes always replace the target. The old output stays until the new one is complete
+(``affinity.resume.replace_outputs``), so a failed write changes nothing.
 
 Text keeps every value: a row is a line of tab-separated fields; in a field a backslash is
 written ``\\b``, a tab ``\\t``, a line feed ``\\n`` and a carriage return ``\\r``, and NULL is
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from affinity.resume import replace_outputs
+
 # Fixed values of the text format. Encoding goes down the list, decoding up.
 ESCAPES = (("\\", "\\b"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
 NULL = "\\N"
@@ -25,7 +28,20 @@ def _replace(c: Column, pairs) -> Column:
     return reduce(lambda x, p: F.replace(x, F.lit(p[0]), F.lit(p[1])), pairs, c)
 
 
+def _replace_output(df: DataFrame, path: str, write) -> None:
+    base, _, name = path.rstrip("/").rpartition("/")
+    replace_outputs(df.sparkSession, base, {name: lambda p: write(df, p)})
+
+
 def store_text(df: DataFrame, path: str) -> None:
+    _replace_output(df, path, write_text)
+
+
+def store_parquet(df: DataFrame, path: str) -> None:
+    _replace_output(df, path, write_parquet)
+
+
+def write_text(df: DataFrame, path: str) -> None:
     fields = [F.coalesce(_replace(F.col(f"`{c}`").cast("string"), ESCAPES), F.lit(NULL)) for c in df.columns]
     df.select(F.concat_ws("\t", *fields).alias("value")).write.mode("overwrite").text(path, lineSep="\n")
 
@@ -49,5 +65,5 @@ def load_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return lines.select(*(value(i, f) for i, f in enumerate(schema)))
 
 
-def store_parquet(df: DataFrame, path: str) -> None:
+def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
