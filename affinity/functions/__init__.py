@@ -13,7 +13,7 @@ from affinity.functions.columns import (
     units_lit,
     units_to_double,
 )
-from affinity.functions.ranking import rank_by_global_sort, rank_within, top_n_per_group
+from affinity.functions.ranking import rank_by_global_sort, rank_within, sum_before, top_n_per_group
 
 __all__ = [
     "UNITS_PER_WEIGHT",
@@ -30,4 +30,5 @@ __all__ = [
     "top_n_per_group",
     "rank_by_global_sort",
     "rank_within",
+    "sum_before",
 ]

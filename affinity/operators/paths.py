@@ -150,8 +150,9 @@ def item_recs_from_graph(
         ["item_A", "item_B"],
         [F.col("dist").asc(), F.col("__hop").asc(), F.col("linking_item").asc(), F.col("raw_weight").desc()],
         1,
+        parts=1,
     )
-    top = top_n_per_group(best, ["item_A"], [F.col("dist").asc(), F.col("item_B").asc()], num_recs, "rank")
+    top = top_n_per_group(best, ["item_A"], [F.col("dist").asc(), F.col("item_B").asc()], num_recs, "rank", parts=1)
     out = ["item_A", "item_B", reciprocal("dist").alias("weight"), "raw_weight", "rank"]
     if detail:
         out += ["link_data", "linking_item"]

@@ -77,7 +77,7 @@ def build_user_item_recs(
         F.col("__raw").alias("item_reason_item_weight"),
     )
     best = top_n_per_group(
-        cand, ["user", "item"], [F.col("weight").desc(), F.col("reason_item").asc()], 1
+        cand, ["user", "item"], [F.col("weight").desc(), F.col("reason_item").asc()], 1, parts=1
     )
     unseen = best.join(seen.select("user", "item"), ["user", "item"], "left_anti")
     if diversity_adjust:

@@ -23,6 +23,9 @@ RECOMMENDED_CONF = {
     # shuffle output). Larger sides stay shuffle joins.
     "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+    # Top-n rankings up to this n limit their groups before the shuffle (Spark's default: 1000);
+    # ``functions.top_n_per_group`` ranks a larger n in parts.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -119,3 +119,90 @@ def test_build_user_item_recs_accepts_staged_recs(tight):
     recs = tight.createDataFrame([("hot", "k1", 1.0, 1.0)], "item_A string, item_B string, weight double, raw_weight double")
     signals = hot(tight, "item").select(F.col("id").cast("string").alias("user"), "item", F.lit(1.0).alias("weight"))
     assert build_user_item_recs(signals, write_stage(recs, "recs"), 2).count() == ROWS // 3
+
+
+# ----------------------------------------------------------------------------- top-n in two levels
+
+
+@pytest.fixture
+def wide(spark):
+    """A session that shuffles to 1,000 partitions and merges the small ones."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1000")
+    yield spark
+    spark.conf.set(key, old)
+
+
+def bot(spark, partitions=1000, per_partition=300):
+    """One user with rows in every partition, beside others; ties in weight."""
+    i = F.col("id")
+    return spark.range(0, partitions * per_partition, 1, partitions).select(
+        F.when(i % 3 == 0, F.lit("bot")).otherwise(F.concat(F.lit("u"), (i % 700).cast("string"))).alias("user"),
+        F.concat(F.lit("i"), i.cast("string")).alias("item"),
+        (F.xxhash64("id") % 50).alias("weight"),
+    )
+
+
+def order():
+    return [F.col("weight").desc(), F.col("item").asc()]
+
+
+def test_one_user_in_a_thousand_partitions_is_ranked_in_parts(wide):
+    from affinity.functions.ranking import first_level_parts, top_n_of_parts, top_n_per_group
+
+    n = 80
+    parts = first_level_parts(wide, n)
+    assert parts == 32
+    df = bot(wide)
+    top = top_n_per_group(df, ["user"], order(), n, "rank")
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 4 and plan.count("hashpartitioning(user") == 2
+    # What the tasks of the first level read of the one user, and what the last one reads.
+    first = df.withColumn("p", F.spark_partition_id()).where("user = 'bot'")
+    sent = first.groupBy("p").count().select((F.col("p") % parts).alias("part"), F.least("count", F.lit(n)).alias("k"))
+    assert sent.groupBy("part").agg(F.sum("k").alias("k")).agg(F.max("k")).first()[0] <= n * 32
+    last = top_n_of_parts(df, ["user"], order(), n, parts).where("user = 'bot'").count()
+    assert last <= n * parts < 80_000 == sent.agg(F.sum("k")).first()[0]
+    want = top_n_per_group(df, ["user"], order(), n, "rank", parts=1)
+    assert sorted(map(tuple, top.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_few_partitions_or_small_n_stay_in_one_level(spark):
+    from affinity.functions.ranking import first_level_parts
+
+    assert first_level_parts(spark, 50) == 1
+    plan = pipelines.item_item_recs(bot(spark, 8, 60), RecParams())._jdf.queryExecution().optimizedPlan().toString()
+    assert "__part" not in plan
+
+
+def test_beyond_sparks_group_limit_the_group_is_split_without_changing_the_session(spark):
+    from affinity.functions.ranking import LIMIT_CONF, first_level_parts, top_n_per_group
+
+    old = spark.conf.get(LIMIT_CONF)
+    spark.conf.set(LIMIT_CONF, "1000")
+    try:
+        assert first_level_parts(spark, 2000) >= 8
+        df = bot(spark, 16, 900)
+        got = top_n_per_group(df, ["user"], order(), 2000, "rank")
+        assert "__part" in got._jdf.queryExecution().optimizedPlan().toString()
+        want = top_n_per_group(df, ["user"], order(), 2000, "rank", parts=1)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        assert spark.conf.get(LIMIT_CONF) == "1000"
+    finally:
+        spark.conf.set(LIMIT_CONF, old)
+
+
+def test_the_whole_recommender_is_the_same_in_two_levels(spark, monkeypatch):
+    from affinity.functions import ranking
+
+    signals = bot(spark, 8, 60).select("user", F.concat(F.lit("i"), (F.hash("item") % 40).cast("string")).alias("item"), F.lit(1.0).alias("weight"))
+    p = RecParams(0.5, 0.0, 6, 1.0, 5, 4, 5)
+
+    def run():
+        return [sorted(map(repr, map(tuple, df.collect()))) for df in pipelines.recommend(signals, p)]
+
+    one = run()
+    monkeypatch.setattr(ranking, "GROUP_ROWS", 1)
+    assert ranking.first_level_parts(spark, 2) > 1
+    assert run() == one and all(one)
