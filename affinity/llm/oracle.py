@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from affinity.llm.license_scan import THRESHOLD, default_templates
-from affinity.llm.secret_scan import BASE_RULES, RULES
+from affinity.llm.secret_scan import BASE64, BASE_RULES, IS_BASE64, IS_OTHER, IS_SHORT, KEY_END, KEY_LINE, RULES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -49,7 +49,7 @@ def _op5() -> str:
         return "'" + x.replace("'", "''") + "'"
 
     each = " UNION ALL ".join(
-        f"SELECT doc_id, {i} AS k, {quoted(r.kind)} AS kind, {r.least} AS least, {i < len(BASE_RULES)} AS base, "
+        f"SELECT doc_id, {i} AS k, {quoted(r.kind)} AS kind, {r.least} AS least, {i < len(BASE_RULES)} AS base, {r.tail is not None} AS tailed, "
         f"regexp_extract_all(t, {quoted(r.regex)}, 0) AS ms, regexp_extract_all(t, {quoted(r.regex)}, {r.group}) AS gs, "
         f"string_split_regex(t, {quoted(r.regex)}) AS ps FROM texts"
         for i, r in enumerate(RULES)
@@ -58,12 +58,34 @@ def _op5() -> str:
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 each AS ({each}),
 numbered AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM each WHERE len(ms) > 0),
-spans AS (
+raw_spans AS (
   SELECT doc_id, k, kind, base,
     list_sum(list_transform(ps[1:i], lambda p: length(p)))
       + coalesce(list_sum(list_transform(ms[1:i - 1], lambda m: length(m))), 0) AS a,
-    length(ms[i]) AS n
+    length(ms[i]) AS m, CASE WHEN tailed THEN ps[i + 1] END AS rest
   FROM numbered WHERE length(gs[i]) >= least),
+ended AS (
+  SELECT *, CASE WHEN contains(rest, '-----') THEN strpos(rest, '-----') END AS h,
+    CASE WHEN contains(rest, '-----') THEN regexp_extract(substr(rest, strpos(rest, '-----')), {quoted(KEY_END)}, 0) END AS e
+  FROM raw_spans),
+cut AS (SELECT *, CASE WHEN coalesce(e, '') = '' THEN regexp_extract_all(rest, {quoted(KEY_LINE)}, 0) END AS lines FROM ended),
+begun AS (
+  SELECT *, lines[1:coalesce(nullif(list_position(list_transform(lines,
+    lambda x: regexp_matches(x, {quoted(IS_BASE64)}) OR regexp_matches(x, {quoted(IS_OTHER)})), false), 0) - 1, len(lines))] AS ok
+  FROM cut),
+closed AS (
+  SELECT *, coalesce(list_max(list_transform(ok, lambda x, i: CASE WHEN regexp_matches(x, {quoted(IS_BASE64)}) THEN i ELSE 0 END)), 0) AS last
+  FROM begun),
+spans AS (
+  SELECT doc_id, k, kind, base, a, m + CASE
+    WHEN rest IS NULL THEN 0
+    WHEN coalesce(e, '') <> '' THEN h - 1 + length(e)
+    WHEN last = 0 THEN 0
+    WHEN regexp_matches(coalesce(lines[last + 1], ''), {quoted(IS_SHORT)}) THEN
+      list_sum(list_transform(lines[1:last], lambda x: length(x))) + length(regexp_extract(lines[last + 1], {quoted(IS_SHORT)}, 0))
+    ELSE coalesce(list_sum(list_transform(lines[1:last - 1], lambda x: length(x))), 0)
+      + length(regexp_extract(lines[last], {quoted(BASE64)}, 0)) END AS n
+  FROM closed),
 found AS (
   SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
     count(*) FILTER (kind = 'hex') AS n_hex,

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import regex
@@ -74,7 +76,7 @@ def test_oracle(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(llm_oracle_sql()[name])
     names = [d[0] for d in want.description]
@@ -414,12 +416,37 @@ SECRET_TEXTS = [
 ]
 
 
+def key_end(rest):
+    """What belongs to a private key behind its BEGIN line."""
+    closing = re.match(r"(?:[^-]|-{1,4}(?!-))*?-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----", rest)
+    if closing:
+        return closing.end()
+    at = end = 0
+    while m := re.compile(r"[^\r\n\\]*(?:\\r\\n|\\[nr]|\r\n|\r|\n|\\)|[^\r\n\\]+").match(rest, at):
+        line = re.sub(r"(?:\\r\\n|\\[nr]|\r\n|\r|\n|\\)\Z", "", m[0])
+        body = line.lstrip(" \t\"'>#*|,")
+        base64 = re.match(r"[A-Za-z0-9+/=]*", body)[0]
+        if len(base64) >= 17 and not body[len(base64) :].strip(" \t\"',+"):
+            end = at + len(line) - len(body) + len(base64)
+            short = re.compile(r"[ \t]*[A-Za-z0-9+/=]{1,16}(?:[\r\n\\\"']|\Z)").match(rest, m.end())
+        elif line.strip(" \t\"'") and not re.match(r"[ \t]*(Proc-Type|DEK-Info|Version|Comment|Hash|Charset): ", line):
+            break
+        elif m[0] == line and not re.match(r"[ \t]*\w", line):
+            break
+        at = m.end()
+    if end and short:
+        end = short.end()
+    return end
+
+
 def brute_spans(text):
     found = []
     for i, r in enumerate(secret_scan.RULES):
-        for m in re.finditer(r.regex, text or ""):
+        matches = list(re.finditer(r.regex, text or ""))
+        for m, after in zip(matches, [*matches[1:], None]):
             if len(m.group(r.group)) >= r.least:
-                found.append((m.start(), i, m.end()))
+                rest = text[m.end() : after.start() if after else None]
+                found.append((m.start(), i, m.end() + (key_end(rest) if r.kind == "private_key" else 0)))
     return sorted(found)
 
 
@@ -480,6 +507,57 @@ def test_private_keys_go_with_their_body(spark):
     assert lines[0] not in got[len(cases) - 1]
 
 
+KEY = "-----BEGIN RSA PRIVATE KEY-----"
+HARD = {
+    "words before PRIVATE": ("-----BEGIN " + "A " * 100_000 + "x PRIVATE KEY-----", None),
+    "a run of letters": ("x" * 1_000_000 + " a://u:p@h", "x" * 1_000_000 + " [SECRET]h"),
+    "starts of tokens": ("eyJ" * 100_000 + " a.eyJ", None),
+    "indented key": (KEY + ("\n    " + "QUJD" * 16) * 10_000 + "\nSome prose.", "[SECRET]\nSome prose."),
+    "hyphens in a key": (KEY + "\nab - cd -- " * 50_000 + "\n-----END RSA PRIVATE KEY-----.", "[SECRET]."),
+    "spans": ("é token=abcdefgh" * 100_000, "é [SECRET]" * 100_000),
+    "spans that overlap": ("token=" + "a" * 30 * 2000 + " token=" + "0123456789abcdef" * 2, "[SECRET] [SECRET]"),
+}
+
+
+def test_texts_that_are_hard_on_expressions(spark):
+    """Each is scanned and cleaned in seconds; none of them may recurse or backtrack over itself."""
+    texts = list(HARD.values())
+    rows = spark.createDataFrame([(i, t, None, None) for i, (t, _) in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    started = time.time()
+    got = {r["doc_id"]: r["text"] for r in secret_scan.redact(rows.repartition(7)).collect()}
+    assert got == {i: t if want is None else want for i, (t, want) in enumerate(texts)}
+    assert time.time() - started < 120
+
+
+def test_key_bodies_equal_the_brute_force(spark):
+    """Random mixtures of what stands behind a BEGIN line; SQL says the same."""
+    rng = np.random.default_rng(11)
+    parts = ["\n", "\r\n", "\\n", " ", "    ", '"', "QUJD" * 5, "QUJD" * 16 + "\n", "ab=", "Version: 1\n", "prose here", "- ", "---", "\\", "-----"]
+    parts += ["-----END RSA PRIVATE KEY-----", "-----END X-----", KEY, "=ab12\n", "> ", "\t"]
+    texts = [KEY + "".join(rng.choice(parts, rng.integers(1, 14))) for _ in range(300)]
+    rows = [(i, t, None, "s") for i, t in enumerate(texts)]
+    docs = table(spark, rows)
+    got = {r["doc_id"]: tuple(map(tuple, r["secret_spans"])) for r in secret_scan.find_secrets(docs.drop("spans")).collect()}
+    assert got == {i: tuple(brute_spans(t)) for i, t, *_ in rows}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
+    names = [r.kind for r in secret_scan.RULES]
+    want = {i: ",".join(f"{names[k]}:{a}:{b}" for a, k, b in spans) for i, spans in got.items()}
+    assert {r[0]: r[5] for r in con.sql(llm_oracle_sql()["op5_secret_scans"]).fetchall()} == want
+
+
+def test_clashing_names_are_carried(spark):
+    names = ["secret_key", "secret_rules", "secret_m0", "secret_t3", "secret_s1", "secret_spans", "secret_merged", "key", "rules", "gram"]
+    columns = ", ".join(f"{n} int" for n in names)
+    docs = spark.createDataFrame([(1, "a token=abcdefgh", *range(len(names)))], f"doc_id long, text string, {columns}")
+    row = secret_scan.redact(docs).first().asDict()
+    assert row == {"doc_id": 1, "text": "a [SECRET]", **{n: i for i, n in enumerate(names)}}
+    found = secret_scan.find_secrets(docs).first().asDict()
+    assert [tuple(s) for s in found.pop("secret_spans")] == [(2, 0, 16)]
+    assert found == {"doc_id": 1, "text": "a token=abcdefgh", **{n: i for i, n in enumerate(names) if n != "secret_spans"}}
+
+
 @pytest.mark.parametrize("rule", secret_scan.RULES, ids=lambda r: r.kind)
 def test_every_match_satisfies_its_trigram_query(rule):
     query = trigram_query(rule.regex)
