@@ -7,7 +7,8 @@
 
 The models are trained on the driver from at most ``per_language`` labelled documents of each
 language, those with the smallest hashes of their ids, so the sample has a bound and is the
-same in every run. A document's features come from its whole text. The language, source and
+same in every run. They are found below a bound of the hash that the languages' counts give, so no task
+ranks a language's whole table. A document's features come from its whole text. The language, source and
 id of a document are never features.
 
 ``judge`` also says whether a text fits the language that it was given. A text's fit is the mean
@@ -30,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.llm.common import lists, slices, utf8
@@ -219,21 +220,47 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _by_language(col: Column, bounds: dict[str, int]) -> Column:
+    """The bound of each row's language; null where there is none."""
+    out = F.when(col == next(iter(bounds)), next(iter(bounds.values())))
+    for lang, h in list(bounds.items())[1:]:
+        out = out.when(col == lang, h)
+    return out
+
+
+def hash_limits(keyed: DataFrame, k: int) -> dict[str, int]:
+    """The ``k``-th smallest hash of each language of (lang, h) rows; its greatest where there are fewer.
+
+    Hashes of different ids are spread evenly, so a language with ``n`` rows has about ``k`` below the ``k / n``-th part
+    of their range. Only rows below a bound somewhat above that are ranked, some ``k`` a language however large
+    the table is; repeated hashes are counted before they meet. A language with too few rows there (as ids repeat) is
+    tried again with a wider bound.
+    """
+    counts = {r["lang"]: r["n"] for r in keyed.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} different languages to learn")
+    limits, part = {}, {lang: (k + 6 * k**0.5 + 10) / n for lang, n in counts.items()}
+    while left := [lang for lang in sorted(counts) if lang not in limits]:
+        bounds = {lang: min(int(part[lang] * (1 << 64)), (1 << 64) - 1) - (1 << 63) for lang in left}
+        below = keyed.where(F.col("h") <= _by_language(F.col("lang"), bounds)).groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("lang").orderBy("h"))
+        first = below.withColumn("upto", upto).where(F.col("upto") - F.col("n") < k)
+        for r in first.groupBy("lang").agg(F.max("h").alias("h"), F.sum("n").alias("n")).collect():
+            if r["n"] >= min(k, counts[r["lang"]]):
+                limits[r["lang"]] = r["h"]
+        part = {lang: 8 * part[lang] for lang in left}
+    return limits
+
+
 def _sample(docs: DataFrame, held: bool, per_language: int) -> tuple[list[str], list[Sparse]]:
     """The languages and features of labelled documents that are held out, or that are not."""
     here = held_out(docs["doc_id"]) if held else ~held_out(docs["doc_id"])
     usable = docs.where(docs["lang"].isNotNull() & docs["doc_id"].isNotNull() & here)
     keyed = usable.select("lang", F.xxhash64(usable["doc_id"]).alias("h"), "text")
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    narrow = keyed.select("lang", "h").withColumn("n", first).where(F.col("n") <= per_language)
-    limits = {r["lang"]: r["h"] for r in narrow.groupBy("lang").agg(F.max("h").alias("h")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(limits) > MAX_LANGUAGES:
-        raise ValueError(f"over {MAX_LANGUAGES} different languages to learn")
+    limits = hash_limits(keyed.select("lang", "h"), per_language)
     if not limits:
         return [], []
-    chosen = F.lit(False)
-    for lang, h in sorted(limits.items()):
-        chosen = chosen | ((F.col("lang") == lang) & (F.col("h") <= h))
+    chosen = F.col("h") <= _by_language(F.col("lang"), limits)
     sample = keyed.where(chosen & F.col("text").isNotNull()).dropDuplicates(["lang", "h"])
     schema = pa.schema([("lang", pa.string()), ("i", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))])
     found = sample.select("lang", "text").mapInArrow(
@@ -266,7 +293,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, judge: bool = False
 PREDICT_ROWS = 64
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model: Discriminator | None, judge: bool, schema: pa.Schema):
+def _predict(batches: Iterator[pa.RecordBatch], model: Discriminator | None, judge: bool, kept: int, schema: pa.Schema):
+    """The first ``kept`` columns are those of the result."""
     for batch in slices(batches, PREDICT_ROWS):
         texts = utf8(batch, "text")
         known = [k for k, t in enumerate(texts) if t and _LETTER.search(t.decode())]
@@ -280,21 +308,31 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Discriminator | None, jud
                 fits[known] = model.fits(counts)
             for k, x in zip(known, found):
                 lang[k] = x
-        keep = [c for i, c in enumerate(batch.columns) if batch.schema.names[i] in schema.names]
         judged = [pa.array(fits)] if judge else []
-        yield pa.RecordBatch.from_arrays([*keep, pa.array(lang), pa.array(score), *judged], schema=schema)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(lang), pa.array(score), *judged], schema=schema)
+
+
+#: The columns of the result.
+NAMES = ("lang_pred", "score", "lang_fits")
 
 
 def identify_languages(
-    docs: DataFrame, keep: list[str] | None = None, per_language: int = PER_LANGUAGE, judge: bool = False
+    docs: DataFrame,
+    keep: list[str] | None = None,
+    per_language: int = PER_LANGUAGE,
+    judge: bool = False,
+    names: tuple[str, str, str] = NAMES,
 ) -> DataFrame:
-    """The columns ``keep`` (default: doc_id) with lang_pred and score, and lang_fits with ``judge``."""
+    """The columns ``keep`` (default: doc_id) with lang_pred and score, and lang_fits with ``judge``.
+
+    ``names`` are the names of these three, for tables that have such columns already.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     keep = list(keep or ["doc_id"])
     model = train(docs, per_language, judge)
     inputs = docs.select(*dict.fromkeys([*keep, "text"]))
-    out = inputs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
-    out = out.add("lang_fits", "boolean") if judge else out
+    out = inputs.select(*keep).schema.add(names[0], "string").add(names[1], "double")
+    out = out.add(names[2], "boolean") if judge else out
     schema = to_arrow_schema(out)
-    return inputs.mapInArrow(lambda it: _predict(it, model, judge, schema), out)
+    return inputs.mapInArrow(lambda it: _predict(it, model, judge, len(keep), schema), out)

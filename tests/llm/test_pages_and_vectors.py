@@ -18,6 +18,7 @@ from affinity.llm.embed_dedup import embedding_components, spherical_kmeans
 from affinity.llm.html_parse import read_page
 from affinity.llm.html_template import deduce_templates, extract_main_text, main_text
 from affinity.llm.url_filter import PATTERNS, SITE_RULES, compile_rules, filter_urls
+from affinity.session import write_stage
 from test_text_ops import brute_simhash, check_packing, redacted
 
 SF = "/root/testdata/sf0.001"
@@ -321,3 +322,28 @@ def test_pipeline_languages_reject_by_the_model(spark):
     unlabelled = [(i, t, None, s, n) for i, t, _, s, n in rows[:9]] + [(9, "12", None, "s", 0), (10, None, None, "s", 0)]
     got = corpus_pipeline.language_id(spark, spark.createDataFrame(unlabelled, schema), SF).collect()
     assert {(r["doc_id"], r["lang"]) for r in got} == {(i, None) for i in range(9)}
+
+
+#: Names that stages and operators use inside, and those of their results.
+INNER = """lang_pred score lang_fits held_out secret_key secret_rules secret_m0 secret_t1 secret_s2 secret_spans secret_merged
+key rules gram folded pipeline_row pipeline_text_key component_id kept fingerprint code row root node a b u v m c x n h
+queue part start ids spans block span bits word words n_words n_hit n_items items_sha256 contaminated near_items
+value position item_id freq rank bin offset room gap rn __rn __part before own""".split()
+
+
+def test_stages_carry_columns_of_any_name(spark):
+    fields = ", ".join(f"`{c}` int" for c in INNER)
+    rows = [r[:5] for r in read_table(spark, SF, "documents").select("doc_id", "text", "lang", "source", "n_chars").collect()]
+    values = list(range(len(INNER)))
+    docs = spark.createDataFrame(
+        [(*r, *values) for r in rows], f"doc_id long, text string, lang string, source string, n_chars long, {fields}"
+    )
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs, plain = write_stage(stage(spark, docs, SF), "named"), write_stage(stage(spark, plain, SF), "plain")
+        assert docs.columns == [*plain.columns, *INNER], name
+        got = [tuple(r) for r in docs.collect()]
+        assert all(list(r[5:]) == values for r in got), name
+        assert Counter(r[:5] for r in got) == Counter(tuple(r) for r in plain.collect()), name
+    pieces = [corpus_pipeline.STAGES[-1][1](spark, d, SF).select("doc_id", "start", "length", "ids_crc32") for d in (docs, plain)]
+    assert Counter(map(tuple, pieces[0].collect())) == Counter(map(tuple, pieces[1].collect()))

@@ -21,7 +21,7 @@ from affinity.llm import license_scan, packing, secret_scan
 from affinity.llm.catalog import LLM_QUERIES, llm_oracle_sql
 from affinity.llm.common import connected_components, read_table
 from affinity.llm.decontam import decontaminate, expected_rows
-from affinity.llm.lang_id import UNKNOWN, held_out, identify_languages
+from affinity.llm.lang_id import UNKNOWN, hash_limits, held_out, identify_languages
 from affinity.llm.simhash import simhash_components
 from affinity.llm.token_count import START, LongestMatch, count_tokens, default_vocabulary
 from affinity.llm.trigram_query import holds, trigram_query
@@ -320,6 +320,45 @@ def test_language_edge_cases(spark):
     assert [r["lang_pred"] for r in identify_languages(unlabelled).collect()] == [UNKNOWN]
 
 
+def test_the_sample_is_the_smallest_hashes_of_each_language(spark):
+    """As ranking every language's whole table would choose it, repeated ids included."""
+    from pyspark.sql import Window
+
+    i = F.col("id")
+    docs = spark.range(0, 60_000, 1, 40).select(
+        F.when(i % 3 == 0, 7).when(i % 17 == 0, i % 5).otherwise(i).alias("doc_id"),
+        F.when(i % 10 < 7, "en").when(i % 10 < 9, "de").when(i % 1000 == 9, "fr").otherwise("nl").alias("lang"),
+    )
+    keyed = docs.select("lang", F.xxhash64("doc_id").alias("h"))
+    for k in (1, 50, 400, 5000):
+        n = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+        want = keyed.withColumn("n", n).where(F.col("n") <= k).groupBy("lang").agg(F.max("h").alias("h")).collect()
+        assert hash_limits(keyed, k) == {r["lang"]: r["h"] for r in want}
+    assert hash_limits(keyed.limit(0), 5) == {}
+    with pytest.raises(ValueError, match="400 different"):
+        hash_limits(spark.range(500).select(F.col("id").cast("string").alias("lang"), F.col("id").alias("h")), 5)
+
+
+def test_few_rows_of_a_language_are_ranked(spark):
+    """A language with nearly all rows: what is ranked is near the sample's size, not the table's."""
+    from affinity.llm import lang_id
+
+    keyed = spark.range(0, 200_000, 1, 200).select(F.lit("en").alias("lang"), F.xxhash64("id").alias("h"))
+    seen = []
+    by_language = lang_id._by_language
+
+    def noted(col, bounds):
+        seen.append(bounds)
+        return by_language(col, bounds)
+
+    lang_id._by_language = noted
+    try:
+        hash_limits(keyed, 400)
+    finally:
+        lang_id._by_language = by_language
+    assert len(seen) == 1 and keyed.where(F.col("h") <= seen[0]["en"]).count() < 700
+
+
 def test_languages_of_one_family_by_votes():
     from affinity.llm.lang_id import Discriminator, trigram_counts
 
