@@ -21,6 +21,7 @@ from affinity.operators.graph import (
     sum_pairs_to_links,
     user_item_pairs,
 )
+from affinity.operators.key_filter import KeyList, key_list, semi_join
 from affinity.operators.paths import (
     direct_item_recs,
     distance_graph,
@@ -49,6 +50,9 @@ __all__ = [
     "sum_item_item_signals",
     "sum_pairs_to_links",
     "user_item_pairs",
+    "KeyList",
+    "key_list",
+    "semi_join",
     "direct_item_recs",
     "distance_graph",
     "init_shortest_paths",

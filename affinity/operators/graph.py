@@ -492,13 +492,15 @@ def remove_bots(signals: DataFrame, threshold: int) -> DataFrame:
     """Keep the signals of users with fewer than ``threshold`` signal rows (strict).
 
     Rows are counted as they are (duplicates and NULL items included). The count is a
-    partially aggregated ``groupBy(user)``; the semi join keeps every input column and
-    drops NULL users. The users to keep are written to the shared checkpoint folder, so
-    both sides of the join are plain tables and Spark can split a hot user's rows.
+    partially aggregated ``groupBy(user)``. The bots are few where the normal users are many, so it is they
+    that are written and joined away: a list that Spark broadcasts while it is small, so that no signal is
+    shuffled. Beyond that both sides are plain tables and Spark can split a hot user's rows. Every
+    input column is kept; rows without a user go.
     """
     counts = signals.groupBy("user").agg(F.count(F.lit(1)).alias("__n"))
-    normal = counts.where(F.col("user").isNotNull() & (F.col("__n") < F.lit(int(threshold)))).select("user")
-    return signals.join(write_stage(normal, "normal_users"), "user", "left_semi")
+    bots = counts.where(F.col("user").isNotNull() & (F.col("__n") >= F.lit(int(threshold)))).select("user")
+    named = signals.where(F.col("user").isNotNull())
+    return named.join(write_stage(bots, "bots"), "user", "left_anti").select(*signals.columns)
 
 
 __all__ = [

@@ -30,14 +30,13 @@ from pyspark.sql.types import DoubleType
 
 from affinity.functions import reciprocal, top_n_per_group
 from affinity.operators.graph import LINK_DATA_TYPE, _require
+from affinity.operators.key_filter import KeyList, key_list, semi_join
 from affinity.session import write_stage
 
 
-def _items(df: DataFrame, name: str) -> DataFrame:
-    """A single-column item list renamed to ``name``, for semi joins (repeats do no harm, and
-    without an aggregate Spark can split a hot item)."""
-    col = "item" if "item" in df.columns else df.columns[0]
-    return df.select(F.col(col).alias(name)).where(F.col(name).isNotNull())
+def _items(df: DataFrame, map_from: int | None) -> KeyList:
+    """An item list (repeats do no harm, and without an aggregate Spark can split a hot item)."""
+    return key_list(df.select("item" if "item" in df.columns else df.columns[0]), map_from)
 
 
 def distance_graph(ii_links: DataFrame, initial_nhood_size: int, detail: bool = False) -> DataFrame:
@@ -59,6 +58,7 @@ def init_shortest_paths(
     source_items: DataFrame | None = None,
     dest_items: DataFrame | None = None,
     detail: bool = False,
+    map_lists_from: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Return ``(graph, paths)`` as the reference defines them.
 
@@ -66,9 +66,10 @@ def init_shortest_paths(
     paths: the *unfiltered* pruned links with ``raw_weight`` (and ``link_data``) nulled,
            plus a zero-distance self loop per distinct destination, restricted to dest
            items when given.
+    ``map_lists_from``: as in ``item_recs_from_graph``.
     """
     g = distance_graph(ii_links, initial_nhood_size, detail)
-    graph = g if source_items is None else g.join(_items(source_items, "item_A"), "item_A", "left_semi")
+    graph = g if source_items is None else semi_join(g, _items(source_items, map_lists_from), "item_A")
     nulls = [F.lit(None).cast(DoubleType()).alias("raw_weight")]
     if detail:
         nulls.append(F.lit(None).cast(LINK_DATA_TYPE).alias("link_data"))
@@ -79,7 +80,7 @@ def init_shortest_paths(
     )
     paths = copy.unionByName(loops)
     if dest_items is not None:
-        paths = paths.join(_items(dest_items, "item_B"), "item_B", "left_semi").select(*copy.columns)
+        paths = semi_join(paths, _items(dest_items, map_lists_from), "item_B")
     return graph, paths
 
 
@@ -91,6 +92,7 @@ def item_recs_from_graph(
     dest_items: DataFrame | None = None,
     detail: bool = False,
     stage_graph: bool = True,
+    map_lists_from: int | None = None,
 ) -> DataFrame:
     """Best <=2-hop path per (item_A, item_B); top ``num_recs`` per item_A.
 
@@ -102,12 +104,14 @@ def item_recs_from_graph(
 
     The pruned graph (at most ``initial_nhood_size`` rows per item) is read by three
     branches; with ``stage_graph`` it is written once to the shared checkpoint folder
-    instead of being recomputed from the links by each branch.
+    instead of being recomputed from the links by each branch. Item lists with at
+    least ``map_lists_from`` items filter the graph by a bit map before it is shuffled to them
+    (``operators.key_filter``; None: they do not).
     """
     g = distance_graph(ii_links, initial_nhood_size, detail)
     if stage_graph:
         g = write_stage(g, "nhood_graph")
-    src = g if source_items is None else g.join(_items(source_items, "item_A"), "item_A", "left_semi")
+    src = g if source_items is None else semi_join(g, _items(source_items, map_lists_from), "item_A")
 
     direct_cols = [
         "item_A",
@@ -123,9 +127,8 @@ def item_recs_from_graph(
 
     second = g.select(F.col("item_A").alias("__mid"), F.col("item_B").alias("__to"), F.col("dist").alias("__d2"))
     if dest_items is not None:
-        dest = _items(dest_items, "item_B")
-        direct = direct.join(dest, "item_B", "left_semi")
-        second = second.join(dest.withColumnRenamed("item_B", "__to"), "__to", "left_semi")
+        dest = _items(dest_items, map_lists_from)
+        direct, second = semi_join(direct, dest, "item_B"), semi_join(second, dest, "__to")
 
     hop_cols = [
         F.col("item_A"),

@@ -33,6 +33,7 @@ from affinity.plans.job import run_job
 from affinity.session import scratch_path
 from affinity.sources import (
     BOT_THRESHOLD,
+    Quarantine,
     dest_items,
     item_item_signals,
     load_inventory,
@@ -111,6 +112,29 @@ def q_json_signals(spark, sf):
     )
 
 
+def q_json_signals_quarantined(spark, sf):
+    """The same lines with every one of l_linenumber 7 broken: stored and counted, the others are signals."""
+    p_path, w_path = _json_signals(spark, sf)
+    broken = {1: F.lit("{"), 2: F.lit("no json"), 3: F.lit("[1]"), 0: F.lit('{"row_id": "seven"}')}
+    paths, quarantine = [], Quarantine(scratch_path(spark, "quarantine"), max_lines=1 << 40, max_share=0.5)
+    for path in (p_path, w_path):
+        lines = spark.read.text(path)
+        kind = F.pmod(F.hash("value"), F.lit(4))
+        wrong = F.when(kind == 0, broken[0]).when(kind == 1, broken[1]).when(kind == 2, broken[2]).otherwise(broken[3])
+        seventh = F.get_json_object("value", "$.row_id") == "7"
+        paths.append(scratch_path(spark, "broken"))
+        lines.select(F.when(seventh, wrong).otherwise(F.col("value")).alias("value")).write.text(paths[-1])
+    good = purchase_signals(load_purchases(spark, paths[0], quarantine)).unionByName(
+        wishlist_signals(load_wishlists(spark, paths[1], quarantine))
+    )
+    bad = [
+        spark.read.parquet(f"{quarantine.path}/{n}").groupBy(F.lit(f"bad {n}").alias("user")).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+        for n in ("purchases", "wishlists")
+    ]
+    counts = bad[0].unionByName(bad[1]).select("user", F.lit(None).cast("string").alias("item"), "weight")
+    return good.unionByName(counts)
+
+
 def q_explode_metadata(spark, sf):
     """Inventory-shaped JSON (genres array) written from ``part``, read with its schema, exploded."""
     part = read_table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
@@ -367,6 +391,12 @@ def q_item_item_recs_available(spark, sf):
     )
 
 
+def q_available_recs_mapped_lists(spark, sf):
+    """Source and dest lists filter the graph by a bit map of their keys before it is shuffled to them."""
+    lists = source_items(spark, sf), dest_items(spark, sf)
+    return item_recs_from_graph(_bayes(spark, sf), NH, N, *lists, map_lists_from=1)
+
+
 def q_item_item_recs_in_stock(spark, sf):
     """Only items in stock are recommended; the stock comes from an inventory in JSON lines."""
     part = read_table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
@@ -409,6 +439,7 @@ def q_user_item_recs_signed(spark, sf):
 QUERIES: dict[str, Query] = {
     "signals_union": q_signals_union,
     "json_signals": q_json_signals,
+    "json_signals_quarantined": q_json_signals_quarantined,
     "explode_metadata": q_explode_metadata,
     "text_sink_roundtrip": q_text_sink_roundtrip,
     "remove_bots": q_remove_bots,
@@ -431,6 +462,7 @@ QUERIES: dict[str, Query] = {
     "available_graph": q_available_graph,
     "available_paths": q_available_paths,
     "available_path_recs": q_available_path_recs,
+    "available_recs_mapped_lists": q_available_recs_mapped_lists,
     "detailed_links": q_detailed_links,
     "detailed_bayes_links": q_detailed_bayes_links,
     "detailed_graph": q_detailed_graph,

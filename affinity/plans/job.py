@@ -16,6 +16,7 @@ from affinity.params import RecParams
 from affinity.plans.pipelines import recommend
 from affinity.resume import input_fingerprint, replace_outputs, resumable_stages
 from affinity.sources import (
+    Quarantine,
     load_purchases,
     load_wishlists,
     purchase_signals,
@@ -34,20 +35,22 @@ def run_job(
     fmt: str = "text",
     job_id: str | None = None,
     on_step: Callable[[str, bool], None] | None = None,
+    quarantine: Quarantine | None = None,
 ) -> dict[str, str]:
     """Returns the two output paths. ``fmt`` is ``text`` (tab-delimited) or ``parquet``.
 
     ``job_id`` names the job whose earlier run may be taken up (default: by the output path);
-    ``on_step(name, reused)`` is told of each staged table.
+    ``on_step(name, reused)`` is told of each staged table. With a ``quarantine`` bad input lines are stored
+    there, and only too many of them end the job.
     """
     if fmt not in ("text", "parquet"):
         raise ValueError("fmt must be 'text' or 'parquet'")
     job = job_id or f"example-{hashlib.sha256(output_path.encode()).hexdigest()[:16]}"
     inputs = [input_fingerprint(spark, p) for p in (purchases_path, wishlists_path)]
     write = write_text if fmt == "text" else write_parquet
-    with resumable_stages(spark, job, repr((inputs, params)), on_step):
-        signals = purchase_signals(load_purchases(spark, purchases_path)).unionByName(
-            wishlist_signals(load_wishlists(spark, wishlists_path))
+    with resumable_stages(spark, job, repr((inputs, params, quarantine is None)), on_step):
+        signals = purchase_signals(load_purchases(spark, purchases_path, quarantine)).unionByName(
+            wishlist_signals(load_wishlists(spark, wishlists_path, quarantine))
         )
         item_recs, user_recs = recommend(signals, params, stage_links=True)
         return replace_outputs(

@@ -387,6 +387,12 @@ def build_oracle_sql() -> dict[str, str]:
 
     out["signals_union"] = _q(lambda b: f'SELECT "user", item, weight FROM {signals_union(b)}')
     out["json_signals"] = out["signals_union"]
+    joined = "FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_linenumber"
+    out["json_signals_quarantined"] = f"""SELECT CAST(o.o_custkey AS VARCHAR) AS "user", CAST(l.l_partkey AS VARCHAR) AS item,
+  CASE WHEN l.l_returnflag = 'R' THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS weight {joined} <> 7
+UNION ALL
+SELECT CASE WHEN l.l_returnflag = 'R' THEN 'bad wishlists' ELSE 'bad purchases' END, NULL, CAST(COUNT(*) AS DOUBLE)
+{joined} = 7 GROUP BY 1"""
     out["explode_metadata"] = _q(
         lambda b: """SELECT CAST(p_partkey AS VARCHAR) AS item, UNNEST(string_split(p_name, ' ')) AS metadata_field
 FROM part"""
@@ -464,6 +470,8 @@ WHERE item_A IN (SELECT item FROM {source_items(b)})"""
     )
 
     # detailed mode
+    out["available_recs_mapped_lists"] = out["available_path_recs"]
+
     def dgraph(b):
         return _tpch_graph(b, T, detail=True)
 

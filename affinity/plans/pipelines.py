@@ -81,13 +81,24 @@ def item_item_recs_diversified(signals: DataFrame, metadata: DataFrame, p: RecPa
 
 
 def item_item_recs_available(
-    signals: DataFrame, source_items: DataFrame | None, dest_items: DataFrame | None, p: RecParams
+    signals: DataFrame,
+    source_items: DataFrame | None,
+    dest_items: DataFrame | None,
+    p: RecParams,
+    map_lists_from: int | None = None,
 ) -> DataFrame:
-    """Only source items get recs, only dest items are recommended (None: all)."""
+    """Only source items get recs, only dest items are recommended (None: all).
+
+    Lists of at least ``map_lists_from`` items filter the graph by a bit map (``operators.key_filter``)."""
     g = _graph(signals, p)
     adjusted = adjust_item_item_graph_weight(g.links, g.weights, p.bayesian_prior)
     return _recs(
-        adjusted, g.items, p, source_items=_ids(g.items, source_items), dest_items=_ids(g.items, dest_items)
+        adjusted,
+        g.items,
+        p,
+        source_items=_ids(g.items, source_items),
+        dest_items=_ids(g.items, dest_items),
+        map_lists_from=map_lists_from,
     )
 
 

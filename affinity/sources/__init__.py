@@ -14,6 +14,8 @@ from affinity.sources.fixtures import (
 from affinity.sources.json_io import (
     INVENTORY_SCHEMA,
     PURCHASE_SCHEMA,
+    Quarantine,
+    TooManyBadLines,
     WISHLIST_SCHEMA,
     inventory_in_stock,
     inventory_metadata,

@@ -162,3 +162,66 @@ def test_example_job_end_to_end(spark):
             ui = spark.read.parquet(paths["user_item_recommendation"])
             got = {(r["user"], r["item"]) for r in ui.collect()}
             assert ("u3", "A") in got and ("u1", "C") not in got
+
+
+# ----------------------------------------------------------------------------- quarantine
+
+GOOD = [{"row_id": 1, "movie_name": "A", "user_id": "u1"}, {"row_id": 2, "movie_name": "B", "user_id": "u2", "more": [1]}]
+BAD = ["{not json", "[1, 2]", '"text"', "7", '{"row_id": "x"}', '{"row_id": 1', "null", "\x00"]
+
+
+def _mixed(spark, bad, good=GOOD):
+    path = scratch_path(spark, "mixed")
+    os.makedirs(_local(path))
+    with open(os.path.join(_local(path), "part-0.json"), "w") as f:
+        f.write("\n\n  \n".join([*(json.dumps(r) for r in good), *bad]) + "\n")
+    return path
+
+
+def test_quarantine_stores_bad_lines_and_keeps_the_others(spark):
+    from affinity.sources import Quarantine
+
+    path, folder = _mixed(spark, BAD), scratch_path(spark, "quarantine")
+    got = load_purchases(spark, path, Quarantine(folder, max_lines=8, max_share=0.8))
+    want = load_purchases(spark, _mixed(spark, []))
+    assert got.schema == want.schema and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    stored = spark.read.parquet(f"{folder}/purchases").collect()
+    assert sorted(r["line"] for r in stored) == sorted(BAD)
+    assert {os.path.basename(r["file"]) for r in stored} == {"part-0.json"}
+
+
+@pytest.mark.parametrize("bounds", [{"max_lines": 7, "max_share": 1.0}, {"max_lines": 99, "max_share": 0.79}])
+def test_too_many_bad_lines_end_the_read_and_are_stored(spark, bounds):
+    from affinity.sources import Quarantine, TooManyBadLines
+
+    folder = scratch_path(spark, "quarantine")
+    with pytest.raises(TooManyBadLines, match="8 of 10 lines"):
+        load_purchases(spark, _mixed(spark, BAD), Quarantine(folder, **bounds))
+    assert spark.read.parquet(f"{folder}/purchases").count() == 8
+
+
+def test_quarantine_of_clean_and_empty_sources_is_empty(spark):
+    from affinity.sources import Quarantine
+
+    for good in (GOOD, []):
+        folder = scratch_path(spark, "quarantine")
+        got = load_purchases(spark, _mixed(spark, [], good), Quarantine(folder, 0, 0.0))
+        assert got.count() == len(good) and spark.read.parquet(f"{folder}/purchases").count() == 0
+
+
+def test_job_with_quarantine_equals_the_job_on_clean_lines(spark):
+    from affinity.params import RecParams
+    from affinity.plans.job import run_job
+    from affinity.sources import Quarantine
+
+    buys = [{"row_id": i, "movie_name": m, "user_id": f"u{i % 5}"} for i, m in enumerate("ABCABDBCDACD")]
+    clean, broken, none = _mixed(spark, [], buys), _mixed(spark, BAD[:2], buys), _mixed(spark, [], [])
+    out = [scratch_path(spark, "jout") for _ in range(2)]
+    p = RecParams(0.5, 0.0, 10, 1.0, 5, 5, 5)
+    run_job(spark, clean, none, out[0], p)
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        run_job(spark, broken, none, out[1], p)
+    paths = run_job(spark, broken, none, out[1], p, quarantine=Quarantine(scratch_path(spark, "q"), 5, 0.5))
+    for name, path in paths.items():
+        rows = [sorted(r[0] for r in spark.read.text(x).collect()) for x in (path, f"{out[0]}/{name}")]
+        assert rows[0] == rows[1] and rows[0]
