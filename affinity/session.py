@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans are written for. AQE re-plans joins at runtime: a join side whose
 # measured shuffle output is under the broadcast threshold becomes a broadcast join, a
@@ -82,7 +82,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    for scope in _recording:
+        scope.paths.append(path)
+    return path
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -102,14 +105,12 @@ def write_stage(df, name: str):
         return _redirected[-1](df, name)
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    for paths in _recording:
-        paths.append(path)
     df.write.mode("overwrite").parquet(path)
     # The schema is known: reading it back needs no footer inference.
     return spark.read.schema(df.schema).parquet(path)
 
 
-_recording: list[list[str]] = []
+_recording: list["StageScope"] = []
 _redirected: list[Callable] = []
 
 
@@ -123,19 +124,70 @@ def redirect_stages(stage: Callable) -> Iterator[None]:
         _redirected.remove(stage)
 
 
+class StageScope:
+    """The scratch folders made inside a block, kept as long as a held result reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+        self._held: list[tuple[DataFrame, set[str]]] = []
+
+    def reads(self, df: DataFrame) -> set[str]:
+        """The scope's folders that a DataFrame reads from."""
+        folders = {_bare(f).rpartition("/")[0] + "/" for f in df.inputFiles()}
+        return {p for p in self.paths if any(f.startswith(_bare(p) + "/") for f in folders)}
+
+    def hold(self, df: DataFrame) -> DataFrame:
+        """Keep what ``df`` reads until it is released."""
+        self._held.append((df, self.reads(df)))
+        return df
+
+    def release(self, df: DataFrame) -> None:
+        """``df`` has been stored: what no other held result reads goes."""
+        at = next(i for i, (held, _) in enumerate(self._held) if held is df)
+        del self._held[at]
+        self.trim()
+
+    def trim(self) -> None:
+        """Delete the folders that no held result reads, as the tables that led to the last ones."""
+        live = set().union(*(paths for _, paths in self._held))
+        for p in self.paths:
+            if p not in live:
+                _delete(self.spark, p)
+        self.paths = [p for p in self.paths if p in live]
+
+
+def _bare(path: str) -> str:
+    """A path without its scheme and host."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 @contextmanager
-def temporary_stages(spark: SparkSession) -> Iterator[None]:
-    """Delete the tables that ``write_stage`` writes inside the block when it ends.
+def temporary_stages(spark: SparkSession) -> Iterator[StageScope]:
+    """Delete the scratch folders that are made inside the block (staged tables above all) when it ends.
 
     For jobs that store their results before the end; a DataFrame that is still to be read
-    from staged tables must not outlive the block.
+    from staged tables must not outlive the block. Inside, ``hold`` the results and ``trim`` to free at once what
+    led to them, and ``release`` each when it is stored.
     """
-    paths: list[str] = []
-    _recording.append(paths)
+    scope = StageScope(spark)
+    _recording.append(scope)
     try:
-        yield
+        yield scope
     finally:
-        _recording.remove(paths)
-        for p in paths:
-            path = spark._jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _recording.remove(scope)
+        for p in scope.paths:
+            _delete(spark, p)
+
+
+def store_result(spark: SparkSession, build: Callable[[], DataFrame], store: Callable[[DataFrame], object]):
+    """Build a result, store it and leave no scratch folder: those that led to it go before it is computed."""
+    with temporary_stages(spark) as scope:
+        df = scope.hold(build())
+        scope.trim()
+        return store(df)
