@@ -234,7 +234,16 @@ def brute_vectors(rows, threshold=0.93):
     return Counter((r[0], links[i], known[find(i)], r[0] is not None and r[0] == known[find(i)]) for i, r in enumerate(rows))
 
 
-@pytest.mark.parametrize("sizes", [{}, {"cell_rows": 12, "block_rows": 5, "max_cells": 7}, {"cell_rows": 1, "block_rows": 1, "sample_rows": 9}])
+SIZES = [
+    {},
+    {"cell_rows": 12, "block_rows": 5, "max_centres": 7},
+    {"cell_rows": 1, "block_rows": 1, "sample_rows": 9},
+    {"cell_rows": 2, "block_rows": 3, "max_centres": 4},
+    {"cell_rows": 3, "block_rows": 200, "max_centres": 2},
+]
+
+
+@pytest.mark.parametrize("sizes", SIZES)
 def test_vectors_match_brute_force(spark, sizes):
     rng = np.random.default_rng(11)
     rows = []
@@ -251,6 +260,36 @@ def test_vectors_match_brute_force(spark, sizes):
     assert Counter(map(tuple, got)) == brute_vectors(rows)
 
 
+def test_over_64_cells_of_one_label_in_two_levels(spark):
+    from affinity.llm import embed_dedup
+
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 6))
+    x = centres[rng.integers(0, 40, 700)] + rng.normal(size=(700, 6)) * rng.choice([0.05, 0.2, 0.5], (700, 1))
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    fitted, fit = [], embed_dedup.fit_cells
+    embed_dedup.fit_cells = lambda *a: fitted.append(fit(*a)) or fitted[-1]
+    try:
+        got = embedding_components(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), cell_rows=7).collect()
+    finally:
+        embed_dedup.fit_cells = fit
+    assert fitted[0].lower is not None and len(fitted[0]) > 64
+    assert Counter(map(tuple, got)) == brute_vectors(rows)
+
+
+def test_each_vector_of_a_cell_of_one_block_is_sent_once():
+    """Residents at home, guests where a plane is near; nothing else, in either number of levels."""
+    from affinity.llm.embed_dedup import fit_cells
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(50, 1, 8)) + rng.normal(size=(50, 40, 8)) * 0.02
+    x = (x / np.linalg.norm(x, axis=2, keepdims=True)).reshape(-1, 8)
+    for most in (64, 5):
+        row, cell, guest = fit_cells(x, 50, most).place(x, float(np.arccos(0.99)))
+        assert Counter(row[~guest].tolist()) == Counter(range(2000))
+        assert len(np.unique(cell[~guest])) > 20 and guest.sum() < 2000
+
+
 def test_no_vectors(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_components(table).collect() == []
