@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.session import write_stage
@@ -54,6 +54,24 @@ def ascii_lower(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: Elements of a block of a list that is folded block by block.
+BLOCK = 256
+
+
+def in_blocks(items: Column) -> Column:
+    """A list with at least one element as lists of ``BLOCK`` of them: lists that grow by an element at a time are
+    copied each time, so long ones are made of blocks."""
+    return F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")),
+        lambda k: F.slice(items, k * BLOCK + 1, F.lit(BLOCK)),
+    )
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 class Forest:
     """Union-find over 0..n-1 with whole arrays of links at a time; the root is the smallest member."""
 

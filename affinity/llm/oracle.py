@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from affinity.llm.license_scan import THRESHOLD, default_templates
+from affinity.llm.license_scan import THRESHOLD, default_templates, seeds_of
 from affinity.llm.secret_scan import BASE64, BASE_RULES, IS_BASE64, IS_OTHER, IS_SHORT, KEY_END, KEY_LINE, RULES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -99,12 +99,12 @@ FROM documents d LEFT JOIN found f ON d.doc_id = f.doc_id
 
 
 def _op2() -> str:
-    rows = ", ".join(
-        f"({i}, '{t.name}', [{', '.join(f"'{a} {b}'" for a, b in t.bigrams)}])"
-        for i, t in enumerate(sorted(default_templates(), key=lambda t: t.name))
-    )
+    templates = sorted(default_templates(), key=lambda t: t.name)
+    rows = ", ".join(f"({i}, '{t.name}', [{', '.join(f"'{a} {b}'" for a, b in t.bigrams)}])" for i, t in enumerate(templates))
+    seeds = ", ".join(f"('{a} {b}', {k}, {q})" for (a, b), held in seeds_of(templates, THRESHOLD).items() for k, q in held)
     return f"""
 WITH templates(k, name, grams) AS (VALUES {rows}),
+seeds(gram, k, q) AS (VALUES {seeds}),
 plain AS (
   SELECT doc_id, regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g') AS t
   FROM documents),
@@ -128,13 +128,36 @@ met AS (
   FROM passage_grams JOIN template_grams USING (gram) GROUP BY doc_id, id, k),
 dice AS (SELECT *, 2.0::DOUBLE * c / (a + b) AS d FROM met),
 best AS (
-  SELECT doc_id, id, name, k, d FROM dice WHERE d >= {THRESHOLD}
-  QUALIFY row_number() OVER (PARTITION BY doc_id, id ORDER BY d DESC, k) = 1),
+  SELECT doc_id, id, name, k, d, b FROM dice WHERE d >= {THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY doc_id, id ORDER BY d DESC, b DESC, k) = 1),
+flat AS (SELECT doc_id, string_split(trim(regexp_replace(t, '\\s+', ' ', 'g')), ' ') AS w FROM plain),
+whole AS MATERIALIZED (
+  SELECT doc_id, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM flat WHERE len(w) > 1),
+hits AS (SELECT doc_id, unnest(g) AS gram, generate_subscripts(g, 1) - 1 AS p, len(g) AS n FROM whole),
+windows AS (
+  SELECT DISTINCT doc_id, k, len(grams) AS b, greatest(0, least(p - q, n - len(grams))) AS s
+  FROM hits JOIN seeds USING (gram) JOIN templates USING (k) WHERE n >= len(grams)),
+window_grams AS (
+  SELECT doc_id, k, s, gram, count(*) AS here
+  FROM (SELECT doc_id, k, s, unnest(g[s + 1 : s + b]) AS gram FROM windows JOIN whole USING (doc_id)) GROUP BY ALL),
+window_dice AS (
+  SELECT doc_id, k, s, any_value(name) AS name, any_value(b) AS b, 2.0::DOUBLE * sum(least(here, held)) / (2 * any_value(b)) AS d
+  FROM window_grams JOIN template_grams USING (k, gram) GROUP BY doc_id, k, s HAVING d >= {THRESHOLD}),
+runs AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s, b, k ROWS UNBOUNDED PRECEDING) AS run
+  FROM (SELECT *, CASE WHEN s >= coalesce(max(s + b) OVER (
+    PARTITION BY doc_id ORDER BY s, b, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) THEN 1 ELSE 0 END AS fresh
+    FROM window_dice)),
+notices AS (
+  SELECT doc_id, name, k, d, b FROM runs
+  QUALIFY row_number() OVER (PARTITION BY doc_id, run ORDER BY d DESC, b DESC, k) = 1),
+both_kinds AS (SELECT doc_id, name, k, d, b, 1 AS p, 0 AS w FROM best UNION ALL SELECT doc_id, name, k, d, b, 0, 1 FROM notices),
 found AS (
-  SELECT doc_id, first(name ORDER BY d DESC, k) AS license, max(d) AS license_dice, count(*) AS n,
-    string_agg(DISTINCT name, ',' ORDER BY name) AS licenses
-  FROM best GROUP BY doc_id)
-SELECT d.doc_id, license, license_dice, coalesce(n, 0) AS n_license_passages, coalesce(licenses, '') AS licenses
+  SELECT doc_id, first(name ORDER BY d DESC, b DESC, k) AS license, max(d) AS license_dice,
+    CAST(sum(p) AS BIGINT) AS n_passages, CAST(sum(w) AS BIGINT) AS n_notices, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses
+  FROM both_kinds GROUP BY doc_id)
+SELECT d.doc_id, license, license_dice, coalesce(n_passages, 0) AS n_license_passages,
+  coalesce(n_notices, 0) AS n_license_notices, coalesce(licenses, '') AS licenses
 FROM documents d LEFT JOIN found f ON d.doc_id = f.doc_id
 """
 

@@ -33,12 +33,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.common import free_names
+from affinity.llm.common import free_names, in_blocks
+from affinity.llm.common import let as _let
 from affinity.llm.trigram_query import grams, trigram_query
 from affinity.session import write_stage
 
-BLOCK = 256
-
 
 @dataclass(frozen=True)
 class SecretRule:
@@ -179,14 +178,6 @@ def _positions(steps: Column, rule: SecretRule, number: int) -> Column:
     return F.flatten(F.aggregate(in_blocks(steps), start, of_block)["out"])
 
 
-def in_blocks(items: Column) -> Column:
-    """A list with at least one element as lists of ``BLOCK`` of them."""
-    return F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")),
-        lambda k: F.slice(items, k * BLOCK + 1, F.lit(BLOCK)),
-    )
-
-
 def find_secrets(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, name: str = "secret_spans") -> DataFrame:
     """The table with ``name``: spans (start, kind, end) by start, then kind; kind is the rule's number."""
     docs = docs.drop(*(c for c in docs.columns if c.lower() == name.lower()))
@@ -260,11 +251,6 @@ def _cut_out(text: Column, spans: Column, mark: str) -> Column:
     return _let(in_blocks(spans), of_blocks)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def redact(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """The table with every span of a text replaced by ``mark`` (spans that overlap: by one mark)."""
     spans, whole = free_names(docs.columns, ["secret_spans", "secret_merged"])

@@ -629,30 +629,99 @@ def brute_license(text, threshold=license_scan.THRESHOLD):
     parts = plain.split("\n") + [re.sub(r"\s+", " ", p) for p in paragraphs if "\n" in p]
     parts += [re.sub(r"\s+", " ", plain)] if len(paragraphs) > 1 else []
     templates = sorted(license_scan.default_templates(), key=lambda t: t.name)
-    found = []
+    sizes = [len(t.bigrams) for t in templates]
+    counts = [Counter(t.bigrams) for t in templates]
+
+    def dice(grams, k):
+        return 2.0 * sum((Counter(grams) & counts[k]).values()) / (len(grams) + sizes[k])
+
+    passages = []
     for p in parts:
         w = p.strip(" ").split(" ")
-        grams = Counter(zip(w, w[1:]))
-        best = max(
-            (2.0 * sum((grams & Counter(t.bigrams)).values()) / (len(w) - 1 + len(t.bigrams)), -k) for k, t in enumerate(templates)
-        )
-        if best[0] >= threshold:
-            found.append(best)
-    top = max(found, default=None)
-    names = sorted({templates[-k].name for _, k in found})
-    return (templates[-top[1]].name if top else None, top[0] if top else None, len(found), ",".join(names))
+        grams = list(zip(w, w[1:]))
+        best = max((dice(grams, k), sizes[k], -k) for k in range(len(templates)))
+        passages += [best] if best[0] >= threshold else []
+    w = re.sub(r"\s+", " ", plain).strip(" ").split(" ")
+    grams, windows = list(zip(w, w[1:])), set()
+    for b, held in license_scan.seeds_of(templates, threshold).items():
+        for p in (i for i, g in enumerate(grams) if g == b):
+            for k, q in held:
+                if sizes[k] <= len(grams):
+                    s = max(0, min(p - q, len(grams) - sizes[k]))
+                    windows.add((s, s + sizes[k], dice(grams[s : s + sizes[k]], k), sizes[k], -k))
+    notices, end = [], 0
+    for s, e, *what in sorted(x for x in windows if x[2] >= threshold):
+        if s >= end:
+            notices.append(tuple(what))
+        notices[-1], end = max(notices[-1], tuple(what)), max(e, end)
+    found = passages + notices
+    if not found:
+        return None, None, 0, 0, ""
+    d, _, k = max(found)
+    return templates[-k].name, d, len(passages), len(notices), ",".join(sorted({templates[-x[2]].name for x in found}))
 
 
 def test_licenses_match_brute_force(spark):
     texts = ["Released under the MIT License.", "x\nLicensed under CC BY-NC 4.0.\nReleased under the MIT License!\ny", None, "", "\n\n"]
     long = license_scan.TEXTS["MIT"]
     texts += [long, long[:300] + "\n" + long[300:] + "\n\nother text", "word " * 3000 + "\n\n" + long, long[: len(long) * 3 // 4]]
+    texts += [t for t, _ in NOTICES]
     texts += ["licensed under the GNU GPL, version 3", "This work is licensed under the GNU General Public License, version 3.", "é " * 9]
     rows = [(i, t, None, "s") for i, t in enumerate(texts)]
     docs = table(spark, rows).withColumn("license", F.lit("old"))
     got = license_scan.scan_licenses(docs).collect()
-    cols = ("license", "license_dice", "n_license_passages", "licenses")
+    cols = ("license", "license_dice", "n_license_passages", "n_license_notices", "licenses")
     assert {r["doc_id"]: tuple(r[c] for c in cols) for r in got} == {i: brute_license(t) for i, t, *_ in rows}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
+    sql = con.sql(llm_oracle_sql()["op2_license_scans"])
+    assert {r[0]: r[1:] for r in sql.fetchall()} == {i: brute_license(t) for i, t, *_ in rows}
+
+
+def gnu(kind, name, version):
+    return "\n".join(f" * {line}" for line in license_scan.GNU_HEADER.format(kind, name, version).replace(". ", ".\n").split("\n"))
+
+
+#: Notices where they stand in documents, and the one licence that each names.
+NOTICES = [
+    ("Great photo. Licensed under CC BY 4.0. See more.", "CC-BY-4.0"),
+    ("Copyright 2020 A. Person, all of it. Released under the MIT License. No more is said here about it.", "MIT"),
+    ("#!/bin/sh\n" + gnu("program", "GNU General Public License", "3") + "\nimport os\nprint(1)", "GPL-3.0"),
+    ("x = 1\n" + gnu("program", "GNU General Public License", "2") + "\ny = 2", "GPL-2.0"),
+    (gnu("library", "GNU Lesser General Public License", "2.1") + "\n\ncode here", "LGPL-2.1"),
+    ("code\n" + gnu("program", "GNU Affero General Public License", "3"), "AGPL-3.0"),
+    ("Words before. " + license_scan.TEXTS["Apache-2.0"].replace("\n", "\n\n") + " Words behind.", "Apache-2.0"),
+    ("// SPDX-License-Identifier: MIT\nint main() {}", "MIT"),
+    ("/* SPDX-License-Identifier: GPL-2.0-only */ int x;", "GPL-2.0"),
+    ("Copyright (c) 2021, X\n" + license_scan.TEXTS["BSD-3-Clause"] + "\nTHIS SOFTWARE IS PROVIDED BY X", "BSD-3-Clause"),
+    ("Copyright (c) 2021, X\n" + license_scan.BSD + "\nTHIS SOFTWARE IS PROVIDED BY X", "BSD-2-Clause"),
+    ("See also. This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License, friends.", "CC-BY-SA-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "CC-BY-NC-ND-4.0"),
+    ("The license of the car was under review, and the software of this work is on the table with you.", None),
+]
+
+
+def test_notices_inside_other_text(spark):
+    rows = [(i, t, None, "s") for i, (t, _) in enumerate(NOTICES)]
+    got = {r["doc_id"]: (r["license"], r["licenses"]) for r in license_scan.scan_licenses(table(spark, rows)).collect()}
+    assert got == {i: (name, name or "") for i, (_, name) in enumerate(NOTICES)}
+
+
+def test_seeds_cannot_all_be_missing_from_a_window():
+    templates = license_scan.default_templates()
+    for threshold in (0.8, 0.5, 1.0):
+        seeds = license_scan.seeds_of(templates, threshold)
+        for i, t in enumerate(templates):
+            places = [q for held in seeds.values() for k, q in held if k == i]
+            # A window of this size with so many of its bigrams gone is below the threshold.
+            assert 2 * (len(t.bigrams) - len(places)) / (2 * len(t.bigrams)) < threshold and len(set(places)) == len(places)
+
+
+def test_many_notices_in_one_text(spark):
+    text = "Some words. Released under the MIT License. " * 3000
+    row = license_scan.scan_licenses(table(spark, [(1, text, None, None)])).first()
+    assert (row["license"], row["license_dice"], row["n_license_notices"]) == ("MIT", 1.0, 3000)
 
 
 def test_size_bounds_lose_no_template():
