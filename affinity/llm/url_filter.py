@@ -16,8 +16,9 @@ Kinds of rules:
 The longest fitting site rule decides. Without one, an allowing pattern, then a blocking
 pattern, then ``allow``.
 
-All is one projection over the table: the buckets are a literal array, looked up by hash, so
-no row moves and no key can be hot. The rules are a job's parameter, at most ``MAX_RULES``.
+All is one projection over the table: the buckets are a literal of the plan, looked up by hash, so
+no row moves and no key can be hot. The rules are a job's parameter, given or read from a list's file
+(``read_rules``); their number, at most ``MAX_RULES``, is bounded by the size of the literal (some 100 bytes a rule).
 
 Cases: a null URL or one without ``://`` has an empty host and path and no site rule; a null
 URL fits no pattern; repeated rows are judged alike; an empty table gives no rows; columns of
@@ -26,15 +27,16 @@ the table with the names of results are not read.
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm.common import ascii_lower
+from affinity.llm.common import ascii_lower, free_names
 
-MAX_RULES = 20_000
+MAX_RULES = 200_000
 _TOKEN = re.compile(r"[a-z0-9%]+")
 
 SITE_RULES = (
@@ -108,16 +110,63 @@ def compile_rules(site_rules=SITE_RULES, patterns=PATTERNS) -> list[Rule]:
     return rules
 
 
+def read_rules(spark: SparkSession, path: str) -> tuple[tuple[tuple[str, str], ...], int]:
+    """The patterns of a filter list's file (``@@`` allows), and how many of its lines are rules of other kinds.
+
+    Those are rules on elements of a page (``##`` and the like), regular expressions between slashes, and rules with
+    options behind ``$``, which depend on more than the URL.
+    """
+    lines = [r["value"].strip() for r in spark.read.text(path).limit(2 * MAX_RULES + 1).collect()]
+    if len(lines) > 2 * MAX_RULES:
+        raise ValueError(f"{path} has over {2 * MAX_RULES} lines")
+    patterns, others = [], 0
+    for line in lines:
+        if not line or line[0] in "!#[":
+            continue
+        allow = line.startswith("@@")
+        text = line[2:] if allow else line
+        if re.search(r"#[@?$%]?#|\$", text) or re.fullmatch(r"/.+/", text) or not text.strip("*|^"):
+            others += 1
+        else:
+            patterns.append(("allow" if allow else "block", text))
+    return tuple(dict.fromkeys(patterns)), others
+
+
 def _tokens(url: Column) -> Column:
     return F.array_distinct(F.split(ascii_lower(url), "[^a-z0-9%]+"))
 
 
+class Buckets:
+    """Entries filed by the hash of a token, in a literal of the plan."""
+
+    def __init__(self, spark: SparkSession, entries: dict[str, list[int]]):
+        self.n = 1 << max(1, len(entries).bit_length())
+        buckets: list[list] = [[] for _ in range(self.n)]
+        if entries:
+            named = spark.createDataFrame([(t,) for t in entries], "token string")
+            for r in named.select("token", self._place(F.col("token")).alias("b")).collect():
+                buckets[r["b"]].append({"token": r["token"], "rules": entries[r["token"]]})
+        self._rows = F.from_json(F.lit(json.dumps(buckets)), "array<array<struct<token:string,rules:array<int>>>>")
+
+    def _place(self, token: Column) -> Column:
+        return F.pmod(F.xxhash64(token), F.lit(self.n)).cast("int")
+
+    def _found(self, token: Column) -> Column:
+        return F.filter(F.get(self._rows, self._place(token)), lambda e: e["token"] == token)
+
+    def has(self, token: Column) -> Column:
+        return F.size(self._found(token)) > 0
+
+    def rules(self, token: Column) -> Column:
+        return F.flatten(F.transform(self._found(token), lambda e: e["rules"]))
+
+
 def token_counts(urls: DataFrame, url: str, vocabulary: list[str]) -> dict[str, int]:
     """In how many URLs of the whole table each token of the rules occurs."""
     if not vocabulary:
         return {}
-    known = F.array(*map(F.lit, vocabulary))
-    found = urls.select(F.explode(F.array_intersect(_tokens(F.col(url)), known)).alias("token"))
+    known = Buckets(urls.sparkSession, {t: [] for t in vocabulary})
+    found = urls.select(F.explode(F.filter(_tokens(F.col(url)), known.has)).alias("token"))
     # At most one row for each token of the rules.
     return {r["token"]: r["count"] for r in found.groupBy("token").count().collect()}
 
@@ -133,55 +182,47 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return ascii_lower(part(1)), part(2)
 
 
+def _literals(values: list[str]) -> Column:
+    return F.from_json(F.lit(json.dumps(values)), "array<string>")
+
+
 def filter_urls(pages: DataFrame, url: str = "url", site_rules=SITE_RULES, patterns=PATTERNS) -> DataFrame:
-    """The table with url_host, url_path, url_rule (of a site rule), url_verdict and url_pattern."""
+    """The table with url_host, url_path, url_rule (of a site rule), url_verdict, url_pattern and url_candidates.
+
+    ``url_candidates`` is the number of rules whose expressions were run.
+    """
     rules = compile_rules(site_rules, patterns)
     counts = token_counts(pages, url, sorted({t for r in rules for t in r.tokens}))
-    n_buckets = 1 << max(1, len(rules).bit_length())
-    bucket = lambda token: F.pmod(F.xxhash64(token), F.lit(n_buckets))
-    filed = [(t, i) for i, r in enumerate(rules) if (t := rarest(r, counts))]
-    always = [i for i, r in enumerate(rules) if not r.tokens]
-    where = {}
-    if filed:
-        names = sorted({t for t, _ in filed})
-        row = pages.sparkSession.range(1).select(*(bucket(F.lit(t)).alias(f"t{k}") for k, t in enumerate(names))).first()
-        where = dict(zip(names, row))
-    entry = "array<struct<token:string,rule:int>>"
-    buckets = [[] for _ in range(n_buckets)]
-    for t, i in filed:
-        buckets[where[t]].append(F.struct(F.lit(t).alias("token"), F.lit(i).alias("rule")))
-    index = F.array(*(F.array(*b).cast(entry) for b in buckets))
-    regex = F.array(*(F.lit(r.regex) for r in rules))
-    text = F.array(*(F.lit(r.text) for r in rules))
-    action = F.array(*(F.lit(r.action) for r in rules))
+    filed: dict[str, list[int]] = {}
+    for i, r in enumerate(rules):
+        if t := rarest(r, counts):
+            filed.setdefault(t, []).append(i)
+    index = Buckets(pages.sparkSession, filed)
+    always = F.from_json(F.lit(json.dumps([i for i, r in enumerate(rules) if not r.tokens])), "array<int>")
+    regex, text, action = (_literals([getattr(r, a) for r in rules]) for a in ("regex", "text", "action"))
     n_sites = sum(r.site for r in rules)
 
     host, path = url_parts(F.col(url))
     lower = ascii_lower(F.coalesce(F.col(url), F.lit("")))
+    ours = ["url_host", "url_path", "url_rule", "url_verdict", "url_pattern", "url_candidates"]
+    met, best = free_names([*pages.columns, *ours], ["url_met", "url_best"])
     df = pages.withColumns({"url_host": host, "url_path": path})
     subject = F.concat("url_host", "url_path")
-    hits = F.flatten(
-        F.transform(
-            _tokens(F.coalesce(F.col(url), F.lit(""))),
-            lambda t: F.transform(
-                F.filter(F.get(index, bucket(t).cast("int")), lambda e: e["token"] == t), lambda e: e["rule"]
-            ),
-        )
-    )
-    candidates = F.concat(hits, F.array(*map(F.lit, always)).cast("array<int>"))
+    hits = F.flatten(F.transform(_tokens(F.coalesce(F.col(url), F.lit(""))), index.rules))
+    df = df.withColumn(met, F.concat(hits, always))
     fits = F.filter(
-        candidates,
+        met,
         lambda i: F.rlike(F.when(i < n_sites, subject).otherwise(lower), F.get(regex, i))
         & ((i >= n_sites) | F.col(url).contains("://"))
         & F.col(url).isNotNull(),
     )
-    best = F.array_min(fits) if rules else F.lit(None).cast("int")
-    df = df.withColumn("url_best", best)
-    is_site = F.col("url_best") < n_sites
+    df = df.withColumn(best, F.array_min(fits))
+    is_site = F.col(best) < n_sites
     return df.withColumns(
         {
-            "url_rule": F.when(is_site, F.get(text, F.col("url_best"))) if rules else F.lit(None).cast("string"),
-            "url_verdict": F.coalesce(F.get(action, F.col("url_best")), F.lit("allow")) if rules else F.lit("allow"),
-            "url_pattern": F.when(~is_site, F.get(text, F.col("url_best"))) if rules else F.lit(None).cast("string"),
+            "url_rule": F.when(is_site, F.get(text, F.col(best))),
+            "url_verdict": F.coalesce(F.get(action, F.col(best)), F.lit("allow")),
+            "url_pattern": F.when(~is_site, F.get(text, F.col(best))),
+            "url_candidates": F.size(met),
         }
-    ).drop("url_best")
+    ).drop(met, best)
