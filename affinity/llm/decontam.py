@@ -13,7 +13,9 @@
 
 Nothing is shuffled but one row a term and task, and no list outgrows its document. The
 benchmark is taken in parts of at most ``part_chars`` characters, so what a task holds of it
-is bounded; the parts' results are merged by document.
+is bounded: some 17 bytes a word and the vocabulary (``Windows``). A task lays out windows and their
+candidate places in blocks of at most ``BLOCK_WINDOWS`` and ``BLOCK_PLACES`` (or those of one window). The parts'
+results are merged by document.
 
 Cases: a null text has no words and gives a row of zeros; items without words are left out;
 items with the same id count once; an item with a null id is named by the empty string;
@@ -40,6 +42,9 @@ WINDOW = 10
 SLOP = 20
 #: Characters of the benchmark that a task holds at a time.
 PART_CHARS = 20_000_000
+#: Windows, and places of their rarest terms, that a task intersects at a time.
+BLOCK_WINDOWS = 1 << 14
+BLOCK_PLACES = 1 << 20
 #: Rarest terms that must meet for a proximity match.
 NEAR_TERMS = 3
 
@@ -52,34 +57,47 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Windows:
-    """The windows of a part of the benchmark: term numbers, places, and items."""
+    """The windows of a part of the benchmark: the words' term numbers, and of each window its first word, length,
+    item and rarest term. Its words in order of rarity are laid out when they are asked for."""
 
     def __init__(self, items: list[tuple[str, bytes | None]], window: int):
+        self.window = window
         self.vocab: dict[bytes, int] = {}
-        terms, places, item, length = [], [], [], []
         self.items = sorted({i for i, _ in items})
         number = {i: k for k, i in enumerate(self.items)}
+        ids, first, length, item, at = [], [], [], [], 0
         for name, text in items:
-            ids = [self.vocab.setdefault(w, len(self.vocab)) for w in words_of(text)]
-            if not ids:
+            words = np.array([self.vocab.setdefault(w, len(self.vocab)) for w in words_of(text)], dtype=np.int32)
+            if not len(words):
                 continue
-            n = min(window, len(ids))
-            for lo in range(len(ids) - n + 1):
-                terms.append(ids[lo : lo + n] + [-1] * (window - n))
-                item.append(number[name])
-                length.append(n)
-        self.terms = np.array(terms, dtype=np.int64).reshape(-1, window)
-        self.item = np.array(item, dtype=np.int64)
-        self.length = np.array(length, dtype=np.int64)
+            n = min(window, len(words))
+            starts = np.arange(at, at + len(words) - n + 1, dtype=np.int32)
+            ids.append(words)
+            first.append(starts)
+            length.append(np.full(len(starts), n, dtype=np.int8 if window < 128 else np.int32))
+            item.append(np.full(len(starts), number[name], dtype=np.int32))
+            at += len(words)
+        none = [np.empty(0, dtype=np.int32)]
+        self.ids, self.first, self.length, self.item = (np.concatenate(x or none) for x in (ids, first, length, item))
+        self.rare = none[0]
+
+    def __len__(self) -> int:
+        return len(self.first)
 
     def order_by(self, counts: np.ndarray) -> None:
-        """Put each window's words in order from the rarest; what pads a short window comes last."""
-        rarity = np.where(self.terms < 0, np.iinfo(np.int64).max, counts[self.terms])
-        self.places = np.argsort(rarity, axis=1, kind="stable")
-        self.terms = np.take_along_axis(self.terms, self.places, axis=1)
-        order = np.argsort(self.terms[:, 0], kind="stable") if len(self.terms) else np.empty(0, dtype=np.int64)
-        self.terms, self.places = self.terms[order], self.places[order]
-        self.item, self.length = self.item[order], self.length[order]
+        """Set the terms' counts over the corpus, which say how rare they are."""
+        self.counts = counts
+        rare = [self.laid_out(np.arange(lo, min(len(self), lo + BLOCK_WINDOWS)))[0][:, 0] for lo in range(0, len(self), BLOCK_WINDOWS)]
+        self.rare = np.concatenate(rare).astype(np.int32) if rare else self.rare
+
+    def laid_out(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and places of windows, from the rarest; what pads a short window is -1 and comes last."""
+        inside = np.arange(self.window)[None, :] < self.length[chosen][:, None]
+        at = np.where(inside, self.first[chosen][:, None] + np.arange(self.window)[None, :], 0)
+        terms = np.where(inside, self.ids[at].astype(np.int64), -1)
+        rarity = np.where(inside, self.counts[terms], np.iinfo(np.int64).max)
+        places = np.argsort(rarity, axis=1, kind="stable")
+        return np.take_along_axis(terms, places, axis=1), places
 
 
 def _index(batches: Iterator[pa.RecordBatch], vocab: dict[bytes, int], schema: pa.Schema):
@@ -121,15 +139,25 @@ def _runs(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
 
 
+def _blocks(n: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of windows with ``n`` places each, of at most ``BLOCK_WINDOWS`` and ``BLOCK_PLACES``, or one window."""
+    upto, lo = np.concatenate(([0], np.cumsum(n))), 0
+    while lo < len(n):
+        fits = int(np.searchsorted(upto, upto[lo] + BLOCK_PLACES, side="right")) - 1
+        hi = min(max(fits, lo + 1), lo + BLOCK_WINDOWS, len(n))
+        yield lo, hi
+        lo = hi
+
+
 def match_windows(
     key_doc: np.ndarray, key_term: np.ndarray, key_at: np.ndarray, w: Windows, n_docs: int, slop: int
 ) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    """Postings (document, term, position) -> exact (document, window, start) and near (document, window)."""
+    """Postings (document, term, position) -> exact (document, window, start) and different near (document, item)."""
     none = np.empty(0, dtype=np.int64)
-    if not len(w.terms) or not len(key_term):
+    if not len(w) or not len(key_term):
         return (none, none, none), (none, none)
     # One axis for all documents, with gaps that no window and no slop can cross.
-    gap = max(slop, w.terms.shape[1]) + 1
+    gap = max(slop, w.window) + 1
     longest = np.zeros(n_docs, dtype=np.int64)
     np.maximum.at(longest, key_doc, key_at + 1)
     base = np.cumsum(longest + gap) - longest
@@ -140,25 +168,34 @@ def match_windows(
         i = np.searchsorted(keys, k)
         return (i < len(keys)) & (keys[np.minimum(i, len(keys) - 1)] == k)
 
-    lo, hi = np.searchsorted(keys, w.terms[:, 0] * span), np.searchsorted(keys, (w.terms[:, 0] + 1) * span)
-    n = hi - lo
-    win = np.repeat(np.arange(len(n)), n)
-    at = keys[_runs(lo, n)] - w.terms[win, 0] * span
-
-    near = np.ones(len(win), dtype=bool)
-    for k in range(1, min(NEAR_TERMS, w.terms.shape[1])):
-        t = w.terms[win, k]
-        i = np.searchsorted(keys, t * span + at - slop)
-        near &= (t < 0) | ((i < len(keys)) & (keys[np.minimum(i, len(keys) - 1)] <= t * span + at + slop))
-    near_doc, near_win = np.searchsorted(base, at[near], side="right") - 1, win[near]
-
-    start = at - w.places[win, 0]
-    for k in range(1, w.terms.shape[1]):
-        t = w.terms[win, k]
-        stay = (t < 0) | held(t * span + start + w.places[win, k])
-        win, start = win[stay], start[stay]
-    doc = np.searchsorted(base, start, side="right") - 1
-    return (doc, win, start - base[doc]), (near_doc, near_win)
+    n_places = np.bincount(key_term, minlength=len(w.vocab))[w.rare]
+    active = np.flatnonzero(n_places)
+    exact, near_pairs = [], [none]
+    for first, last in _blocks(n_places[active]):
+        chosen = active[first:last]
+        terms, places = w.laid_out(chosen)
+        lo, n = np.searchsorted(keys, terms[:, 0] * span), n_places[chosen]
+        win = np.repeat(np.arange(len(n)), n)
+        at = keys[_runs(lo, n)] - terms[win, 0] * span
+
+        near = np.ones(len(win), dtype=bool)
+        for k in range(1, min(NEAR_TERMS, w.window)):
+            t = terms[win, k]
+            i = np.searchsorted(keys, t * span + at - slop)
+            near &= (t < 0) | ((i < len(keys)) & (keys[np.minimum(i, len(keys) - 1)] <= t * span + at + slop))
+        near_doc = np.searchsorted(base, at[near], side="right") - 1
+        near_pairs.append(np.unique(near_doc * len(w.items) + w.item[chosen[win[near]]]))
+
+        start = at - places[win, 0]
+        for k in range(1, w.window):
+            t = terms[win, k]
+            stay = (t < 0) | held(t * span + start + places[win, k])
+            win, start = win[stay], start[stay]
+        doc = np.searchsorted(base, start, side="right") - 1
+        exact.append((doc, chosen[win], start - base[doc]))
+    pairs = np.unique(np.concatenate(near_pairs))
+    found = tuple(np.concatenate([e[k] for e in exact] or [none]) for k in range(3))
+    return found, (pairs // len(w.items), pairs % len(w.items))
 
 
 def _search(batches: Iterator[pa.RecordBatch], w: Windows, slop: int, schema: pa.Schema):
@@ -168,7 +205,7 @@ def _search(batches: Iterator[pa.RecordBatch], w: Windows, slop: int, schema: pa
         counts, _ = _flat(batch.column("counts"))
         at, n_at = _flat(batch.column("positions"))
         doc = np.repeat(np.arange(n_docs), n_at)
-        (doc, win, start), (near_doc, near_win) = match_windows(doc, np.repeat(terms, counts), at, w, n_docs, slop)
+        (doc, win, start), (near_doc, near_item) = match_windows(doc, np.repeat(terms, counts), at, w, n_docs, slop)
         # Merge the spans of each document.
         order = np.lexsort((start, doc))
         d, lo, hi = doc[order], start[order], (start + w.length[win])[order]
@@ -181,13 +218,13 @@ def _search(batches: Iterator[pa.RecordBatch], w: Windows, slop: int, schema: pa
         n_spans = np.bincount(d[first], minlength=n_docs)
         spans = np.stack([lo[first], end], axis=1).ravel()
 
-        def names(doc, win):
-            pair = np.unique(doc * len(w.items) + w.item[win])
+        def names(doc, item):
+            pair = np.unique(doc * len(w.items) + item)
             n = np.bincount(pair // max(1, len(w.items)), minlength=n_docs)
             return [w.items[i] for i in (pair % max(1, len(w.items))).tolist()], n
 
-        hit, n_hit = names(doc, win)
-        close, n_close = names(near_doc, near_win)
+        hit, n_hit = names(doc, w.item[win])
+        close, n_close = names(near_doc, near_item)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("row"),

@@ -178,6 +178,42 @@ def test_decontamination_matches_brute_force(spark, part_chars):
     assert Counter(tuple(r[c] for c in cols) for r in got) == Counter(want)
 
 
+@pytest.mark.parametrize("windows,places", [(1, 1), (3, 7), (1 << 14, 2)])
+def test_windows_in_blocks_match_alike(windows, places, monkeypatch):
+    from affinity.llm import decontam
+
+    rng = np.random.default_rng(12)
+    words = [b"w%d" % i for i in range(6)]
+    items = [(str(i), b" ".join(rng.choice(words, rng.integers(1, 25)))) for i in range(30)]
+    w = decontam.Windows(items, 4)
+    counts = rng.integers(1, 100, len(w.vocab))
+    docs = [[w.vocab[x] for x in rng.choice(words, 60)] for _ in range(5)]
+    keys = [np.array(x, dtype=np.int64) for x in zip(*((d, t, at) for d, ids in enumerate(docs) for at, t in enumerate(ids)))]
+    w.order_by(counts)
+    whole, near = decontam.match_windows(*keys, w, 5, 3)
+    monkeypatch.setattr(decontam, "BLOCK_WINDOWS", windows)
+    monkeypatch.setattr(decontam, "BLOCK_PLACES", places)
+    w.order_by(counts)
+    blocks, near_blocks = decontam.match_windows(*keys, w, 5, 3)
+    assert sorted(zip(*map(list, whole))) == sorted(zip(*map(list, blocks))) and len(whole[0]) > 100
+    assert [x.tolist() for x in near] == [x.tolist() for x in near_blocks]
+
+
+def test_a_large_benchmark_is_held_in_few_bytes():
+    """Ten million characters: what is sent to each task is a fraction of the windows' words laid out."""
+    import pickle
+
+    from affinity.llm import decontam
+
+    rng = np.random.default_rng(1)
+    words = np.array([b"word%05d" % i for i in range(50_000)])
+    items = [(str(i), b" ".join(words[rng.integers(0, 50_000, 1000)])) for i in range(1000)]
+    w = decontam.Windows(items, 10)
+    w.order_by(rng.integers(1, 1000, len(w.vocab)))
+    assert len(w) == 991_000 and sum(len(t) for _, t in items) > 9_900_000
+    assert len(pickle.dumps(w)) < 25_000_000
+
+
 def test_proximity_matches(spark):
     bench = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
     docs = table(spark, [(1, "gamma x beta y alpha", None, None), (2, "alpha " + "z " * 40 + "beta gamma", None, None)])
