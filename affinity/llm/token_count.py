@@ -33,8 +33,11 @@ from affinity.llm.common import slices
 START = "▁"
 #: Added to a count for each character counted by its bytes, or each unknown word; a text has fewer tokens.
 UNKNOWN = 1 << 40
-#: Words whose lengths a task remembers.
-CACHE_WORDS = 300_000
+#: Bytes of words whose lengths a task remembers: ``ENTRY_BYTES`` each and what their characters take at most. Words
+#: longer than ``CACHE_CHARS`` are counted anew in each text.
+CACHE_BYTES = 96 << 20
+ENTRY_BYTES = 200
+CACHE_CHARS = 64
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -132,21 +135,40 @@ class LongestMatch:
         return count
 
 
+class WordLengths:
+    """Lengths of words, with those of short ones remembered up to a number of bytes."""
+
+    def __init__(self, automaton: LongestMatch):
+        self.cut = automaton.cut
+        self.seen: dict[str, int] = {}
+        self.held = 0
+
+    def total(self, words: list[str]) -> tuple[int, int]:
+        """The tokens of a text's words, and how many of the words are unknown."""
+        seen = self.seen
+        new = set(words).difference(seen)
+        for w in new:
+            n = self.cut(w)
+            # A word is unknown once, however many such characters it has.
+            seen[w] = 1 + UNKNOWN if n < 0 else n if n < UNKNOWN else n % UNKNOWN + UNKNOWN
+        unknown, tokens = divmod(sum(map(seen.__getitem__, words)), UNKNOWN)
+        for w in new:
+            if len(w) > CACHE_CHARS:
+                del seen[w]
+            else:
+                self.held += ENTRY_BYTES + 4 * len(w)
+        if self.held > CACHE_BYTES:
+            self.seen, self.held = {}, 0
+        return tokens, unknown
+
+
 def _count(batches: Iterator[pa.RecordBatch], pieces: list[str], by_bytes: bool, schema: pa.Schema):
-    automaton = LongestMatch(pieces, by_bytes=by_bytes)
-    seen: dict[str, int] = {}
+    lengths = WordLengths(LongestMatch(pieces, by_bytes=by_bytes))
     for batch in slices(batches):
         rows = []
         for text in batch.column("text").to_pylist():
             words = _WORD.findall(text or "")
-            for w in set(words).difference(seen):
-                n = automaton.cut(w)
-                # A word is unknown once, however many such characters it has.
-                seen[w] = 1 + UNKNOWN if n < 0 else n if n < UNKNOWN else n % UNKNOWN + UNKNOWN
-            unknown, tokens = divmod(sum(seen[w] for w in words), UNKNOWN)
-            rows.append((len(words), tokens, unknown))
-            if len(seen) > CACHE_WORDS:
-                seen.clear()
+            rows.append((len(words), *lengths.total(words)))
         keep = [c for i, c in enumerate(batch.columns) if batch.schema.names[i] != "text"]
         counts = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
         yield pa.RecordBatch.from_arrays([*keep, *counts], schema=schema)

@@ -787,3 +787,17 @@ def test_word_memory_is_bounded_in_bytes(monkeypatch):
         held = [*encoder._seen.items(), *encoder._older.items()]
         assert all(len(w) <= packing.CACHE_CHARS for w, _ in held)
         assert sum(packing.ENTRY_BYTES + len(w) + len(i) for w, i in held) <= 2 * (50_000 + 60 * 300)
+
+
+def test_remembered_word_lengths_are_bounded_in_bytes(monkeypatch):
+    from affinity.llm import token_count
+
+    automaton = LongestMatch(default_vocabulary(), by_bytes=True)
+    whole, bounded = token_count.WordLengths(automaton), token_count.WordLengths(automaton)
+    texts = [[f"w{k}x{i}" for i in range(50)] + ["長" * 5000] * 2 for k in range(40)]
+    want = [whole.total(words) for words in texts]
+    monkeypatch.setattr(token_count, "CACHE_BYTES", 30_000)
+    for words, total in zip(texts + texts, want + want):
+        assert bounded.total(words) == total
+        held = sum(token_count.ENTRY_BYTES + 4 * len(w) for w in bounded.seen)
+        assert held == bounded.held <= 30_000 and all(len(w) <= token_count.CACHE_CHARS for w in bounded.seen)
