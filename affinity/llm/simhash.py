@@ -8,9 +8,10 @@ Every fingerprint is filed under several masks: the bits are cut into ``n_blocks
 and a mask keeps ``n_blocks - max_bits`` of them. Fingerprints that link differ in at most
 ``max_bits`` blocks, so they agree under some mask and meet in that bucket: no link is
 missed. Inside a bucket the hierarchical index finds the links: the bucket's fingerprints
-lie in Gray order, where neighbours share long bit patterns; every ``FANOUT`` of them make a
+lie in Gray order, where neighbours share long bit patterns; every ``LEAF`` of them make a
 leaf that holds the pattern and the mask of the bits on which all agree, every ``FANOUT``
-nodes the next upper node. A search goes down from the root, adds at each node the
+nodes the next upper node. Leaves are small, as the bits on which codes agree by chance halve with each further
+code: of 5,000 random codes of a bucket three neighbours agree on some 39 bits, sixteen on some 28. A search goes down from the root, adds at each node the
 differences in the bits that the node fixes beyond its parent, and leaves a whole group as
 soon as the sum exceeds ``max_bits``.
 
@@ -40,6 +41,7 @@ from pyspark.sql import functions as F
 from affinity.llm.common import Forest, connected_components, slices, utf8
 from affinity.session import write_stage
 
+LEAF = 3
 FANOUT = 16
 #: Query-to-fingerprint comparisons that are held at a time, at most, unless one query has more.
 BLOCK_PAIRS = 500_000
@@ -106,7 +108,7 @@ class GrayIndex:
     """The hierarchical index over codes that lie in (bucket, Gray rank) order; a root for each bucket."""
 
     def __init__(self, codes: np.ndarray, bucket_starts: np.ndarray):
-        self.codes = codes
+        self.codes, self.compared = codes, 0
         self.levels = []  # from the leaves up: first code, first child, pattern, mask
         n = len(codes)
         first, group = np.arange(n), np.repeat(np.arange(len(bucket_starts)), np.diff(bucket_starts, append=n))
@@ -114,7 +116,7 @@ class GrayIndex:
         while True:
             starts = np.flatnonzero(np.diff(group, prepend=-1))
             place = np.arange(len(group)) - np.repeat(starts, np.diff(starts, append=len(group)))
-            child = np.flatnonzero(place % FANOUT == 0)
+            child = np.flatnonzero(place % (FANOUT if self.levels else LEAF) == 0)
             low, high = np.bitwise_and.reduceat(low, child), np.bitwise_or.reduceat(high, child)
             first, group = first[child], group[child]
             self.levels.append((np.append(first, n), np.append(child, len(place)), low, ~(low ^ high)))
@@ -122,7 +124,7 @@ class GrayIndex:
                 return
 
     def links(self, lo: int, hi: int, bucket_of: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Links of codes lo..hi-1 to later codes of their buckets."""
+        """Links of codes lo..hi-1 to later codes of their buckets; ``compared`` counts the pairs looked at."""
         query, node = np.arange(lo, hi), bucket_of[lo:hi]
         _, _, _, fixed = self.levels[-1]
         sums, above = np.zeros(hi - lo, dtype=np.int64), fixed[node]
@@ -140,6 +142,7 @@ class GrayIndex:
             node = np.repeat(child[node] - np.cumsum(n) + n, n) + np.arange(n.sum())
         stay = node > query
         query, node, sums, above = query[stay], node[stay], sums[stay], above[stay]
+        self.compared += len(query)
         stay = sums + np.bitwise_count((self.codes[query] ^ self.codes[node]) & ~above) <= max_bits
         return query[stay], node[stay]
 

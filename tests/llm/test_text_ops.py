@@ -801,3 +801,26 @@ def test_remembered_word_lengths_are_bounded_in_bytes(monkeypatch):
         assert bounded.total(words) == total
         held = sum(token_count.ENTRY_BYTES + 4 * len(w) for w in bounded.seen)
         assert held == bounded.held <= 30_000 and all(len(w) <= token_count.CACHE_CHARS for w in bounded.seen)
+
+
+def test_gray_index_prunes_random_codes_and_loses_no_link():
+    """5,000 codes of one bucket that share 21 bits and no more, with some planted neighbours."""
+    from affinity.llm.simhash import GrayIndex
+
+    rng = np.random.default_rng(0)
+    codes = rng.integers(0, 1 << 43, 4800, dtype=np.uint64)
+    flips = np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 43, (200, 4), dtype=np.uint64), axis=1)
+    codes = np.unique(np.concatenate([codes, codes[:200] ^ flips])) | np.uint64(5 << 45)
+    rank = codes.copy()
+    for s in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(s)
+    codes = codes[np.argsort(rank)]
+    n, index, found = len(codes), GrayIndex(codes, np.array([0])), set()
+    for lo in range(0, n, 250):
+        found |= set(zip(*(x.tolist() for x in index.links(lo, min(lo + 250, n), np.zeros(n, dtype=np.int64), 4))))
+    want = set()
+    for i in range(n):
+        close = np.flatnonzero(np.bitwise_count(codes[i] ^ codes[i + 1 :]) <= 4) + i + 1
+        want |= {(i, int(j)) for j in close}
+    assert found == want and len(want) > 20
+    assert index.compared < 0.05 * n * (n - 1) / 2
