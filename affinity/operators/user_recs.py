@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions import clamp_at_zero, rank_within, to_double, top_n_per_group
 from affinity.operators.graph import _require
+from affinity.session import write_stage
 
 USER_REC_COLUMNS = [
     "user",
@@ -48,10 +49,12 @@ def build_user_item_recs(
     item_recs: DataFrame,
     num_recs: int,
     diversity_adjust: bool = False,
+    stage: bool = False,
 ) -> DataFrame:
     """User recs from raw signals ``(user, item, weight)`` or from the user-item table
     of ``aggregate_user_items`` (``max_weight`` column), which a job that already built
-    its graph passes to avoid a second pass over the raw signals."""
+    its graph passes to avoid a second pass over the raw signals. ``stage`` writes the greatest weight of each
+    user and item of raw signals once, for the candidates and for the seen filter."""
     _require(item_recs, ["item_A", "item_B", "weight", "raw_weight"], "item_recs")
     if "max_weight" in signals.columns:
         seen = signals.select("user", "item", F.col("max_weight").alias("__sw"))
@@ -62,6 +65,7 @@ def build_user_item_recs(
             .groupBy("user", "item")
             .agg(F.max(to_double("weight")).alias("__sw"))
         )
+        seen = write_stage(seen, "seen_items") if stage else seen
     recs = item_recs.select(
         F.col("item_A").alias("item"),
         F.col("item_B").alias("__rec"),

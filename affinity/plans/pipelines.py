@@ -51,9 +51,10 @@ def item_item_recs(signals: DataFrame, p: RecParams) -> DataFrame:
 
 def user_item_recs(signals: DataFrame, item_recs: DataFrame, p: RecParams) -> DataFrame:
     """User recs from signals and item-item recs. The recs are staged: what comes out of
-    a ranking is partitioned by item already, and Spark could not split a hot item there."""
+    a ranking is partitioned by item already, and Spark could not split a hot item there. So are the
+    signals' greatest weights, which are read twice."""
     staged = write_stage(item_recs, "item_recs")
-    return build_user_item_recs(signals, staged, p.num_recs_per_user, p.diversity_adjust)
+    return build_user_item_recs(signals, staged, p.num_recs_per_user, p.diversity_adjust, stage=True)
 
 
 def item_item_recs_detailed(signals: DataFrame, p: RecParams) -> DataFrame:
