@@ -28,13 +28,15 @@ Scale notes
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+from math import ceil
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType
 
-from affinity.session import write_stage
+from affinity.session import shuffle_to, write_stage
 from affinity.functions import (
     logistic_scale,
     pop_boost,
@@ -53,6 +55,9 @@ NUM_USERS_KEY = "NUM_USERS"
 # More signal types than this are summed as rows, not as columns.
 MAX_TYPE_COLUMNS = 16
 
+# Rows of the pair expansion that a task sums at most (some 100 bytes each), and at least where cores are idle.
+PAIRS_PER_TASK, LEAST_PAIRS_PER_TASK = 5_000_000, 250_000
+
 LINK_DATA_TYPE = MapType(StringType(), LongType())
 
 
@@ -175,6 +180,21 @@ def user_item_pairs(capped: DataFrame, detail: bool = False, types: list[str] |
     return p.select(*cols)
 
 
+def pair_tasks(ui_scaled: DataFrame, max_links_per_user: int, detail: bool = False, types: list[str] | None = None) -> int:
+    """How many tasks are to expand and to sum the pairs, so that none holds over ``PAIRS_PER_TASK`` of them.
+
+    A user with n items left has n * (n - 1) / 2 pairs, so all have at most (max_links_per_user - 1) / 2 a row.
+    Where types are summed as rows, a pair has one for each type of both its items and one for its weight.
+    """
+    rows, kinds = F.count(F.lit(1)), F.lit(0)
+    if detail and types is None:
+        kinds = F.coalesce(F.sum(F.size("signal_types")), F.lit(0))
+    rows, kinds = ui_scaled.agg(rows, kinds).first()
+    pairs = rows * (max_links_per_user - 1) / 2 * (1 + 2 * kinds / max(rows, 1))
+    least = min(ui_scaled.sparkSession.sparkContext.defaultParallelism, ceil(pairs / LEAST_PAIRS_PER_TASK))
+    return max(ceil(pairs / PAIRS_PER_TASK), least, 1)
+
+
 def _mirror(links: DataFrame) -> DataFrame:
     """Emit every row in both directions in one pass (no second scan of the input plan)."""
     rest = [c for c in links.columns if c not in ("item_A", "item_B")]
@@ -205,6 +225,8 @@ def sum_pairs_to_links(
     detail: bool = False,
     types: list[str] | None = None,
     stage: bool = False,
+    id_bits: int | None = None,
+    count_bits: int | None = None,
 ) -> DataFrame:
     """Sum pair weights per (item_A, item_B), keep ``>= min`` (inclusive), emit both
     directions with exact ``weight_units`` and DOUBLE ``weight``.
@@ -216,26 +238,44 @@ def sum_pairs_to_links(
     NULL also count the users. The few rows left of each pair are folded into its weight
     and its map. ``stage`` writes the sums first, one direction of each link: a restart point
     behind the pair expansion.
+
+    Where ids have at most ``id_bits`` bits (31 or fewer), both of a pair are one LONG key; where no count of a link
+    needs more than ``count_bits``, the counts are summed side by side in as few LONGs as hold them.
     """
+    key = ["item_A", "item_B"]
+    if packed := id_bits is not None and id_bits <= 31:
+        key = ["__pair"]
+        rest = [c for c in pairs.columns if c not in ("item_A", "item_B")]
+        pairs = pairs.select(F.shiftleft("item_A", id_bits).bitwiseOR(F.col("item_B")).alias("__pair"), *rest)
     if not detail:
-        half = pairs.groupBy("item_A", "item_B").agg(F.sum("weight_units").alias("weight_units"))
+        half = pairs.groupBy(*key).agg(F.sum("weight_units").alias("weight_units"))
         extra = []
     elif types is not None:
-        half = pairs.groupBy("item_A", "item_B").agg(
-            F.sum("weight_units").alias("weight_units"),
-            F.count(F.lit(1)).alias("users"),
-            *(F.sum(f"type_{i}").alias(f"type_{i}") for i in range(len(types))),
-        )
-        entry = lambda k, n: F.struct(F.lit(k).alias("k"), F.col(n).alias("n"))
+        counts = {"users": F.lit(1).cast("long"), **{f"type_{i}": F.col(f"type_{i}") for i in range(len(types))}}
+        places = _places(list(counts), count_bits)
+        sums = []
+        for at, names in enumerate(places):
+            total = counts[names[0]]
+            for i, c in enumerate(names[1:], 1):
+                total = total + F.shiftleft(counts[c], i * count_bits)
+            sums.append(F.sum(total).alias(f"__counts{at}"))
+        half = pairs.groupBy(*key).agg(F.sum("weight_units").alias("weight_units"), *sums)
+        found = {}
+        for at, names in enumerate(places):
+            for i, c in enumerate(names):
+                found[c] = F.col(f"__counts{at}")
+                if len(names) > 1:
+                    found[c] = F.shiftright(found[c], i * count_bits).bitwiseAND(F.lit((1 << count_bits) - 1))
+        entry = lambda k, n: F.struct(F.lit(k).alias("k"), found[n].alias("n"))
         entries = F.array(entry(NUM_USERS_KEY, "users"), *(entry(t, f"type_{i}") for i, t in enumerate(types)))
         half = half.withColumn("link_data", F.map_from_entries(F.filter(entries, lambda e: e["n"] > 0)))
         extra = ["link_data"]
     else:
         weight = F.array(F.struct(F.lit(None).cast("string").alias("k"), F.col("weight_units").alias("n")))
-        terms = pairs.select("item_A", "item_B", F.inline(F.concat("link_terms", weight)))
-        per_key = terms.groupBy("item_A", "item_B", "k").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+        terms = pairs.select(*key, F.inline(F.concat("link_terms", weight)))
+        per_key = terms.groupBy(*key, "k").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"))
         total = F.col("k").isNull()
-        half = per_key.groupBy("item_A", "item_B").agg(
+        half = per_key.groupBy(*key).agg(
             F.sum(F.when(total, F.col("n"))).alias("weight_units"),
             F.sum(F.when(total, F.col("rows"))).alias("users"),
             F.collect_list(F.when(~total, F.struct("k", "n"))).alias("types"),
@@ -243,12 +283,22 @@ def sum_pairs_to_links(
         users = F.array(F.struct(F.lit(NUM_USERS_KEY).alias("k"), F.col("users").alias("n")))
         half = half.withColumn("link_data", F.map_from_entries(F.concat("types", users)))
         extra = ["link_data"]
-    kept = half.where(F.col("weight_units") >= units_lit(min_link_weight)).select("item_A", "item_B", "weight_units", *extra)
+    ids = ["item_A", "item_B"]
+    if packed:
+        pair = F.col("__pair")
+        ids = [F.shiftright(pair, id_bits).alias("item_A"), pair.bitwiseAND(F.lit((1 << id_bits) - 1)).alias("item_B")]
+    kept = half.where(F.col("weight_units") >= units_lit(min_link_weight)).select(*ids, "weight_units", *extra)
     if stage:
         kept = write_stage(kept, "link_sums")
     return _mirror(kept.select("item_A", "item_B", units_to_double("weight_units").alias("weight"), "weight_units", *extra))
 
 
+def _places(names: list[str], bits: int | None) -> list[list[str]]:
+    """Which counts share a LONG: as many as have room, each of its own where ``bits`` is None."""
+    each = 1 if bits is None else max(63 // max(bits, 1), 1)
+    return [names[i : i + each] for i in range(0, len(names), each)]
+
+
 # --------------------------------------------------------------------------- M01 / M12
 
 def build_item_item_graph(
@@ -258,6 +308,7 @@ def build_item_item_graph(
     max_links_per_user: int,
     detail: bool = False,
     stage: bool = True,
+    stage_links: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Contract the bipartite user-item graph into item-item links.
 
@@ -272,7 +323,7 @@ def build_item_item_graph(
     user_items = aggregate_user_items(signals, logistic_param, detail)
     if stage:
         user_items = write_stage(user_items, "user_items")
-    return graph_from_user_items(user_items, min_link_weight, max_links_per_user, detail, stage)
+    return graph_from_user_items(user_items, min_link_weight, max_links_per_user, detail, stage, stage_links)
 
 
 class IdGraph(NamedTuple):
@@ -308,33 +359,61 @@ def id_graph(
     summed links, for jobs that are to restart behind the pair expansion.
     """
     ui = scaled_pairs(user_items)
-    popularity = item_popularity(ui)
+    # In detail mode also how many rows an item has, which bounds the counts of its links.
+    popularity = _popularity_and_rows(ui) if detail else item_popularity(ui)
     if more_items is not None:
         named = more_items.select("item").where(F.col("item").isNotNull()).distinct()
         popularity = popularity.join(named, "item", "full_outer")
     table = write_stage(
         popularity.orderBy("item").withColumn("item_id", F.monotonically_increasing_id()), "item_popularity"
     )
-    capped = cap_links_per_user(ui, table, min_link_weight, max_links_per_user)
+    table, n_items = _dense_ids(table)
     types = few_signal_types(ui) if detail else None
-    links = sum_pairs_to_links(user_item_pairs(capped, detail, types), min_link_weight, detail, types, stage_links)
+    id_bits, count_bits = max(n_items - 1, 1).bit_length(), None
+    if types is not None:
+        count_bits = int(2 * (table.agg(F.max("rows")).first()[0] or 0)).bit_length()
+    with shuffle_to(ui.sparkSession, pair_tasks(ui, max_links_per_user, detail, types)) if stage_links else nullcontext():
+        capped = cap_links_per_user(ui, table, min_link_weight, max_links_per_user)
+        pairs = user_item_pairs(capped, detail, types)
+        links = sum_pairs_to_links(pairs, min_link_weight, detail, types, stage_links, id_bits, count_bits)
     weights = table.where(F.col("overall_units").isNotNull()).select(
         F.col("item_id").alias("item"), units_to_double("overall_units").alias("overall_weight"), "overall_units"
     )
     return IdGraph(links, weights, table.select("item", "item_id"))
 
 
+def _popularity_and_rows(ui_scaled: DataFrame) -> DataFrame:
+    """``item_popularity`` with ``rows``: an item's users and its rows of any signal type together."""
+    n = F.aggregate("signal_types", F.lit(1).cast("long"), lambda total, e: total + e["n"])
+    return ui_scaled.groupBy("item").agg(F.sum("weight_units").alias("overall_units"), F.sum(n).alias("rows"))
+
+
+def _dense_ids(table: DataFrame) -> tuple[DataFrame, int]:
+    """``item_id`` without the gaps between partitions, in the same order, and the number of items.
+
+    One number per partition of the written table is gathered; ids as short as they can be make short pairs."""
+    part, row = F.shiftright("item_id", 33), F.col("item_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = {r["p"]: r["n"] for r in table.groupBy(part.cast("int").alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, total = [], 0
+    for p in range(max(sizes, default=0) + 1):
+        before.append(total)
+        total += sizes.get(p, 0)
+    first = F.element_at(F.array(*(F.lit(n).cast("long") for n in before)), part.cast("int") + 1)
+    return table.withColumn("item_id", row + first), total
+
+
 def graph_from_user_items(
     user_items: DataFrame,
     min_link_weight: float,
     max_links_per_user: int,
     detail: bool = False,
     stage: bool = True,
+    stage_links: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """``build_item_item_graph`` from an (already staged) user-item table. Without ``stage``
     nothing is written and the pairs are keyed by the item strings."""
     if stage:
-        g = id_graph(user_items, min_link_weight, max_links_per_user, detail)
+        g = id_graph(user_items, min_link_weight, max_links_per_user, detail, stage_links=stage_links)
         weights = g.weights.withColumnRenamed("item", "item_id").join(g.items, "item_id")
         return _decode(g.links, g.items), weights.select("item", "overall_weight", "overall_units")
     ui = scaled_pairs(user_items)

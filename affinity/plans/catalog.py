@@ -81,7 +81,7 @@ def _dbl(df: DataFrame, *cols: str) -> DataFrame:
 
 def _graph(spark: SparkSession, sf: str, p: RecParams = T, detail: bool = False):
     return build_item_item_graph(
-        signals_tpch(spark, sf), p.logistic_param, p.min_link_weight, p.max_links_per_user, detail=detail
+        signals_tpch(spark, sf), p.logistic_param, p.min_link_weight, p.max_links_per_user, detail=detail, stage_links=True
     )
 
 

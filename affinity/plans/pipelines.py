@@ -28,7 +28,7 @@ from affinity.session import write_stage
 
 def _graph(signals: DataFrame, p: RecParams, detail: bool = False, more_items: DataFrame | None = None) -> IdGraph:
     user_items = write_stage(aggregate_user_items(signals, p.logistic_param, detail), "user_items")
-    return id_graph(user_items, p.min_link_weight, p.max_links_per_user, detail, more_items)
+    return id_graph(user_items, p.min_link_weight, p.max_links_per_user, detail, more_items, stage_links=True)
 
 
 def _recs(adjusted: DataFrame, items: DataFrame, p: RecParams, **options) -> DataFrame:
