@@ -5,16 +5,19 @@
 2. Inside the likeliest family, one-versus-one linear support vector machines part the
    languages; the language with most votes (ties: the larger sum of margins) is predicted.
 
-The models are trained on the driver from at most ``per_language`` labelled documents of each
-language, those with the smallest hashes of their ids, so the sample has a bound and is the
-same in every run. They are found below a bound of the hash that the languages' counts give, so no task
-ranks a language's whole table. A document's features come from its whole text. The language, source and
-id of a document are never features.
+Every labelled document that is not held out is learned from. Rows are dealt to shards by the hashes of their ids and
+texts, some ``SHARD_ROWS`` of each language (a language with fewer rows than the largest of its family is in
+several); a task sums the trigrams of each language and trains a shard's machines, and the machine of two languages
+is the mean of its shards' (one-shot averaging), so no task holds more than a shard and the driver is sent a vector
+for each language and machine. With ``per_language`` the models come from at most so many documents of each language,
+those with the smallest hashes of their ids, on the driver. They are found below a bound of the hash that the languages'
+counts give, so no task ranks a language's whole table. A document's features come from its whole text. The language,
+source and id of a document are never features.
 
 ``judge`` also says whether a text fits the language that it was given. A text's fit is the mean
 log-probability of its trigrams in its family's model, plus ``SHORT`` over the root of their number,
-as short texts scatter. A family's bound is the fit that 1 % of its held-out labelled documents fall
-short of (at most ``per_language`` of each language, the families rightly predicted), less
+as short texts scatter. A family's bound is the fit that 1 % of all its held-out labelled documents fall
+short of (the families rightly predicted; with ``per_language`` at most so many of each language), less
 ``MARGIN``. Noise and languages never learned lie below it. A family with fewer than ``LEAST_HELD``
 such documents has no bound, and without any labelled rows every text with a letter fits.
 
@@ -31,13 +34,15 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.llm.common import lists, slices, utf8
 
 DIMS = 1 << 14
-PER_LANGUAGE = 400
+#: Documents of a language in a shard, and tasks that train shards at most: each sends on a vector a language and machine.
+SHARD_ROWS, SHARD_TASKS = 1000, 512
 MAX_LANGUAGES = 400
 UNKNOWN = "und"
 #: Of ``judge``: nats a trigram, by which texts may be worse than the 1 % of held-out rows; slack of short texts.
@@ -116,29 +121,50 @@ def train_svm(rows: list[Sparse], y: np.ndarray, c: float = 1.0, epochs: int = 3
     return w
 
 
+def train_pairs(langs: list[str], rows: list[Sparse]) -> dict[tuple[str, str], tuple[np.ndarray, float]]:
+    """The machine of each two languages of a family that have rows, and the harmonic mean of their rows' numbers."""
+    units = [(i, np.sqrt(n) / max(np.sqrt(n.sum()), 1e-12)) for i, n in rows]
+    lang, out = np.array(langs), {}
+    for a, b in combinations(sorted(set(langs)), 2):
+        if family_of(a) == family_of(b):
+            chosen = np.flatnonzero((lang == a) | (lang == b))
+            y = np.where(lang[chosen] == a, 1.0, -1.0)
+            weight = 2 / (1 / (y > 0).sum() + 1 / (y < 0).sum())
+            out[a, b] = train_svm([units[k] for k in chosen], y), weight
+    return out
+
+
 class Discriminator:
     """Families by naive Bayes, the languages of a family by one-versus-one machines."""
 
     def __init__(self, langs: list[str], rows: list[Sparse]):
-        self.langs = sorted(set(langs))
-        self.families = sorted({family_of(x) for x in self.langs})
-        self.members = [[i for i, x in enumerate(self.langs) if family_of(x) == f] for f in self.families]
-        lang = np.array([self.langs.index(x) for x in langs], dtype=np.int64)
-        per_lang = np.zeros((len(self.langs), DIMS))
+        names = sorted(set(langs))
+        lang = np.array([names.index(x) for x in langs], dtype=np.int64)
+        per_lang = np.zeros((len(names), DIMS))
         for k, (i, n) in zip(lang, rows):
             per_lang[k, i] += n
+        machines = {(names.index(a), names.index(b)): w for (a, b), (w, _) in train_pairs(langs, rows).items()}
+        self._set(names, per_lang, machines)
+
+    @classmethod
+    def of_sums(cls, sums: dict[str, np.ndarray], machines: dict[tuple[str, str], np.ndarray]) -> "Discriminator":
+        """From the trigrams of each language and the machines of its pairs, both of whole tables."""
+        model, names = cls.__new__(cls), sorted(sums)
+        found = {(names.index(a), names.index(b)): w for (a, b), w in machines.items()}
+        model._set(names, np.stack([sums[x] for x in names]), found)
+        return model
+
+    def _set(self, langs: list[str], per_lang: np.ndarray, machines: dict[tuple[int, int], np.ndarray]) -> None:
+        self.langs = langs
+        self.families = sorted({family_of(x) for x in self.langs})
+        self.members = [[i for i, x in enumerate(self.langs) if family_of(x) == f] for f in self.families]
         # Languages of a family weigh the same, so do families.
-        per_lang /= np.maximum(per_lang.sum(axis=1, keepdims=True), 1)
+        per_lang = per_lang / np.maximum(per_lang.sum(axis=1, keepdims=True), 1)
         log_p = np.stack([np.log(per_lang[m].mean(axis=0) + 1e-7) for m in self.members])
         self.log_p = (log_p - np.log(np.exp(log_p).sum(axis=1, keepdims=True))).astype(np.float32)
-        units = [(i, np.sqrt(n) / max(np.sqrt(n.sum()), 1e-12)) for i, n in rows]
         self.least = np.full(len(self.families), -np.inf)
-        self.machines = {}
-        for m in self.members:
-            for a, b in combinations(m, 2):
-                chosen = np.flatnonzero((lang == a) | (lang == b))
-                y = np.where(lang[chosen] == a, 1.0, -1.0)
-                self.machines[a, b] = train_svm([units[k] for k in chosen], y).astype(np.float32)
+        none = np.zeros(DIMS + 1)
+        self.machines = {p: machines.get(p, none).astype(np.float32) for m in self.members for p in combinations(m, 2)}
 
     def fit(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The family of each row, and how well its trigrams fit it."""
@@ -220,8 +246,8 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _by_language(col: Column, bounds: dict[str, int]) -> Column:
-    """The bound of each row's language; null where there is none."""
+def _by_language(col: Column, bounds: dict) -> Column:
+    """The value of each row's language; null where there is none."""
     out = F.when(col == next(iter(bounds)), next(iter(bounds.values())))
     for lang, h in list(bounds.items())[1:]:
         out = out.when(col == lang, h)
@@ -277,8 +303,136 @@ def _sample(docs: DataFrame, held: bool, per_language: int) -> tuple[list[str],
     return [langs[k] for k in order], [rows[k] for k in order]
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE, judge: bool = False) -> Discriminator | None:
+def _labelled(docs: DataFrame, held: bool) -> DataFrame:
+    here = held_out(docs["doc_id"]) if held else ~held_out(docs["doc_id"])
+    return docs.where(docs["lang"].isNotNull() & docs["doc_id"].isNotNull() & docs["text"].isNotNull() & here)
+
+
+def _shard_features(batches: Iterator[pa.RecordBatch], schema: pa.Schema):
+    """A row's language and shards, and its text's trigrams as bytes."""
+    for batch in slices(batches):
+        found = [trigram_counts(t or b"") for t in utf8(batch, "text")]
+        at = [np.flatnonzero(c) for c in found]
+        index = pa.array([i.astype("<u2").tobytes() for i in at], pa.binary())
+        counts = pa.array([c[i].astype("<u4").tobytes() for c, i in zip(found, at)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("shards"), index, counts], schema=schema)
+
+
+def _learn_shards(batches: Iterator[pa.RecordBatch], schema: pa.Schema):
+    """Of rows in the order of their shards: sums of each language and weighted sums of each machine, once a task."""
+    sums: dict[str, np.ndarray] = {}
+    machines: dict[tuple[str, str], list] = {}
+    shard, rows = None, []
+
+    def learn() -> None:
+        # The order of rows in a shard must not matter.
+        rows.sort()
+        sparse = [(np.frombuffer(i, "<u2").astype(np.int64), np.frombuffer(n, "<u4").astype(np.float64)) for _, i, n, _ in rows]
+        for (lang, _, _, first), (i, n) in zip(rows, sparse):
+            if first:
+                sums.setdefault(lang, np.zeros(DIMS))[i] += n
+        for pair, (w, weight) in train_pairs([r[0] for r in rows], sparse).items():
+            total = machines.setdefault(pair, [np.zeros(DIMS + 1), 0.0])
+            total[0] += weight * w
+            total[1] += weight
+
+    for batch in batches:
+        for key, lang, first, i, n in zip(*(batch.column(c).to_pylist() for c in ("shard", "lang", "first", "i", "n"))):
+            if key != shard and rows:
+                learn()
+                rows = []
+            shard = key
+            rows.append((lang, i, n, first))
+    if rows:
+        learn()
+    task = TaskContext.get().partitionId()
+    found = [(x, None, 0.0, v.tobytes()) for x, v in sums.items()]
+    found += [(a, b, weight, w.tobytes()) for (a, b), (w, weight) in machines.items()]
+    if found:
+        a, b, weight, v = map(list, zip(*found))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([task] * len(a), pa.int32()), pa.array(a), pa.array(b, pa.string()), pa.array(weight), pa.array(v, pa.binary())],
+            schema=schema,
+        )
+
+
+def _add_vectors(key, found):
+    """The sums of tasks' vectors of one language or machine, in the order of the tasks."""
+    import pandas as pd
+
+    found = found.sort_values("task")
+    total = sum(np.frombuffer(v) for v in found["v"])
+    return pd.DataFrame({"a": [key[0]], "b": [key[1]], "weight": [found["weight"].sum()], "v": [total.tobytes()]})
+
+
+def _train_on_all(docs: DataFrame, shard_rows: int) -> Discriminator | None:
+    rows = _labelled(docs, False)
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} different languages to learn")
+    if not counts:
+        return None
+    own = {x: -(-n // shard_rows) for x, n in counts.items()}
+    most: dict[str, int] = {}
+    for x, n in own.items():
+        most[family_of(x)] = max(most.get(family_of(x), 1), n)
+    # A language with fewer shards than its family's largest is in every so many of them; the first counts its trigrams.
+    first = F.pmod(F.xxhash64(rows["doc_id"], rows["text"]), _by_language(rows["lang"], own))
+    last = _by_language(rows["lang"], {x: most[family_of(x)] - 1 for x in own})
+    shards = F.sequence(first, last.cast("long"), _by_language(rows["lang"], own).cast("long"))
+    schema = pa.schema([("lang", pa.string()), ("shards", pa.list_(pa.int64())), ("i", pa.binary()), ("n", pa.binary())])
+    features = rows.select("lang", shards.alias("shards"), "text").mapInArrow(
+        lambda it: _shard_features(it, schema), "lang string, shards array<long>, i binary, n binary"
+    )
+    family = _by_language(F.col("lang"), {x: family_of(x) for x in own})
+    dealt = features.select("lang", "i", "n", F.posexplode("shards").alias("at", "j")).select(
+        F.concat_ws(" ", family, F.col("j").cast("string")).alias("shard"), "lang", (F.col("at") == 0).alias("first"), "i", "n"
+    )
+    tasks = min(sum(most.values()), SHARD_TASKS)
+    sent = pa.schema([("task", pa.int32()), ("a", pa.string()), ("b", pa.string()), ("weight", pa.float64()), ("v", pa.binary())])
+    parts = dealt.repartition(tasks, "shard").sortWithinPartitions("shard").mapInArrow(
+        lambda it: _learn_shards(it, sent), "task int, a string, b string, weight double, v binary"
+    )
+    found = parts.groupBy("a", "b").applyInPandas(_add_vectors, "a string, b string, weight double, v binary").collect()
+    vectors = {(r["a"], r["b"]): (np.frombuffer(bytes(r["v"])), r["weight"]) for r in found}
+    return Discriminator.of_sums(
+        {a: v for (a, b), (v, _) in vectors.items() if b is None},
+        {(a, b): v / weight for (a, b), (v, weight) in vectors.items() if b is not None},
+    )
+
+
+def _fits_of_held(batches: Iterator[pa.RecordBatch], model: Discriminator, schema: pa.Schema):
+    """The family and fit of each text whose family is rightly predicted."""
+    for batch in slices(batches, PREDICT_ROWS):
+        counts = np.stack([trigram_counts(t or b"").astype(np.float32) for t in utf8(batch, "text")])
+        family, fit = model.fit(counts)
+        right = np.array([model.families[f] == family_of(x) for f, x in zip(family, batch.column("lang").to_pylist())])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(family[right].astype(np.int32)), pa.array(fit[right].astype(np.float64))], schema=schema
+        )
+
+
+def _bound_by_all(model: Discriminator, docs: DataFrame) -> None:
+    """``Discriminator.bound`` by all held-out rows; their quantile is within a ten-thousandth of the ranks."""
+    schema = pa.schema([("family", pa.int32()), ("fit", pa.float64())])
+    fits = _labelled(docs, True).select("lang", "text").mapInArrow(
+        lambda it: _fits_of_held(it, model, schema), "family int, fit double"
+    )
+    least = F.percentile_approx("fit", 0.01, 10_000).alias("least")
+    for r in fits.groupBy("family").agg(least, F.count(F.lit(1)).alias("n")).collect():
+        if r["n"] >= LEAST_HELD:
+            model.least[r["family"]] = r["least"] - MARGIN
+
+
+def train(
+    docs: DataFrame, per_language: int | None = None, judge: bool = False, shard_rows: int = SHARD_ROWS
+) -> Discriminator | None:
     """Learn from the labelled documents that are not held out; None if there are none."""
+    if per_language is None:
+        model = _train_on_all(docs, shard_rows)
+        if model and judge:
+            _bound_by_all(model, docs)
+        return model
     langs, rows = _sample(docs, False, per_language)
     if not langs:
         return None
@@ -319,7 +473,7 @@ NAMES = ("lang_pred", "score", "lang_fits")
 def identify_languages(
     docs: DataFrame,
     keep: list[str] | None = None,
-    per_language: int = PER_LANGUAGE,
+    per_language: int | None = None,
     judge: bool = False,
     names: tuple[str, str, str] = NAMES,
 ) -> DataFrame:
