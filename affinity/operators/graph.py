@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType
 
-from affinity.session import shuffle_to, write_stage
+from affinity.session import shuffle_to, write_rows, write_stage
 from affinity.functions import (
     logistic_scale,
     pop_boost,
@@ -322,7 +322,7 @@ def build_item_item_graph(
     """
     user_items = aggregate_user_items(signals, logistic_param, detail)
     if stage:
-        user_items = write_stage(user_items, "user_items")
+        user_items = write_rows(user_items, "user_items")
     return graph_from_user_items(user_items, min_link_weight, max_links_per_user, detail, stage, stage_links)
 
 

@@ -23,11 +23,11 @@ from affinity.operators import (
     sum_item_item_signals,
 )
 from affinity.params import RecParams
-from affinity.session import write_stage
+from affinity.session import write_rows, write_stage
 
 
 def _graph(signals: DataFrame, p: RecParams, detail: bool = False, more_items: DataFrame | None = None) -> IdGraph:
-    user_items = write_stage(aggregate_user_items(signals, p.logistic_param, detail), "user_items")
+    user_items = write_rows(aggregate_user_items(signals, p.logistic_param, detail), "user_items")
     return id_graph(user_items, p.min_link_weight, p.max_links_per_user, detail, more_items, stage_links=True)
 
 
@@ -118,7 +118,7 @@ def recommend(signals: DataFrame, p: RecParams, stage_links: bool = False) -> tu
     recs are staged before the user step reads them. ``stage_links`` also stages the summed
     links.
     """
-    user_items = write_stage(aggregate_user_items(signals, p.logistic_param), "user_items")
+    user_items = write_rows(aggregate_user_items(signals, p.logistic_param), "user_items")
     g = id_graph(user_items, p.min_link_weight, p.max_links_per_user, stage_links=stage_links)
     adjusted = adjust_item_item_graph_weight(g.links, g.weights, p.bayesian_prior)
     item_recs = write_stage(_recs(adjusted, g.items, p), "item_recs")

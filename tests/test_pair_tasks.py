@@ -4,10 +4,16 @@ import glob
 
 from pyspark.sql import functions as F
 
+from affinity import session
 from affinity.operators import build_item_item_graph, graph, sum_pairs_to_links
 from affinity.session import shuffle_to, temporary_stages, write_stage
 
-CONF = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"]
+CONF = [
+    "spark.sql.shuffle.partitions",
+    "spark.sql.adaptive.coalescePartitions.enabled",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    "spark.sql.files.maxPartitionBytes",
+]
 
 
 def signals(spark, users=60, each=12, types=3):
@@ -45,6 +51,23 @@ def test_tasks_follow_the_pairs_and_links_are_the_same(spark, monkeypatch):
         monkeypatch.undo()
 
 
+def test_user_items_are_written_by_small_tasks(spark, monkeypatch):
+    def files():
+        with temporary_stages(spark) as scope:
+            table = session.write_rows(graph.aggregate_user_items(signals(spark, 400, 400), 0.5, True), "user_items")
+            return len(glob.glob(scope.paths[0].removeprefix("file:") + "/part-*")), table.count()
+
+    merged, rows_ = files()
+    monkeypatch.setattr(session, "ROWS_BYTES", "1k")
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1k")
+    try:
+        assert files() == (8, rows_) and merged < 8
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_packed_sums_are_those_of_plain_ones(spark):
     big, types = (1 << 31) - 1, ["x", "y", "z"]
     i = F.col("id")
