@@ -32,9 +32,9 @@ from contextlib import nullcontext
 from math import ceil
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, MapType, StringType
+from pyspark.sql.types import IntegerType, LongType, MapType, StringType
 
 from affinity.session import shuffle_to, write_rows, write_stage
 from affinity.functions import (
@@ -57,6 +57,10 @@ MAX_TYPE_COLUMNS = 16
 
 # Rows of the pair expansion that a task sums at most (some 100 bytes each), and at least where cores are idle.
 PAIRS_PER_TASK, LEAST_PAIRS_PER_TASK = 5_000_000, 250_000
+# Pairs of one item, those with greater ids, that are left to one task at most.
+PAIRS_PER_ITEM = 1_000_000
+# So many times the tasks sum the pairs of stripes: Spark sums what lies together already in two steps, both held at once.
+STRIPE_TASKS = 2
 
 LINK_DATA_TYPE = MapType(StringType(), LongType())
 
@@ -135,7 +139,7 @@ def cap_links_per_user(
 
     When the popularity table carries an ``item_id`` (see ``graph_from_user_items``) the
     id rides along, so the pair expansion can key on it."""
-    keep = ["item"] + (["item_id"] if "item_id" in item_weights.columns else [])
+    keep = ["item"] + [c for c in ("item_id", "parts") if c in item_weights.columns]
     strong = item_weights.where(F.col("overall_units") >= units_lit(min_link_weight)).select(*keep)
     ui_filt = ui_scaled.join(strong, "item", "inner" if len(keep) > 1 else "left_semi")
     return top_n_per_group(
@@ -149,6 +153,12 @@ def few_signal_types(ui_scaled: DataFrame, most: int = MAX_TYPE_COLUMNS) -> list
     return sorted(r["k"] for r in kinds) if len(kinds) <= most else None
 
 
+def _count_of(kind: str) -> Column:
+    """A user-item row's count of a signal type."""
+    own = F.filter("signal_types", lambda e: e["k"] == kind)
+    return F.coalesce(F.get(own, F.lit(0))["n"], F.lit(0).cast("long"))
+
+
 def user_item_pairs(capped: DataFrame, detail: bool = False, types: list[str] | None = None) -> DataFrame:
     """Each unordered pair of a user's items once: ``item_A < item_B``, weight ``least(w_A, w_B)``.
 
@@ -158,17 +168,13 @@ def user_item_pairs(capped: DataFrame, detail: bool = False, types: list[str] |
     (``type_0``, ...), or one array ``link_terms`` where they are not given."""
     key = "item_id" if "item_id" in capped.columns else "item"
 
-    def count_of(kind: str):
-        own = F.filter("signal_types", lambda e: e["k"] == kind)
-        return F.coalesce(F.get(own, F.lit(0))["n"], F.lit(0).cast("long"))
-
     def side(item: str, tag: str) -> DataFrame:
         extra = []
         if detail and types is None:
             extra = [F.col("signal_types").alias(f"__m{tag}")]
         elif detail:
             for i, t in enumerate(types):
-                extra.append(count_of(t).alias(f"__{tag}{i}"))
+                extra.append(_count_of(t).alias(f"__{tag}{i}"))
         return capped.select("user", F.col(key).alias(item), F.col("weight_units").alias(f"__w{tag}"), *extra)
 
     p = side("item_A", "A").join(side("item_B", "B"), "user").where(F.col("item_A") < F.col("item_B"))
@@ -195,6 +201,41 @@ def pair_tasks(ui_scaled: DataFrame, max_links_per_user: int, detail: bool = Fal
     return max(ceil(pairs / PAIRS_PER_TASK), least, 1)
 
 
+def user_item_stripes(capped: DataFrame, id_type: str, counts: dict[str, Column] | None = None) -> DataFrame:
+    """Each user's pairs as one row an item: ``item_A`` with the ids, weights and ``counts`` of the user's items of greater id.
+
+    A pair costs little more than one id here, where a row of its own holds both and a header. Lists are in the order of
+    the values, which are few, so that they lie in runs. An item with several ``parts`` has a row for each, with its share
+    of the ids."""
+    counts = counts or {}
+    values = ["weight_units", *counts]
+    owner = ["item_A"] + (["parts"] if "parts" in capped.columns else [])
+    rows = capped.withColumns({"item_A": F.col("item_id").cast(id_type), **counts}).select("user", *owner, *values)
+    whole = Window.partitionBy("user").orderBy(*values, "item_A").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    rows = rows.withColumn("__all", F.collect_list(F.struct("item_A", *values)).over(whole))
+    rows = rows.withColumn("__rest", F.filter("__all", lambda e: e["item_A"] > F.col("item_A")))
+    if "parts" in owner:
+        rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        share = F.filter("__rest", lambda e: F.pmod(F.xxhash64(e["item_A"]), F.col("parts")) == F.col("part"))
+        rows = rows.withColumn("__rest", F.when(F.col("parts") > 1, share).otherwise(F.col("__rest")))
+    lists = [F.col(f"__rest.{c}").alias(f"__{c}_list") for c in ("item_A", *values)]
+    return rows.select("item_A", *(["part"] if "parts" in owner else []), *values, *lists)
+
+
+def stripe_pairs(stripes: DataFrame, tasks: int) -> DataFrame:
+    """The pairs of ``user_item_stripes``, those of an item (and part) in one of so many tasks: their sum is not shuffled again."""
+    owner = [c for c in ("item_A", "part") if c in stripes.columns]
+    counts = [c for c in stripes.columns if c.startswith("__counts") and not c.endswith("_list")]
+    dealt = stripes.repartition(tasks, *owner)
+    rows = dealt.select("*", F.posexplode("__item_A_list").alias("__at", "item_B"))
+    other = lambda c: F.get(f"__{c}_list", F.col("__at"))
+    # The first place of the first counts is the users': a row is one.
+    sums = [(F.col(c) + other(c) + F.lit(int(i == 0))).alias(c) for i, c in enumerate(counts)]
+    return rows.select(*owner, "item_B", F.least("weight_units", other("weight_units")).alias("weight_units"), *sums)
+
+
 def _mirror(links: DataFrame) -> DataFrame:
     """Emit every row in both directions in one pass (no second scan of the input plan)."""
     rest = [c for c in links.columns if c not in ("item_A", "item_B")]
@@ -240,9 +281,23 @@ def sum_pairs_to_links(
     behind the pair expansion.
 
     Where ids have at most ``id_bits`` bits (31 or fewer), both of a pair are one LONG key; where no count of a link
-    needs more than ``count_bits``, the counts are summed side by side in as few LONGs as hold them.
+    needs more than ``count_bits``, the counts are summed side by side in as few LONGs as hold them. Pairs from
+    ``stripe_pairs`` have them so already, and lie together by ``item_A`` (and ``part``), which stay keys of their own.
     """
-    key = ["item_A", "item_B"]
+    return _links_from_sums(_sum_pairs(pairs, min_link_weight, detail, types, stage, id_bits, count_bits), types, count_bits)
+
+
+def _sum_pairs(
+    pairs: DataFrame,
+    min_link_weight: float,
+    detail: bool = False,
+    types: list[str] | None = None,
+    stage: bool = False,
+    id_bits: int | None = None,
+    count_bits: int | None = None,
+) -> DataFrame:
+    """The sums of ``sum_pairs_to_links``, one direction of each link, its counts as they were summed."""
+    key = [c for c in ("item_A", "part", "item_B") if c in pairs.columns]
     if packed := id_bits is not None and id_bits <= 31:
         key = ["__pair"]
         rest = [c for c in pairs.columns if c not in ("item_A", "item_B")]
@@ -251,25 +306,11 @@ def sum_pairs_to_links(
         half = pairs.groupBy(*key).agg(F.sum("weight_units").alias("weight_units"))
         extra = []
     elif types is not None:
-        counts = {"users": F.lit(1).cast("long"), **{f"type_{i}": F.col(f"type_{i}") for i in range(len(types))}}
-        places = _places(list(counts), count_bits)
-        sums = []
-        for at, names in enumerate(places):
-            total = counts[names[0]]
-            for i, c in enumerate(names[1:], 1):
-                total = total + F.shiftleft(counts[c], i * count_bits)
-            sums.append(F.sum(total).alias(f"__counts{at}"))
-        half = pairs.groupBy(*key).agg(F.sum("weight_units").alias("weight_units"), *sums)
-        found = {}
-        for at, names in enumerate(places):
-            for i, c in enumerate(names):
-                found[c] = F.col(f"__counts{at}")
-                if len(names) > 1:
-                    found[c] = F.shiftright(found[c], i * count_bits).bitwiseAND(F.lit((1 << count_bits) - 1))
-        entry = lambda k, n: F.struct(F.lit(k).alias("k"), found[n].alias("n"))
-        entries = F.array(entry(NUM_USERS_KEY, "users"), *(entry(t, f"type_{i}") for i, t in enumerate(types)))
-        half = half.withColumn("link_data", F.map_from_entries(F.filter(entries, lambda e: e["n"] > 0)))
-        extra = ["link_data"]
+        if "__counts0" not in pairs.columns:
+            counts = {"users": F.lit(1).cast("long"), **{f"type_{i}": F.col(f"type_{i}") for i in range(len(types))}}
+            pairs = pairs.withColumns(_packed_counts(counts, count_bits))
+        extra = [c for c in pairs.columns if c.startswith("__counts")]
+        half = pairs.groupBy(*key).agg(F.sum("weight_units").alias("weight_units"), *(F.sum(c).alias(c) for c in extra))
     else:
         weight = F.array(F.struct(F.lit(None).cast("string").alias("k"), F.col("weight_units").alias("n")))
         terms = pairs.select(*key, F.inline(F.concat("link_terms", weight)))
@@ -283,14 +324,33 @@ def sum_pairs_to_links(
         users = F.array(F.struct(F.lit(NUM_USERS_KEY).alias("k"), F.col("users").alias("n")))
         half = half.withColumn("link_data", F.map_from_entries(F.concat("types", users)))
         extra = ["link_data"]
-    ids = ["item_A", "item_B"]
     if packed:
         pair = F.col("__pair")
         ids = [F.shiftright(pair, id_bits).alias("item_A"), pair.bitwiseAND(F.lit((1 << id_bits) - 1)).alias("item_B")]
+    else:
+        short = pairs.schema["item_A"].dataType == IntegerType()
+        ids = [F.col(c).cast("long").alias(c) if short else c for c in ("item_A", "item_B")]
     kept = half.where(F.col("weight_units") >= units_lit(min_link_weight)).select(*ids, "weight_units", *extra)
-    if stage:
-        kept = write_stage(kept, "link_sums")
-    return _mirror(kept.select("item_A", "item_B", units_to_double("weight_units").alias("weight"), "weight_units", *extra))
+    return write_stage(kept, "link_sums") if stage else kept
+
+
+def _links_from_sums(sums: DataFrame, types: list[str] | None, count_bits: int | None) -> DataFrame:
+    """Both directions of ``_sum_pairs``, with DOUBLE weights and the counts as ``link_data``."""
+    extra = [c for c in sums.columns if c == "link_data"]
+    if "__counts0" in sums.columns:
+        found = {}
+        for at, names in enumerate(_places(["users", *(f"type_{i}" for i in range(len(types)))], count_bits)):
+            for i, c in enumerate(names):
+                found[c] = F.col(f"__counts{at}")
+                if len(names) > 1:
+                    found[c] = F.shiftright(found[c], i * count_bits).bitwiseAND(F.lit((1 << count_bits) - 1))
+        entry = lambda k, n: F.struct(F.lit(k).alias("k"), found[n].alias("n"))
+        entries = F.array(entry(NUM_USERS_KEY, "users"), *(entry(t, f"type_{i}") for i, t in enumerate(types)))
+        sums = sums.withColumn("link_data", F.map_from_entries(F.filter(entries, lambda e: e["n"] > 0)))
+        extra = ["link_data"]
+    return _mirror(
+        sums.select("item_A", "item_B", units_to_double("weight_units").alias("weight"), "weight_units", *extra)
+    )
 
 
 def _places(names: list[str], bits: int | None) -> list[list[str]]:
@@ -299,6 +359,17 @@ def _places(names: list[str], bits: int | None) -> list[list[str]]:
     return [names[i : i + each] for i in range(0, len(names), each)]
 
 
+def _packed_counts(counts: dict[str, Column], bits: int | None) -> dict[str, Column]:
+    """The counts side by side as ``__counts0``, ..."""
+    out = {}
+    for at, names in enumerate(_places(list(counts), bits)):
+        total = counts[names[0]]
+        for i, c in enumerate(names[1:], 1):
+            total = total + F.shiftleft(counts[c], i * bits)
+        out[f"__counts{at}"] = total
+    return out
+
+
 # --------------------------------------------------------------------------- M01 / M12
 
 def build_item_item_graph(
@@ -330,6 +401,7 @@ class IdGraph(NamedTuple):
     """A graph keyed by 64-bit item ids that follow the order of the items.
 
     links    (item_A, item_B, weight, weight_units[, link_data]) on ids, both directions
+    named    the same on item strings, with ``target_weight``, the DOUBLE overall weight of item_B
     weights  (item = id, overall_weight, overall_units)
     items    (item string, item_id)
     """
@@ -337,6 +409,7 @@ class IdGraph(NamedTuple):
     links: DataFrame
     weights: DataFrame
     items: DataFrame
+    named: DataFrame
 
 
 def id_graph(
@@ -360,7 +433,7 @@ def id_graph(
     """
     ui = scaled_pairs(user_items)
     # In detail mode also how many rows an item has, which bounds the counts of its links.
-    popularity = _popularity_and_rows(ui) if detail else item_popularity(ui)
+    popularity = _popularity_and_rows(ui, detail)
     if more_items is not None:
         named = more_items.select("item").where(F.col("item").isNotNull()).distinct()
         popularity = popularity.join(named, "item", "full_outer")
@@ -369,23 +442,69 @@ def id_graph(
     )
     table, n_items = _dense_ids(table)
     types = few_signal_types(ui) if detail else None
+    most = table.agg(F.max("users"), F.max("rows" if detail else "users")).first()
     id_bits, count_bits = max(n_items - 1, 1).bit_length(), None
     if types is not None:
-        count_bits = int(2 * (table.agg(F.max("rows")).first()[0] or 0)).bit_length()
-    with shuffle_to(ui.sparkSession, pair_tasks(ui, max_links_per_user, detail, types)) if stage_links else nullcontext():
-        capped = cap_links_per_user(ui, table, min_link_weight, max_links_per_user)
-        pairs = user_item_pairs(capped, detail, types)
-        links = sum_pairs_to_links(pairs, min_link_weight, detail, types, stage_links, id_bits, count_bits)
+        count_bits = int(2 * (most[1] or 0)).bit_length()
+    tasks = pair_tasks(ui, max_links_per_user, detail, types)
+    striped = (types is not None or not detail) and not _pairs_recur(ui, n_items, tasks, max_links_per_user)
+    # An item of so many users that its pairs would fill a task by themselves is dealt to several.
+    parts = F.ceil(F.col("users") * (max_links_per_user - 1) / F.lit(PAIRS_PER_ITEM)).cast("int")
+    strong = table
+    if striped and (most[0] or 0) * (max_links_per_user - 1) > PAIRS_PER_ITEM:
+        strong = table.withColumn("parts", parts)
+    with shuffle_to(ui.sparkSession, tasks) if stage_links else nullcontext():
+        capped = cap_links_per_user(ui, strong, min_link_weight, max_links_per_user)
+        if striped:
+            counts = {}
+            if types is not None:
+                counts = {"users": F.lit(0).cast("long"), **{f"type_{i}": _count_of(t) for i, t in enumerate(types)}}
+                counts = _packed_counts(counts, count_bits)
+            pairs = stripe_pairs(
+                user_item_stripes(capped, "int" if id_bits <= 31 else "long", counts), STRIPE_TASKS * tasks
+            )
+        else:
+            pairs = user_item_pairs(capped, detail, types)
+        sums = _sum_pairs(pairs, min_link_weight, detail, types, stage_links, None if striped else id_bits, count_bits)
     weights = table.where(F.col("overall_units").isNotNull()).select(
         F.col("item_id").alias("item"), units_to_double("overall_units").alias("overall_weight"), "overall_units"
     )
-    return IdGraph(links, weights, table.select("item", "item_id"))
+    return IdGraph(
+        _links_from_sums(sums, types, count_bits),
+        weights,
+        table.select("item", "item_id"),
+        _named_links(sums, types, count_bits, table),
+    )
+
+
+def _pairs_recur(ui_scaled: DataFrame, n_items: int, tasks: int, max_links_per_user: int) -> bool:
+    """Whether a task surely expands most pairs several times, so that it had better sum them before they are shuffled."""
+    pairs = ui_scaled.count() * (max_links_per_user - 1) / 2
+    return pairs / tasks > 4 * n_items * (n_items - 1) / 2
+
+
+def _named_links(sums: DataFrame, types: list[str] | None, count_bits: int | None, table: DataFrame) -> DataFrame:
+    """Links on item strings. One direction of each is joined to its items, and their weights come along."""
+    own = [F.col("item"), units_to_double("overall_units").alias("__w")]
+    a = table.select(F.col("item_id").alias("item_A"), F.struct(*own).alias("__a"))
+    b = table.select(F.col("item_id").alias("item_B"), F.struct(*own).alias("__b"))
+    rest = [c for c in sums.columns if c not in ("item_A", "item_B")]
+    both = sums.join(a, "item_A").join(b, "item_B").select(F.col("__a").alias("item_A"), F.col("__b").alias("item_B"), *rest)
+    links = _links_from_sums(both, types, count_bits)
+    rest = [c for c in links.columns if c not in ("item_A", "item_B")]
+    return links.select(
+        F.col("item_A.item").alias("item_A"), F.col("item_B.item").alias("item_B"), *rest, F.col("item_B.__w").alias("target_weight")
+    )
 
 
-def _popularity_and_rows(ui_scaled: DataFrame) -> DataFrame:
-    """``item_popularity`` with ``rows``: an item's users and its rows of any signal type together."""
-    n = F.aggregate("signal_types", F.lit(1).cast("long"), lambda total, e: total + e["n"])
-    return ui_scaled.groupBy("item").agg(F.sum("weight_units").alias("overall_units"), F.sum(n).alias("rows"))
+def _popularity_and_rows(ui_scaled: DataFrame, detail: bool) -> DataFrame:
+    """``item_popularity`` with the number of an item's ``users`` and, with ``detail``, ``rows``: those and its rows of any
+    signal type together."""
+    sums = [F.sum("weight_units").alias("overall_units"), F.count(F.lit(1)).alias("users")]
+    if detail:
+        n = F.aggregate("signal_types", F.lit(1).cast("long"), lambda total, e: total + e["n"])
+        sums.append(F.sum(n).alias("rows"))
+    return ui_scaled.groupBy("item").agg(*sums)
 
 
 def _dense_ids(table: DataFrame) -> tuple[DataFrame, int]:
@@ -415,7 +534,7 @@ def graph_from_user_items(
     if stage:
         g = id_graph(user_items, min_link_weight, max_links_per_user, detail, stage_links=stage_links)
         weights = g.weights.withColumnRenamed("item", "item_id").join(g.items, "item_id")
-        return _decode(g.links, g.items), weights.select("item", "overall_weight", "overall_units")
+        return g.named.drop("target_weight"), weights.select("item", "overall_weight", "overall_units")
     ui = scaled_pairs(user_items)
     popularity = item_popularity(ui)
     capped = cap_links_per_user(ui, popularity, min_link_weight, max_links_per_user)
@@ -446,7 +565,7 @@ def decode_recs(recs: DataFrame, items: DataFrame) -> DataFrame:
 
 def adjust_item_item_graph_weight(
     ii_links: DataFrame,
-    item_weights: DataFrame,
+    item_weights: DataFrame | None,
     prior: float,
     pop_boost_func: str | None = None,
 ) -> DataFrame:
@@ -456,16 +575,20 @@ def adjust_item_item_graph_weight(
     f in {SQRT, LOG, ''}: w * f(ow) / (ow + prior). ``raw_weight`` keeps w. Any extra
     column of ``ii_links`` (e.g. ``link_data``) is carried. Links whose target has no
     weight row vanish (inner join). Division by zero gives NULL, not an error.
+    Links that have the weight of their target already (``target_weight`` of ``IdGraph.named``) need no ``item_weights``.
     """
     _require(ii_links, ["item_A", "item_B", "weight"], "ii_links")
-    iw = item_weights.select(
-        F.col("item").alias("item_B"), to_double("overall_weight").alias("__ow")
-    )
-    j = ii_links.join(iw, "item_B")
+    if "target_weight" in ii_links.columns:
+        j = ii_links.withColumnRenamed("target_weight", "__ow").where(F.col("__ow").isNotNull())
+    else:
+        iw = item_weights.select(
+            F.col("item").alias("item_B"), to_double("overall_weight").alias("__ow")
+        )
+        j = ii_links.join(iw, "item_B")
     w = to_double("weight")
     ow = F.col("__ow")
     num = w if pop_boost_func is None else w * pop_boost(ow, pop_boost_func)
-    extra = [c for c in ii_links.columns if c not in ("item_A", "item_B", "weight", "weight_units", "raw_weight")]
+    extra = [c for c in ii_links.columns if c not in ("item_A", "item_B", "weight", "weight_units", "raw_weight", "target_weight")]
     return j.select(
         "item_A",
         "item_B",

@@ -18,6 +18,7 @@ from affinity.operators import (
     adjust_item_item_graph_weight,
     build_item_item_graph,
     cap_links_per_user,
+    decode_recs,
     direct_item_recs,
     diversify_item_item_links,
     init_shortest_paths,
@@ -85,9 +86,20 @@ def _graph(spark: SparkSession, sf: str, p: RecParams = T, detail: bool = False)
     )
 
 
-def _bayes(spark: SparkSession, sf: str, p: RecParams = T) -> DataFrame:
-    links, iw = _graph(spark, sf, p)
-    return adjust_item_item_graph_weight(links, iw, p.bayesian_prior)
+def _id_graph(spark: SparkSession, sf: str, p: RecParams = T, detail: bool = False):
+    return pipelines.staged_graph(signals_tpch(spark, sf), p, detail)
+
+
+def _bayes(spark: SparkSession, sf: str, p: RecParams = T, detail: bool = False, **options) -> DataFrame:
+    """Adjusted links on item strings; the weights of their targets come with the strings."""
+    return adjust_item_item_graph_weight(_id_graph(spark, sf, p, detail).named, None, p.bayesian_prior, **options)
+
+
+def _on_ids(spark: SparkSession, sf: str, step, lists=(), detail: bool = False) -> DataFrame:
+    """``step`` of the adjusted links and the item lists, all on ids; what it returns on item strings."""
+    g = _id_graph(spark, sf, T, detail)
+    adjusted = adjust_item_item_graph_weight(g.links, g.weights, T.bayesian_prior)
+    return decode_recs(step(adjusted, *(pipelines.list_ids(g.items, some) for some in lists)), g.items)
 
 
 def _path_recs(spark: SparkSession, sf: str) -> DataFrame:
@@ -273,8 +285,7 @@ def q_bayes_links(spark, sf):
 
 def _boost(func):
     def q(spark, sf):
-        links, iw = _graph(spark, sf)
-        return adjust_item_item_graph_weight(links, iw, T.bayesian_prior, pop_boost_func=func)
+        return _bayes(spark, sf, pop_boost_func=func)
 
     return q
 
@@ -302,40 +313,39 @@ def q_sum_item_item_weights(spark, sf):
 
 
 def q_direct_recs(spark, sf):
-    return direct_item_recs(_bayes(spark, sf), N)
+    return _on_ids(spark, sf, lambda links: direct_item_recs(links, N))
 
 
 def q_graph_pruned(spark, sf):
-    return init_shortest_paths(_bayes(spark, sf), NH)[0]
+    return _on_ids(spark, sf, lambda links: init_shortest_paths(links, NH)[0])
 
 
 def q_paths_seed(spark, sf):
-    return init_shortest_paths(_bayes(spark, sf), NH)[1]
+    return _on_ids(spark, sf, lambda links: init_shortest_paths(links, NH)[1])
 
 
 def q_path_recs(spark, sf):
     return _path_recs(spark, sf)
 
 
+def _lists(spark, sf):
+    return source_items(spark, sf), dest_items(spark, sf)
+
+
 def q_available_graph(spark, sf):
-    return init_shortest_paths(_bayes(spark, sf), NH, source_items(spark, sf), dest_items(spark, sf))[0]
+    return _on_ids(spark, sf, lambda links, *lists: init_shortest_paths(links, NH, *lists)[0], _lists(spark, sf))
 
 
 def q_available_paths(spark, sf):
-    return init_shortest_paths(_bayes(spark, sf), NH, source_items(spark, sf), dest_items(spark, sf))[1]
+    return _on_ids(spark, sf, lambda links, *lists: init_shortest_paths(links, NH, *lists)[1], _lists(spark, sf))
 
 
 def q_available_path_recs(spark, sf):
-    return item_recs_from_graph(_bayes(spark, sf), NH, N, source_items(spark, sf), dest_items(spark, sf))
+    return _on_ids(spark, sf, lambda links, *lists: item_recs_from_graph(links, NH, N, *lists), _lists(spark, sf))
 
 
 # ----------------------------------------------------------------------------- detailed
 
-def _dbayes(spark, sf):
-    links, iw = _graph(spark, sf, T, detail=True)
-    return links, adjust_item_item_graph_weight(links, iw, T.bayesian_prior)
-
-
 def _link_data_text(c: str = "link_data"):
     """A map's entries as ``key=count``, by key."""
     entries = F.array_sort(F.map_entries(c))
@@ -348,21 +358,21 @@ def q_detailed_links(spark, sf):
 
 
 def q_detailed_bayes_links(spark, sf):
-    return _explode_link_data(_dbayes(spark, sf)[1], ["item_A", "item_B", "weight", "raw_weight"])
+    return _explode_link_data(_bayes(spark, sf, detail=True), ["item_A", "item_B", "weight", "raw_weight"])
 
 
 def q_detailed_graph(spark, sf):
-    g, _ = init_shortest_paths(_dbayes(spark, sf)[1], NH, detail=True)
+    g = _on_ids(spark, sf, lambda links: init_shortest_paths(links, NH, detail=True)[0], detail=True)
     return _explode_link_data(g, ["item_A", "item_B", "dist", "raw_weight"])
 
 
 def q_detailed_path_recs(spark, sf):
-    r = item_recs_from_graph(_dbayes(spark, sf)[1], NH, N, detail=True)
+    r = _on_ids(spark, sf, lambda links: item_recs_from_graph(links, NH, N, detail=True), detail=True)
     return r.select(*REC_COLS, "linking_item")
 
 
 def q_detailed_path_recs_data(spark, sf):
-    r = item_recs_from_graph(_dbayes(spark, sf)[1], NH, N, detail=True)
+    r = _on_ids(spark, sf, lambda links: item_recs_from_graph(links, NH, N, detail=True), detail=True)
     return _explode_link_data(r, ["item_A", "item_B", "rank"])
 
 
@@ -393,8 +403,8 @@ def q_item_item_recs_available(spark, sf):
 
 def q_available_recs_mapped_lists(spark, sf):
     """Source and dest lists filter the graph by a bit map of their keys before it is shuffled to them."""
-    lists = source_items(spark, sf), dest_items(spark, sf)
-    return item_recs_from_graph(_bayes(spark, sf), NH, N, *lists, map_lists_from=1)
+    recs = lambda links, *lists: item_recs_from_graph(links, NH, N, *lists, map_lists_from=1)
+    return _on_ids(spark, sf, recs, _lists(spark, sf))
 
 
 def q_item_item_recs_in_stock(spark, sf):

@@ -26,7 +26,7 @@ from affinity.params import RecParams
 from affinity.session import write_rows, write_stage
 
 
-def _graph(signals: DataFrame, p: RecParams, detail: bool = False, more_items: DataFrame | None = None) -> IdGraph:
+def staged_graph(signals: DataFrame, p: RecParams, detail: bool = False, more_items: DataFrame | None = None) -> IdGraph:
     user_items = write_rows(aggregate_user_items(signals, p.logistic_param, detail), "user_items")
     return id_graph(user_items, p.min_link_weight, p.max_links_per_user, detail, more_items, stage_links=True)
 
@@ -35,7 +35,7 @@ def _recs(adjusted: DataFrame, items: DataFrame, p: RecParams, **options) -> Dat
     return decode_recs(item_recs_from_graph(adjusted, p.nhood, p.num_recs_per_item, **options), items)
 
 
-def _ids(items: DataFrame, some: DataFrame | None) -> DataFrame | None:
+def list_ids(items: DataFrame, some: DataFrame | None) -> DataFrame | None:
     """The ids of an item list (null and unknown items have none)."""
     if some is None:
         return None
@@ -45,7 +45,7 @@ def _ids(items: DataFrame, some: DataFrame | None) -> DataFrame | None:
 
 def item_item_recs(signals: DataFrame, p: RecParams) -> DataFrame:
     """Graph -> Bayes adjustment -> best <=2-hop paths."""
-    g = _graph(signals, p)
+    g = staged_graph(signals, p)
     return _recs(adjust_item_item_graph_weight(g.links, g.weights, p.bayesian_prior), g.items, p)
 
 
@@ -59,7 +59,7 @@ def user_item_recs(signals: DataFrame, item_recs: DataFrame, p: RecParams) -> Da
 
 def item_item_recs_detailed(signals: DataFrame, p: RecParams) -> DataFrame:
     """Detailed graph (signal-type counts per link) -> adjustment -> paths."""
-    g = _graph(signals, p, detail=True)
+    g = staged_graph(signals, p, detail=True)
     return _recs(adjust_item_item_graph_weight(g.links, g.weights, p.bayesian_prior), g.items, p, detail=True)
 
 
@@ -67,7 +67,7 @@ def item_item_recs_add_signals(signals: DataFrame, item_item_signals: DataFrame,
     """Add outside item-item signals before the adjustment; drop incomplete rows."""
     outside = write_stage(item_item_signals.select("item_A", "item_B", "weight"), "outside_signals")
     named = outside.select(F.explode(F.array("item_A", "item_B")).alias("item"))
-    g = _graph(signals, p, more_items=named)
+    g = staged_graph(signals, p, more_items=named)
     links, weights = sum_item_item_signals(g.links, encode_pairs(outside, g.items), g.weights)
     recs = _recs(adjust_item_item_graph_weight(links, weights, p.bayesian_prior), g.items, p)
     return recs.dropna(subset=["item_A", "item_B", "weight", "rank"])
@@ -75,7 +75,7 @@ def item_item_recs_add_signals(signals: DataFrame, item_item_signals: DataFrame,
 
 def item_item_recs_diversified(signals: DataFrame, metadata: DataFrame, p: RecParams) -> DataFrame:
     """Diversify links by target metadata before the path search."""
-    g = _graph(signals, p)
+    g = staged_graph(signals, p)
     adjusted = adjust_item_item_graph_weight(g.links, g.weights, p.bayesian_prior)
     fields = metadata.join(g.items, "item").select(F.col("item_id").alias("item"), "metadata_field")
     return _recs(diversify_item_item_links(adjusted, fields), g.items, p)
@@ -91,21 +91,21 @@ def item_item_recs_available(
     """Only source items get recs, only dest items are recommended (None: all).
 
     Lists of at least ``map_lists_from`` items filter the graph by a bit map (``operators.key_filter``)."""
-    g = _graph(signals, p)
+    g = staged_graph(signals, p)
     adjusted = adjust_item_item_graph_weight(g.links, g.weights, p.bayesian_prior)
     return _recs(
         adjusted,
         g.items,
         p,
-        source_items=_ids(g.items, source_items),
-        dest_items=_ids(g.items, dest_items),
+        source_items=list_ids(g.items, source_items),
+        dest_items=list_ids(g.items, dest_items),
         map_lists_from=map_lists_from,
     )
 
 
 def item_item_recs_pop_boost(signals: DataFrame, p: RecParams, func: str = "SQRT") -> DataFrame:
     """Popularity-boosted adjustment (SQRT by default)."""
-    g = _graph(signals, p)
+    g = staged_graph(signals, p)
     adjusted = adjust_item_item_graph_weight(g.links, g.weights, p.bayesian_prior, pop_boost_func=func)
     return _recs(adjusted, g.items, p)
 

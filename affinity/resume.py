@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from affinity.session import ensure_checkpoint_dir, redirect_stages
 
 #: Part of every fingerprint: raise it when a step computes something else from the same inputs.
-STEPS_VERSION = 1
+STEPS_VERSION = 2
 JOURNAL = "journal.json"
 MANIFEST = "_MANIFEST.json"
 
