@@ -17,6 +17,8 @@ Scale notes
 * Pruning is ``row_number() <= nhood`` (partial group limit before the shuffle).
 * The two-hop join fans out at most ``nhood`` rows per middle item, so a hot middle
   item only makes the *other* side large; AQE splits that skewed partition.
+* Where an item has ``num_recs`` direct neighbours and no dest list may drop them, paths that are longer than
+  all of those are dropped before they are shuffled.
 * Candidates are shuffled once by ``item_A``; both later windows (best path per pair,
   top-N per item) reuse that partitioning -- at most ``nhood * (nhood + 1)`` rows per
   item, so no group is unbounded.
@@ -24,7 +26,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -84,6 +86,16 @@ def init_shortest_paths(
     return graph, paths
 
 
+def _with_reach(graph: DataFrame, num_recs: int) -> DataFrame:
+    """``__reach``: the greatest distance of an item with ``num_recs`` direct neighbours (NULL: it has fewer).
+
+    A path beyond that leads to no rec: so many others are nearer. The rows lie together by item already."""
+    item = Window.partitionBy("item_A")
+    other = F.when(F.col("item_A") != F.col("item_B"), F.col("item_B"))
+    full = F.size(F.collect_set(other).over(item)) >= int(num_recs)
+    return graph.withColumn("__reach", F.when(full, F.max("dist").over(item)))
+
+
 def item_recs_from_graph(
     ii_links: DataFrame,
     initial_nhood_size: int,
@@ -109,6 +121,9 @@ def item_recs_from_graph(
     (``operators.key_filter``; None: they do not).
     """
     g = distance_graph(ii_links, initial_nhood_size, detail)
+    bounded = dest_items is None and initial_nhood_size >= num_recs
+    if bounded:
+        g = _with_reach(g, num_recs)
     if stage_graph:
         g = write_stage(g, "nhood_graph")
     src = g if source_items is None else semi_join(g, _items(source_items, map_lists_from), "item_A")
@@ -140,7 +155,10 @@ def item_recs_from_graph(
     ]
     if detail:
         hop_cols.append(F.lit(None).cast(LINK_DATA_TYPE).alias("link_data"))
-    two_hop = src.join(second, src["item_B"] == second["__mid"]).select(*hop_cols)
+    two_hop = src.join(second, src["item_B"] == second["__mid"])
+    if bounded:
+        two_hop = two_hop.where(F.col("__reach").isNull() | (F.col("dist") + F.col("__d2") <= F.col("__reach")))
+    two_hop = two_hop.select(*hop_cols)
 
     cand = (
         direct.select(*direct.columns)

@@ -104,26 +104,27 @@ def item_item_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     all pairs of an order, so a huge order is spread like any other key.
     """
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    # Keys become strings behind the sum: shuffled as they are, rows are shorter.
+    returned = (F.col("l_returnflag") == RETURN_FLAG_WISHLIST).alias
     a = li.select(
         F.col("l_orderkey").alias("__o"),
         (F.col("l_linenumber") + F.lit(1)).alias("__n"),
-        F.col("l_partkey").cast("string").alias("item_A"),
-        F.col("l_returnflag").alias("__fa"),
+        F.col("l_partkey").alias("item_A"),
+        returned("__ra"),
     )
     b = li.select(
         F.col("l_orderkey").alias("__o"),
         F.col("l_linenumber").alias("__n"),
-        F.col("l_partkey").cast("string").alias("item_B"),
-        F.col("l_returnflag").alias("__fb"),
+        F.col("l_partkey").alias("item_B"),
+        returned("__rb"),
     )
-    ret = (F.col("__fa") == RETURN_FLAG_WISHLIST) | (F.col("__fb") == RETURN_FLAG_WISHLIST)
     pair = (
         a.join(b, ["__o", "__n"])
         .where(F.col("item_A") != F.col("item_B"))
         .select(
             "item_A",
             "item_B",
-            F.when(ret, F.lit(-ITEM_PAIR_WEIGHT)).otherwise(F.lit(ITEM_PAIR_WEIGHT)).alias("weight"),
+            F.when(F.col("__ra") | F.col("__rb"), F.lit(-ITEM_PAIR_WEIGHT)).otherwise(F.lit(ITEM_PAIR_WEIGHT)).alias("weight"),
         )
     )
     # Both directions in one pass over the join (no second evaluation of the subtree).
@@ -136,4 +137,5 @@ def item_item_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("__d"),
         "weight",
     ).select(F.col("__d.a").alias("item_A"), F.col("__d.b").alias("item_B"), "weight")
-    return both.groupBy("item_A", "item_B").agg(F.sum("weight").alias("weight"))
+    sums = both.groupBy("item_A", "item_B").agg(F.sum("weight").alias("weight"))
+    return sums.select(F.col("item_A").cast("string"), F.col("item_B").cast("string"), "weight")
