@@ -18,9 +18,10 @@ Scale notes
   the shuffle, so a bot user with a third of all rows ships at most k rows per map
   partition. The pair expansion then emits at most k*(k-1)/2 unordered pairs per
   user -- this cap is the reference's own ``max_links_per_user`` knob.
-* Each unordered pair is emitted once (``item_A < item_B``) on 64-bit item ids from the
-  staged popularity table, summed and mirrored after the threshold: the largest shuffle
-  of the job carries two longs per pair, once. Ids follow the order of the items, so ties
+* Each unordered pair is emitted once (``item_A < item_B``) on item ids from the staged popularity
+  table, summed and mirrored after the threshold. The largest shuffle of the job carries one row for each item of
+  a user, with the lists of the user's items of greater id: about one short id per pair, once. Where a task would expand most
+  pairs several times (few items), it sums them first and shuffles the sums. Ids follow the order of the items, so ties
   by id are ties by item, and the recommenders adjust, prune and search on ids; only what
   they return is mapped back to item strings.
 * The outside-signal merge avoids a full outer join (which AQE cannot split).
