@@ -202,26 +202,37 @@ def pair_tasks(ui_scaled: DataFrame, max_links_per_user: int, detail: bool = Fal
     return max(ceil(pairs / PAIRS_PER_TASK), least, 1)
 
 
-def user_item_stripes(capped: DataFrame, id_type: str, counts: dict[str, Column] | None = None) -> DataFrame:
+def _id_pieces(item: str, id_bits: int) -> dict[str, Column]:
+    """An id as it lies in a list: ids of up to 24 bits as a SHORT and a BYTE, from their least value on."""
+    if id_bits > 24:
+        return {"id": F.col(item).cast("int" if id_bits <= 31 else "long")}
+    low, high = F.col(item).bitwiseAND(F.lit(0xFFFF)), F.shiftright(item, 16)
+    return {"low": (low - 0x8000).cast("short"), "high": (high - 0x80).cast("byte")}
+
+
+def user_item_stripes(capped: DataFrame, id_bits: int, counts: dict[str, Column] | None = None) -> DataFrame:
     """Each user's pairs as one row an item: ``item_A`` with the ids, weights and ``counts`` of the user's items of greater id.
 
-    A pair costs little more than one id here, where a row of its own holds both and a header. Lists are in the order of
-    the values, which are few, so that they lie in runs. An item with several ``parts`` has a row for each, with its share
-    of the ids."""
+    A pair costs little more than one id here (3 bytes where they suffice for all), where a row of its own holds both
+    and a header. Lists are in the order of the values, which are few, so that they lie in runs. An item with several
+    ``parts`` has a row for each, with its share of the ids."""
     counts = counts or {}
     values = ["weight_units", *counts]
+    pieces = _id_pieces("item_A", id_bits)
+    id_type = "int" if id_bits <= 31 else "long"
     owner = ["item_A"] + (["parts"] if "parts" in capped.columns else [])
     rows = capped.withColumns({"item_A": F.col("item_id").cast(id_type), **counts}).select("user", *owner, *values)
     whole = Window.partitionBy("user").orderBy(*values, "item_A").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
-    rows = rows.withColumn("__all", F.collect_list(F.struct("item_A", *values)).over(whole))
+    entry = F.struct("item_A", *values, *(c.alias(k) for k, c in pieces.items()))
+    rows = rows.withColumn("__all", F.collect_list(entry).over(whole))
     rows = rows.withColumn("__rest", F.filter("__all", lambda e: e["item_A"] > F.col("item_A")))
     if "parts" in owner:
         rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         share = F.filter("__rest", lambda e: F.pmod(F.xxhash64(e["item_A"]), F.col("parts")) == F.col("part"))
         rows = rows.withColumn("__rest", F.when(F.col("parts") > 1, share).otherwise(F.col("__rest")))
-    lists = [F.col(f"__rest.{c}").alias(f"__{c}_list") for c in ("item_A", *values)]
+    lists = [F.col(f"__rest.{c}").alias(f"__{c}_list") for c in (*pieces, *values)]
     return rows.select("item_A", *(["part"] if "parts" in owner else []), *values, *lists)
 
 
@@ -230,8 +241,13 @@ def stripe_pairs(stripes: DataFrame, tasks: int) -> DataFrame:
     owner = [c for c in ("item_A", "part") if c in stripes.columns]
     counts = [c for c in stripes.columns if c.startswith("__counts") and not c.endswith("_list")]
     dealt = stripes.repartition(tasks, *owner)
-    rows = dealt.select("*", F.posexplode("__item_A_list").alias("__at", "item_B"))
     other = lambda c: F.get(f"__{c}_list", F.col("__at"))
+    if "__id_list" in stripes.columns:
+        rows = dealt.select("*", F.posexplode("__id_list").alias("__at", "item_B"))
+    else:
+        rows = dealt.select("*", F.posexplode("__low_list").alias("__at", "__low"))
+        high = F.shiftleft(other("high").cast("int") + 0x80, 16)
+        rows = rows.withColumn("item_B", high + F.col("__low").cast("int") + 0x8000)
     # The first place of the first counts is the users': a row is one.
     sums = [(F.col(c) + other(c) + F.lit(int(i == 0))).alias(c) for i, c in enumerate(counts)]
     return rows.select(*owner, "item_B", F.least("weight_units", other("weight_units")).alias("weight_units"), *sums)
@@ -462,7 +478,7 @@ def id_graph(
                 counts = {"users": F.lit(0).cast("long"), **{f"type_{i}": _count_of(t) for i, t in enumerate(types)}}
                 counts = _packed_counts(counts, count_bits)
             pairs = stripe_pairs(
-                user_item_stripes(capped, "int" if id_bits <= 31 else "long", counts), STRIPE_TASKS * tasks
+                user_item_stripes(capped, id_bits, counts), STRIPE_TASKS * tasks
             )
         else:
             pairs = user_item_pairs(capped, detail, types)

@@ -80,3 +80,15 @@ def test_named_links_carry_the_weight_of_their_target(spark):
             # One direction of each link goes through the joins, and no third one follows them.
             plan = got._jdf.queryExecution().optimizedPlan().toString()
             assert plan.count("Join ") == 2 and plan.index("Generate ") < plan.index("Join ")
+
+
+def test_ids_lie_in_as_few_bytes_as_they_need(spark):
+    small = [0, 1, 0x7FFF, 0x8000, 0xFFFF, 0x10000, 0x7FFFFF, 0x800000, (1 << 24) - 1]
+    for bits, size, ids in ((24, 3, small), (25, 4, [*small, 1 << 24]), (31, 4, [*small, (1 << 31) - 1]), (40, 8, [*small, 1 << 39])):
+        capped = spark.createDataFrame([("u", i, 1 + n % 3) for n, i in enumerate(ids)], "user string, item_id long, weight_units long")
+        stripes = graph.user_item_stripes(capped, bits)
+        lists = [f.dataType.elementType.simpleString() for f in stripes.schema if f.name.endswith("_list")]
+        assert sum({"tinyint": 1, "smallint": 2, "int": 4, "bigint": 8}[t] for t in lists) == size + 8
+        got = graph.stripe_pairs(stripes, 3).select("item_A", "item_B", "weight_units").collect()
+        w = {i: 1 + n % 3 for n, i in enumerate(ids)}
+        assert sorted(map(tuple, got)) == [(a, b, min(w[a], w[b])) for a in ids for b in ids if a < b]
