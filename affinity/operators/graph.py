@@ -1,6 +1,7 @@
 """Item-item graph construction and link re-weighting.
 
-Inputs are signal DataFrames ``(user string, item string, weight double[, signal_type string])``.
+Inputs are signal DataFrames ``(user string, item string, weight double[, signal_type string])``; users and items may
+be integers where the result has no users and items are numbered (``id_graph``), which makes the rows shorter.
 Inside the graph build, weights are exact LONG counts of 1e-9 units (``weight_units``);
 the public results carry DOUBLE ``weight`` = units / 1e9.
 
@@ -83,7 +84,8 @@ def aggregate_user_items(signals: DataFrame, logistic_param: float, detail: bool
     counting rows per signal type (a type named ``NUM_USERS`` is an error: that key is
     reserved for links). Weights are summed in units, rounded at the 9th place before the
     sum; a weight or sum beyond 2^63 units is an error. Both the graph build and the user step read this one table,
-    so raw signals are scanned and aggregated once per job.
+    so raw signals are scanned and aggregated once per job. Keys keep their type: integers make shorter rows than their
+    digits, and ``id_graph`` takes them too.
     """
     _require(signals, ["user", "item", "weight"] + (["signal_type"] if detail else []), "signals")
     s = signals.where(F.col("user").isNotNull() & F.col("item").isNotNull())
@@ -141,10 +143,12 @@ def cap_links_per_user(
     When the popularity table carries an ``item_id`` (see ``graph_from_user_items``) the
     id rides along, so the pair expansion can key on it."""
     keep = ["item"] + [c for c in ("item_id", "parts") if c in item_weights.columns]
+    # Ids follow the order of the items, so ties are broken alike, and no item is shuffled beside its id.
+    tie = "item_id" if "item_id" in keep else "item"
     strong = item_weights.where(F.col("overall_units") >= units_lit(min_link_weight)).select(*keep)
     ui_filt = ui_scaled.join(strong, "item", "inner" if len(keep) > 1 else "left_semi")
     return top_n_per_group(
-        ui_filt, ["user"], [F.col("weight_units").desc(), F.col("item").asc()], max_links_per_user
+        ui_filt, ["user"], [F.col("weight_units").desc(), F.col(tie).asc()], max_links_per_user
     )
 
 
@@ -214,8 +218,8 @@ def user_item_stripes(capped: DataFrame, id_bits: int, counts: dict[str, Column]
     """Each user's pairs as one row an item: ``item_A`` with the ids, weights and ``counts`` of the user's items of greater id.
 
     A pair costs little more than one id here (3 bytes where they suffice for all), where a row of its own holds both
-    and a header. Lists are in the order of the values, which are few, so that they lie in runs. An item with several
-    ``parts`` has a row for each, with its share of the ids."""
+    and a header. Weights are the pairs', the lesser of both. Lists are in the order of the values, which are few, so that they
+    lie in runs. An item with several ``parts`` has a row for each, with its share of the ids."""
     counts = counts or {}
     values = ["weight_units", *counts]
     pieces = _id_pieces("item_A", id_bits)
@@ -232,8 +236,10 @@ def user_item_stripes(capped: DataFrame, id_bits: int, counts: dict[str, Column]
         rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         share = F.filter("__rest", lambda e: F.pmod(F.xxhash64(e["item_A"]), F.col("parts")) == F.col("part"))
         rows = rows.withColumn("__rest", F.when(F.col("parts") > 1, share).otherwise(F.col("__rest")))
-    lists = [F.col(f"__rest.{c}").alias(f"__{c}_list") for c in (*pieces, *values)]
-    return rows.select("item_A", *(["part"] if "parts" in owner else []), *values, *lists)
+    lists = [F.col(f"__rest.{c}").alias(f"__{c}_list") for c in (*pieces, *counts)]
+    least = F.transform("__rest", lambda e: F.least(e["weight_units"], F.col("weight_units")))
+    part = ["part"] if "parts" in owner else []
+    return rows.select("item_A", *part, *counts, *lists, least.alias("__weight_units_list"))
 
 
 def stripe_pairs(stripes: DataFrame, tasks: int) -> DataFrame:
@@ -250,7 +256,7 @@ def stripe_pairs(stripes: DataFrame, tasks: int) -> DataFrame:
         rows = rows.withColumn("item_B", high + F.col("__low").cast("int") + 0x8000)
     # The first place of the first counts is the users': a row is one.
     sums = [(F.col(c) + other(c) + F.lit(int(i == 0))).alias(c) for i, c in enumerate(counts)]
-    return rows.select(*owner, "item_B", F.least("weight_units", other("weight_units")).alias("weight_units"), *sums)
+    return rows.select(*owner, "item_B", other("weight_units").alias("weight_units"), *sums)
 
 
 def _mirror(links: DataFrame) -> DataFrame:
@@ -408,7 +414,7 @@ def build_item_item_graph(
     ``link_data`` (detail mode) holds, per signal type, the rows of both items summed over
     the users behind the link, plus ``NUM_USERS``.
     """
-    user_items = aggregate_user_items(signals, logistic_param, detail)
+    user_items = scaled_pairs(aggregate_user_items(signals, logistic_param, detail))
     if stage:
         user_items = write_rows(user_items, "user_items")
     return graph_from_user_items(user_items, min_link_weight, max_links_per_user, detail, stage, stage_links)
@@ -446,11 +452,13 @@ def id_graph(
     weak-item filter and the Bayes join only when it is small
     (``spark.sql.autoBroadcastJoinThreshold``), and shuffled otherwise. ``more_items``
     (item) get ids too; without signals they have no weight. ``stage_links`` also writes the
-    summed links, for jobs that are to restart behind the pair expansion.
+    summed links, for jobs that are to restart behind the pair expansion. Users and items may be integers; items are
+    ordered and returned as strings all the same.
     """
     ui = scaled_pairs(user_items)
+    key_type = ui.schema["item"].dataType
     # In detail mode also how many rows an item has, which bounds the counts of its links.
-    popularity = _popularity_and_rows(ui, detail)
+    popularity = _popularity_and_rows(ui, detail).withColumn("item", F.col("item").cast("string"))
     if more_items is not None:
         named = more_items.select("item").where(F.col("item").isNotNull()).distinct()
         popularity = popularity.join(named, "item", "full_outer")
@@ -467,9 +475,10 @@ def id_graph(
     striped = (types is not None or not detail) and not _pairs_recur(ui, n_items, tasks, max_links_per_user)
     # An item of so many users that its pairs would fill a task by themselves is dealt to several.
     parts = F.ceil(F.col("users") * (max_links_per_user - 1) / F.lit(PAIRS_PER_ITEM)).cast("int")
-    strong = table
+    # Items without signals, which may be no integers, are not among the strong ones.
+    strong = table if key_type == StringType() else table.withColumn("item", F.col("item").try_cast(key_type))
     if striped and (most[0] or 0) * (max_links_per_user - 1) > PAIRS_PER_ITEM:
-        strong = table.withColumn("parts", parts)
+        strong = strong.withColumn("parts", parts)
     with shuffle_to(ui.sparkSession, tasks) if stage_links else nullcontext():
         capped = cap_links_per_user(ui, strong, min_link_weight, max_links_per_user)
         if striped:
@@ -552,7 +561,7 @@ def graph_from_user_items(
         g = id_graph(user_items, min_link_weight, max_links_per_user, detail, stage_links=stage_links)
         weights = g.weights.withColumnRenamed("item", "item_id").join(g.items, "item_id")
         return g.named.drop("target_weight"), weights.select("item", "overall_weight", "overall_units")
-    ui = scaled_pairs(user_items)
+    ui = scaled_pairs(user_items).withColumn("item", F.col("item").cast("string"))
     popularity = item_popularity(ui)
     capped = cap_links_per_user(ui, popularity, min_link_weight, max_links_per_user)
     links = sum_pairs_to_links(user_item_pairs(capped, detail), min_link_weight, detail)

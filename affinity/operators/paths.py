@@ -61,6 +61,7 @@ def init_shortest_paths(
     dest_items: DataFrame | None = None,
     detail: bool = False,
     map_lists_from: int | None = None,
+    stage_graph: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Return ``(graph, paths)`` as the reference defines them.
 
@@ -68,9 +69,12 @@ def init_shortest_paths(
     paths: the *unfiltered* pruned links with ``raw_weight`` (and ``link_data``) nulled,
            plus a zero-distance self loop per distinct destination, restricted to dest
            items when given.
-    ``map_lists_from``: as in ``item_recs_from_graph``.
+    ``map_lists_from``: as in ``item_recs_from_graph``. The paths read the pruned links twice; with ``stage_graph`` they are
+    written first, else all links are ranked for each.
     """
     g = distance_graph(ii_links, initial_nhood_size, detail)
+    if stage_graph:
+        g = write_stage(g, "nhood_graph")
     graph = g if source_items is None else semi_join(g, _items(source_items, map_lists_from), "item_A")
     nulls = [F.lit(None).cast(DoubleType()).alias("raw_weight")]
     if detail:

@@ -80,14 +80,19 @@ def _dbl(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[to_double(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def _signals(spark: SparkSession, sf: str) -> DataFrame:
+    """The signals of the item-item graph, which returns no users: keys become strings where items are numbered."""
+    return signals_tpch(spark, sf, "bigint")
+
+
 def _graph(spark: SparkSession, sf: str, p: RecParams = T, detail: bool = False):
     return build_item_item_graph(
-        signals_tpch(spark, sf), p.logistic_param, p.min_link_weight, p.max_links_per_user, detail=detail, stage_links=True
+        _signals(spark, sf), p.logistic_param, p.min_link_weight, p.max_links_per_user, detail=detail, stage_links=True
     )
 
 
 def _id_graph(spark: SparkSession, sf: str, p: RecParams = T, detail: bool = False):
-    return pipelines.staged_graph(signals_tpch(spark, sf), p, detail)
+    return pipelines.staged_graph(_signals(spark, sf), p, detail)
 
 
 def _bayes(spark: SparkSession, sf: str, p: RecParams = T, detail: bool = False, **options) -> DataFrame:
@@ -103,7 +108,7 @@ def _on_ids(spark: SparkSession, sf: str, step, lists=(), detail: bool = False)
 
 
 def _path_recs(spark: SparkSession, sf: str) -> DataFrame:
-    return pipelines.item_item_recs(signals_tpch(spark, sf), T.with_(initial_nhood_size=NH))
+    return pipelines.item_item_recs(_signals(spark, sf), T.with_(initial_nhood_size=NH))
 
 
 def _explode_link_data(df: DataFrame, keep: list[str]) -> DataFrame:
@@ -179,7 +184,7 @@ def awkward_titles(item):
 
 def q_text_sink_roundtrip(spark, sf):
     """Store item recs with awkward titles as Parquet and tab text (twice, overwriting), read the text back."""
-    recs = pipelines.item_item_recs(signals_tpch(spark, sf), T)
+    recs = pipelines.item_item_recs(_signals(spark, sf), T)
     recs = recs.withColumns({"title_A": awkward_titles(F.col("item_A")), "title_B": awkward_titles(F.col("item_B"))})
     staged = scratch_path(spark, "ii_recs_parquet")
     store_parquet(recs, staged)
@@ -321,7 +326,7 @@ def q_graph_pruned(spark, sf):
 
 
 def q_paths_seed(spark, sf):
-    return _on_ids(spark, sf, lambda links: init_shortest_paths(links, NH)[1])
+    return _on_ids(spark, sf, lambda links: init_shortest_paths(links, NH, stage_graph=True)[1])
 
 
 def q_path_recs(spark, sf):
@@ -337,7 +342,7 @@ def q_available_graph(spark, sf):
 
 
 def q_available_paths(spark, sf):
-    return _on_ids(spark, sf, lambda links, *lists: init_shortest_paths(links, NH, *lists)[1], _lists(spark, sf))
+    return _on_ids(spark, sf, lambda links, *lists: init_shortest_paths(links, NH, *lists, stage_graph=True)[1], _lists(spark, sf))
 
 
 def q_available_path_recs(spark, sf):
@@ -377,27 +382,27 @@ def q_detailed_path_recs_data(spark, sf):
 
 
 def q_item_item_recs_detailed(spark, sf):
-    r = pipelines.item_item_recs_detailed(signals_tpch(spark, sf), T)
+    r = pipelines.item_item_recs_detailed(_signals(spark, sf), T)
     return r.select(*REC_COLS, "linking_item", F.col("link_data")["NUM_USERS"].alias("num_users"))
 
 
 # ----------------------------------------------------------------------------- composed
 
 def q_item_item_recs(spark, sf):
-    return pipelines.item_item_recs(signals_tpch(spark, sf), T)
+    return pipelines.item_item_recs(_signals(spark, sf), T)
 
 
 def q_item_item_recs_add_signals(spark, sf):
-    return pipelines.item_item_recs_add_signals(signals_tpch(spark, sf), item_item_signals(spark, sf), T)
+    return pipelines.item_item_recs_add_signals(_signals(spark, sf), item_item_signals(spark, sf), T)
 
 
 def q_item_item_recs_diversified(spark, sf):
-    return pipelines.item_item_recs_diversified(signals_tpch(spark, sf), metadata_tpch(spark, sf), T)
+    return pipelines.item_item_recs_diversified(_signals(spark, sf), metadata_tpch(spark, sf), T)
 
 
 def q_item_item_recs_available(spark, sf):
     return pipelines.item_item_recs_available(
-        signals_tpch(spark, sf), source_items(spark, sf), dest_items(spark, sf), T
+        _signals(spark, sf), source_items(spark, sf), dest_items(spark, sf), T
     )
 
 
@@ -417,11 +422,11 @@ def q_item_item_recs_in_stock(spark, sf):
         (F.col("p_size") % 4).cast("long").alias("stock"),
     ).write.mode("overwrite").json(path)
     in_stock = inventory_in_stock(load_inventory(spark, path))
-    return pipelines.item_item_recs_available(signals_tpch(spark, sf), None, in_stock, T)
+    return pipelines.item_item_recs_available(_signals(spark, sf), None, in_stock, T)
 
 
 def q_item_item_recs_pop_boost(spark, sf):
-    return pipelines.item_item_recs_pop_boost(signals_tpch(spark, sf), T, "SQRT")
+    return pipelines.item_item_recs_pop_boost(_signals(spark, sf), T, "SQRT")
 
 
 def q_item_item_recs_events(spark, sf):

@@ -20,6 +20,7 @@ from affinity.operators import (
     encode_pairs,
     id_graph,
     item_recs_from_graph,
+    scaled_pairs,
     sum_item_item_signals,
 )
 from affinity.params import RecParams
@@ -27,7 +28,7 @@ from affinity.session import write_rows, write_stage
 
 
 def staged_graph(signals: DataFrame, p: RecParams, detail: bool = False, more_items: DataFrame | None = None) -> IdGraph:
-    user_items = write_rows(aggregate_user_items(signals, p.logistic_param, detail), "user_items")
+    user_items = write_rows(scaled_pairs(aggregate_user_items(signals, p.logistic_param, detail)), "user_items")
     return id_graph(user_items, p.min_link_weight, p.max_links_per_user, detail, more_items, stage_links=True)
 
 

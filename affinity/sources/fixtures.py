@@ -31,12 +31,14 @@ def _orders_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(od, li["l_orderkey"] == od["o_orderkey"])
 
 
-def signals_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(user = o_custkey, item = l_partkey, weight 0.5 for returned lines else 1.0, signal_type = flag)."""
+def signals_tpch(spark: SparkSession, sf_dir: str, keys: str = "string") -> DataFrame:
+    """(user = o_custkey, item = l_partkey, weight 0.5 for returned lines else 1.0, signal_type = flag).
+
+    ``keys``: the type of user and item; the item-item graph takes them as "bigint", as they are."""
     j = _orders_lines(spark, sf_dir)
     return j.select(
-        F.col("o_custkey").cast("string").alias("user"),
-        F.col("l_partkey").cast("string").alias("item"),
+        F.col("o_custkey").cast(keys).alias("user"),
+        F.col("l_partkey").cast(keys).alias("item"),
         F.when(F.col("l_returnflag") == RETURN_FLAG_WISHLIST, F.lit(TPCH_WEIGHT_WISHLIST))
         .otherwise(F.lit(TPCH_WEIGHT_PURCHASE))
         .alias("weight"),
